@@ -1,3 +1,316 @@
-"""Generated DuckDB SQL for the estimator queries (filled in below)."""
+"""Generated DuckDB SQL for the estimator queries.
 
-MODEL_BODIES: dict = {}
+Alternating demeaning as a fixed chain of window CTEs, the normal
+equations solved by Gauss-Jordan elimination written out as scalar
+expressions (one row per group), and the clustered / HC1 sandwich from
+residual score aggregates. Independent of the Spark implementation, which
+uses grouped means and checkpointed effect tables instead of windows.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+Z_CRIT = "1.959963984540054"
+
+
+@dataclass
+class SqlModel:
+    panel: str                 # CTE with the panel rows
+    group: list                # group columns
+    y: str
+    xs: list                   # (name, sql expression) identified regressors
+    absorb: list               # effect key columns
+    cluster: str | None
+    cov: str = "cluster"
+    sweeps: int = 8
+    k_extra: int = 0           # design columns absorbed by an effect (counted in k)
+    where: str = "TRUE"
+    components: bool = False   # two-way HC1 rank via connected components
+    tag: str = "m"
+    extra_cols: dict = field(default_factory=dict)
+
+
+def _gj_inverse(t: str, src: str, k: int, group: list) -> tuple[list, str]:
+    """CTEs inverting the k x k matrix a_i_j (columns of ``src``)."""
+    g = ", ".join(group)
+    ctes = []
+    prev = src
+    cur_a = {(i, j): f"a_{i}_{j}" for i in range(k) for j in range(k)}
+    cur_v = {(i, j): ("1.0" if i == j else "0.0") for i in range(k) for j in range(k)}
+    # step 0: materialise identity
+    sel = [f"{cur_a[(i, j)]}" for i in range(k) for j in range(k)]
+    sel += [f"{cur_v[(i, j)]} AS v_{i}_{j}" for i in range(k) for j in range(k)]
+    ctes.append(f"{t}_gj0 AS (SELECT {g}, {', '.join(sel)} FROM {prev})")
+    prev = f"{t}_gj0"
+    for p in range(k):
+        exprs = []
+        for j in range(k):
+            exprs.append(f"a_{p}_{j} / a_{p}_{p} AS a_{p}_{j}")
+            exprs.append(f"v_{p}_{j} / a_{p}_{p} AS v_{p}_{j}")
+        for i in range(k):
+            if i == p:
+                continue
+            for j in range(k):
+                exprs.append(f"a_{i}_{j} - a_{i}_{p} * (a_{p}_{j} / a_{p}_{p}) AS a_{i}_{j}")
+                exprs.append(f"v_{i}_{j} - a_{i}_{p} * (v_{p}_{j} / a_{p}_{p}) AS v_{i}_{j}")
+        ctes.append(f"{t}_gj{p + 1} AS (SELECT {g}, {', '.join(exprs)} FROM {prev})")
+        prev = f"{t}_gj{p + 1}"
+    return ctes, prev
+
+
+def model_sql(m: SqlModel, select_tail) -> str:
+    """Return CTE text (starting with ', ') ending in a SELECT produced by
+    ``select_tail(final_cte, names)``."""
+    t = m.tag
+    k = len(m.xs)
+    nv = k + 1
+    grp = ", ".join(m.group)
+    keys = m.absorb if m.absorb else []
+    carry = list(dict.fromkeys(m.group + keys + ([m.cluster] if m.cluster else [])))
+    cs = ", ".join(carry)
+    vals = [f"{m.y} AS v0"] + [f"{expr} AS v{i + 1}" for i, (_, expr) in enumerate(m.xs)]
+    nn = " AND ".join([f"({m.y}) IS NOT NULL"] + [f"({e}) IS NOT NULL" for _, e in m.xs])
+    ctes = [f"{t}_d0 AS (SELECT {cs}, {', '.join(vals)} FROM {m.panel} WHERE {m.where} AND {nn})"]
+    prev = f"{t}_d0"
+    step = 0
+    eff = keys if keys else [None]
+    sweeps = m.sweeps if len(eff) > 1 else 1
+    for _ in range(sweeps):
+        for key in eff:
+            part = ", ".join(m.group + ([key] if key else []))
+            dem = [f"v{i} - avg(v{i}) OVER (PARTITION BY {part}) AS v{i}" for i in range(nv)]
+            step += 1
+            ctes.append(f"{t}_d{step} AS (SELECT {cs}, {', '.join(dem)} FROM {prev})")
+            prev = f"{t}_d{step}"
+    dem_cte = prev
+    # raw y sums, level counts
+    lv = [f"count(DISTINCT {key}) AS lv{j}" for j, key in enumerate(keys)]
+    ctes.append(f"{t}_raw AS (SELECT {grp}, count(*) AS n, sum(v0) AS sy, sum(v0 * v0) AS syy"
+                + (", " + ", ".join(lv) if lv else "") + f" FROM {t}_d0 GROUP BY {grp})")
+    mom = [f"sum(v{i + 1} * v{j + 1}) AS a_{i}_{j}" for i in range(k) for j in range(k)]
+    mom += [f"sum(v{i + 1} * v0) AS b_{i}" for i in range(k)]
+    ctes.append(f"{t}_mom AS (SELECT {grp}, {', '.join(mom)} FROM {dem_cte} GROUP BY {grp})")
+    gj, inv = _gj_inverse(t, f"{t}_mom", k, m.group)
+    ctes += gj
+    beta = [" + ".join(f"i.v_{i}_{j} * mm.b_{j}" for j in range(k)) + f" AS beta_{i}"
+            for i in range(k)]
+    inv_cols = [f"i.v_{i}_{j} AS v_{i}_{j}" for i in range(k) for j in range(k)]
+    on = " AND ".join(f"i.{c} = mm.{c}" for c in m.group)
+    ctes.append(f"{t}_coef AS (SELECT {', '.join('i.' + c for c in m.group)}, {', '.join(beta)}, "
+                f"{', '.join(inv_cols)} FROM {inv} i JOIN {t}_mom mm ON {on})")
+    fit = " - ".join(["d.v0"] + [f"c.beta_{i} * d.v{i + 1}" for i in range(k)])
+    on2 = " AND ".join(f"d.{c} = c.{c}" for c in m.group)
+    ctes.append(f"{t}_res AS (SELECT d.*, {fit} AS u FROM {dem_cte} d JOIN {t}_coef c ON {on2})")
+    if m.cov == "cluster":
+        sc = [f"sum(v{i + 1} * u) AS s{i}" for i in range(k)]
+        ctes.append(f"{t}_sc AS (SELECT {grp}, {m.cluster}, {', '.join(sc)}, sum(u * u) AS ssr "
+                    f"FROM {t}_res GROUP BY {grp}, {m.cluster})")
+        mt = [f"sum(s{i} * s{j}) AS mt_{i}_{j}" for i in range(k) for j in range(k)]
+        ctes.append(f"{t}_meat AS (SELECT {grp}, count(*) AS ncl, sum(ssr) AS ssr, "
+                    f"{', '.join(mt)} FROM {t}_sc GROUP BY {grp})")
+    else:
+        mt = [f"sum(v{i + 1} * v{j + 1} * u * u) AS mt_{i}_{j}" for i in range(k) for j in range(k)]
+        ctes.append(f"{t}_meat AS (SELECT {grp}, CAST(NULL AS BIGINT) AS ncl, sum(u * u) AS ssr, "
+                    f"{', '.join(mt)} FROM {t}_res GROUP BY {grp})")
+    # degrees of freedom
+    if keys:
+        k_full = f"(1 + {k + m.k_extra} + " + " + ".join(f"(r.lv{j} - 1)" for j in range(len(keys))) + ")"
+        if len(keys) == 2:
+            rank_fe = "(r.lv0 + r.lv1 - cc.comps)" if m.components else "(r.lv0 + r.lv1 - 1)"
+        else:
+            rank_fe = "(1 + " + " + ".join(f"(r.lv{j} - 1)" for j in range(len(keys))) + ")"
+    else:
+        k_full, rank_fe = f"(1 + {k + m.k_extra})", "1"
+    if m.cov == "cluster":
+        factor = f"(mt.ncl / (mt.ncl - 1.0)) * ((r.n - 1.0) / (r.n - {k_full}))"
+    else:
+        factor = f"(r.n / (r.n - ({rank_fe} + {k})))"
+    var = []
+    for i in range(k):
+        terms = [f"c.v_{i}_{j} * mt.mt_{j}_{l} * c.v_{l}_{i}" for j in range(k) for l in range(k)]
+        var.append(f"({' + '.join(terms)}) * {factor} AS var_{i}")
+    joins = (f"FROM {t}_coef c JOIN {t}_meat mt ON "
+             + " AND ".join(f"c.{x} = mt.{x}" for x in m.group)
+             + f" JOIN {t}_raw r ON " + " AND ".join(f"c.{x} = r.{x}" for x in m.group))
+    if m.components:
+        joins += f" JOIN {t}_cc cc ON " + " AND ".join(f"c.{x} = cc.{x}" for x in m.group)
+        a, b = keys
+        ctes.append(f"{t}_edges AS (SELECT DISTINCT {grp}, 'L:' || CAST({a} AS VARCHAR) AS na, "
+                    f"'R:' || CAST({b} AS VARCHAR) AS nb FROM {t}_d0)")
+        ctes.append(f"{t}_und AS (SELECT {grp}, na AS x, nb AS y FROM {t}_edges UNION ALL "
+                    f"SELECT {grp}, nb AS x, na AS y FROM {t}_edges)")
+        gsel = ", ".join(m.group)
+        gjoin = " AND ".join(f"r.{x} = e.{x}" for x in m.group)
+        ctes.append(f"{t}_reach ({gsel}, node, root) AS (SELECT DISTINCT {grp}, x, x FROM {t}_und "
+                    f"UNION SELECT {', '.join('e.' + x for x in m.group)}, e.y, r.root "
+                    f"FROM {t}_reach r JOIN {t}_und e ON {gjoin} AND r.node = e.x)")
+        ctes.append(f"{t}_cc AS (SELECT {grp}, count(DISTINCT lab) AS comps FROM ("
+                    f"SELECT {grp}, node, min(root) AS lab FROM {t}_reach GROUP BY {grp}, node) "
+                    f"GROUP BY {grp})")
+    sel = ", ".join(f"c.{x}" for x in m.group)
+    ctes.append(f"{t}_fit AS (SELECT {sel}, r.n, {k_full} AS n_params, mt.ncl, "
+                f"1 - mt.ssr / (r.syy - r.sy * r.sy / r.n) AS r2, "
+                + ", ".join(f"c.beta_{i}" for i in range(k)) + ", " + ", ".join(var) + f" {joins})")
+    names = [n for n, _ in m.xs]
+    longs = []
+    for i, name in enumerate(names):
+        longs.append(f"SELECT {grp}, '{name}' AS term, beta_{i} AS coef, sqrt(var_{i}) AS se, "
+                     f"beta_{i} / sqrt(var_{i}) AS z, n, n_params, ncl, r2 FROM {t}_fit")
+    ctes.append(f"{t}_long AS ({' UNION ALL '.join(longs)})")
+    return ",\n" + ",\n".join(ctes) + "\n" + select_tail(f"{t}_long", names)
+
+
+def coef_table(long_cte: str, names) -> str:
+    return f"""
+SELECT product_category, term, round(coef, 6) AS coef, round(se, 6) AS se, round(z, 6) AS z,
+       abs(z) > {Z_CRIT} AS significant, n AS n_obs, CAST(n_params AS BIGINT) AS n_params,
+       CAST(ncl AS BIGINT) AS n_clusters, round(r2, 6) AS r2
+FROM {long_cte}"""
+
+
+G = ["product_category"]
+FE3 = ["product_id", "store_id", "week"]
+BASIC = [("log_price", "log_price"), ("is_displayed", "is_displayed"), ("is_mailed", "is_mailed")]
+
+NET_SIZED = """,
+net_sized0 AS (
+  SELECT n.*, s.store_total_txns, ln(s.store_total_txns) AS log_store_size
+  FROM net_panel n LEFT JOIN store_size s ON n.store_id = s.store_id),
+net_sized AS (
+  SELECT *, log_store_size - avg(log_store_size) OVER () AS log_store_size_c FROM net_sized0)"""
+
+INCOME_TERMS = [
+    ("log_price", "log_price"), ("is_displayed", "is_displayed"),
+    ("C(income_group)[T.Mid]", "CASE WHEN income_group = 'Mid' THEN 1.0 ELSE 0.0 END"),
+    ("C(income_group)[T.High]", "CASE WHEN income_group = 'High' THEN 1.0 ELSE 0.0 END"),
+    ("is_mailed", "is_mailed"),
+    ("is_displayed:C(income_group)[T.Mid]",
+     "is_displayed * CASE WHEN income_group = 'Mid' THEN 1.0 ELSE 0.0 END"),
+    ("is_displayed:C(income_group)[T.High]",
+     "is_displayed * CASE WHEN income_group = 'High' THEN 1.0 ELSE 0.0 END"),
+    ("is_mailed:C(income_group)[T.Mid]",
+     "is_mailed * CASE WHEN income_group = 'Mid' THEN 1.0 ELSE 0.0 END"),
+    ("is_mailed:C(income_group)[T.High]",
+     "is_mailed * CASE WHEN income_group = 'High' THEN 1.0 ELSE 0.0 END"),
+]
+
+SIZE_TERMS = [("log_price", "log_price"), ("is_displayed", "is_displayed"),
+              ("is_mailed", "is_mailed"),
+              ("is_displayed:log_store_size_c", "is_displayed * log_store_size_c"),
+              ("is_mailed:log_store_size_c", "is_mailed * log_store_size_c")]
+
+DEPTH_TERMS = [("log_price", "log_price"), ("is_displayed", "is_displayed"),
+               ("discount_pct", "discount_pct"), ("is_mailed", "is_mailed"),
+               ("is_displayed:discount_pct", "is_displayed * discount_pct"),
+               ("is_mailed:discount_pct", "is_mailed * discount_pct")]
+
+UNIFIED_TERMS = [("log_price", "log_price"), ("is_displayed", "is_displayed"),
+                 ("discount_pct", "discount_pct"), ("is_mailed", "is_mailed"),
+                 ("is_displayed:discount_pct", "is_displayed * discount_pct"),
+                 ("is_mailed:discount_pct", "is_mailed * discount_pct"),
+                 ("is_displayed:log_store_size_c", "is_displayed * log_store_size_c"),
+                 ("is_mailed:log_store_size_c", "is_mailed * log_store_size_c")]
+
+
+def _ols_naive():
+    return model_sql(SqlModel("net_panel", G, "log_qty", BASIC, [], "product_id", tag="nv"),
+                     coef_table)
+
+
+def _fe_elasticity():
+    return model_sql(SqlModel("net_panel", G, "log_qty", BASIC, FE3, "product_id", tag="fe"),
+                     coef_table)
+
+
+def _fe_income():
+    return model_sql(SqlModel("hh_panel", G, "log_qty", INCOME_TERMS, FE3, "household_id",
+                              where="income_group IS NOT NULL", tag="inc"), coef_table)
+
+
+def _fe_store_size():
+    return NET_SIZED + model_sql(SqlModel("net_sized", G, "log_qty", SIZE_TERMS, FE3,
+                                          "product_id", k_extra=1, tag="ss"), coef_table)
+
+
+def _fe_discount_depth():
+    return model_sql(SqlModel("gross_panel", G, "log_qty", DEPTH_TERMS, FE3, "product_id",
+                              tag="dd"), coef_table)
+
+
+def _fe_unified():
+    return model_sql(SqlModel("gross_sized", G, "log_qty", UNIFIED_TERMS, FE3, "product_id",
+                              k_extra=1, tag="un"), coef_table)
+
+
+MART_TERMS = [("log_net_price", "log_net_price"), ("is_displayed", "is_displayed"),
+              ("is_mailed", "is_mailed")]
+
+
+def _elasticity_comparison():
+    def tail_naive(long_cte, names):
+        return ""
+    nv = model_sql(SqlModel("gross_panel", G, "log_qty", MART_TERMS, [], "product_id", tag="mn"),
+                   lambda c, n: "")
+    fe = model_sql(SqlModel("gross_panel", G, "log_qty", MART_TERMS, FE3, "product_id", tag="mf"),
+                   lambda c, n: "")
+    return nv + fe + """
+SELECT upper(substr(product_category, 1, 1)) || lower(substr(product_category, 2)) AS category,
+       'Naive' AS model, round(coef, 6) AS elasticity, round(se, 6) AS se
+FROM mn_long WHERE term = 'log_net_price'
+UNION ALL
+SELECT upper(substr(product_category, 1, 1)) || lower(substr(product_category, 2)) AS category,
+       'Fixed Effects' AS model, round(coef, 6) AS elasticity, round(se, 6) AS se
+FROM mf_long WHERE term = 'log_net_price'"""
+
+
+def _promo_uplift():
+    fe = model_sql(SqlModel("gross_panel", G, "log_qty", MART_TERMS, FE3, "product_id", tag="mf"),
+                   lambda c, n: "")
+    return fe + f"""
+SELECT upper(substr(product_category, 1, 1)) || lower(substr(product_category, 2)) AS category,
+       CASE term WHEN 'is_displayed' THEN 'In-store display' ELSE 'Mailer/flyer feature' END
+         AS promo_type,
+       round((exp(coef) - 1) * 100, 6) AS pct_lift, round(z, 6) AS z,
+       abs(z) > {Z_CRIT} AS significant
+FROM mf_long WHERE term IN ('is_displayed', 'is_mailed')"""
+
+
+SKU_SWEEPS = 24
+
+
+def _sku_elasticity():
+    prefix = """,
+sku_cells AS (SELECT *, brand AS sku FROM net_panel),
+sku_rank AS (
+  SELECT product_category, sku, sum(quantity) AS total_qty, count(*) AS n_obs,
+         stddev_samp(log_price) AS sd_lp,
+         row_number() OVER (PARTITION BY product_category ORDER BY sum(quantity) DESC, sku ASC)
+           AS volume_rank
+  FROM sku_cells GROUP BY product_category, sku),
+sku_eligible AS (
+  SELECT product_category, sku FROM sku_rank
+  WHERE volume_rank <= 6 AND n_obs >= 200 AND sd_lp >= 0.01),
+sku_panel AS (
+  SELECT c.* FROM sku_cells c JOIN sku_eligible e
+    ON c.product_category = e.product_category AND c.sku = e.sku)"""
+    body = model_sql(SqlModel("sku_panel", ["product_category", "sku"], "log_qty", BASIC,
+                              ["store_id", "week"], None, cov="hc1", sweeps=SKU_SWEEPS,
+                              components=True, tag="sk"), lambda c, n: f"""
+SELECT product_category, sku, n AS n_obs, round(coef, 6) AS elasticity, round(se, 6) AS se,
+       round(z, 6) AS z, abs(z) > {Z_CRIT} AS significant
+FROM {c} WHERE term = 'log_price'""")
+    return prefix + body
+
+
+MODEL_BODIES = {
+    "ols_naive": _ols_naive,
+    "fe_elasticity": _fe_elasticity,
+    "elasticity_comparison": _elasticity_comparison,
+    "promo_uplift": _promo_uplift,
+    "sku_elasticity": _sku_elasticity,
+    "fe_income": _fe_income,
+    "fe_store_size": _fe_store_size,
+    "fe_discount_depth": _fe_discount_depth,
+    "fe_unified": _fe_unified,
+}

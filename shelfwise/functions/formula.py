@@ -42,7 +42,7 @@ def _factor_columns(factor: str, categorical: dict) -> list[tuple[str, Column]]:
     if m:
         var = m.group(1)
         levels = categorical[var]
-        return [(f"C({var})[{lvl}]",
+        return [(f"C({var})[T.{lvl}]",
                  F.when(F.col(var) == F.lit(lvl), 1.0).otherwise(0.0)) for lvl in levels[1:]]
     return [(factor, F.col(factor).cast("double"))]
 

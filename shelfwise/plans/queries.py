@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators import describe, panels, warehouse
+from shelfwise.operators import describe, models, panels, warehouse
 from shelfwise.plans.context import FOCUS, MONEY, Context, rounded
 
 CAT = "product_category"
@@ -174,6 +174,61 @@ def q_promo_overlap(spark, sf_dir):
     return describe.promo_overlap(_gross(_ctx(spark, sf_dir)))
 
 
+# ---------------------------------------------------------------- steps 5-8
+def _net_sized(ctx: Context, categories=FOCUS) -> DataFrame:
+    return panels.with_store_size(_net(ctx, categories), panels.store_size(ctx.txn))
+
+
+def _mart_models(ctx: Context):
+    g = _gross(ctx)
+    return (models.naive_ols(g, models.MART_FORMULA),
+            models.fe_ols(g, models.MART_FORMULA))
+
+
+def q_ols_naive(spark, sf_dir):
+    return rounded(models.coefficient_view(models.naive_ols(_net(_ctx(spark, sf_dir)))))
+
+
+def q_fe_elasticity(spark, sf_dir):
+    return rounded(models.coefficient_view(models.fe_ols(_net(_ctx(spark, sf_dir)))))
+
+
+def q_elasticity_comparison(spark, sf_dir):
+    naive, fixed = _mart_models(_ctx(spark, sf_dir))
+    return rounded(models.elasticity_comparison(naive, fixed, "log_net_price"))
+
+
+def q_promo_uplift(spark, sf_dir):
+    _, fixed = _mart_models(_ctx(spark, sf_dir))
+    return rounded(models.promo_uplift(fixed).drop("p_value"))
+
+
+def q_sku_elasticity(spark, sf_dir):
+    """Per-SKU fits; in the binding the SKU unit is the brand within a
+    category (a part key has too few cells)."""
+    res = models.sku_elasticity(_net(_ctx(spark, sf_dir)), sku="brand", attrs=())
+    return rounded(res.withColumnRenamed("brand", "sku").drop("p_value"))
+
+
+def q_fe_income(spark, sf_dir):
+    return rounded(models.coefficient_view(models.income_model(_hh(_ctx(spark, sf_dir)))))
+
+
+def q_fe_store_size(spark, sf_dir):
+    return rounded(models.coefficient_view(
+        models.store_size_model(_net_sized(_ctx(spark, sf_dir)))))
+
+
+def q_fe_discount_depth(spark, sf_dir):
+    return rounded(models.coefficient_view(
+        models.discount_depth_model(_gross(_ctx(spark, sf_dir)))))
+
+
+def q_fe_unified(spark, sf_dir):
+    return rounded(models.coefficient_view(
+        models.unified_model(_gross_sized(_ctx(spark, sf_dir)))))
+
+
 QUERIES = {
     "dim_product": q_dim_product,
     "dim_household": q_dim_household,
@@ -204,4 +259,13 @@ QUERIES = {
     "untreated_cells": q_untreated_cells,
     "weekly_trend_cells": q_weekly_trend_cells,
     "promo_overlap": q_promo_overlap,
+    "ols_naive": q_ols_naive,
+    "fe_elasticity": q_fe_elasticity,
+    "elasticity_comparison": q_elasticity_comparison,
+    "promo_uplift": q_promo_uplift,
+    "sku_elasticity": q_sku_elasticity,
+    "fe_income": q_fe_income,
+    "fe_store_size": q_fe_store_size,
+    "fe_discount_depth": q_fe_discount_depth,
+    "fe_unified": q_fe_unified,
 }
