@@ -303,6 +303,132 @@ FROM {c} WHERE term = 'log_price'""")
     return prefix + body
 
 
+def _unified_wide():
+    return model_sql(SqlModel("gross_sized", G, "log_qty", UNIFIED_TERMS, FE3, "product_id",
+                              k_extra=1, tag="un"), lambda c, n: "") + """,
+un_w AS (
+  SELECT product_category,
+         max(CASE WHEN term = 'is_displayed' THEN coef END) AS b_d,
+         max(CASE WHEN term = 'is_mailed' THEN coef END) AS b_m,
+         max(CASE WHEN term = 'discount_pct' THEN coef END) AS b_disc,
+         max(CASE WHEN term = 'is_displayed:discount_pct' THEN coef END) AS b_dd,
+         max(CASE WHEN term = 'is_mailed:discount_pct' THEN coef END) AS b_md,
+         max(CASE WHEN term = 'is_displayed:log_store_size_c' THEN coef END) AS b_ds
+  FROM un_long GROUP BY product_category),
+un_k AS (
+  SELECT product_category, 'Display' AS promo_type, b_disc + b_dd AS k FROM un_w
+  UNION ALL SELECT product_category, 'Mailer', b_disc + b_md FROM un_w),
+programs (product_category, promo_type, target, change) AS (
+  VALUES ('MEDIUM', 'Mailer', 0.40, 'Mailer to 40% discount'),
+         ('MEDIUM', 'Display', 0.0, 'Display to 0% discount'),
+         ('PROMO', 'Display', 0.0, 'Display to 0% discount'),
+         ('PROMO', 'Mailer', 0.0, 'Mailer to 0% discount')),
+scen AS (
+  SELECT p.product_category, p.promo_type, pr.change, sum(p.sales_value) AS actual_revenue,
+         sum(p.unit_price * (1 - pr.target) * p.quantity
+             * exp((pr.target - p.discount_pct) * k.k)) AS scenario_revenue,
+         count(*) AS n_cells
+  FROM gross_sized_long p
+  JOIN programs pr ON p.product_category = pr.product_category AND p.promo_type = pr.promo_type
+  JOIN un_k k ON p.product_category = k.product_category AND p.promo_type = k.promo_type
+  GROUP BY p.product_category, p.promo_type, pr.change)"""
+
+
+SIZED_LONG = """,
+gross_sized_long AS (
+  SELECT *, 'Display' AS promo_type FROM gross_sized WHERE is_displayed = 1
+  UNION ALL
+  SELECT *, 'Mailer' AS promo_type FROM gross_sized WHERE is_mailed = 1)"""
+
+TITLE = "upper(substr({c}, 1, 1)) || lower(substr({c}, 2))"
+
+
+def _lift_by_store_size():
+    return SIZED_LONG + _unified_wide() + """,
+q AS (SELECT quantile_cont(log_store_size_c, 0.05) AS lo,
+             quantile_cont(log_store_size_c, 0.95) AS hi FROM gross_sized),
+g AS (SELECT CAST(range AS INTEGER) AS point,
+             CASE WHEN range = 39 THEN hi
+                  ELSE lo + CAST(range AS DOUBLE) * ((hi - lo) / 39.0) END AS s
+      FROM range(40), q)
+SELECT """ + TITLE.format(c="w.product_category") + """ AS category, g.point,
+       round(g.s, 6) AS log_store_size_c,
+       round((exp(w.b_d + w.b_ds * g.s) - 1) * 100, 6) AS predicted_lift_pct
+FROM g, un_w w"""
+
+
+def _lift_by_discount():
+    return SIZED_LONG + _unified_wide() + """,
+g AS (SELECT CAST(range AS INTEGER) AS point,
+             CASE WHEN range = 39 THEN 0.5 ELSE 0.0 + CAST(range AS DOUBLE) * (0.5 / 39.0) END AS d
+      FROM range(40))
+SELECT """ + TITLE.format(c="w.product_category") + """ AS category, g.point,
+       round(g.d * 100, 6) AS discount_pct, 'Display' AS promo_type,
+       round((exp(w.b_d + w.b_dd * g.d) - 1) * 100, 6) AS predicted_lift_pct FROM g, un_w w
+UNION ALL
+SELECT """ + TITLE.format(c="w.product_category") + """ AS category, g.point,
+       round(g.d * 100, 6) AS discount_pct, 'Mailer' AS promo_type,
+       round((exp(w.b_m + w.b_md * g.d) - 1) * 100, 6) AS predicted_lift_pct FROM g, un_w w"""
+
+
+def _optimal_discount():
+    return SIZED_LONG + _unified_wide() + """,
+cur AS (SELECT product_category, promo_type, avg(discount_pct) AS cur
+        FROM gross_sized_long GROUP BY product_category, promo_type)
+SELECT """ + TITLE.format(c="k.product_category") + """ AS category, k.promo_type,
+       round(k.k, 6) AS combined_slope_k,
+       round(CASE WHEN k.k > 1 THEN greatest(0.0, 1 - 1 / k.k) ELSE 0.0 END * 100, 6)
+         AS model_optimal_discount_pct,
+       round(c.cur * 100, 6) AS current_avg_discount_pct
+FROM un_k k LEFT JOIN cur c ON k.product_category = c.product_category
+                           AND k.promo_type = c.promo_type"""
+
+
+def _revenue_scenarios():
+    return SIZED_LONG + _unified_wide() + """
+SELECT """ + TITLE.format(c="product_category") + """ AS category, promo_type, change,
+       round(actual_revenue, 2) AS actual_revenue, round(scenario_revenue, 2) AS scenario_revenue,
+       round(scenario_revenue - actual_revenue, 2) AS delta,
+       round((scenario_revenue - actual_revenue) / actual_revenue * 100, 6) AS pct_change, n_cells
+FROM scen"""
+
+
+def _store_targeting():
+    return SIZED_LONG + _unified_wide() + """,
+cat AS (SELECT * FROM gross_sized WHERE product_category = 'MEDIUM'),
+disp AS (SELECT avg(log_store_size_c) AS cur, sum(sales_value) AS actual
+         FROM cat WHERE is_displayed = 1),
+st AS (SELECT DISTINCT store_id, log_store_size_c FROM cat),
+cut AS (SELECT quantile_cont(log_store_size_c, 2.0 / 3.0) AS c FROM st),
+top AS (SELECT avg(log_store_size_c) AS top FROM st, cut WHERE log_store_size_c >= cut.c),
+b AS (SELECT b_ds FROM un_w WHERE product_category = 'MEDIUM')
+SELECT round(cur, 6) AS current_avg_size, round(top, 6) AS top_tercile_avg_size,
+       round(actual, 2) AS actual_revenue,
+       round(actual * exp((top - cur) * b_ds), 2) AS scenario_revenue,
+       round(actual * exp((top - cur) * b_ds) - actual, 2) AS delta,
+       round((actual * exp((top - cur) * b_ds) / actual - 1) * 100, 6) AS pct_change
+FROM disp, top, b"""
+
+
+def _overview_summary():
+    return SIZED_LONG + _unified_wide() + """,
+pc AS (SELECT product_category, count(*) AS cells, count(DISTINCT product_id) AS products,
+              sum(sales_value) AS revenue FROM gross_sized GROUP BY product_category),
+tot AS (SELECT CAST(sum(cells) AS BIGINT) AS n_transactions,
+               CAST(sum(products) AS BIGINT) AS n_products,
+               sum(revenue) AS total_category_revenue FROM pc),
+sc AS (SELECT sum(scenario_revenue - actual_revenue) AS total_combined_delta,
+              sum(actual_revenue) AS total_promo_revenue FROM scen)
+SELECT n_transactions, n_products, round(total_combined_delta, 2) AS total_combined_delta,
+       round(total_promo_revenue, 2) AS total_promo_revenue,
+       round(total_combined_delta / total_promo_revenue * 100, 6)
+         AS pct_opportunity_vs_promo_revenue,
+       round(total_category_revenue, 2) AS total_category_revenue,
+       round(total_combined_delta / total_category_revenue * 100, 6)
+         AS pct_opportunity_vs_total_category_revenue
+FROM tot, sc"""
+
+
 MODEL_BODIES = {
     "ols_naive": _ols_naive,
     "fe_elasticity": _fe_elasticity,
@@ -313,4 +439,10 @@ MODEL_BODIES = {
     "fe_store_size": _fe_store_size,
     "fe_discount_depth": _fe_discount_depth,
     "fe_unified": _fe_unified,
+    "lift_by_store_size": _lift_by_store_size,
+    "lift_by_discount": _lift_by_discount,
+    "optimal_discount": _optimal_discount,
+    "revenue_scenarios": _revenue_scenarios,
+    "store_targeting": _store_targeting,
+    "overview_summary": _overview_summary,
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators import describe, models, panels, warehouse
+from shelfwise.operators import describe, models, optimize, panels, response, warehouse
 from shelfwise.plans.context import FOCUS, MONEY, Context, rounded
 
 CAT = "product_category"
@@ -229,6 +229,51 @@ def q_fe_unified(spark, sf_dir):
         models.unified_model(_gross_sized(_ctx(spark, sf_dir)))))
 
 
+# ---------------------------------------------------------------- step 9
+REVENUE = {c: 2 for c in ("actual_revenue", "scenario_revenue", "delta", "total_combined_delta",
+                          "total_promo_revenue", "total_category_revenue")}
+
+
+def _unified(ctx: Context):
+    panel = _gross_sized(ctx)
+    return panel, models.unified_model(panel)
+
+
+def q_lift_by_store_size(spark, sf_dir):
+    panel, coefs = _unified(_ctx(spark, sf_dir))
+    return rounded(response.lift_by_store_size(panel, coefs, 40))
+
+
+def q_lift_by_discount(spark, sf_dir):
+    _, coefs = _unified(_ctx(spark, sf_dir))
+    return rounded(response.lift_by_discount(coefs, spark, 40, 0.5))
+
+
+def q_optimal_discount(spark, sf_dir):
+    panel, coefs = _unified(_ctx(spark, sf_dir))
+    return rounded(optimize.optimal_discount(panel, coefs))
+
+
+def _scenarios(spark, panel, coefs):
+    return optimize.revenue_scenarios(panel, coefs, optimize.programs_frame(spark, FOCUS))
+
+
+def q_revenue_scenarios(spark, sf_dir):
+    panel, coefs = _unified(_ctx(spark, sf_dir))
+    return rounded(_scenarios(spark, panel, coefs), overrides=REVENUE)
+
+
+def q_store_targeting(spark, sf_dir):
+    panel, coefs = _unified(_ctx(spark, sf_dir))
+    return rounded(optimize.store_targeting(panel, coefs, FOCUS[0]), overrides=REVENUE)
+
+
+def q_overview_summary(spark, sf_dir):
+    panel, coefs = _unified(_ctx(spark, sf_dir))
+    return rounded(optimize.overview_summary(panel, _scenarios(spark, panel, coefs)),
+                   overrides=REVENUE)
+
+
 QUERIES = {
     "dim_product": q_dim_product,
     "dim_household": q_dim_household,
@@ -268,4 +313,10 @@ QUERIES = {
     "fe_store_size": q_fe_store_size,
     "fe_discount_depth": q_fe_discount_depth,
     "fe_unified": q_fe_unified,
+    "lift_by_store_size": q_lift_by_store_size,
+    "lift_by_discount": q_lift_by_discount,
+    "optimal_discount": q_optimal_discount,
+    "revenue_scenarios": q_revenue_scenarios,
+    "store_targeting": q_store_targeting,
+    "overview_summary": q_overview_summary,
 }
