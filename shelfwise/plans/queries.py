@@ -9,7 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators import describe, models, optimize, panels, response, warehouse
+from shelfwise.operators import (campaigns, describe, models, optimize, panels, response,
+                                 warehouse)
+from shelfwise.plans import marts
+from shelfwise.sources import readers, schemas
+from shelfwise.streaming import ingest
 from shelfwise.plans.context import FOCUS, MONEY, Context, rounded
 
 CAT = "product_category"
@@ -274,6 +278,52 @@ def q_overview_summary(spark, sf_dir):
                    overrides=REVENUE)
 
 
+# ---------------------------------------------------------------- steps 10-11
+def q_mart_roundtrip(spark, sf_dir):
+    """A6 + A8: write the weekly-trend mart as parquet and read it back."""
+    ctx = _ctx(spark, sf_dir)
+    out = marts.build_marts(spark, ctx.txn, ctx.products, ctx.promos, FOCUS,
+                            marts.scratch_dir(spark, "marts"), which=["weekly_trends"])
+    return rounded(readers.read_mart_parquet(spark, out["weekly_trends"]))
+
+
+def q_mart_json_roundtrip(spark, sf_dir):
+    """A7 + A8: write the optimal-discount mart as a JSON records array and
+    read it back with its schema."""
+    ctx = _ctx(spark, sf_dir)
+    out = marts.build_marts(spark, ctx.txn, ctx.products, ctx.promos, FOCUS,
+                            marts.scratch_dir(spark, "marts"), which=["optimal_discount_table"])
+    schema = ("category string, promo_type string, combined_slope_k double, "
+              "model_optimal_discount_pct double, current_avg_discount_pct double")
+    return rounded(readers.read_mart_json(spark, out["optimal_discount_table"], schema))
+
+
+def q_csv_to_parquet(spark, sf_dir):
+    """A2 + A5 via Structured Streaming: raw promotion CSV files are
+    ingested incrementally to parquet (typed with the raw schema, so ids
+    are strings), then the warehouse promotion table is built on them."""
+    work = marts.scratch_dir(spark, "ingest")
+    ctx = _ctx(spark, sf_dir)
+    ctx.raw("promotions").write.option("header", True).csv(f"{work}/csv")
+    ingest.ingest_csv(spark, f"{work}/csv", schemas.RAW_PROMOTIONS, f"{work}/parquet",
+                      f"{work}/_checkpoint")
+    raw = readers.read_raw(spark, f"{work}/parquet", "promotions")
+    return warehouse.fact_promotions(raw)
+
+
+def q_campaign_reach(spark, sf_dir):
+    ctx = _ctx(spark, sf_dir)
+    return rounded(campaigns.campaign_reach(ctx.table("dim_campaign"),
+                                            ctx.table("bridge_household_campaign"),
+                                            ctx.households, ctx.txn),
+                   overrides={"window_spend": 2})
+
+
+def q_coupon_redemption(spark, sf_dir):
+    ctx = _ctx(spark, sf_dir)
+    return campaigns.coupon_redemption(ctx.raw("coupons"), ctx.raw("coupon_redemptions"))
+
+
 QUERIES = {
     "dim_product": q_dim_product,
     "dim_household": q_dim_household,
@@ -319,4 +369,9 @@ QUERIES = {
     "revenue_scenarios": q_revenue_scenarios,
     "store_targeting": q_store_targeting,
     "overview_summary": q_overview_summary,
+    "mart_roundtrip": q_mart_roundtrip,
+    "mart_json_roundtrip": q_mart_json_roundtrip,
+    "csv_to_parquet": q_csv_to_parquet,
+    "campaign_reach": q_campaign_reach,
+    "coupon_redemption": q_coupon_redemption,
 }
