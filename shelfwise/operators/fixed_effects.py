@@ -26,6 +26,8 @@ Plan:
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+import os
+import time
 from functools import reduce
 
 import numpy as np
@@ -55,6 +57,16 @@ class Model:
     connected: bool = True            # HC1 rank: count components (two-way) when False
 
 
+_PROFILE = os.environ.get("SHELFWISE_PROFILE") == "1"
+
+
+def _tick(label: str, t0: list) -> None:
+    if _PROFILE:
+        now = time.time()
+        print(f"[fit] {label}: {now - t0[0]:.2f}s", flush=True)
+        t0[0] = now
+
+
 def _bc(df: DataFrame, n_rows: int | None) -> DataFrame:
     return F.broadcast(df) if n_rows is not None and n_rows <= BROADCAST_MAX_ROWS else df
 
@@ -79,7 +91,7 @@ def prepare(panel: DataFrame, model: Model):
 
 
 def absorb_effects(base: DataFrame, by: list, keys: list, n_vals: int, sweeps: int,
-                   tol: float | None = None):
+                   tol: float | None, scratch: lineage.Scratch):
     """Backfitting sweeps. Returns ({key: effect table}, {key: n rows})."""
     def ecol(k, i):
         return f"_e{keys.index(k)}_{i}"
@@ -99,7 +111,7 @@ def absorb_effects(base: DataFrame, by: list, keys: list, n_vals: int, sweeps: i
                 for j in others:
                     e = e - F.col(ecol(j, i))
                 exprs.append(F.avg(e).alias(ecol(k, i)))
-            new = lineage.cut(r.groupBy(*by, k).agg(*exprs))
+            new = scratch.cut(r.groupBy(*by, k).agg(*exprs))
             if tol is not None and k in effects:
                 diff = new.join(_bc(effects[k], sizes[k]).select(
                     *by, k, *[F.col(ecol(k, i)).alias(f"_o{i}") for i in range(n_vals)]), by + [k])
@@ -227,8 +239,12 @@ def fit(panel: DataFrame, model: Model) -> DataFrame:
     by = list(model.by)
     k = len(names)
     nv = k + 1
-    base = lineage.cut_persisted(data)
-    effects, sizes = absorb_effects(base, by, keys, nv, model.sweeps, model.tol)
+    t0 = [time.time()]
+    scratch = lineage.Scratch(panel.sparkSession, "fe")
+    base = scratch.cut_cached(data)
+    _tick("base", t0)
+    effects, sizes = absorb_effects(base, by, keys, nv, model.sweeps, model.tol, scratch)
+    _tick("absorb", t0)
     d = demeaned(base, effects, sizes, by, keys, nv, [model.cluster]).persist()
 
     # Moments -> per-group solve (distributed, one row per group).
@@ -239,8 +255,9 @@ def fit(panel: DataFrame, model: Model) -> DataFrame:
         + [T.StructField(f"ai_{i}_{j}", T.DoubleType()) for i in range(k) for j in range(k)]
         + [T.StructField("n", T.LongType()), T.StructField("rank_x", T.LongType()),
            T.StructField("sst", T.DoubleType())])
-    coef = lineage.cut(mom.mapInPandas(_solve_fn(k, by), solve_schema))
+    coef = scratch.cut(mom.mapInPandas(_solve_fn(k, by), solve_schema))
     n_groups = coef.count()
+    _tick("moments+solve", t0)
 
     # Scores and meat.
     bcols = coef.select(*by, *[F.coalesce(F.col(f"b_{i}"), F.lit(0.0)).alias(f"b_{i}")
@@ -274,13 +291,17 @@ def fit(panel: DataFrame, model: Model) -> DataFrame:
             meat = meat.withColumn("comps", F.lit(1).cast("long"))
         else:
             from shelfwise.operators.graph import bipartite_components
-            comps = bipartite_components(base.select(*by, *keys), by, keys[0], keys[1])
+            comps = bipartite_components(base.select(*by, *keys), by, keys[0], keys[1],
+                                         scratch)
             meat = meat.join(comps, by, "left").fillna({"comps": 1})
     full = coef.join(meat, by)
     out_schema = T.StructType(key_schema + [T.StructField(n, t) for n, t in
                                             zip(RESULT_COLS, RESULT_TYPES)])
     n_fe = list(keys) if model.absorb else []
-    result = lineage.cut(full.mapInPandas(_sandwich_fn(model, names, by, n_fe), out_schema))
+    result = scratch.cut(full.mapInPandas(_sandwich_fn(model, names, by, n_fe), out_schema),
+                         keep=True)
+    _tick("scores+sandwich", t0)
     d.unpersist()
     base.unpersist()
+    scratch.close()
     return result

@@ -3,7 +3,7 @@
 Needed for the rank of a two-way effect design: rank([1, D_left, D_right])
 = L + R - c, with c the number of connected components. Min-label
 propagation as DataFrame joins/aggregates; each round's label table is
-checkpointed, and the loop stops when no label changes (one count per
+written to the job's scratch folder, and the loop stops when no label changes (one count per
 round).
 """
 
@@ -16,23 +16,23 @@ from shelfwise.operators import lineage
 
 
 def bipartite_components(edges: DataFrame, by: list, left: str, right: str,
-                         max_rounds: int = 100) -> DataFrame:
+                         scratch: lineage.Scratch, max_rounds: int = 100) -> DataFrame:
     e = edges.select(*by, F.concat(F.lit("L:"), F.col(left).cast("string")).alias("a"),
                      F.concat(F.lit("R:"), F.col(right).cast("string")).alias("b")).distinct()
-    e = lineage.cut(e)
+    e = scratch.cut(e)
     nodes = (e.select(*by, F.col("a").alias("node")).union(e.select(*by, F.col("b").alias("node")))
              .distinct())
-    labels = lineage.cut(nodes.withColumn("label", F.col("node")))
+    labels = scratch.cut(nodes.withColumn("label", F.col("node")))
     for _ in range(max_rounds):
         la = labels.select(*by, F.col("node").alias("a"), F.col("label").alias("la"))
         lb = labels.select(*by, F.col("node").alias("b"), F.col("label").alias("lb"))
         m = e.join(la, [*by, "a"]).join(lb, [*by, "b"]).withColumn("m", F.least("la", "lb"))
         prop = (m.select(*by, F.col("a").alias("node"), "m")
                 .union(m.select(*by, F.col("b").alias("node"), "m")))
-        new = lineage.cut(prop.groupBy(*by, "node").agg(F.min("m").alias("label")))
+        new = scratch.cut(prop.groupBy(*by, "node").agg(F.min("m").alias("label")))
         changed = (new.join(labels.withColumnRenamed("label", "old"), [*by, "node"])
                    .filter(F.col("label") != F.col("old")).limit(1).count())
         labels = new
         if changed == 0:
             break
-    return labels.groupBy(*by).agg(F.countDistinct("label").alias("comps"))
+    return scratch.cut(labels.groupBy(*by).agg(F.countDistinct("label").alias("comps")))
