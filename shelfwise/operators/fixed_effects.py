@@ -111,7 +111,10 @@ def absorb_effects(base: DataFrame, by: list, keys: list, n_vals: int, sweeps: i
                 for j in others:
                     e = e - F.col(ecol(j, i))
                 exprs.append(F.avg(e).alias(ecol(k, i)))
+            t_step = time.time()
             new = scratch.cut(r.groupBy(*by, k).agg(*exprs))
+            if _PROFILE:
+                print(f"[fit]   step {k}: {time.time() - t_step:.2f}s", flush=True)
             if tol is not None and k in effects:
                 diff = new.join(_bc(effects[k], sizes[k]).select(
                     *by, k, *[F.col(ecol(k, i)).alias(f"_o{i}") for i in range(n_vals)]), by + [k])
