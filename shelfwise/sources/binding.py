@@ -66,14 +66,19 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_promotions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    disp = F.when(F.col("l_returnflag") == "R", DISPLAY_CODE).otherwise(NO_PROMO_CODE)
-    mail = F.when((F.col("l_linestatus") == "F") & (F.col("l_discount") >= 0.05),
-                  MAILER_CODE).otherwise(NO_PROMO_CODE)
+    # max over 0/1 indicators (hash aggregate), then the code; equal to the
+    # max of the code strings since '3' and 'A' sort after '0'.
+    disp = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
+    mail = F.when((F.col("l_linestatus") == "F") & (F.col("l_discount") >= 0.05), 1).otherwise(0)
     promos = (li.groupBy(F.col("l_partkey").alias("product_id"),
                          F.col("l_suppkey").alias("store_id"),
                          F.weekofyear("l_shipdate").alias("week"))
-              .agg(F.max(disp).alias("display_location"),
-                   F.max(mail).alias("mailer_location")))
+              .agg(F.max(disp).alias("_d"), F.max(mail).alias("_m"))
+              .select("product_id", "store_id", "week",
+                      F.when(F.col("_d") == 1, DISPLAY_CODE).otherwise(NO_PROMO_CODE)
+                      .alias("display_location"),
+                      F.when(F.col("_m") == 1, MAILER_CODE).otherwise(NO_PROMO_CODE)
+                      .alias("mailer_location")))
     return promos.filter((F.col("display_location") != NO_PROMO_CODE)
                          | (F.col("mailer_location") != NO_PROMO_CODE))
 
