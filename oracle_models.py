@@ -429,6 +429,53 @@ SELECT n_transactions, n_products, round(total_combined_delta, 2) AS total_combi
 FROM tot, sc"""
 
 
+def _lift_by_store_size_notebook():
+    return NET_SIZED + model_sql(SqlModel("net_sized", G, "log_qty", SIZE_TERMS, FE3,
+                                          "product_id", k_extra=1, tag="ss"),
+                                 lambda c, n: "") + """,
+w AS (SELECT product_category,
+             max(CASE WHEN term = 'is_displayed' THEN coef END) AS b_d,
+             max(CASE WHEN term = 'is_displayed:log_store_size_c' THEN coef END) AS b_ds
+      FROM ss_long GROUP BY product_category),
+q AS (SELECT quantile_cont(log_store_size_c, 0.05) AS lo,
+             quantile_cont(log_store_size_c, 0.95) AS hi FROM net_sized),
+g AS (SELECT CAST(range AS INTEGER) AS point,
+             CASE WHEN range = 49 THEN hi
+                  ELSE lo + CAST(range AS DOUBLE) * ((hi - lo) / 49.0) END AS s
+      FROM range(50), q)
+SELECT """ + TITLE.format(c="w.product_category") + """ AS category, g.point,
+       round(g.s, 6) AS log_store_size_c,
+       round((exp(w.b_d + w.b_ds * g.s) - 1) * 100, 6) AS predicted_lift_pct
+FROM g, w"""
+
+
+def _lift_by_discount_notebook():
+    return model_sql(SqlModel("gross_panel", G, "log_qty", DEPTH_TERMS, FE3, "product_id",
+                              tag="dd"), lambda c, n: "") + """,
+w AS (SELECT product_category,
+             max(CASE WHEN term = 'is_displayed' THEN coef END) AS b_d,
+             max(CASE WHEN term = 'is_mailed' THEN coef END) AS b_m,
+             max(CASE WHEN term = 'is_displayed:discount_pct' THEN coef END) AS b_dd,
+             max(CASE WHEN term = 'is_mailed:discount_pct' THEN coef END) AS b_md
+      FROM dd_long GROUP BY product_category),
+g AS (SELECT CAST(range AS INTEGER) AS point,
+             CASE WHEN range = 49 THEN 0.4 ELSE 0.0 + CAST(range AS DOUBLE) * (0.4 / 49.0) END AS d
+      FROM range(50))
+SELECT """ + TITLE.format(c="w.product_category") + """ AS category, g.point,
+       round(g.d * 100, 6) AS discount_pct, 'Display' AS promo_type,
+       round((exp(w.b_d + w.b_dd * g.d) - 1) * 100, 6) AS predicted_lift_pct FROM g, w
+UNION ALL
+SELECT """ + TITLE.format(c="w.product_category") + """ AS category, g.point,
+       round(g.d * 100, 6) AS discount_pct, 'Mailer' AS promo_type,
+       round((exp(w.b_m + w.b_md * g.d) - 1) * 100, 6) AS predicted_lift_pct FROM g, w"""
+
+
+def _income_interactions():
+    return model_sql(SqlModel("hh_panel", G, "log_qty", INCOME_TERMS, FE3, "household_id",
+                              where="income_group IS NOT NULL", tag="inc"),
+                     lambda c, n: coef_table(c, n) + " WHERE term LIKE '%income_group%'")
+
+
 MODEL_BODIES = {
     "ols_naive": _ols_naive,
     "fe_elasticity": _fe_elasticity,
@@ -445,4 +492,7 @@ MODEL_BODIES = {
     "revenue_scenarios": _revenue_scenarios,
     "store_targeting": _store_targeting,
     "overview_summary": _overview_summary,
+    "lift_by_store_size_notebook": _lift_by_store_size_notebook,
+    "lift_by_discount_notebook": _lift_by_discount_notebook,
+    "income_interactions": _income_interactions,
 }

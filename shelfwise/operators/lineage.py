@@ -40,7 +40,8 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         if keep:
             self._keep.add(name)
-        return self.spark.read.parquet(path)
+        # Explicit schema: no footer read on the way back.
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def cut_cached(self, df: DataFrame) -> DataFrame:
         """For a large input scanned many times: compute once into the cache,

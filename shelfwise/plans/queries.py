@@ -278,6 +278,31 @@ def q_overview_summary(spark, sf_dir):
                    overrides=REVENUE)
 
 
+def q_lift_by_store_size_notebook(spark, sf_dir):
+    """H1 notebook variant: 50 points, store-size model (G5) on the
+    net-price panel."""
+    panel = _net_sized(_ctx(spark, sf_dir))
+    return rounded(response.lift_by_store_size(panel, models.store_size_model(panel), 50))
+
+
+def q_lift_by_discount_notebook(spark, sf_dir):
+    """H2 notebook variant: depth 0..0.4 x 50 from the mechanism model."""
+    coefs = models.discount_depth_model(_gross(_ctx(spark, sf_dir)))
+    return rounded(response.lift_by_discount(coefs, spark, 50, 0.4))
+
+
+def q_income_interactions(spark, sf_dir):
+    """The income-group terms of the income model."""
+    res = models.interaction_report(models.income_model(_hh(_ctx(spark, sf_dir))),
+                                    "income_group")
+    return rounded(models.coefficient_view(res))
+
+
+def q_line_totals(spark, sf_dir):
+    """Line count and distinct products of the line panel."""
+    return describe.line_totals(_lines(_ctx(spark, sf_dir)))
+
+
 # ---------------------------------------------------------------- steps 10-11
 def q_mart_roundtrip(spark, sf_dir):
     """A6 + A8: write the weekly-trend mart as parquet and read it back."""
@@ -369,6 +394,10 @@ QUERIES = {
     "revenue_scenarios": q_revenue_scenarios,
     "store_targeting": q_store_targeting,
     "overview_summary": q_overview_summary,
+    "lift_by_store_size_notebook": q_lift_by_store_size_notebook,
+    "lift_by_discount_notebook": q_lift_by_discount_notebook,
+    "income_interactions": q_income_interactions,
+    "line_totals": q_line_totals,
     "mart_roundtrip": q_mart_roundtrip,
     "mart_json_roundtrip": q_mart_json_roundtrip,
     "csv_to_parquet": q_csv_to_parquet,

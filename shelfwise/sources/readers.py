@@ -67,3 +67,25 @@ def json_object(spark: SparkSession, path: str) -> dict:
     """A8 for one-object marts: the single (small) record as a dict."""
     row = read_mart_json(spark, path).first()
     return json.loads(json.dumps(row.asDict(recursive=True))) if row else {}
+
+
+def select_category(mart: DataFrame, category: str, column: str = "category") -> DataFrame:
+    """B21 (with B16): a viewer page's category filter on a mart; labels are
+    title-cased in marts, so compare upper-cased."""
+    from pyspark.sql import functions as F
+    return mart.filter(F.upper(F.col(column)) == category.upper())
+
+
+# Display names of the optimal-discount table.
+OPTIMAL_DISCOUNT_DISPLAY = {
+    "category": "Category",
+    "promo_type": "Promo type",
+    "combined_slope_k": "Combined slope",
+    "model_optimal_discount_pct": "Model optimal discount, percent",
+    "current_avg_discount_pct": "Current average discount, percent",
+}
+
+
+def display_optimal_discount(mart: DataFrame) -> DataFrame:
+    """Rename the optimal-discount mart's columns for display."""
+    return mart.withColumnsRenamed(OPTIMAL_DISCOUNT_DISPLAY)

@@ -83,3 +83,13 @@ def test_contract_queries_and_oracles(spark):
 def test_small_queries_run_on_smoke_data(spark, name):
     import __spark_entry__ as E
     assert E.queries()[name](spark, SF).count() > 0
+
+
+def test_mart_views(spark):
+    mart = spark.createDataFrame([("Eggs", "Display", 0.1, 0.0, 20.5),
+                                  ("Bath Tissues", "Mailer", -0.01, 0.0, 27.6)],
+                                 list(readers.OPTIMAL_DISCOUNT_DISPLAY))
+    sub = readers.select_category(mart, "BATH TISSUES")
+    assert sub.count() == 1
+    shown = readers.display_optimal_discount(sub)
+    assert shown.columns[0] == "Category" and "Model optimal discount, percent" in shown.columns
