@@ -20,17 +20,44 @@ CAT = "product_category"
 PROMO_TYPES = [("is_displayed", "Display"), ("is_mailed", "Mailer")]
 
 
-def _quantile(c: str, p, approx: bool):
+def _w(df: DataFrame):
+    """Frequency weight: ``n_lines`` on a compressed line panel, else 1."""
+    return F.col("n_lines") if "n_lines" in df.columns else F.lit(1).cast("long")
+
+
+def _wcount(df: DataFrame, c: str):
+    return F.sum(F.when(F.col(c).isNotNull(), _w(df))).cast("long")
+
+
+def _wavg(df: DataFrame, c: str):
+    return F.sum(F.col(c) * _w(df)) / F.sum(F.when(F.col(c).isNotNull(), _w(df)))
+
+
+def _quantile(c: str, p, approx: bool, df: DataFrame | None = None):
     if approx:
         return F.percentile_approx(c, p, 100000)
+    if df is not None and "n_lines" in df.columns:
+        return F.percentile(F.col(c), p, F.col("n_lines"))
     return F.percentile(c, p)
 
 
+def weighted_std(df: DataFrame, keys: list, c: str, name: str) -> DataFrame:
+    """Sample std of c per group, honouring frequency weights. Two passes
+    (group mean, then centred squares) so equal values give exactly 0; the
+    means table is one row per group and joins back on the group key."""
+    w = _w(df)
+    means = df.groupBy(*keys).agg(_wavg(df, c).alias("_mu"))
+    n = F.sum(F.when(F.col(c).isNotNull(), w))
+    ss = F.sum(w * (F.col(c) - F.col("_mu")) * (F.col(c) - F.col("_mu")))
+    return (df.join(means, keys).groupBy(*keys)
+            .agg(F.when(n > 1, F.sqrt(ss / (n - 1))).alias(name)))
+
+
 def category_summary(lines: DataFrame) -> DataFrame:
     """Lines, revenue and mean unit price per category."""
-    return lines.groupBy(CAT).agg(F.count("quantity").alias("transactions"),
+    return lines.groupBy(CAT).agg(_wcount(lines, "quantity").alias("transactions"),
                                   F.sum("sales_value").alias("revenue"),
-                                  F.avg("unit_price").alias("avg_price"))
+                                  _wavg(lines, "unit_price").alias("avg_price"))
 
 
 def category_screening(lines: DataFrame, min_lines: int = 0, min_cv: float = 0.0,
@@ -38,12 +65,16 @@ def category_screening(lines: DataFrame, min_lines: int = 0, min_cv: float = 0.0
     """Screening table over all categories (sample std for the CV), then
     the selection thresholds."""
     out = lines.groupBy(CAT).agg(
-        F.count("quantity").alias("transactions"),
+        _wcount(lines, "quantity").alias("transactions"),
         F.countDistinct("product_id").alias("n_products"),
         F.sum("sales_value").alias("revenue"),
-        F.avg("unit_price").alias("avg_price"),
-        (F.stddev_samp("unit_price") / F.avg("unit_price")).alias("price_cv"),
-        F.avg("is_promo").alias("promo_rate"))
+        _wavg(lines, "unit_price").alias("avg_price"),
+        _wavg(lines, "is_promo").alias("promo_rate"))
+    sd = weighted_std(lines, [CAT], "unit_price", "_sd")
+    out = (out.join(sd, CAT)
+           .withColumn("price_cv", F.col("_sd") / F.col("avg_price")).drop("_sd")
+           .select(CAT, "transactions", "n_products", "revenue", "avg_price", "price_cv",
+                   "promo_rate"))
     return out.filter((F.col("transactions") >= min_lines)
                       & (F.coalesce(F.col("price_cv"), F.lit(0.0)) >= min_cv)
                       & (F.col("promo_rate") >= min_promo_rate))
@@ -53,18 +84,18 @@ def weekly_trend(panel: DataFrame, price: str = "unit_price") -> DataFrame:
     """Per category x week. Line-weighted on the line panel, cell-weighted
     on a cell panel (the caller picks the input, trap T3)."""
     return panel.groupBy(CAT, "week").agg(
-        F.avg(price).alias("avg_price"),
+        _wavg(panel, price).alias("avg_price"),
         F.sum("quantity").alias("total_qty"),
-        F.count("quantity").alias("n_txn"),
-        F.avg("is_promo").alias("promo_rate"))
+        _wcount(panel, "quantity").alias("n_txn"),
+        _wavg(panel, "is_promo").alias("promo_rate"))
 
 
 def price_by_promo(lines: DataFrame, price: str = "unit_price", approx: bool = False) -> DataFrame:
     """Mean, median and count of price by promotion status."""
     return lines.groupBy(CAT, "is_promo").agg(
-        F.avg(price).alias("mean_price"),
-        _quantile(price, 0.5, approx).alias("median_price"),
-        F.count(price).alias("n"))
+        _wavg(lines, price).alias("mean_price"),
+        _quantile(price, 0.5, approx, lines).alias("median_price"),
+        _wcount(lines, price).alias("n"))
 
 
 def boxplot_stats(lines: DataFrame, group: str, value: str = "unit_price",
@@ -75,7 +106,8 @@ def boxplot_stats(lines: DataFrame, group: str, value: str = "unit_price",
     conditional min/max/count."""
     keys = [CAT, group]
     q = (lines.groupBy(*keys)
-         .agg(_quantile(value, [0.25, 0.5, 0.75], approx).alias("_q"), F.count(value).alias("n"))
+         .agg(_quantile(value, [0.25, 0.5, 0.75], approx, lines).alias("_q"),
+              _wcount(lines, value).alias("n"))
          .select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
                  F.col("_q")[2].alias("q3"))
          .withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -83,18 +115,20 @@ def boxplot_stats(lines: DataFrame, group: str, value: str = "unit_price",
          .withColumn("_hi", F.col("q3") + whisker * F.col("iqr")))
     v = F.col(value)
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    w = (lines.select(*keys, value).join(F.broadcast(q.select(*keys, "_lo", "_hi")), keys)
+    wt = _w(lines)
+    w = (lines.select(*keys, value, wt.alias("_wt"))
+         .join(F.broadcast(q.select(*keys, "_lo", "_hi")), keys)
          .groupBy(*keys).agg(F.min(F.when(inside, v)).alias("whisker_low"),
                              F.max(F.when(inside, v)).alias("whisker_high"),
-                             F.sum(F.when(v.isNotNull() & ~inside, 1).otherwise(0))
-                             .alias("n_outliers")))
+                             F.sum(F.when(v.isNotNull() & ~inside, F.col("_wt")).otherwise(0))
+                             .cast("long").alias("n_outliers")))
     return q.drop("_lo", "_hi").join(w, keys)
 
 
 def within_product_std(lines: DataFrame, price: str = "unit_price") -> DataFrame:
     """Mean over products of the per-product sample std (n=1 -> NULL,
     skipped)."""
-    per = lines.groupBy(CAT, "product_id").agg(F.stddev_samp(price).alias("_sd"))
+    per = weighted_std(lines, [CAT, "product_id"], price, "_sd")
     return per.groupBy(CAT).agg(F.avg("_sd").alias("within_product_std"))
 
 
@@ -113,7 +147,7 @@ def income_group_sizes(hh_panel: DataFrame) -> DataFrame:
 
 def line_totals(lines: DataFrame) -> DataFrame:
     """Line count and distinct products."""
-    return lines.agg(F.count(F.lit(1)).alias("n_lines"),
+    return lines.agg(F.sum(_w(lines)).cast("long").alias("n_lines"),
                      F.countDistinct("product_id").alias("n_products"))
 
 
@@ -121,7 +155,7 @@ def top_stores(lines: DataFrame, category: str, n: int = 15) -> DataFrame:
     """E1 (+D10-like count): top-N stores by line count within one category;
     ties broken by store id. TakeOrderedAndProject keeps N per task."""
     return (lines.filter(F.col(CAT) == category).groupBy("store_id")
-            .agg(F.count("quantity").alias("n_lines"))
+            .agg(_wcount(lines, "quantity").alias("n_lines"))
             .orderBy(F.desc("n_lines"), F.asc("store_id")).limit(n))
 
 
@@ -137,8 +171,9 @@ def store_price_order(lines: DataFrame, stores: DataFrame, price: str = "unit_pr
     """C5 + E3: price median per (category, store) for the given stores,
     with the display order of stores by median."""
     sub = lines.join(F.broadcast(stores.select("store_id")), "store_id", "left_semi")
-    med = sub.groupBy(CAT, "store_id").agg(_quantile(price, 0.5, approx).alias("median_price"),
-                                           F.count(price).alias("n"))
+    med = sub.groupBy(CAT, "store_id").agg(
+        _quantile(price, 0.5, approx, lines).alias("median_price"),
+        _wcount(lines, price).alias("n"))
     w = Window.partitionBy(CAT).orderBy(F.asc("median_price"), F.asc("store_id"))
     return med.withColumn("order", F.row_number().over(w))
 

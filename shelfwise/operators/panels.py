@@ -35,12 +35,27 @@ def _semi(txn: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def line_panel(txn: DataFrame, dim_product: DataFrame, promotions: DataFrame,
-               categories=None) -> DataFrame:
-    """C1 + C2 + B8: transaction lines with category and promotion flags."""
+               categories=None, compress: bool = True) -> DataFrame:
+    """C1 + C2 + B8: transaction lines with category and promotion flags.
+
+    With ``compress`` (default) identical lines are pre-aggregated before
+    the promotion attach: one row per (product, store, week, unit price)
+    with ``n_lines`` and summed quantity/sales (map-side combine), so the
+    attach shuffles distinct price points per cell instead of every line.
+    The describe operators read ``n_lines`` as a frequency weight, which
+    keeps every line-level statistic exact (counts, means, sample std,
+    exact quantiles via percentile with frequency, min/max)."""
     prods = category_products(dim_product, categories, ("product_category",))
-    lines = (txn.select("household_id", "store_id", "product_id", "week", "quantity",
-                        "sales_value", "unit_price")
-             .join(broadcast_checked(prods), "product_id"))
+    if compress:
+        lines = (_semi(txn, prods)
+                 .groupBy("product_id", "store_id", "week", "unit_price")
+                 .agg(F.count(F.lit(1)).alias("n_lines"), F.sum("quantity").alias("quantity"),
+                      F.sum("sales_value").alias("sales_value"))
+                 .join(broadcast_checked(prods), "product_id"))
+    else:
+        lines = (txn.select("household_id", "store_id", "product_id", "week", "quantity",
+                            "sales_value", "unit_price")
+                 .join(broadcast_checked(prods), "product_id"))
     out = attach_promotions(lines, promotions, products=prods)
     return out.withColumn("is_promo", C.any_promo())
 

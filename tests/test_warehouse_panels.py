@@ -145,3 +145,44 @@ def test_ties_and_singletons(spark):
     lines = df.withColumn("store_id", F.col("product_id")).withColumn("is_promo", F.lit(0))
     stores = describe.top_stores(lines, "C", 2).collect()
     assert [(r.store_id, r.n_lines) for r in stores] == [("p3", 2), ("p1", 1)]
+
+
+def test_compressed_line_panel_is_exact(spark):
+    """Repeated identical lines (n_lines > 1): every line statistic equals
+    the uncompressed line-level result."""
+    import random
+    rnd = random.Random(4)
+    rows = []
+    for i in range(400):
+        p = rnd.choice(["p1", "p2", "p3"])
+        price = rnd.choice([1.0, 1.5, 2.0, 2.25, 7.0])
+        qty = float(rnd.randint(1, 4))
+        rows.append(line(p, rnd.choice(["s1", "s2"]), rnd.randint(1, 3), qty, price * qty,
+                         hh=f"h{rnd.randint(1, 9)}"))
+    txn = warehouse.fact_transactions(txn_raw(spark, rows))
+    promos = warehouse.fact_promotions(promo_raw(spark, [("p1", "s1", 1, "3", "0"),
+                                                        ("p2", "s2", 2, "0", "A")]))
+    comp = panels.line_panel(txn, products(spark), promos, ["CAT", "OTHER"], compress=True)
+    full = panels.line_panel(txn, products(spark), promos, ["CAT", "OTHER"], compress=False)
+    assert comp.count() < full.count()
+    checks = [
+        (describe.category_summary, ["product_category"]),
+        (describe.category_screening, ["product_category"]),
+        (describe.weekly_trend, ["product_category", "week"]),
+        (describe.price_by_promo, ["product_category", "is_promo"]),
+        (lambda d: describe.boxplot_stats(d, "is_promo"), ["product_category", "is_promo"]),
+        (describe.within_product_std, ["product_category"]),
+        (lambda d: describe.top_stores(d, "CAT", 2), ["store_id"]),
+        (describe.line_totals, []),
+    ]
+    for fn, keys in checks:
+        a = fn(comp).toPandas().sort_values(keys).reset_index(drop=True) if keys else \
+            fn(comp).toPandas()
+        b = fn(full).toPandas().sort_values(keys).reset_index(drop=True) if keys else \
+            fn(full).toPandas()
+        assert list(a.columns) == list(b.columns)
+        for c in a.columns:
+            if a[c].dtype.kind == "f":
+                assert ((a[c] - b[c]).abs().fillna(0) < 1e-9).all(), (fn, c)
+            else:
+                assert (a[c] == b[c]).all(), (fn, c)
