@@ -25,13 +25,20 @@ def campaign_reach(dim_campaign: DataFrame, bridge: DataFrame, dim_household: Da
              .groupBy("campaign_id")
              .agg(F.count(F.lit(1)).alias("n_households"),
                   F.count("_has_demo").alias("n_with_demographics")))
+    # Pre-aggregate lines to household-days inside the campaigns' overall date
+    # span (map-side combine) before the household join shuffles them.
+    span = camp.agg(F.min("start_date").alias("_lo"), F.max("end_date").alias("_hi"))
+    daily = (txn.select("household_id", "transaction_date", "sales_value")
+             .crossJoin(F.broadcast(span))
+             .filter(F.col("transaction_date").between(F.col("_lo"), F.col("_hi")))
+             .groupBy("household_id", "transaction_date")
+             .agg(F.count(F.lit(1)).alias("_lines"), F.sum("sales_value").alias("_spend")))
     window = (targeted.join(broadcast_checked(camp), "campaign_id")
-              .join(txn.select("household_id", "transaction_date", "sales_value"),
-                    "household_id")
+              .join(daily, "household_id")
               .filter(F.col("transaction_date").between(F.col("start_date"), F.col("end_date")))
               .groupBy("campaign_id")
-              .agg(F.count(F.lit(1)).alias("n_window_lines"),
-                   F.sum("sales_value").alias("window_spend"),
+              .agg(F.sum("_lines").alias("n_window_lines"),
+                   F.sum("_spend").alias("window_spend"),
                    F.countDistinct("household_id").alias("n_active_households")))
     return (camp.join(reach, "campaign_id", "left").join(window, "campaign_id", "left")
             .select("campaign_id", "campaign_type", "start_date", "end_date",
