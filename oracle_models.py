@@ -23,7 +23,7 @@ class SqlModel:
     absorb: list               # effect key columns
     cluster: str | None
     cov: str = "cluster"
-    sweeps: int = 8
+    sweeps: int = 16           # enough to converge on the household panel (8 is not)
     k_extra: int = 0           # design columns absorbed by an effect (counted in k)
     where: str = "TRUE"
     components: bool = False   # two-way HC1 rank via connected components
@@ -276,7 +276,7 @@ SELECT upper(substr(product_category, 1, 1)) || lower(substr(product_category, 2
 FROM mf_long WHERE term IN ('is_displayed', 'is_mailed')"""
 
 
-SKU_SWEEPS = 24
+SKU_SWEEPS = 30
 
 
 def _sku_elasticity():

@@ -51,8 +51,10 @@ class Model:
     by: tuple = ("product_category",)
     cluster: str | None = "product_id"
     cov: str = "cluster"              # 'cluster' or 'hc1'
-    sweeps: int = 8                   # fixed sweeps (max sweeps when tol is set)
-    tol: float | None = None          # stop when no effect moves more than tol
+    sweeps: int = 100                 # cap on sweeps (exact count when tol is None)
+    tol: float | None = 1e-12         # stop once no coefficient moves more than tol
+    first_check: int = 4              # sweeps before the first convergence check
+    check_every: int = 2              # sweeps between checks
     categorical: dict = field(default_factory=dict)
     connected: bool = True            # HC1 rank: count components (two-way) when False
 
@@ -91,15 +93,17 @@ def prepare(panel: DataFrame, model: Model):
 
 
 def absorb_effects(base: DataFrame, by: list, keys: list, n_vals: int, sweeps: int,
-                   tol: float | None, scratch: lineage.Scratch):
-    """Backfitting sweeps. Returns ({key: effect table}, {key: n rows})."""
+                   scratch: lineage.Scratch, effects: dict | None = None,
+                   sizes: dict | None = None):
+    """Run ``sweeps`` backfitting sweeps, continuing from ``effects``.
+    Returns ({key: effect table}, {key: n rows})."""
     def ecol(k, i):
         return f"_e{keys.index(k)}_{i}"
 
-    effects, sizes = {}, {}
-    n_sweeps = 1 if len(keys) == 1 else sweeps
-    for _ in range(n_sweeps):
-        moved = 0.0
+    effects, sizes = dict(effects or {}), dict(sizes or {})
+    if len(keys) == 1 and keys[0] in effects:
+        return effects, sizes          # one effect: exact after one pass
+    for _ in range(1 if len(keys) == 1 else sweeps):
         for k in keys:
             others = [j for j in keys if j != k and j in effects]
             r = base
@@ -112,20 +116,11 @@ def absorb_effects(base: DataFrame, by: list, keys: list, n_vals: int, sweeps: i
                     e = e - F.col(ecol(j, i))
                 exprs.append(F.avg(e).alias(ecol(k, i)))
             t_step = time.time()
-            new = scratch.cut(r.groupBy(*by, k).agg(*exprs))
+            effects[k] = scratch.cut(r.groupBy(*by, k).agg(*exprs))
             if _PROFILE:
                 print(f"[fit]   step {k}: {time.time() - t_step:.2f}s", flush=True)
-            if tol is not None and k in effects:
-                diff = new.join(_bc(effects[k], sizes[k]).select(
-                    *by, k, *[F.col(ecol(k, i)).alias(f"_o{i}") for i in range(n_vals)]), by + [k])
-                d = diff.agg(F.max(F.greatest(*[F.abs(F.col(ecol(k, i)) - F.col(f"_o{i}"))
-                                                for i in range(n_vals)]))).first()[0]
-                moved = max(moved, d or 0.0)
-            effects[k] = new
             if k not in sizes:
-                sizes[k] = new.count()
-        if tol is not None and 0.0 < moved < tol:
-            break
+                sizes[k] = effects[k].count()
     return effects, sizes
 
 
@@ -246,21 +241,43 @@ def fit(panel: DataFrame, model: Model) -> DataFrame:
     scratch = lineage.Scratch(panel.sparkSession, "fe")
     base = scratch.cut_cached(data)
     _tick("base", t0)
-    effects, sizes = absorb_effects(base, by, keys, nv, model.sweeps, model.tol, scratch)
-    _tick("absorb", t0)
-    d = demeaned(base, effects, sizes, by, keys, nv, [model.cluster]).persist()
-
-    # Moments -> per-group solve (distributed, one row per group).
-    mom = _moments(d, by, nv)
-    key_schema = [f for f in d.schema.fields if f.name in by]
+    key_schema = [f for f in base.schema.fields if f.name in by]
     solve_schema = T.StructType(
         key_schema + [T.StructField(f"b_{i}", T.DoubleType()) for i in range(k)]
         + [T.StructField(f"ai_{i}_{j}", T.DoubleType()) for i in range(k) for j in range(k)]
         + [T.StructField("n", T.LongType()), T.StructField("rank_x", T.LongType()),
            T.StructField("sst", T.DoubleType())])
-    coef = scratch.cut(mom.mapInPandas(_solve_fn(k, by), solve_schema))
+
+    def solve(effects, sizes):
+        dd = demeaned(base, effects, sizes, by, keys, nv, [model.cluster])
+        return scratch.cut(_moments(dd, by, nv).mapInPandas(_solve_fn(k, by), solve_schema))
+
+    # Sweep until the coefficients stop moving (or a fixed count when tol is None).
+    effects, sizes, done, coef = {}, {}, 0, None
+    step = model.sweeps if (model.tol is None or len(keys) == 1) else model.first_check
+    while True:
+        step = min(step, model.sweeps - done) if len(keys) > 1 else 1
+        effects, sizes = absorb_effects(base, by, keys, nv, step, scratch, effects, sizes)
+        done += step
+        new = solve(effects, sizes)
+        if coef is None or model.tol is None or len(keys) == 1:
+            moved = None
+        else:
+            cols = [F.abs(F.coalesce(F.col(f"b_{i}") - F.col(f"_p{i}"), F.lit(0.0)))
+                    for i in range(k)]
+            prev = coef.select(*by, *[F.col(f"b_{i}").alias(f"_p{i}") for i in range(k)])
+            moved = new.join(prev, by).select(F.greatest(*cols, F.lit(0.0)).alias("_d")) \
+                .agg(F.max("_d")).first()[0]
+        if _PROFILE:
+            print(f"[fit]   after {done} sweeps: max coefficient move {moved}", flush=True)
+        coef = new
+        if (model.tol is None or len(keys) == 1 or done >= model.sweeps
+                or (moved is not None and moved < model.tol)):
+            break
+        step = model.check_every
+    _tick(f"absorb+solve ({done} sweeps)", t0)
+    d = demeaned(base, effects, sizes, by, keys, nv, [model.cluster]).persist()
     n_groups = coef.count()
-    _tick("moments+solve", t0)
 
     # Scores and meat.
     bcols = coef.select(*by, *[F.coalesce(F.col(f"b_{i}"), F.lit(0.0)).alias(f"b_{i}")

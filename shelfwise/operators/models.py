@@ -34,36 +34,36 @@ def naive_ols(panel: DataFrame, formula: str = NET_FORMULA, cluster: str = "prod
 
 
 def fe_ols(panel: DataFrame, formula: str = NET_FORMULA, cluster: str = "product_id",
-           absorb=DEFAULT_ABSORB, by=(CAT,), sweeps: int = 8, tol: float | None = None,
+           absorb=DEFAULT_ABSORB, by=(CAT,), sweeps: int = 100, tol: float | None = 1e-12,
            categorical: dict | None = None) -> DataFrame:
     """Absorbed product, store and week effects."""
     return fit(panel, Model(formula, absorb=tuple(absorb), by=tuple(by), cluster=cluster,
                             sweeps=sweeps, tol=tol, categorical=categorical or {}))
 
 
-def income_model(hh_panel: DataFrame, sweeps: int = 8) -> DataFrame:
+def income_model(hh_panel: DataFrame, sweeps: int = 100) -> DataFrame:
     """display/mailer x income group (base Low), clustered by household."""
     return fe_ols(hh_panel, INCOME_FORMULA, cluster="household_id", sweeps=sweeps,
                   categorical={"income_group": INCOME_GROUPS})
 
 
-def store_size_model(sized_net_panel: DataFrame, sweeps: int = 8) -> DataFrame:
+def store_size_model(sized_net_panel: DataFrame, sweeps: int = 100) -> DataFrame:
     """G5 (the size main effect is absorbed by store effects and dropped)."""
     return fe_ols(sized_net_panel, SIZE_FORMULA, sweeps=sweeps)
 
 
-def discount_depth_model(gross_panel: DataFrame, sweeps: int = 8) -> DataFrame:
+def discount_depth_model(gross_panel: DataFrame, sweeps: int = 100) -> DataFrame:
     """Regular price with discount depth interactions."""
     return fe_ols(gross_panel, DEPTH_FORMULA, sweeps=sweeps)
 
 
-def unified_model(sized_gross_panel: DataFrame, sweeps: int = 8) -> DataFrame:
+def unified_model(sized_gross_panel: DataFrame, sweeps: int = 100) -> DataFrame:
     """The model used by every optimisation step."""
     return fe_ols(sized_gross_panel, UNIFIED_FORMULA, sweeps=sweeps)
 
 
 def sku_elasticity(panel: DataFrame, sku: str = "product_id", n_top: int = 6,
-                   min_obs: int = 200, min_sd: float = 0.01, sweeps: int = 24,
+                   min_obs: int = 200, min_sd: float = 0.01, sweeps: int = 200,
                    attrs=("brand", "package_size")) -> DataFrame:
     """Per-SKU elasticity with store and week effects and HC1 errors,
     for the top-N SKUs by volume per category (E2) that pass the
@@ -77,7 +77,7 @@ def sku_elasticity(panel: DataFrame, sku: str = "product_id", n_top: int = 6,
                 .filter((F.col("n") >= min_obs) & (F.col("sd_log_price") >= min_sd)))
     sub = panel.join(F.broadcast(eligible.select(CAT, sku)), [CAT, sku], "left_semi")
     res = fit(sub, Model(NET_FORMULA, absorb=("store_id", "week"), by=(CAT, sku), cluster=None,
-                         cov="hc1", sweeps=sweeps, connected=False))
+                         cov="hc1", sweeps=sweeps, tol=1e-12, connected=False))
     out = (res.filter(F.col("term") == "log_price")
            .select(CAT, sku, "n_obs", F.col("coef").alias("elasticity"), "se", "z", "p_value",
                    "significant"))
