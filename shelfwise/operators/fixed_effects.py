@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from shelfwise.functions import formula as FM
 from shelfwise.functions.stats import Z_CRIT_95, select_identified, sym_from_upper, two_sided_p
 from shelfwise.operators import lineage
-from shelfwise.operators.joins import BROADCAST_MAX_ROWS
+from shelfwise.operators.joins import row_bound
 
 DEFAULT_ABSORB = ("product_id", "store_id", "week")
 
@@ -70,7 +70,10 @@ def _tick(label: str, t0: list) -> None:
 
 
 def _bc(df: DataFrame, n_rows: int | None) -> DataFrame:
-    return F.broadcast(df) if n_rows is not None and n_rows <= BROADCAST_MAX_ROWS else df
+    """Broadcast an effect/coefficient table whose row count is known and
+    within the row and byte budget; otherwise leave the join to the planner
+    (sort-merge, with AQE splitting hot keys)."""
+    return F.broadcast(df) if n_rows is not None and n_rows <= row_bound(df) else df
 
 
 def _unique(cols):

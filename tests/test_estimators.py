@@ -159,3 +159,25 @@ def test_tolerance_stop_agrees_with_fixed_sweeps(planted):
     a = _by_term(fit(df, Model(models.NET_FORMULA, sweeps=30)), "A")
     b = _by_term(fit(df, Model(models.NET_FORMULA, sweeps=30, tol=1e-9)), "A")
     assert abs(a["log_price"].coef - b["log_price"].coef) < 1e-7
+
+
+def test_hot_product_holding_a_third_of_rows(spark):
+    """One product carries a third of all rows (skew): the fit runs through
+    partial aggregates and still matches the dense oracle."""
+    pdf = planted_panel(seed=9, n_p=12, n_s=10, n_w=12, keep=0.5)
+    rng = np.random.default_rng(1)
+    hot = pdf[pdf.product_id == 0]
+    extra = hot.sample(n=len(pdf) // 2, replace=True, random_state=2).copy()
+    extra["log_qty"] = extra["log_qty"] + rng.normal(0, .2, len(extra))
+    skewed = pd.concat([pdf, extra], ignore_index=True)
+    assert (skewed.product_id == 0).mean() > 1 / 3
+    res = fit(spark.createDataFrame(skewed), Model(models.NET_FORMULA, sweeps=200))
+    for cat in ("A", "B"):
+        sub = skewed[skewed.product_category == cat]
+        b, se, _, _ = dense_fit(sub, "log_qty", ["log_price", "is_displayed", "is_mailed"],
+                                ("product_id", "store_id", "week"), "product_id")
+        got = _by_term(res, cat)
+        np.testing.assert_allclose([got[t].coef for t in ["log_price", "is_displayed",
+                                                          "is_mailed"]], b, atol=1e-7)
+        np.testing.assert_allclose([got[t].se for t in ["log_price", "is_displayed",
+                                                        "is_mailed"]], se, atol=1e-7)
