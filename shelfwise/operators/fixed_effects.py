@@ -53,6 +53,7 @@ class Model:
     cov: str = "cluster"              # 'cluster' or 'hc1'
     sweeps: int = 100                 # cap on sweeps (exact count when tol is None)
     tol: float | None = 1e-12         # stop once no coefficient moves more than tol
+    relax: float = 1.0                # over-relaxation factor of the sweeps (1 = plain)
     first_check: int = 4              # sweeps before the first convergence check
     check_every: int = 2              # sweeps between checks
     categorical: dict = field(default_factory=dict)
@@ -97,8 +98,10 @@ def prepare(panel: DataFrame, model: Model):
 
 def absorb_effects(base: DataFrame, by: list, keys: list, n_vals: int, sweeps: int,
                    scratch: lineage.Scratch, effects: dict | None = None,
-                   sizes: dict | None = None):
+                   sizes: dict | None = None, relax: float = 1.0):
     """Run ``sweeps`` backfitting sweeps, continuing from ``effects``.
+    ``relax`` (0 < w < 2) over-relaxes each update, e <- e + w (mean - e):
+    block SOR on a positive definite system, same fixed point.
     Returns ({key: effect table}, {key: n rows})."""
     def ecol(k, i):
         return f"_e{keys.index(k)}_{i}"
@@ -119,7 +122,14 @@ def absorb_effects(base: DataFrame, by: list, keys: list, n_vals: int, sweeps: i
                     e = e - F.col(ecol(j, i))
                 exprs.append(F.avg(e).alias(ecol(k, i)))
             t_step = time.time()
-            effects[k] = scratch.cut(r.groupBy(*by, k).agg(*exprs))
+            upd = r.groupBy(*by, k).agg(*exprs)
+            if relax != 1.0 and k in effects:
+                old = _bc(effects[k], sizes[k]).select(
+                    *by, k, *[F.col(ecol(k, i)).alias(f"_o{i}") for i in range(n_vals)])
+                upd = upd.join(old, by + [k]).select(*by, k, *[
+                    (F.col(f"_o{i}") + relax * (F.col(ecol(k, i)) - F.col(f"_o{i}")))
+                    .alias(ecol(k, i)) for i in range(n_vals)])
+            effects[k] = scratch.cut(upd)
             if _PROFILE:
                 print(f"[fit]   step {k}: {time.time() - t_step:.2f}s", flush=True)
             if k not in sizes:
@@ -260,7 +270,8 @@ def fit(panel: DataFrame, model: Model) -> DataFrame:
     step = model.sweeps if (model.tol is None or len(keys) == 1) else model.first_check
     while True:
         step = min(step, model.sweeps - done) if len(keys) > 1 else 1
-        effects, sizes = absorb_effects(base, by, keys, nv, step, scratch, effects, sizes)
+        effects, sizes = absorb_effects(base, by, keys, nv, step, scratch, effects, sizes,
+                                        model.relax)
         done += step
         new = solve(effects, sizes)
         if coef is None or model.tol is None or len(keys) == 1:
