@@ -102,8 +102,8 @@ def boxplot_stats(lines: DataFrame, group: str, value: str = "unit_price",
                   approx: bool = False, whisker: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (most extreme values inside Q1-1.5 IQR and
     Q3+1.5 IQR) and outlier count per category x group. Two aggregates: the
-    quartiles, then a broadcast join back (one row per group) and a
-    conditional min/max/count."""
+    quartiles, then a join back (one row per group) and a conditional
+    min/max/count."""
     keys = [CAT, group]
     q = (lines.groupBy(*keys)
          .agg(_quantile(value, [0.25, 0.5, 0.75], approx, lines).alias("_q"),
@@ -116,8 +116,10 @@ def boxplot_stats(lines: DataFrame, group: str, value: str = "unit_price",
     v = F.col(value)
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
     wt = _w(lines)
+    # One row per group, but the group column is arbitrary: AQE broadcasts it
+    # from its measured size instead of a counting pass over the lines.
     w = (lines.select(*keys, value, wt.alias("_wt"))
-         .join(F.broadcast(q.select(*keys, "_lo", "_hi")), keys)
+         .join(q.select(*keys, "_lo", "_hi"), keys)
          .groupBy(*keys).agg(F.min(F.when(inside, v)).alias("whisker_low"),
                              F.max(F.when(inside, v)).alias("whisker_high"),
                              F.sum(F.when(v.isNotNull() & ~inside, F.col("_wt")).otherwise(0))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import columns as C
 from shelfwise.operators import describe
+from shelfwise.operators.joins import broadcast_checked
 from shelfwise.operators.models import pivot_coefficients
 
 CAT = "product_category"
@@ -66,8 +67,8 @@ def revenue_scenarios(panel: DataFrame, coefs: DataFrame, programs: DataFrame) -
     cells = describe.promo_long(panel.select(CAT, "quantity", "sales_value", "unit_price",
                                              "discount_pct", "is_displayed", "is_mailed"))
     k = combined_slopes(coefs)
-    j = (cells.join(F.broadcast(programs), [CAT, "promo_type"])
-         .join(F.broadcast(k), [CAT, "promo_type"]))
+    j = (cells.join(F.broadcast(programs), [CAT, "promo_type"])      # fixed program list
+         .join(broadcast_checked(k), [CAT, "promo_type"]))
     new_rev = (F.col("unit_price") * (1 - F.col("target"))
                * F.col("quantity") * F.exp((F.col("target") - F.col("discount_pct")) * F.col("k")))
     agg = j.groupBy(CAT, "promo_type", "change").agg(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions import columns as C
 from shelfwise.operators.describe import quantiles
+from shelfwise.operators.joins import broadcast_checked
 from shelfwise.operators.models import pivot_coefficients
 
 CAT = "product_category"
@@ -39,7 +40,7 @@ def lift_by_store_size(panel: DataFrame, coefs: DataFrame, n_points: int = 40,
              F.col(lo) + F.col("point").cast("double")
              * ((F.col(hi) - F.col(lo)) / F.lit(float(n_points - 1)))).alias("log_store_size_c")))
     w = pivot_coefficients(coefs, ["is_displayed", "is_displayed:log_store_size_c"])
-    return (g.crossJoin(F.broadcast(w))
+    return (g.crossJoin(broadcast_checked(w))
             .select(C.title_label(CAT).alias("category"), "point", "log_store_size_c",
                     ((F.exp(F.col("is_displayed") + F.col("is_displayed:log_store_size_c")
                             * F.col("log_store_size_c")) - 1) * 100).alias("predicted_lift_pct")))
@@ -52,7 +53,7 @@ def lift_by_discount(coefs: DataFrame, spark: SparkSession, n_points: int = 40,
     g = grid(spark, 0.0, max_depth, n_points, "depth")
     terms = ["is_displayed", "is_displayed:discount_pct", "is_mailed", "is_mailed:discount_pct"]
     w = pivot_coefficients(coefs, terms)
-    cross = g.crossJoin(F.broadcast(w))
+    cross = g.crossJoin(broadcast_checked(w))
     parts = []
     for flag, label in [("is_displayed", "Display"), ("is_mailed", "Mailer")]:
         parts.append(cross.select(
