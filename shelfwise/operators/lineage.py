@@ -62,8 +62,3 @@ class Scratch:
             if p.getName() not in self._keep:
                 fs.delete(p, True)
 
-
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
