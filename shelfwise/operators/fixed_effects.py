@@ -52,7 +52,7 @@ class Model:
     cluster: str | None = "product_id"
     cov: str = "cluster"              # 'cluster' or 'hc1'
     sweeps: int = 100                 # cap on sweeps (exact count when tol is None)
-    tol: float | None = 1e-12         # stop once no coefficient moves more than tol
+    tol: float | None = 1e-12         # stop once no demeaned value moves more than tol
     relax: float = 1.0                # over-relaxation factor of the sweeps (1 = plain)
     first_check: int = 4              # sweeps before the first convergence check
     check_every: int = 2              # sweeps between checks
@@ -152,6 +152,26 @@ def demeaned(base: DataFrame, effects: dict, sizes: dict, by: list, keys: list,
     return d.select(*[F.col(c) for c in _unique(by + extra)], *raw, *tilde)
 
 
+def max_row_change(base: DataFrame, cur: dict, prev: dict, sizes: dict, by: list, keys: list,
+                   n_vals: int):
+    """max over rows and value columns of |x~(cur) - x~(prev)|, i.e.
+    |sum_k (e_k,cur - e_k,prev)|. Shifts along the unidentified direction
+    (product effects up, store effects down) cancel here, unlike in the
+    effect tables themselves. One pass over ``base``."""
+    d = base.select(*by, *keys)
+    for j, k in enumerate(keys):
+        d = d.join(_bc(cur[k], sizes[k]), by + [k])
+        d = d.join(_bc(prev[k], sizes[k]).select(
+            *by, k, *[F.col(f"_e{j}_{i}").alias(f"_q{j}_{i}") for i in range(n_vals)]), by + [k])
+    diffs = []
+    for i in range(n_vals):
+        e = F.lit(0.0)
+        for j in range(len(keys)):
+            e = e + (F.col(f"_e{j}_{i}") - F.col(f"_q{j}_{i}"))
+        diffs.append(F.abs(e))
+    return d.agg(F.max(F.greatest(*diffs, F.lit(0.0)))).first()[0]
+
+
 def _moments(d: DataFrame, by: list, n_vals: int) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("n"), F.sum("_v0").alias("sy"),
             F.sum(F.col("_v0") * F.col("_v0")).alias("syy")]
@@ -261,36 +281,29 @@ def fit(panel: DataFrame, model: Model) -> DataFrame:
         + [T.StructField("n", T.LongType()), T.StructField("rank_x", T.LongType()),
            T.StructField("sst", T.DoubleType())])
 
-    def solve(effects, sizes):
-        dd = demeaned(base, effects, sizes, by, keys, nv, [model.cluster])
-        return scratch.cut(_moments(dd, by, nv).mapInPandas(_solve_fn(k, by), solve_schema))
-
-    # Sweep until the coefficients stop moving (or a fixed count when tol is None).
-    effects, sizes, done, coef = {}, {}, 0, None
+    # Sweep until the demeaned data stop moving (or a fixed count when tol is
+    # None). Checked every ``check_every`` sweeps after ``first_check``.
+    effects, sizes, done = {}, {}, 0
     step = model.sweeps if (model.tol is None or len(keys) == 1) else model.first_check
     while True:
         step = min(step, model.sweeps - done) if len(keys) > 1 else 1
+        before = dict(effects)
         effects, sizes = absorb_effects(base, by, keys, nv, step, scratch, effects, sizes,
                                         model.relax)
         done += step
-        new = solve(effects, sizes)
-        if coef is None or model.tol is None or len(keys) == 1:
-            moved = None
-        else:
-            cols = [F.abs(F.coalesce(F.col(f"b_{i}") - F.col(f"_p{i}"), F.lit(0.0)))
-                    for i in range(k)]
-            prev = coef.select(*by, *[F.col(f"b_{i}").alias(f"_p{i}") for i in range(k)])
-            moved = new.join(prev, by).select(F.greatest(*cols, F.lit(0.0)).alias("_d")) \
-                .agg(F.max("_d")).first()[0]
-        if _PROFILE:
-            print(f"[fit]   after {done} sweeps: max coefficient move {moved}", flush=True)
-        coef = new
-        if (model.tol is None or len(keys) == 1 or done >= model.sweeps
-                or (moved is not None and moved < model.tol)):
+        if model.tol is None or len(keys) == 1 or done >= model.sweeps:
             break
+        if len(before) == len(keys):
+            moved = max_row_change(base, effects, before, sizes, by, keys, nv)
+            if _PROFILE:
+                print(f"[fit]   after {done} sweeps: max change of demeaned values {moved}",
+                      flush=True)
+            if moved is None or moved < model.tol:
+                break                   # converged (or nothing to fit)
         step = model.check_every
-    _tick(f"absorb+solve ({done} sweeps)", t0)
+    _tick(f"absorb ({done} sweeps)", t0)
     d = demeaned(base, effects, sizes, by, keys, nv, [model.cluster]).persist()
+    coef = scratch.cut(_moments(d, by, nv).mapInPandas(_solve_fn(k, by), solve_schema))
     n_groups = coef.count()
 
     # Scores and meat.
