@@ -186,3 +186,15 @@ def test_compressed_line_panel_is_exact(spark):
                 assert ((a[c] - b[c]).abs().fillna(0) < 1e-9).all(), (fn, c)
             else:
                 assert (a[c] == b[c]).all(), (fn, c)
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    """approx=True (percentile_approx sketch) for unbounded-distinct values."""
+    df = spark.range(2000).select(F.lit("C").alias("product_category"),
+                                  (F.col("id") % 2).cast("int").alias("is_promo"),
+                                  (F.col("id") / 7.0).alias("unit_price"))
+    exact = {r.is_promo: r for r in describe.price_by_promo(df).collect()}
+    approx = {r.is_promo: r for r in describe.price_by_promo(df, approx=True).collect()}
+    for k in (0, 1):
+        assert abs(exact[k].median_price - approx[k].median_price) < 0.5
+        assert exact[k].n == approx[k].n == 1000
