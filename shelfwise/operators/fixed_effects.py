@@ -54,6 +54,7 @@ class Model:
     sweeps: int = 100                 # cap on sweeps (exact count when tol is None)
     tol: float | None = 1e-12         # stop once no demeaned value moves more than tol
     relax: float = 1.0                # over-relaxation factor of the sweeps (1 = plain)
+    pair_tables: bool | None = None   # None: decide from measured cells per pair
     first_check: int = 4              # sweeps before the first convergence check
     check_every: int = 2              # sweeps between checks
     categorical: dict = field(default_factory=dict)
@@ -96,9 +97,71 @@ def prepare(panel: DataFrame, model: Model):
     return spec, [n for n, _ in design], keys, data.filter(ok)
 
 
+class PairTables:
+    """Sufficient statistics for backfitting without scanning the panel.
+
+    ``sums[k]``: per (group, level of k) the row count and the sums of every
+    value column. ``pairs[(k, j)]``: per (group, level of k, level of j) the
+    row count (one table per unordered pair). An update of key k is then
+    e_k(l) = (sum_v(l) - sum_{j != k} sum_m n_kj(l, m) e_j(m)) / n_k(l) --
+    the same Gauss-Seidel iterate as averaging over the panel rows, but it
+    scans the pair tables, which are smaller than the panel by the number of
+    cells per pair."""
+
+    def __init__(self, base: DataFrame, by: list, keys: list, n_vals: int,
+                 scratch: lineage.Scratch):
+        self.sums, self.pairs, self.rows = {}, {}, {}
+        for k in keys:
+            self.sums[k] = scratch.cut(base.groupBy(*by, k).agg(
+                F.count(F.lit(1)).alias("_n"),
+                *[F.sum(f"_v{i}").alias(f"_s{i}") for i in range(n_vals)]))
+        for a in range(len(keys)):
+            for b in range(a + 1, len(keys)):
+                ka, kb = keys[a], keys[b]
+                t = scratch.cut(base.groupBy(*by, ka, kb).agg(F.count(F.lit(1)).alias("_n")))
+                self.pairs[(ka, kb)] = self.pairs[(kb, ka)] = t
+                self.rows[(ka, kb)] = self.rows[(kb, ka)] = t.count()
+
+    @staticmethod
+    def worth_it(base: DataFrame, by: list, keys: list, n_base: int, ratio: float = 4.0) -> bool:
+        """Use the pair tables when every pair has on average at least
+        ``ratio`` panel rows (measured with approximate distinct counts)."""
+        if len(keys) < 2 or n_base == 0:
+            return False
+        aggs = [F.approx_count_distinct(F.struct(*by, keys[a], keys[b])).alias(f"_c{a}{b}")
+                for a in range(len(keys)) for b in range(a + 1, len(keys))]
+        row = base.agg(*aggs).first()
+        return max(row) * ratio <= n_base
+
+
+def _pair_update(pt: PairTables, effects: dict, sizes: dict, by: list, keys: list, k: str,
+                 n_vals: int) -> DataFrame:
+    def ecol(j, i):
+        return f"_e{keys.index(j)}_{i}"
+
+    out = pt.sums[k]
+    for j in keys:
+        if j == k or j not in effects:
+            continue
+        t = (pt.pairs[(k, j)].join(_bc(effects[j], sizes[j]), by + [j])
+             .groupBy(*by, k)
+             .agg(*[F.sum(F.col("_n") * F.col(ecol(j, i))).alias(f"_x{keys.index(j)}_{i}")
+                    for i in range(n_vals)]))
+        out = out.join(t, by + [k], "left")
+    cols = []
+    for i in range(n_vals):
+        e = F.col(f"_s{i}")
+        for j in keys:
+            if j != k and j in effects:
+                e = e - F.coalesce(F.col(f"_x{keys.index(j)}_{i}"), F.lit(0.0))
+        cols.append((e / F.col("_n")).alias(ecol(k, i)))
+    return out.select(*by, k, *cols)
+
+
 def absorb_effects(base: DataFrame, by: list, keys: list, n_vals: int, sweeps: int,
                    scratch: lineage.Scratch, effects: dict | None = None,
-                   sizes: dict | None = None, relax: float = 1.0):
+                   sizes: dict | None = None, relax: float = 1.0,
+                   pairs: "PairTables | None" = None):
     """Run ``sweeps`` backfitting sweeps, continuing from ``effects``.
     ``relax`` (0 < w < 2) over-relaxes each update, e <- e + w (mean - e):
     block SOR on a positive definite system, same fixed point.
@@ -122,7 +185,10 @@ def absorb_effects(base: DataFrame, by: list, keys: list, n_vals: int, sweeps: i
                     e = e - F.col(ecol(j, i))
                 exprs.append(F.avg(e).alias(ecol(k, i)))
             t_step = time.time()
-            upd = r.groupBy(*by, k).agg(*exprs)
+            if pairs is not None:
+                upd = _pair_update(pairs, effects, sizes, by, keys, k, n_vals)
+            else:
+                upd = r.groupBy(*by, k).agg(*exprs)
             if relax != 1.0 and k in effects:
                 old = _bc(effects[k], sizes[k]).select(
                     *by, k, *[F.col(ecol(k, i)).alias(f"_o{i}") for i in range(n_vals)])
@@ -283,13 +349,18 @@ def fit(panel: DataFrame, model: Model) -> DataFrame:
 
     # Sweep until the demeaned data stop moving (or a fixed count when tol is
     # None). Checked every ``check_every`` sweeps after ``first_check``.
+    use_pairs = model.pair_tables
+    if use_pairs is None:
+        use_pairs = PairTables.worth_it(base, by, keys, base.count())
+    pairs = PairTables(base, by, keys, nv, scratch) if (use_pairs and len(keys) > 1) else None
+    _tick(f"pair tables: {pairs is not None}", t0)
     effects, sizes, done = {}, {}, 0
     step = model.sweeps if (model.tol is None or len(keys) == 1) else model.first_check
     while True:
         step = min(step, model.sweeps - done) if len(keys) > 1 else 1
         before = dict(effects)
         effects, sizes = absorb_effects(base, by, keys, nv, step, scratch, effects, sizes,
-                                        model.relax)
+                                        model.relax, pairs)
         done += step
         if model.tol is None or len(keys) == 1 or done >= model.sweeps:
             break

@@ -181,3 +181,18 @@ def test_hot_product_holding_a_third_of_rows(spark):
                                                           "is_mailed"]], b, atol=1e-7)
         np.testing.assert_allclose([got[t].se for t in ["log_price", "is_displayed",
                                                         "is_mailed"]], se, atol=1e-7)
+
+
+@pytest.mark.parametrize("pairs", [True, False])
+def test_pair_tables_match_row_scans(planted, pairs):
+    """Backfitting from pair count tables gives the dense answer too."""
+    pdf, df = planted
+    res = fit(df, Model(models.NET_FORMULA, pair_tables=pairs))
+    for cat in ("A", "B"):
+        sub = pdf[pdf.product_category == cat]
+        b, se, _, _ = dense_fit(sub, "log_qty", ["log_price", "is_displayed", "is_mailed"],
+                                ("product_id", "store_id", "week"), "product_id")
+        got = _by_term(res, cat)
+        terms = ["log_price", "is_displayed", "is_mailed"]
+        np.testing.assert_allclose([got[t].coef for t in terms], b, atol=1e-8)
+        np.testing.assert_allclose([got[t].se for t in terms], se, atol=1e-8)
