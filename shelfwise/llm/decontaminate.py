@@ -1,10 +1,10 @@
 """Benchmark decontamination: size-partitioned MinHash containment search.
 
-Test items are partitioned by size (a factor of 1.25 each). For a partition
+Test items are partitioned by size (a factor of 2 each). For a partition
 of items of up to s shingles, every document is read in overlapping windows
-of about 1.5 s shingles, so an item inside a document meets a window of its
+of about 1.25 s shingles, so an item inside a document meets a window of its
 own size however long the document is, and the containment threshold becomes
-a Jaccard of at least about 0.45 to some window. One minimum is one band: a
+a Jaccard of at least about 0.3 to some window. One minimum is one band: a
 window and an item that share any of the minima are a candidate, verified by
 the exact share of the item's 5-word shingles that the whole document holds.
 
@@ -30,7 +30,7 @@ from shelfwise.llm import jobs, text
 
 CONTAINMENT = 0.8
 RECALL = 0.9999
-GROWTH = 1.25
+GROWTH = 2.0
 #: Shingles of the items in one broadcast block (8 bytes each, several copies).
 BLOCK_SHINGLES = 2_000_000
 
@@ -47,15 +47,18 @@ class ItemIndex:
             mine = np.flatnonzero(level == k)
             top, low = int(sizes[mine].max()), int(sizes[mine].min())
             step = max(1, top // 4)
+            # a run of `top` anywhere lies in a window of one step more
             window = step * math.ceil((top + step - 1) / step)
             # least Jaccard of an item held to the threshold and its window
             held = CONTAINMENT * low
             hit = held / (low + window - held)
             count = math.ceil(math.log(1 - RECALL) / math.log1p(-hit))
-            seeds = seed + int(k)
             values = np.concatenate([sets[i] for i in mine])
             limits = np.concatenate([[0], np.cumsum(sizes[mine])])
-            self.parts.append((window, step, count, seeds, mine, text.minima(values, limits, count, seeds)))
+            wanted = text.minima(values, limits, count, seed)
+            order = np.argsort(wanted, axis=0, kind="stable")
+            self.parts.append((window, step, count, mine[order], np.take_along_axis(wanted, order, 0)))
+        self.seed = seed
 
     def search(self, texts: pa.Array) -> list[list[tuple[int, float]]]:
         """For each text the items it holds, with their containment."""
@@ -68,27 +71,31 @@ class ItemIndex:
         if not len(full):
             return found
         begins = np.r_[limits[:-1][full], limits[-1]]
-        for window, step, count, seed, items, item_minima in self.parts:
-            # minima of pieces of `step` shingles, then of runs of pieces
+        cuts, owners, lasts = [], [], []
+        for _, step, _, _, _ in self.parts:
             pieces = -(-lengths[full] // step)
             owner, place = text.spread(pieces)
-            cuts = np.r_[begins[:-1][owner] + place * step, begins[-1]]
-            run = window // step
-            signatures = text.minima(values, cuts, count, seed)
-            last = np.r_[0, np.cumsum(pieces)][1:][owner]
-            for j in range(count):
-                column = signatures[:, j].copy()
-                for r in range(1, run):
-                    at = np.arange(len(column)) + r
-                    ok = at < last
-                    np.minimum(column, np.where(ok, signatures[np.minimum(at, len(column) - 1), j], column), out=column)
-                wanted = item_minima[:, j]
-                order = np.argsort(wanted, kind="stable")
-                left = np.searchsorted(wanted[order], column, "left")
-                right = np.searchsorted(wanted[order], column, "right")
-                for p in np.flatnonzero(right > left):
+            cuts.append(np.r_[begins[:-1][owner] + place * step, begins[-1]])
+            owners.append(owner)
+            lasts.append(np.cumsum(pieces)[owner])
+        most = max(p[2] for p in self.parts)
+        for j, row in text.minima_rows(values, cuts, most, self.seed):
+            for part, owner, last, pieces in zip(self.parts, owners, lasts, row, strict=True):
+                window, step, count, items, wanted = part
+                if j >= count:
+                    continue
+                # windows are runs of pieces of one document
+                column = pieces.copy()
+                for r in range(1, window // step):
+                    at = np.arange(r, len(column) + r)
+                    inside = np.flatnonzero(at < last)
+                    column[inside] = np.minimum(column[inside], pieces[at[inside]])
+                left = np.searchsorted(wanted[:, j], column, "left")
+                hit = np.flatnonzero(wanted[np.minimum(left, len(wanted) - 1), j] == column)
+                right = np.searchsorted(wanted[:, j], column[hit], "right")
+                for p, stop in zip(hit, right, strict=True):
                     d = int(full[owner[p]])
-                    candidates.update((d, int(items[order[q]])) for q in range(left[p], right[p]))
+                    candidates.update((d, int(i)) for i in items[left[p]:stop, j])
         by_doc: dict[int, list[int]] = {}
         for d, i in candidates:
             by_doc.setdefault(d, []).append(i)

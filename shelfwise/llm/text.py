@@ -186,22 +186,24 @@ def banding(similarity: float, recall: float, most: int = 128) -> tuple[int, int
 
 def minima(values: np.ndarray, limits: np.ndarray, count: int, seed: int = 1) -> np.ndarray:
     """MinHash signatures, shape (items, count); every item needs a value."""
-    rng = np.random.default_rng(seed)
-    a = rng.integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    b = rng.integers(0, 1 << 63, count, dtype=np.uint64)
-    items = len(limits) - 1
-    out = np.empty((count, items), np.uint64)
-    at = 0
-    while at < items:
-        stop = max(at + 1, int(np.searchsorted(limits, limits[at] + (1 << 15), "right")) - 1)
-        part = values[limits[at]:limits[stop]]
-        begin = limits[at:stop] - limits[at]
-        for k in range(count):
-            out[k, at:stop] = np.minimum.reduceat(part * a[k] + b[k], begin)
-        at = stop
+    out = np.empty((count, len(limits) - 1), np.uint64)
+    for k, (row,) in minima_rows(values, [limits], count, seed):
+        out[k] = row
     return out.T
 
 
+def minima_rows(values: np.ndarray, limits: list[np.ndarray], count: int, seed: int):
+    """(k, the k-th minima of the items of each division); the divisions cut
+    the same values at different limits, and every item needs a value."""
+    rng = np.random.default_rng(seed)
+    a = rng.integers(0, 1 << 63, (count, 2), dtype=np.uint64)
+    keyed = np.empty_like(values)
+    for k in range(count):
+        np.multiply(values, a[k, 0] * np.uint64(2) + np.uint64(1), out=keyed)
+        np.add(keyed, a[k, 1], out=keyed)
+        yield k, [np.minimum.reduceat(keyed, cut[:-1]) if len(cut) > 1 else np.zeros(0, np.uint64) for cut in limits]
+
+
 def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """(items, bands) int64 hashes of the signature bands."""
     out = np.empty((len(signatures), bands), np.uint64)
