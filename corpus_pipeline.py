@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, decontaminate, jobs, ngram_join, toxicity
+from shelfwise.llm import bpe, decontaminate, jobs, ngram_join, pii, toxicity
 from shelfwise.operators.lineage import Scratch
 
 
@@ -41,6 +41,24 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return decontaminate.with_items(docs, items).where(F.size("items") == 0).select(docs.columns)
 
 
+def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in each text is replaced by its kind in angle brackets;
+    n_chars counts the new text. Texts without any (nulls too) stay as they are."""
+    jobs.prepare(spark)
+    scratch = Scratch(spark, "personal")
+    try:
+        weights = pii.fit(scratch.cut(pii.candidates(docs.select("text")).select("pii_spans")))
+    finally:
+        scratch.close()
+    found = pii.settle(pii.candidates(docs), weights)
+    some = F.size("pii_all") > 0
+    text = F.when(some, pii.redacted(F.col("text"), F.col("pii_all"))).otherwise(F.col("text"))
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(some, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return found.withColumns(changed).select(docs.columns)
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document by the BPE automaton, with the digests of ids
     and decoded text."""
@@ -52,6 +70,7 @@ STAGES = [
     ("toxicity", drop_toxic),
     ("near_copies", drop_near_copies),
     ("decontamination", drop_benchmark),
+    ("personal_data", redact_personal),
     ("tokenize", tokenize),
 ]
 

@@ -22,17 +22,14 @@ Repeated rows count as copies. n_links is the number of other rows of Jaccard
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import jobs, text
+from shelfwise.llm import jobs, near, text
 from shelfwise.operators.lineage import Scratch
 
 RECALL = 0.9995
-#: Bytes of text in a block of a candidate set, and in a task's bin of blocks.
-BLOCK_BYTES, BIN_BYTES = 2 << 20, 8 << 20
 
 
 def _sketcher(bands: int, rows: int, seed: int):
@@ -55,40 +52,6 @@ def _sketcher(bands: int, rows: int, seed: int):
     return run
 
 
-def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Counts and links of the block pairs in one bin."""
-    out_id, out_links, out_root = [], [], []
-    for (_, low, high), group in pdf.groupby(["comp", "low", "high"], sort=False):
-        group = group.drop_duplicates("doc_id")
-        if len(group) < 2:
-            continue
-        w = text.words_of(pa.array(group["text"], pa.large_string()))
-        values, limits = text.shingles(w.hash, w.first)
-        sets = [np.unique(values[limits[i]:limits[i + 1]]) for i in range(len(group))]
-        lengths = np.array([len(s) for s in sets])
-        ids, weight, side = group["doc_id"].to_numpy(), group["n"].to_numpy(), group["block"].to_numpy()
-        # Jaccard >= 4/5 in whole numbers: 9 common >= 4 (|a| + |b|)
-        link = 9 * text.overlaps(sets) >= 4 * (lengths[:, None] + lengths[None, :])
-        np.fill_diagonal(link, False)
-        if low != high:
-            link &= side[:, None] != side[None, :]
-        counts = link @ weight
-        root = ids.copy()
-        while True:
-            new = np.minimum(root, np.where(link, root[None, :], root[:, None]).min(1))
-            if (new == root).all():
-                break
-            root = new
-        linked = np.flatnonzero(link.any(1))
-        out_id.append(ids[linked])
-        out_links.append(counts[linked])
-        out_root.append(root[linked])
-    if not out_id:
-        return pd.DataFrame({"doc_id": np.zeros(0, np.int64), "links": np.zeros(0, np.int64), "root": np.zeros(0, np.int64)})
-    return pd.DataFrame({"doc_id": np.concatenate(out_id), "links": np.concatenate(out_links),
-                         "root": np.concatenate(out_root)})
-
-
 def similar_classes(docs: DataFrame, scratch: Scratch, recall: float = RECALL, seed: int = 11) -> DataFrame:
     """(doc_id, class_id, n_links) for every row of docs; see the module."""
     bands, rows = text.banding(text.SIMILARITY, recall)
@@ -109,27 +72,18 @@ def similar_classes(docs: DataFrame, scratch: Scratch, recall: float = RECALL, s
     candidates = jobs.components(pairs.select("a", "b"), scratch)
     members = (candidates.join(classes.select(F.col("rep").alias("node"), "n", "bytes").groupBy("node").agg(
         F.sum("n").alias("n"), F.max("bytes").alias("bytes")), "node"))
-    sized = members.groupBy("root").agg(F.count("*").alias("docs"), F.sum("bytes").alias("bytes"))
-    sized = sized.select("root", F.greatest(
-        F.ceil(F.col("docs") / F.greatest(F.lit(64.0), F.least(F.lit(1024.0), 2 * F.sqrt("docs")))),
-        F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1)).cast("int").alias("blocks"))
-    members = scratch.cut(members.join(sized, "root").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")))
-    held, volume = members.agg(F.count("*"), F.sum(F.col("bytes") * F.col("blocks"))).first()
+    members = scratch.cut(near.deal(members))
+    dealt, held = near.block_pairs(members, int(spark.conf.get("spark.sql.shuffle.partitions")))
     if held:
-        bins = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (volume or 0) // BIN_BYTES + 1)
-        dealt = (members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                 .select(F.col("node").alias("doc_id"), F.col("root").alias("comp"), "n", "block",
-                         F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-                 .withColumn("bin", F.pmod(F.xxhash64("comp", "low", "high"), F.lit(bins))))
-        rows_dealt = members.agg(F.sum("blocks")).first()[0]
-        wanted = texts.where("doc_id is not null").join(jobs.sized(dealt, rows_dealt), "doc_id")
-        verified = scratch.cut(wanted.groupBy("bin").applyInPandas(_verify, "doc_id long, links long, root long"))
+        wanted = (texts.where("doc_id is not null").withColumnRenamed("doc_id", "node")
+                  .join(jobs.sized(dealt, held), "node"))
+        verified = scratch.cut(near.verify(wanted, "long"))
     else:
-        verified = spark.createDataFrame([], "doc_id long, links long, root long")
-    links = verified.groupBy("doc_id").agg(F.sum("links").alias("links"))
-    roots = jobs.components(verified.select(F.col("doc_id").alias("a"), F.col("root").alias("b")), scratch)
+        verified = spark.createDataFrame([], "node long, links long, root long")
+    links = verified.groupBy("node").agg(F.sum("links").alias("links"))
+    roots = jobs.components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")), scratch)
     classes = (classes.select("h1", "h2", "rep", "n")
-               .join(links.withColumnRenamed("doc_id", "rep"), "rep", "left")
+               .join(links.withColumnRenamed("node", "rep"), "rep", "left")
                .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
                .select("h1", "h2", F.coalesce("root", "rep").alias("root"),
                        (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")))

@@ -3,12 +3,18 @@ express them."""
 
 from __future__ import annotations
 
+from shelfwise.llm.ann import op9_rotated_codes
 from shelfwise.llm.bpe import op10_bpe
 from shelfwise.llm.decontaminate import op6_decontaminate
+from shelfwise.llm.hilbert import op3_hilbert_shards
 from shelfwise.llm.ngram_join import op7_ngram_join
+from shelfwise.llm.paragraph_dedup import op2_paragraph_dedup
+from shelfwise.llm.pii import op4_pii
+from shelfwise.llm.suffix_dedup import op8_suffix_dedup
 from shelfwise.llm.toxicity import op1_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op6_decontaminate, op7_ngram_join, op10_bpe)}
+    op1_toxicity, op2_paragraph_dedup, op3_hilbert_shards, op4_pii, op6_decontaminate,
+    op7_ngram_join, op8_suffix_dedup, op9_rotated_codes, op10_bpe)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -138,6 +138,27 @@ def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, place
 
 
+def sentences(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(first word of each sentence and the end, document of each sentence).
+    A sentence ends at a line's end, or at . ! ? before white space."""
+    data = w.data
+    def between(members):
+        sums = np.concatenate([[0], np.cumsum(byte_table(members)[data], dtype=np.int64)])
+        return sums[w.start[1:]] - sums[w.end[:-1]] > 0
+    n = len(w.start)
+    opens = np.zeros(n, bool)
+    if n:
+        opens[1:] = between([10, 13]) | (between([33, 46, 63]) & between([9, 32]))
+        opens[w.first[:-1][np.diff(w.first) > 0]] = True
+    first = np.flatnonzero(opens)
+    return np.r_[first, n], np.searchsorted(w.first, first, "right") - 1
+
+
+def code_points(data: np.ndarray) -> np.ndarray:
+    """Code points that begin before each byte (one entry more than bytes)."""
+    return np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80, dtype=np.int64)])
+
+
 def shingles(hashes: np.ndarray, first: np.ndarray, n: int = SHINGLE,
              short: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """(hashes of n-word runs, limits by item). An item of fewer than n words
