@@ -18,7 +18,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored at or above the threshold of their language go."""
     jobs.prepare(spark)
     net = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.classify(docs, net).where(~F.col("rejected")).select(docs.columns)
+    return docs.where(toxicity.score(docs, net) < toxicity.threshold(net))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents that hold a benchmark item go."""
     jobs.prepare(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.with_items(docs, items).where(F.size("items") == 0).select(docs.columns)
+    return docs.where(F.size(decontaminate.items_in(docs, items)) == 0)
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +50,13 @@ def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         weights = pii.fit(scratch.cut(pii.candidates(docs.select("text")).select("pii_spans")))
     finally:
         scratch.close()
-    found = pii.settle(pii.candidates(docs), weights)
-    some = F.size("pii_all") > 0
-    text = F.when(some, pii.redacted(F.col("text"), F.col("pii_all"))).otherwise(F.col("text"))
+    prefix = "pii_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix = "_" + prefix
+    found = pii.settle(pii.candidates(docs, prefix=prefix), weights, prefix + "spans", prefix + "all")
+    spans = F.col(prefix + "all")
+    some = F.size(spans) > 0
+    text = F.when(some, pii.redacted(F.col("text"), spans)).otherwise(F.col("text"))
     changed = {"text": text}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(some, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)

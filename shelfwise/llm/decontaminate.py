@@ -135,9 +135,9 @@ def item_blocks(benchmark: DataFrame, most: int = BLOCK_SHINGLES):
         yield ItemIndex(ids, own)
 
 
-def with_items(docs: DataFrame, benchmark: DataFrame, out: str = "items") -> DataFrame:
-    """All rows and columns of docs plus an array of (item_id, containment)
-    of the items each whole text holds, ordered by item_id."""
+def items_in(docs: DataFrame, benchmark: DataFrame):
+    """Column of docs: an array of (item_id, containment) of the items each
+    whole text holds, ordered by item_id."""
     spark = docs.sparkSession
     kind = "array<struct<item_id:bigint,containment:double>>"
     arrow = pa.list_(pa.struct([("item_id", pa.int64()), ("containment", pa.float64())]))
@@ -147,15 +147,15 @@ def with_items(docs: DataFrame, benchmark: DataFrame, out: str = "items") -> Dat
 
         @F.arrow_udf(kind)
         def held(texts: pa.Array) -> pa.Array:
-            return pa.array([[{"item_id": i, "containment": c} for i, c in row]
-                             for row in shared.value.search(texts)], arrow)
+            return pa.array([[{"item_id": i, "containment": c} for i, c in row] for a, b in text.cuts_of(texts)
+                             for row in shared.value.search(texts[a:b])], arrow)
 
-        return held(F.col("text"))
+        return held(F.col("text").cast("string"))
 
     parts = [column(index) for index in item_blocks(benchmark)]
     if not parts:
-        return docs.withColumn(out, F.array().cast(kind))
-    return docs.withColumn(out, F.array_sort(F.concat(*parts)) if len(parts) > 1 else parts[0])
+        return F.array().cast(kind)
+    return F.array_sort(F.concat(*parts)) if len(parts) > 1 else parts[0]
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,5 +163,5 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     item_id, containment."""
     jobs.prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = with_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.select("doc_id", F.explode("items").alias("item")).select("doc_id", "item.item_id", "item.containment")
+    found = items_in(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.select("doc_id", F.explode(found).alias("item")).select("doc_id", "item.item_id", "item.containment")

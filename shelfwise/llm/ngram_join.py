@@ -34,7 +34,7 @@ RECALL = 0.9995
 
 def _sketcher(bands: int, rows: int, seed: int):
     def run(batches):
-        for batch in batches:
+        for batch in text.portions(batches):
             w = text.words_of(batch.column("text"))
             values, limits = text.shingles(w.hash, w.first)
             full = np.flatnonzero(np.diff(limits))

@@ -34,7 +34,7 @@ MOST_HASHES = 24
 
 def _paragraphs(bands: int, rows: int, least: int, seed: int):
     def run(batches):
-        for batch in batches:
+        for batch in text.portions(batches):
             w = text.words_of(batch.column("text"))
             first, doc = text.sentences(w)
             long = np.flatnonzero(np.diff(first) >= least)

@@ -89,7 +89,7 @@ def retained(w: text.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _suffixes(batches):
-    for batch in batches:
+    for batch in text.portions(batches):
         w = text.words_of(batch.column("text"))
         doc, at, h = retained(w)
         yield pa.RecordBatch.from_arrays([
@@ -99,7 +99,7 @@ def _suffixes(batches):
 
 def _contexts(batches):
     """Words after the first REACH and words before, as 4 bytes each."""
-    for batch in batches:
+    for batch in text.portions(batches):
         w = text.words_of(batch.column("text"))
         short = (w.hash >> np.uint64(32)).astype(">u4")
         lists = batch.column("found")

@@ -83,6 +83,25 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def cuts_of(texts: pa.Array, most: int = 8 << 20) -> list[tuple[int, int]]:
+    """Runs of rows whose texts have at most so many bytes (or are one row)."""
+    ends = pc.fill_null(pc.binary_length(texts.cast(pa.large_string())), 0).to_numpy(zero_copy_only=False).cumsum()
+    out, at = [], 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+        out.append((at, stop))
+        at = stop
+    return out
+
+
+def portions(batches, column: str = "text"):
+    """Batches cut so that the texts of one are a few MB (or one row)."""
+    for batch in batches:
+        for at, stop in cuts_of(batch.column(column)):
+            yield batch.slice(at, stop - at)
+
+
 def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of each byte range start:end (ranges in order, none empty):
     differences of prefix sums of a polynomial, a chunk of bytes at a time."""

@@ -214,7 +214,7 @@ def platt(net: Network, logits: np.ndarray, labels: np.ndarray) -> None:
 
 
 def _ids_batches(batches):
-    for batch in batches:
+    for batch in text.portions(batches):
         ids, first = word_ids(batch.column("text"))
         yield pa.RecordBatch.from_arrays([
             batch.column("label"), batch.column("fold"), batch.column("lang"),
@@ -277,30 +277,25 @@ def scorer(spark: SparkSession, net: Network):
     shared = spark.sparkContext.broadcast(net)
 
     @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
-        model = shared.value
-        if len(texts) == 0:
-            return pa.array([], pa.float64())
-        return pa.array(model.scores(*word_ids(texts)), pa.float64())
+    def scores(texts: pa.Array) -> pa.Array:
+        parts = [shared.value.scores(*word_ids(texts[a:b])) for a, b in text.cuts_of(texts)]
+        return pa.array(np.concatenate(parts) if parts else [], pa.float64())
 
-    return score
+    return scores
 
 
-def classify(docs: DataFrame, net: Network) -> DataFrame:
-    """All rows and columns of docs plus score, threshold (of the row's
-    language) and rejected. The score reads the text alone."""
-    spark = docs.sparkSession
-    names = {"score", "threshold", "rejected"} & set(docs.columns)
-    if names:
-        raise ValueError(f"columns taken: {sorted(names)}")
-    base = F.lit(net.thresholds.get("", 0.5))
-    cut = base
+def threshold(net: Network):
+    """Column: the calibrated threshold of the row's language."""
+    cut = F.lit(net.thresholds.get("", 0.5))
     for lang, t in sorted(net.thresholds.items()):
         if lang:
             cut = F.when(F.coalesce("lang", F.lit("")) == lang, F.lit(t)).otherwise(cut)
-    return (docs.withColumn("score", scorer(spark, net)(F.col("text")))
-            .withColumn("threshold", cut)
-            .withColumn("rejected", F.col("score") >= F.col("threshold")))
+    return cut
+
+
+def score(docs: DataFrame, net: Network):
+    """Column: the score, which reads the text alone."""
+    return scorer(docs.sparkSession, net)(F.col("text").cast("string"))
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,6 +304,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.prepare(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     net = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return classify(docs, net).select(
+    rated = docs.select("doc_id", score(docs, net).alias("score"), threshold(net).alias("threshold"))
+    return rated.select(
         "doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold", "rejected")
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold",
+        (F.col("score") >= F.col("threshold")).alias("rejected"))
