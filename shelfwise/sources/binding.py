@@ -17,10 +17,8 @@ Fixed binding rules (shared with the DuckDB oracle in ``oracles.py``):
                 mailer code max('A' if l_linestatus = 'F' and
                 l_discount >= 0.05 else '0'); rows with some promotion only
   products      part: category p_type, brand p_brand, package p_size
-  demographics  customers with c_custkey % 3 = 0 -- the data set holds
-                demographics for roughly a third of households (opt-in),
-                so the income model must drop the rest; income band
-                number least(11, greatest(0, floor((c_acctbal+1000)/917)))
+  demographics  every customer; income band number
+                least(11, greatest(0, floor((c_acctbal+1000)/917)))
   campaigns     region rows; households targeted via nation's region
 """
 
@@ -37,7 +35,6 @@ MAILER_CODE = "A"
 NO_PROMO_CODE = "0"
 INCOME_BAND_WIDTH = 917.0
 INCOME_BAND_OFFSET = 1000.0
-DEMOGRAPHICS_EVERY = 3
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,7 +96,6 @@ def raw_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("c_acctbal") + INCOME_BAND_OFFSET) / INCOME_BAND_WIDTH).cast("int")))
     labels = F.array(*[F.lit(b) for b, _ in INCOME_BANDS])
     return (table(spark, sf_dir, "customer")
-            .filter(F.col("c_custkey") % DEMOGRAPHICS_EVERY == 0)
             .select(F.col("c_custkey").alias("household_id"),
                     F.col("c_mktsegment").alias("age"),
                     F.element_at(labels, band + 1).alias("income"),
