@@ -55,10 +55,12 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        # written first, so that the join below deals out plain rows and a
+        # node with very many edges can be split
+        low = scratch.cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         large = scratch.cut(both.join(low, "a").where("b > a").select(
             F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = scratch.cut(large.groupBy("a").agg(F.min("b").alias("m")))
         small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
         edges = scratch.cut(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
