@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.operators.graph import components  # noqa: F401
 from shelfwise.operators.lineage import Scratch
 from shelfwise.session import ensure_checkpoint_dir
 
@@ -38,37 +39,3 @@ def sized(df: DataFrame, rows: int) -> DataFrame:
 
 def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
-
-
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """Connected components of edges (a, b): rows (node, root) for every node
-    that has an edge, root the smallest node of its component.
-
-    Alternates the large-star and small-star steps: each rewires edges
-    towards the smallest neighbour until nothing changes, which takes a
-    number of rounds logarithmic in the longest path. Each round is two
-    grouped minima and two joins over the edge table, never a whole
-    component in one task.
-    """
-    edges = scratch.cut(edges.where("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        # written first, so that the join below deals out plain rows and a
-        # node with very many edges can be split
-        low = scratch.cut(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
-        large = scratch.cut(both.join(low, "a").where("b > a").select(
-            F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
-        low = scratch.cut(large.groupBy("a").agg(F.min("b").alias("m")))
-        small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        edges = scratch.cut(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-        now = tuple(edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long")),
-                              F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if now == seen:
-            break
-        seen = now
-    stars = edges.groupBy("a").agg(F.min("b").alias("b"))
-    return scratch.cut(stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
-                       .unionByName(stars.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct())

@@ -51,39 +51,41 @@ def _paragraphs(bands: int, rows: int, least: int, seed: int):
             base = at[w.offsets[:-1]][doc]
             ids = batch.column("doc_id").take(pa.array(doc, pa.int64()))
             yield pa.RecordBatch.from_arrays([
-                ids, pa.array((at[w.start[begin]] - base).astype(np.int32)),
+                ids, pa.array(keys[:, 0].view(np.int64)), pa.array((at[w.start[begin]] - base).astype(np.int32)),
                 pa.array((at[w.end[end - 1]] - base).astype(np.int32)),
                 pa.array([k.tobytes() for k in keys], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(np.arange(len(long) + 1, dtype=np.int32) * bands), pa.array(found.ravel()))],
-                ["doc_id", "start", "stop", "node", "bands"])
+                ["doc_id", "key", "start", "stop", "node", "bands"])
     return run
 
 
 def _bucket_rows(batches):
-    """(value, node) of each band, once for a batch."""
+    """(value, key) of each band, once for a batch."""
     for batch in batches:
-        lists = batch.column("bands")
-        values = lists.flatten().to_numpy(zero_copy_only=False)
-        nodes = np.asarray(batch.column("node").to_pylist(), dtype=object)
-        bands = len(values) // max(1, len(nodes))
-        seen = dict.fromkeys(zip(values.tolist(), np.repeat(nodes, bands).tolist(), strict=True))
-        yield pa.RecordBatch.from_arrays([
-            pa.array([v for v, _ in seen], pa.int64()), pa.array([n for _, n in seen], pa.binary())], ["value", "node"])
+        values = batch.column("bands").flatten().to_numpy(zero_copy_only=False)
+        keys = batch.column("key").to_numpy(zero_copy_only=False)
+        keys = np.repeat(keys, len(values) // max(1, len(keys)))
+        order = np.lexsort((keys, values))
+        values, keys = values[order], keys[order]
+        fresh = np.flatnonzero(np.r_[True, (values[1:] != values[:-1]) | (keys[1:] != keys[:-1])]) if len(values) else order
+        yield pa.RecordBatch.from_arrays([pa.array(values[fresh], pa.int64()), pa.array(keys[fresh], pa.int64())], ["value", "key"])
 
 
 def _to_first(batches):
-    """Rows sorted by (value, node): each node that differs from the first of
-    its value is linked to it. Only the first is held."""
-    value, least = None, None
+    """Rows sorted by (value, key): each key that differs from the first of
+    its value is linked to it. Only the first is held between batches."""
+    value = least = None
     for batch in batches:
-        a, b = [], []
-        for v, n in zip(batch.column("value").to_pylist(), batch.column("node").to_pylist(), strict=True):
-            if v != value:
-                value, least = v, n
-            elif n != least:
-                a.append(n)
-                b.append(least)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+        values = batch.column("value").to_numpy(zero_copy_only=False)
+        keys = batch.column("key").to_numpy(zero_copy_only=False)
+        if not len(values):
+            continue
+        opens = np.r_[value is None or values[0] != value, values[1:] != values[:-1]]
+        at = np.maximum.accumulate(np.where(opens, np.arange(len(values)), -1))
+        first = np.where(at >= 0, keys[np.maximum(at, 0)], least if least is not None else 0)
+        value, least = values[-1], first[-1]
+        link = keys != first
+        yield pa.RecordBatch.from_arrays([pa.array(keys[link], pa.int64()), pa.array(first[link], pa.int64())], ["a", "b"])
 
 
 def paragraph_clusters(docs: DataFrame, scratch: Scratch, least: int = LEAST_WORDS, recall: float = RECALL,
@@ -95,27 +97,30 @@ def paragraph_clusters(docs: DataFrame, scratch: Scratch, least: int = LEAST_WOR
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         "doc_id is not null")
     sketch = scratch.cut(texts.mapInArrow(
-        _paragraphs(bands, rows, least, seed), "doc_id long, start int, stop int, node binary, bands array<long>"))
+        _paragraphs(bands, rows, least, seed),
+        "doc_id long, key long, start int, stop int, node binary, bands array<long>"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = (sketch.select("node", "bands").mapInArrow(_bucket_rows, "value long, node binary")
-             .repartition(parts, "value").sortWithinPartitions("value", "node")
-             .mapInArrow(_to_first, "a binary, b binary").groupBy("a", "b").agg(F.count("*").alias("shared")))
-    candidates = jobs.components(links.select("a", "b"), scratch)
-    nodes = scratch.cut(sketch.groupBy("node").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "stop")).alias("at")).join(candidates, "node", "left")
+    # candidates go by half of the hash: should two classes share it, one more
+    # pair is compared
+    links = (sketch.select("key", "bands").mapInArrow(_bucket_rows, "value long, key long")
+             .repartition(parts, "value").sortWithinPartitions("value", "key")
+             .mapInArrow(_to_first, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("shared")))
+    candidates = jobs.components(links.select("a", "b"), scratch).withColumnRenamed("node", "key")
+    nodes = scratch.cut(sketch.groupBy("node", "key").agg(
+        F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "stop")).alias("at")).join(candidates, "key", "left")
         .where("n > 1 or root is not null"))
     members = scratch.cut(near.deal(nodes.where("root is not null").select(
         "node", "root", "n", "at", (F.col("at.stop") - F.col("at.start")).cast("long").alias("bytes"))))
     dealt, held = near.block_pairs(members, parts)
     if held:
         # one text for each class, cut out of its first document
-        cut = (texts.join(jobs.sized(members.select("node", "at", F.col("at.doc_id").alias("doc_id")), held), "doc_id")
+        cut = (texts.join(members.select("node", "at", F.col("at.doc_id").alias("doc_id")), "doc_id")
                .select("node", F.substring(F.col("text"), F.col("at.start") + 1, F.col("at.stop") - F.col("at.start")).alias("text")))
         verified = scratch.cut(near.verify(dealt.join(cut, "node"), "binary"))
     else:
         verified = spark.createDataFrame([], "node binary, links long, root binary")
     roots = jobs.components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")), scratch)
-    named = nodes.drop("root").join(roots, "node", "left").where("n > 1 or root is not null").select(
+    named = nodes.drop("root", "key").join(roots, "node", "left").where("n > 1 or root is not null").select(
         "node", "n", "at", F.coalesce("root", "node").alias("cluster"))
     clusters = named.groupBy("cluster").agg(F.sum("n").alias("copies"), F.min("at").alias("first"))
     named = named.select("node", "cluster").join(clusters, "cluster")

@@ -188,7 +188,10 @@ def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         "doc_id is not null")
     found = scratch.cut(texts.mapInArrow(_suffixes, "doc_id long, at int, h long"))
-    shared = found.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last")
+    # written first: the join then deals out plain rows, and a hash that many
+    # documents have can be split
+    shared = scratch.cut(found.groupBy("h").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last"))
     kept = found.join(shared.select("h", "first"), "h")
     by_doc = kept.groupBy("doc_id").agg(F.collect_set(F.struct("at", "h", "first")).alias("found"))
     rows = scratch.cut(texts.join(by_doc, "doc_id").mapInArrow(
