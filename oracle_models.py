@@ -161,9 +161,21 @@ def model_sql(m: SqlModel, select_tail) -> str:
     return ",\n" + ",\n".join(ctes) + "\n" + select_tail(f"{t}_long", names)
 
 
+def p_of(z: str) -> str:
+    """Two-sided normal p-value: the integral from 0 to |z| as its series
+    phi(z) * sum of z^(2k+1) / (1 * 3 * ... * (2k+1)); beyond 7 it is 0 here."""
+    a = f"greatest(abs({z}), 1e-12)"
+    term = (f"exp((2 * k + 1) * ln({a}) - (k + 1) * ln(2.0) - lgamma(k + 1.5) + 0.5 * ln(pi()))")
+    total = f"list_sum(list_transform(range(0, 150), lambda k: {term}))"
+    return (f"CASE WHEN abs({z}) > 7 THEN 0.0 ELSE "
+            f"1 - 2 * exp(-0.5 * ({z}) * ({z})) / sqrt(2 * pi()) * {total} END")
+
+
 def coef_table(long_cte: str, names) -> str:
     return f"""
 SELECT product_category, term, round(coef, 6) AS coef, round(se, 6) AS se, round(z, 6) AS z,
+       round({p_of("z")}, 6) AS p_value, round(coef - {Z_CRIT} * se, 6) AS ci_low,
+       round(coef + {Z_CRIT} * se, 6) AS ci_high,
        abs(z) > {Z_CRIT} AS significant, n AS n_obs, CAST(n_params AS BIGINT) AS n_params,
        CAST(ncl AS BIGINT) AS n_clusters, round(r2, 6) AS r2
 FROM {long_cte}"""
@@ -278,6 +290,7 @@ SELECT upper(substr(product_category, 1, 1)) || lower(substr(product_category, 2
        CASE term WHEN 'is_displayed' THEN 'In-store display' ELSE 'Mailer/flyer feature' END
          AS promo_type,
        round((exp(coef) - 1) * 100, 6) AS pct_lift, round(z, 6) AS z,
+       round({p_of("z")}, 6) AS p_value,
        abs(z) > {Z_CRIT} AS significant
 FROM mf_long WHERE term IN ('is_displayed', 'is_mailed')"""
 
@@ -304,7 +317,7 @@ sku_panel AS (
                               ["store_id", "week"], None, cov="hc1", sweeps=SKU_SWEEPS,
                               components=True, tag="sk"), lambda c, n: f"""
 SELECT product_category, sku, n AS n_obs, round(coef, 6) AS elasticity, round(se, 6) AS se,
-       round(z, 6) AS z, abs(z) > {Z_CRIT} AS significant
+       round(z, 6) AS z, round({p_of("z")}, 6) AS p_value, abs(z) > {Z_CRIT} AS significant
 FROM {c} WHERE term = 'log_price'""")
     return prefix + body
 

@@ -68,19 +68,5 @@ def composite_label(a: Column | str, b: Column | str, sep: str = " — ") -> Col
     return F.concat_ws(sep, col(a), col(b))
 
 
-def linspace(spark, start: Column | float, stop: Column | float, n: int, name: str = "x"):
-    """n evenly spaced points as a DataFrame (id, name)."""
-    s = start if isinstance(start, Column) else F.lit(float(start))
-    e = stop if isinstance(stop, Column) else F.lit(float(stop))
-    step = (e - s) / F.lit(float(max(n - 1, 1)))
-    return spark.range(n).select(F.col("id").alias("point"),
-                                 (s + F.col("id").cast("double") * step).alias(name))
-
-
 # Two-sided 5% critical value of the standard normal (fixed value).
 Z_CRIT_95 = 1.959963984540054
-
-
-def significant(z: Column | str, crit: float = Z_CRIT_95) -> Column:
-    """B20 on z: |z| > 1.96 is p < 0.05 under the normal reference."""
-    return F.abs(col(z)) > F.lit(crit)

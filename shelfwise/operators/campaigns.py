@@ -27,10 +27,10 @@ def campaign_reach(dim_campaign: DataFrame, bridge: DataFrame, dim_household: Da
                   F.count("_has_demo").alias("n_with_demographics")))
     # Pre-aggregate lines to household-days inside the campaigns' overall date
     # span (map-side combine) before the household join shuffles them.
-    span = camp.agg(F.min("start_date").alias("_lo"), F.max("end_date").alias("_hi"))
+    # The span is two dates, so it reaches the scan as literals.
+    low, high = camp.agg(F.min("start_date"), F.max("end_date")).first()
     daily = (txn.select("household_id", "transaction_date", "sales_value")
-             .crossJoin(F.broadcast(span))
-             .filter(F.col("transaction_date").between(F.col("_lo"), F.col("_hi")))
+             .filter(F.col("transaction_date").between(F.lit(low).cast("date"), F.lit(high).cast("date")))
              .groupBy("household_id", "transaction_date")
              .agg(F.count(F.lit(1)).alias("_lines"), F.sum("sales_value").alias("_spend")))
     window = (targeted.join(broadcast_checked(camp), "campaign_id")

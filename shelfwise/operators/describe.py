@@ -1,10 +1,12 @@
 """Descriptive aggregates over panels.
 
 Every function is a grouped aggregate with map-side partial aggregation.
-Exact quantiles use Spark's ``percentile``, whose partial buffers are
-value->count maps: memory grows with the number of distinct values in a
-group, not with its rows, and partial buffers merge across tasks. Pass
-``approx=True`` for continuous columns with unbounded distinct values.
+Exact quantiles come in two passes: a mergeable sketch brackets the ranks
+that are wanted, then the rows below a bracket are counted and the values
+inside it, a few thousandths of the group, are counted and put in order.
+``approx=True`` stops at the sketch. Tables of one row per group go back to
+the lines by a size-checked broadcast, so lines are never dealt out by a few
+group keys.
 Top-N per group uses ``row_number() <= N``; Spark inserts a partial
 window-group limit before the shuffle, so each group ships at most N rows
 per map task.
@@ -15,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.operators.joins import broadcast_checked
+
 CAT = "product_category"
 
 PROMO_TYPES = [("is_displayed", "Display"), ("is_mailed", "Mailer")]
@@ -33,12 +37,52 @@ def _wavg(df: DataFrame, c: str):
     return F.sum(F.col(c) * _w(df)) / F.sum(F.when(F.col(c).isNotNull(), _w(df)))
 
 
-def _quantile(c: str, p, approx: bool, df: DataFrame | None = None):
+#: A first cut puts a group's values into at most so many bins of equal width.
+BINS = 4096
+
+
+def group_quantiles(df: DataFrame, keys: list, c: str, probs: list, names: list,
+                    approx: bool = False) -> DataFrame:
+    """Quantiles of c by group (linear interpolation between ranks, frequency
+    weights honoured, NULLs left out), a column for each probability.
+
+    Exact, in passes that each end in a partial aggregate: the range and count
+    of a group; its counts by bin, a bounded table whose running sums tell the
+    bin of each wanted rank and how many values lie below; then the values of
+    those bins alone, counted and put in order."""
+    rows = df.filter(F.col(c).isNotNull()).select(
+        *keys, F.col(c).cast("double").alias("_v"), _w(df).alias("_wt"))
     if approx:
-        return F.percentile_approx(c, p, 100000)
-    if df is not None and "n_lines" in df.columns:
-        return F.percentile(F.col(c), p, F.col("n_lines"))
-    return F.percentile(c, p)
+        # the sketch reads rows, so weights count as repetitions of a value
+        each = rows.withColumn("_v", F.explode(F.array_repeat("_v", F.col("_wt").cast("int"))))
+        q = each.groupBy(*keys).agg(F.percentile_approx("_v", list(probs), 100000).alias("_q"))
+        return q.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    span = rows.groupBy(*keys).agg(F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.sum("_wt").alias("_n"))
+    place = F.when(F.col("_max") > F.col("_min"), F.least(F.lit(BINS - 1), F.floor(
+        (F.col("_v") - F.col("_min")) / (F.col("_max") - F.col("_min")) * BINS))).otherwise(F.lit(0)).cast("int")
+    placed = rows.join(broadcast_checked(span), keys).withColumn("_bin", place)
+    bins = placed.groupBy(*keys, "_n", "_bin").agg(F.sum("_wt").alias("_in"))
+    order = Window.partitionBy(*keys).orderBy("_bin")
+    bins = bins.withColumn("_upto", F.sum("_in").over(order)).withColumn("_below", F.col("_upto") - F.col("_in"))
+    # ranks (from 0) on either side of each probability
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), f(F.lit(p) * (F.col("_n") - 1)).cast("long").alias("rank"))
+                      for i, p in enumerate(probs) for side, f in ((0, F.floor), (1, F.ceil))])
+    wanted = (bins.withColumn("_r", F.explode(ranks)).select("*", "_r.*")
+              .filter((F.col("rank") >= F.col("_below")) & (F.col("rank") < F.col("_upto"))))
+    inside = (placed.join(broadcast_checked(wanted.select(*keys, "_bin").distinct()), [*keys, "_bin"])
+              .groupBy(*keys, "_bin", "_v").agg(F.sum("_wt").alias("_wt")))
+    inside = inside.withColumn("_to", F.sum("_wt").over(Window.partitionBy(*keys, "_bin").orderBy("_v")))
+    found = (wanted.join(inside, [*keys, "_bin"])
+             .filter((F.col("rank") - F.col("_below") < F.col("_to"))
+                     & (F.col("rank") - F.col("_below") >= F.col("_to") - F.col("_wt"))))
+    picked = found.groupBy(*keys).agg(F.first("_n").alias("_n"), *[
+        F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col("_v"))).alias(f"_{i}_{side}")
+        for i in range(len(probs)) for side in (0, 1)])
+    def between(i, p):
+        at = F.lit(p) * (F.col("_n") - 1)
+        low, high = F.col(f"_{i}_0"), F.col(f"_{i}_1")
+        return low + (at - F.floor(at)) * (high - low)
+    return picked.select(*keys, *[between(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names))])
 
 
 def weighted_std(df: DataFrame, keys: list, c: str, name: str) -> DataFrame:
@@ -49,7 +93,7 @@ def weighted_std(df: DataFrame, keys: list, c: str, name: str) -> DataFrame:
     means = df.groupBy(*keys).agg(_wavg(df, c).alias("_mu"))
     n = F.sum(F.when(F.col(c).isNotNull(), w))
     ss = F.sum(w * (F.col(c) - F.col("_mu")) * (F.col(c) - F.col("_mu")))
-    return (df.join(means, keys).groupBy(*keys)
+    return (df.join(broadcast_checked(means), keys).groupBy(*keys)
             .agg(F.when(n > 1, F.sqrt(ss / (n - 1))).alias(name)))
 
 
@@ -92,10 +136,10 @@ def weekly_trend(panel: DataFrame, price: str = "unit_price") -> DataFrame:
 
 def price_by_promo(lines: DataFrame, price: str = "unit_price", approx: bool = False) -> DataFrame:
     """Mean, median and count of price by promotion status."""
-    return lines.groupBy(CAT, "is_promo").agg(
-        _wavg(lines, price).alias("mean_price"),
-        _quantile(price, 0.5, approx, lines).alias("median_price"),
-        _wcount(lines, price).alias("n"))
+    keys = [CAT, "is_promo"]
+    out = lines.groupBy(*keys).agg(_wavg(lines, price).alias("mean_price"), _wcount(lines, price).alias("n"))
+    return (out.join(group_quantiles(lines, keys, price, [0.5], ["median_price"], approx), keys, "left")
+            .select(*keys, "mean_price", "median_price", "n"))
 
 
 def boxplot_stats(lines: DataFrame, group: str, value: str = "unit_price",
@@ -105,21 +149,17 @@ def boxplot_stats(lines: DataFrame, group: str, value: str = "unit_price",
     quartiles, then a join back (one row per group) and a conditional
     min/max/count."""
     keys = [CAT, group]
-    q = (lines.groupBy(*keys)
-         .agg(_quantile(value, [0.25, 0.5, 0.75], approx, lines).alias("_q"),
-              _wcount(lines, value).alias("n"))
-         .select(*keys, "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"))
+    q = (lines.groupBy(*keys).agg(_wcount(lines, value).alias("n"))
+         .join(group_quantiles(lines, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"], approx), keys, "left")
+         .select(*keys, "n", "q1", "median", "q3")
          .withColumn("iqr", F.col("q3") - F.col("q1"))
          .withColumn("_lo", F.col("q1") - whisker * F.col("iqr"))
          .withColumn("_hi", F.col("q3") + whisker * F.col("iqr")))
     v = F.col(value)
     inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
     wt = _w(lines)
-    # One row per group, but the group column is arbitrary: AQE broadcasts it
-    # from its measured size instead of a counting pass over the lines.
     w = (lines.select(*keys, value, wt.alias("_wt"))
-         .join(q.select(*keys, "_lo", "_hi"), keys)
+         .join(broadcast_checked(q.select(*keys, "_lo", "_hi")), keys)
          .groupBy(*keys).agg(F.min(F.when(inside, v)).alias("whisker_low"),
                              F.max(F.when(inside, v)).alias("whisker_high"),
                              F.sum(F.when(v.isNotNull() & ~inside, F.col("_wt")).otherwise(0))
@@ -172,10 +212,11 @@ def store_price_order(lines: DataFrame, stores: DataFrame, price: str = "unit_pr
                       approx: bool = False) -> DataFrame:
     """C5 + E3: price median per (category, store) for the given stores,
     with the display order of stores by median."""
-    sub = lines.join(F.broadcast(stores.select("store_id")), "store_id", "left_semi")
-    med = sub.groupBy(CAT, "store_id").agg(
-        _quantile(price, 0.5, approx, lines).alias("median_price"),
-        _wcount(lines, price).alias("n"))
+    sub = lines.join(broadcast_checked(stores.select("store_id")), "store_id", "left_semi")
+    keys = [CAT, "store_id"]
+    med = (sub.groupBy(*keys).agg(_wcount(lines, price).alias("n"))
+           .join(group_quantiles(sub, keys, price, [0.5], ["median_price"], approx), keys, "left")
+           .select(*keys, "median_price", "n"))
     w = Window.partitionBy(CAT).orderBy(F.asc("median_price"), F.asc("store_id"))
     return med.withColumn("order", F.row_number().over(w))
 
@@ -224,7 +265,7 @@ def promo_overlap(panel: DataFrame) -> DataFrame:
 
 def quantiles(df: DataFrame, value: str, probs, by=None, approx: bool = False) -> DataFrame:
     """Exact (linear interpolation) quantiles, optionally per group."""
-    agg = _quantile(value, list(probs), approx).alias("_q")
-    out = df.groupBy(*by).agg(agg) if by else df.agg(agg)
-    sel = [F.col("_q")[i].alias(f"q{int(round(p * 1000)):04d}") for i, p in enumerate(probs)]
-    return out.select(*(by or []), *sel)
+    names = [f"q{int(round(p * 1000)):04d}" for p in probs]
+    keys = list(by or ["_all"])
+    out = group_quantiles(df if by else df.withColumn("_all", F.lit(0)), keys, value, list(probs), names, approx)
+    return out if by else out.drop("_all")

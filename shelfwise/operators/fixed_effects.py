@@ -6,15 +6,17 @@ effects are absorbed, never one-hot), G10-G13.
 
 Plan:
 1. ``base``: y and the expanded regressors (interactions are products
-   taken before demeaning) with the group, effect and cluster keys;
-   checkpointed once and cached, since every sweep scans it.
-2. Absorb the effects by Gauss-Seidel backfitting: for each effect key k,
-   e_k = mean over (by, k) of (v - sum of the other effects). Each update
-   is a scan of ``base`` joined to the other (small, aggregated) effect
-   tables plus a grouped average with map-side partial aggregation; the
-   new effect table is checkpointed so the plan never grows. Row data is
-   never rewritten. Identical iterates to alternating demeaning
-   (x <- x - mean_k(x) in turn), so results agree with the SQL window form.
+   taken before demeaning) with the group, effect and cluster keys, written
+   once and cached. Rows with a NULL in y, a regressor or any key are left
+   out, as a formula interface does.
+2. Absorb the effects by conjugate gradients on the normal equations of the
+   effect dummies, D'D e = D'v, for all value columns at once. D is never
+   built: one step joins the current direction's (small, aggregated) level
+   tables to ``base``, sums their values by row, and adds these sums up by
+   level of every key in one grouped aggregate. So a step is one scan and two
+   written level tables, whatever the number of keys; the scalars of a step
+   are sums over level tables by group. The fit stops when the remaining
+   level means are negligible and raises if that is not reached.
 3. Moments of the demeaned columns per group: one aggregate, K(K+3)/2 sums.
 4. Solve per group (numpy under mapInPandas on the moment table: one row per
    group, so it scales with the number of groups, not rows).
@@ -26,8 +28,6 @@ Plan:
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-import os
-import time
 from functools import reduce
 
 import numpy as np
@@ -51,24 +51,15 @@ class Model:
     by: tuple = ("product_category",)
     cluster: str | None = "product_id"
     cov: str = "cluster"              # 'cluster' or 'hc1'
-    sweeps: int = 100                 # cap on sweeps (exact count when tol is None)
-    tol: float | None = 1e-12         # stop once no demeaned value moves more than tol
-    relax: float = 1.0                # over-relaxation factor of the sweeps (1 = plain)
-    pair_tables: bool | None = None   # None: decide from measured cells per pair
-    first_check: int = 4              # sweeps before the first convergence check
-    check_every: int = 2              # sweeps between checks
+    tol: float = 1e-12                # remaining level means, relative to the values
+    max_steps: int = 2000             # safety bound: beyond it the fit raises
+    check_every: int = 3              # steps between convergence checks
     categorical: dict = field(default_factory=dict)
     connected: bool = True            # HC1 rank: count components (two-way) when False
 
 
-_PROFILE = os.environ.get("SHELFWISE_PROFILE") == "1"
-
-
-def _tick(label: str, t0: list) -> None:
-    if _PROFILE:
-        now = time.time()
-        print(f"[fit] {label}: {now - t0[0]:.2f}s", flush=True)
-        t0[0] = now
+class NotConverged(RuntimeError):
+    """The absorbed effects did not settle within ``max_steps``."""
 
 
 def _bc(df: DataFrame, n_rows: int | None) -> DataFrame:
@@ -93,114 +84,88 @@ def prepare(panel: DataFrame, model: Model):
     if not absorb:
         data = data.withColumn("_const", F.lit(0))
     ok = reduce(lambda a, b: a & b, [F.col(f"_v{i}").isNotNull() & ~F.isnan(f"_v{i}")
-                                     for i in range(len(design) + 1)])
+                                     for i in range(len(design) + 1)]
+                + [F.col(c).isNotNull() for c in _unique(by + keys + [model.cluster])])
     return spec, [n for n, _ in design], keys, data.filter(ok)
 
 
-class PairTables:
-    """Sufficient statistics for backfitting without scanning the panel.
-
-    ``sums[k]``: per (group, level of k) the row count and the sums of every
-    value column. ``pairs[(k, j)]``: per (group, level of k, level of j) the
-    row count (one table per unordered pair). An update of key k is then
-    e_k(l) = (sum_v(l) - sum_{j != k} sum_m n_kj(l, m) e_j(m)) / n_k(l) --
-    the same Gauss-Seidel iterate as averaging over the panel rows, but it
-    scans the pair tables, which are smaller than the panel by the number of
-    cells per pair."""
-
-    def __init__(self, base: DataFrame, by: list, keys: list, n_vals: int,
-                 scratch: lineage.Scratch):
-        self.sums, self.pairs, self.rows = {}, {}, {}
-        for k in keys:
-            self.sums[k] = scratch.cut(base.groupBy(*by, k).agg(
-                F.count(F.lit(1)).alias("_n"),
-                *[F.sum(f"_v{i}").alias(f"_s{i}") for i in range(n_vals)]))
-        for a in range(len(keys)):
-            for b in range(a + 1, len(keys)):
-                ka, kb = keys[a], keys[b]
-                t = scratch.cut(base.groupBy(*by, ka, kb).agg(F.count(F.lit(1)).alias("_n")))
-                self.pairs[(ka, kb)] = self.pairs[(kb, ka)] = t
-                self.rows[(ka, kb)] = self.rows[(kb, ka)] = t.count()
-
-    @staticmethod
-    def worth_it(base: DataFrame, by: list, keys: list, n_base: int, ratio: float = 4.0) -> bool:
-        """Use the pair tables when every pair has on average at least
-        ``ratio`` panel rows (measured with approximate distinct counts)."""
-        if len(keys) < 2 or n_base == 0:
-            return False
-        aggs = [F.approx_count_distinct(F.struct(*by, keys[a], keys[b])).alias(f"_c{a}{b}")
-                for a in range(len(keys)) for b in range(a + 1, len(keys))]
-        row = base.agg(*aggs).first()
-        return max(row) * ratio <= n_base
-
-
-def _pair_update(pt: PairTables, effects: dict, sizes: dict, by: list, keys: list, k: str,
-                 n_vals: int) -> DataFrame:
-    def ecol(j, i):
-        return f"_e{keys.index(j)}_{i}"
-
-    out = pt.sums[k]
-    for j in keys:
-        if j == k or j not in effects:
-            continue
-        t = (pt.pairs[(k, j)].join(_bc(effects[j], sizes[j]), by + [j])
-             .groupBy(*by, k)
-             .agg(*[F.sum(F.col("_n") * F.col(ecol(j, i))).alias(f"_x{keys.index(j)}_{i}")
-                    for i in range(n_vals)]))
-        out = out.join(t, by + [k], "left")
-    cols = []
-    for i in range(n_vals):
-        e = F.col(f"_s{i}")
-        for j in keys:
-            if j != k and j in effects:
-                e = e - F.coalesce(F.col(f"_x{keys.index(j)}_{i}"), F.lit(0.0))
-        cols.append((e / F.col("_n")).alias(ecol(k, i)))
-    return out.select(*by, k, *cols)
-
-
-def absorb_effects(base: DataFrame, by: list, keys: list, n_vals: int, sweeps: int,
-                   scratch: lineage.Scratch, effects: dict | None = None,
-                   sizes: dict | None = None, relax: float = 1.0,
-                   pairs: "PairTables | None" = None):
-    """Run ``sweeps`` backfitting sweeps, continuing from ``effects``.
-    ``relax`` (0 < w < 2) over-relaxes each update, e <- e + w (mean - e):
-    block SOR on a positive definite system, same fixed point.
-    Returns ({key: effect table}, {key: n rows})."""
-    def ecol(k, i):
-        return f"_e{keys.index(k)}_{i}"
-
-    effects, sizes = dict(effects or {}), dict(sizes or {})
-    if len(keys) == 1 and keys[0] in effects:
-        return effects, sizes          # one effect: exact after one pass
-    for _ in range(1 if len(keys) == 1 else sweeps):
-        for k in keys:
-            others = [j for j in keys if j != k and j in effects]
-            r = base
-            for j in others:
-                r = r.join(_bc(effects[j], sizes[j]), by + [j])
-            exprs = []
-            for i in range(n_vals):
-                e = F.col(f"_v{i}")
-                for j in others:
-                    e = e - F.col(ecol(j, i))
-                exprs.append(F.avg(e).alias(ecol(k, i)))
-            t_step = time.time()
-            if pairs is not None:
-                upd = _pair_update(pairs, effects, sizes, by, keys, k, n_vals)
-            else:
-                upd = r.groupBy(*by, k).agg(*exprs)
-            if relax != 1.0 and k in effects:
-                old = _bc(effects[k], sizes[k]).select(
-                    *by, k, *[F.col(ecol(k, i)).alias(f"_o{i}") for i in range(n_vals)])
-                upd = upd.join(old, by + [k]).select(*by, k, *[
-                    (F.col(f"_o{i}") + relax * (F.col(ecol(k, i)) - F.col(f"_o{i}")))
-                    .alias(ecol(k, i)) for i in range(n_vals)])
-            effects[k] = scratch.cut(upd)
-            if _PROFILE:
-                print(f"[fit]   step {k}: {time.time() - t_step:.2f}s", flush=True)
-            if k not in sizes:
-                sizes[k] = effects[k].count()
-    return effects, sizes
+def _level_type(base: DataFrame, keys: list) -> str:
+    kinds = {f.name: f.dataType for f in base.schema.fields}
+    return "long" if all(isinstance(kinds[k], T.IntegralType) for k in keys) else "string"
+
+
+def _by_level(rows: DataFrame, by: list, keys: list, kind: str, sums: list) -> DataFrame:
+    """Sums over rows by group, key (its index, ``_k``) and level (``_l``)."""
+    each = F.explode(F.array(*[F.struct(F.lit(j).alias("_k"), F.col(k).cast(kind).alias("_l"))
+                               for j, k in enumerate(keys)]))
+    return rows.withColumn("_kl", each).select("*", "_kl._k", "_kl._l").groupBy(*by, "_k", "_l").agg(*sums)
+
+
+def _of_key(vec: DataFrame, by: list, keys: list, j: int, cols: dict, base: DataFrame) -> DataFrame:
+    """Columns of key j's level rows, under the key's own name and type."""
+    kind = next(f.dataType for f in base.schema.fields if f.name == keys[j])
+    return vec.filter(F.col("_k") == j).select(*by, F.col("_l").cast(kind).alias(keys[j]),
+                                               *[F.col(c).alias(n) for c, n in cols.items()])
+
+
+def absorb_effects(base: DataFrame, by: list, keys: list, n_vals: int, model: "Model",
+                   scratch: lineage.Scratch):
+    """Effects of every key for every value column, by preconditioned
+    conjugate gradients. Returns ({key: effect table}, {key: n rows}, steps)."""
+    kind, vals = _level_type(base, keys), range(n_vals)
+    start = scratch.cut(_by_level(base, by, keys, kind, [
+        F.count(F.lit(1)).alias("_n"), *[F.sum(f"_v{i}").alias(f"_r{i}") for i in vals],
+        *[F.sum(F.col(f"_v{i}") * F.col(f"_v{i}")).alias(f"_ss{i}") for i in vals]]))
+    sizes = {keys[r["_k"]]: r["count"] for r in start.groupBy("_k").count().collect()}
+    n_groups = start.select(*by).distinct().count() if by else 1
+    # sums of squares of a group: those of any one key's levels
+    scale = start.filter("_k = 0").groupBy(*by).agg(*[F.sum(f"_ss{i}").alias(f"_ss{i}") for i in vals])
+
+    def beside(vec: DataFrame, table: DataFrame) -> DataFrame:
+        return vec.join(_bc(table, n_groups), by) if by else vec.crossJoin(F.broadcast(table))
+
+    vec = beside(start.drop(*[f"_ss{i}" for i in vals]), scale).select(
+        "*", *[F.lit(0.0).alias(f"_x{i}") for i in vals],
+        *[(F.col(f"_r{i}") / F.col("_n")).alias(f"_p{i}") for i in vals])
+    rz = [F.sum(F.col(f"_r{i}") * F.col(f"_r{i}") / F.col("_n")).alias(f"_z{i}") for i in vals]
+    steps = 0
+    while sizes:
+        rows = base
+        for j, k in enumerate(keys):
+            rows = rows.join(_bc(_of_key(vec, by, keys, j, {f"_p{i}": f"_p{j}_{i}" for i in vals}, base),
+                                 sizes.get(k)), by + [k])
+        total = [reduce(lambda a, b: a + b, [F.col(f"_p{j}_{i}") for j in range(len(keys))]) for i in vals]
+        moved = _by_level(rows.select(*by, *keys, *[t.alias(f"_t{i}") for i, t in zip(vals, total)]),
+                          by, keys, kind, [F.sum(f"_t{i}").alias(f"_a{i}") for i in vals])
+        new = scratch.cut(vec.drop(*[f"_z{i}" for i in vals]).join(moved, by + ["_k", "_l"]))
+        steps += 1
+        first = new.groupBy(*by).agg(*rz, *[F.sum(F.col(f"_p{i}") * F.col(f"_a{i}")).alias(f"_q{i}") for i in vals])
+        # a column that has settled stays: what is left of it is rounding
+        step = [F.when((F.col(f"_q{i}") > 0) & (F.col(f"_z{i}") > (0.1 * model.tol) ** 2 * F.col(f"_ss{i}")),
+                       F.col(f"_z{i}") / F.col(f"_q{i}")).otherwise(0.0) for i in vals]
+        carried = [*by, "_k", "_l", "_n", *[f"_ss{i}" for i in vals]]
+        new = beside(new, first).select(
+            *carried, *[f"_p{i}" for i in vals], *[F.col(f"_z{i}").alias(f"_o{i}") for i in vals],
+            *[(F.col(f"_x{i}") + step[i] * F.col(f"_p{i}")).alias(f"_x{i}") for i in vals],
+            *[(F.col(f"_r{i}") - step[i] * F.col(f"_a{i}")).alias(f"_r{i}") for i in vals])
+        second = new.groupBy(*by).agg(*rz)
+        turn = [F.when(F.col(f"_o{i}") > 0, F.col(f"_z{i}") / F.col(f"_o{i}")).otherwise(0.0) for i in vals]
+        # the small table is written too: the next step reads it once for every key
+        vec = scratch.cut(beside(new, second).select(
+            *carried, *[f"_x{i}" for i in vals], *[f"_r{i}" for i in vals], *[f"_z{i}" for i in vals],
+            *[(F.col(f"_r{i}") / F.col("_n") + turn[i] * F.col(f"_p{i}")).alias(f"_p{i}") for i in vals]))
+        if len(keys) == 1:
+            break                          # one key: the first step is exact
+        if steps % model.check_every == 0:
+            worst = vec.agg(F.max(F.greatest(F.lit(0.0), *[
+                F.when(F.col(f"_ss{i}") > 0, F.sqrt(F.col(f"_z{i}") / F.col(f"_ss{i}"))).otherwise(0.0)
+                for i in vals]))).first()[0]
+            if worst <= model.tol:
+                break
+            if steps >= model.max_steps:
+                raise NotConverged(f"effects of {keys}: remaining level means {worst:.3g} after {steps} steps")
+    effects = {k: _of_key(vec, by, keys, j, {f"_x{i}": f"_e{j}_{i}" for i in vals}, base) for j, k in enumerate(keys)}
+    return effects, {k: sizes.get(k, 0) for k in keys}, steps
 
 
 def demeaned(base: DataFrame, effects: dict, sizes: dict, by: list, keys: list,
@@ -218,26 +183,6 @@ def demeaned(base: DataFrame, effects: dict, sizes: dict, by: list, keys: list,
     return d.select(*[F.col(c) for c in _unique(by + extra)], *raw, *tilde)
 
 
-def max_row_change(base: DataFrame, cur: dict, prev: dict, sizes: dict, by: list, keys: list,
-                   n_vals: int):
-    """max over rows and value columns of |x~(cur) - x~(prev)|, i.e.
-    |sum_k (e_k,cur - e_k,prev)|. Shifts along the unidentified direction
-    (product effects up, store effects down) cancel here, unlike in the
-    effect tables themselves. One pass over ``base``."""
-    d = base.select(*by, *keys)
-    for j, k in enumerate(keys):
-        d = d.join(_bc(cur[k], sizes[k]), by + [k])
-        d = d.join(_bc(prev[k], sizes[k]).select(
-            *by, k, *[F.col(f"_e{j}_{i}").alias(f"_q{j}_{i}") for i in range(n_vals)]), by + [k])
-    diffs = []
-    for i in range(n_vals):
-        e = F.lit(0.0)
-        for j in range(len(keys)):
-            e = e + (F.col(f"_e{j}_{i}") - F.col(f"_q{j}_{i}"))
-        diffs.append(F.abs(e))
-    return d.agg(F.max(F.greatest(*diffs, F.lit(0.0)))).first()[0]
-
-
 def _moments(d: DataFrame, by: list, n_vals: int) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("n"), F.sum("_v0").alias("sy"),
             F.sum(F.col("_v0") * F.col("_v0")).alias("syy")]
@@ -297,12 +242,14 @@ def _sandwich_fn(model: Model, names: list, by: list, n_fe: list):
                         rank_fe = 1 + sum(lv - 1 for lv in levels)
                 else:
                     k_full, rank_fe = 1 + k, 1
-                v = ainv @ meat @ ainv
-                if model.cov == "cluster":
-                    g = r["n_clusters"]
-                    v = v * (g / (g - 1.0)) * ((n - 1.0) / (n - k_full))
+                # no error where clusters or degrees of freedom do not suffice
+                g, free = r["n_clusters"], n - (k_full if model.cov == "cluster" else rank_fe + r["rank_x"])
+                if free <= 0 or (model.cov == "cluster" and g < 2):
+                    v = np.full((k, k), np.nan)
+                elif model.cov == "cluster":
+                    v = ainv @ meat @ ainv * (g / (g - 1.0)) * ((n - 1.0) / free)
                 else:
-                    v = v * (n / (n - (rank_fe + r["rank_x"])))
+                    v = ainv @ meat @ ainv * (n / free)
                 r2 = 1.0 - r["ssr"] / r["sst"] if r["sst"] > 0 else float("nan")
                 for i, name in enumerate(names):
                     b = r[f"b_{i}"]
@@ -311,14 +258,18 @@ def _sandwich_fn(model: Model, names: list, by: list, n_fe: list):
                     se = float(np.sqrt(v[i, i])) if v[i, i] > 0 else float("nan")
                     z = b / se if se and se > 0 else float("nan")
                     row = {c: r[c] for c in by}
-                    row.update(term=name, term_index=i, coef=float(b), se=se, z=float(z),
-                               p_value=two_sided_p(z), significant=bool(abs(z) > Z_CRIT_95),
-                               ci_low=float(b - Z_CRIT_95 * se), ci_high=float(b + Z_CRIT_95 * se),
+                    known = np.isfinite(se)
+                    row.update(term=name, term_index=i, coef=float(b), se=se if known else None,
+                               z=float(z) if known else None,
+                               p_value=two_sided_p(z) if known else None,
+                               significant=bool(abs(z) > Z_CRIT_95) if known else None,
+                               ci_low=float(b - Z_CRIT_95 * se) if known else None,
+                               ci_high=float(b + Z_CRIT_95 * se) if known else None,
                                n_obs=int(n), n_params=int(k_full),
                                n_clusters=(int(r["n_clusters"]) if model.cov == "cluster" else None),
                                r2=float(r2))
                     out.append(row)
-            yield pd.DataFrame(out, columns=[*by, *RESULT_COLS])
+            yield pd.DataFrame(out, columns=[*by, *RESULT_COLS]).astype({"significant": object})
     return run
 
 
@@ -331,49 +282,35 @@ RESULT_TYPES = [T.StringType(), T.IntegerType(), T.DoubleType(), T.DoubleType(),
 
 def fit(panel: DataFrame, model: Model) -> DataFrame:
     """Fit ``model`` per group of ``model.by``; returns the coefficient table
-    (one row per group x identified term). Lazy result, small."""
+    (one row per group x identified term). The fit runs when called; the
+    small result is read from the checkpoint folder. A group without the
+    clusters or degrees of freedom for errors has them NULL."""
     spec, names, keys, data = prepare(panel, model)
+    scratch = lineage.Scratch(panel.sparkSession, "fe")
+    held = []
+    try:
+        base = scratch.cut_cached(data)
+        held.append(base)
+        return _fit(base, model, names, keys, scratch, held)
+    finally:
+        for df in held:
+            df.unpersist()
+        scratch.close()
+
+
+def _fit(base: DataFrame, model: Model, names: list, keys: list, scratch: lineage.Scratch, held: list) -> DataFrame:
     by = list(model.by)
     k = len(names)
     nv = k + 1
-    t0 = [time.time()]
-    scratch = lineage.Scratch(panel.sparkSession, "fe")
-    base = scratch.cut_cached(data)
-    _tick("base", t0)
     key_schema = [f for f in base.schema.fields if f.name in by]
     solve_schema = T.StructType(
         key_schema + [T.StructField(f"b_{i}", T.DoubleType()) for i in range(k)]
         + [T.StructField(f"ai_{i}_{j}", T.DoubleType()) for i in range(k) for j in range(k)]
         + [T.StructField("n", T.LongType()), T.StructField("rank_x", T.LongType()),
            T.StructField("sst", T.DoubleType())])
-
-    # Sweep until the demeaned data stop moving (or a fixed count when tol is
-    # None). Checked every ``check_every`` sweeps after ``first_check``.
-    use_pairs = model.pair_tables
-    if use_pairs is None:
-        use_pairs = PairTables.worth_it(base, by, keys, base.count())
-    pairs = PairTables(base, by, keys, nv, scratch) if (use_pairs and len(keys) > 1) else None
-    _tick(f"pair tables: {pairs is not None}", t0)
-    effects, sizes, done = {}, {}, 0
-    step = model.sweeps if (model.tol is None or len(keys) == 1) else model.first_check
-    while True:
-        step = min(step, model.sweeps - done) if len(keys) > 1 else 1
-        before = dict(effects)
-        effects, sizes = absorb_effects(base, by, keys, nv, step, scratch, effects, sizes,
-                                        model.relax, pairs)
-        done += step
-        if model.tol is None or len(keys) == 1 or done >= model.sweeps:
-            break
-        if len(before) == len(keys):
-            moved = max_row_change(base, effects, before, sizes, by, keys, nv)
-            if _PROFILE:
-                print(f"[fit]   after {done} sweeps: max change of demeaned values {moved}",
-                      flush=True)
-            if moved is None or moved < model.tol:
-                break                   # converged (or nothing to fit)
-        step = model.check_every
-    _tick(f"absorb ({done} sweeps)", t0)
+    effects, sizes, _ = absorb_effects(base, by, keys, nv, model, scratch)
     d = demeaned(base, effects, sizes, by, keys, nv, [model.cluster]).persist()
+    held.append(d)
     coef = scratch.cut(_moments(d, by, nv).mapInPandas(_solve_fn(k, by), solve_schema))
     n_groups = coef.count()
 
@@ -416,10 +353,4 @@ def fit(panel: DataFrame, model: Model) -> DataFrame:
     out_schema = T.StructType(key_schema + [T.StructField(n, t) for n, t in
                                             zip(RESULT_COLS, RESULT_TYPES)])
     n_fe = list(keys) if model.absorb else []
-    result = scratch.cut(full.mapInPandas(_sandwich_fn(model, names, by, n_fe), out_schema),
-                         keep=True)
-    _tick("scores+sandwich", t0)
-    d.unpersist()
-    base.unpersist()
-    scratch.close()
-    return result
+    return full.mapInPandas(_sandwich_fn(model, names, by, n_fe), out_schema).checkpoint()

@@ -10,7 +10,6 @@ from shelfwise.functions import columns as C
 from shelfwise.functions.income import INCOME_GROUPS
 from shelfwise.operators import describe
 from shelfwise.operators.fixed_effects import DEFAULT_ABSORB, Model, fit
-from shelfwise.operators.joins import broadcast_checked
 
 CAT = "product_category"
 
@@ -34,36 +33,35 @@ def naive_ols(panel: DataFrame, formula: str = NET_FORMULA, cluster: str = "prod
 
 
 def fe_ols(panel: DataFrame, formula: str = NET_FORMULA, cluster: str = "product_id",
-           absorb=DEFAULT_ABSORB, by=(CAT,), sweeps: int = 100, tol: float | None = 1e-12,
-           categorical: dict | None = None) -> DataFrame:
+           absorb=DEFAULT_ABSORB, by=(CAT,), categorical: dict | None = None) -> DataFrame:
     """Absorbed product, store and week effects."""
     return fit(panel, Model(formula, absorb=tuple(absorb), by=tuple(by), cluster=cluster,
-                            sweeps=sweeps, tol=tol, categorical=categorical or {}))
+                            categorical=categorical or {}))
 
 
-def income_model(hh_panel: DataFrame, sweeps: int = 100) -> DataFrame:
+def income_model(hh_panel: DataFrame) -> DataFrame:
     """display/mailer x income group (base Low), clustered by household."""
-    return fe_ols(hh_panel, INCOME_FORMULA, cluster="household_id", sweeps=sweeps,
+    return fe_ols(hh_panel, INCOME_FORMULA, cluster="household_id",
                   categorical={"income_group": INCOME_GROUPS})
 
 
-def store_size_model(sized_net_panel: DataFrame, sweeps: int = 100) -> DataFrame:
+def store_size_model(sized_net_panel: DataFrame) -> DataFrame:
     """G5 (the size main effect is absorbed by store effects and dropped)."""
-    return fe_ols(sized_net_panel, SIZE_FORMULA, sweeps=sweeps)
+    return fe_ols(sized_net_panel, SIZE_FORMULA)
 
 
-def discount_depth_model(gross_panel: DataFrame, sweeps: int = 100) -> DataFrame:
+def discount_depth_model(gross_panel: DataFrame) -> DataFrame:
     """Regular price with discount depth interactions."""
-    return fe_ols(gross_panel, DEPTH_FORMULA, sweeps=sweeps)
+    return fe_ols(gross_panel, DEPTH_FORMULA)
 
 
-def unified_model(sized_gross_panel: DataFrame, sweeps: int = 100) -> DataFrame:
+def unified_model(sized_gross_panel: DataFrame) -> DataFrame:
     """The model used by every optimisation step."""
-    return fe_ols(sized_gross_panel, UNIFIED_FORMULA, sweeps=sweeps)
+    return fe_ols(sized_gross_panel, UNIFIED_FORMULA)
 
 
 def sku_elasticity(panel: DataFrame, sku: str = "product_id", n_top: int = 6,
-                   min_obs: int = 200, min_sd: float = 0.01, sweeps: int = 200,
+                   min_obs: int = 200, min_sd: float = 0.01,
                    attrs=("brand", "package_size")) -> DataFrame:
     """Per-SKU elasticity with store and week effects and HC1 errors,
     for the top-N SKUs by volume per category (E2) that pass the
@@ -75,16 +73,17 @@ def sku_elasticity(panel: DataFrame, sku: str = "product_id", n_top: int = 6,
                                         F.stddev_samp("log_price").alias("sd_log_price"))
     eligible = (top.join(stats, [CAT, sku])
                 .filter((F.col("n") >= min_obs) & (F.col("sd_log_price") >= min_sd)))
-    sub = panel.join(F.broadcast(eligible.select(CAT, sku)), [CAT, sku], "left_semi")
+    sub = panel.join(eligible.select(CAT, sku), [CAT, sku], "left_semi")
     res = fit(sub, Model(NET_FORMULA, absorb=("store_id", "week"), by=(CAT, sku), cluster=None,
-                         cov="hc1", sweeps=sweeps, connected=False))
+                         cov="hc1", connected=False))
     out = (res.filter(F.col("term") == "log_price")
            .select(CAT, sku, "n_obs", F.col("coef").alias("elasticity"), "se", "z", "p_value",
                    "significant"))
     keep = [a for a in attrs if a != sku and a in panel.columns]
     if keep:
-        first = panel.groupBy(CAT, sku).agg(*[F.min(a).alias(a) for a in keep])
-        out = out.join(first, [CAT, sku], "left")
+        # the attributes of one row, not each one's own minimum
+        first = panel.groupBy(CAT, sku).agg(F.min(F.struct(*keep)).alias("_of"))
+        out = out.join(first.select(CAT, sku, "_of.*"), [CAT, sku], "left")
     return out
 
 
@@ -114,10 +113,9 @@ def interaction_report(res: DataFrame, pattern: str) -> DataFrame:
 
 
 def coefficient_view(res: DataFrame) -> DataFrame:
-    """Columns compared against the SQL oracle (p-values are tested apart:
-    neither engine has erf)."""
-    return res.select(CAT, "term", "coef", "se", "z", "significant", "n_obs", "n_params",
-                      "n_clusters", "r2")
+    """Columns compared against the SQL oracle."""
+    return res.select(CAT, "term", "coef", "se", "z", "p_value", "ci_low", "ci_high", "significant",
+                      "n_obs", "n_params", "n_clusters", "r2")
 
 
 def pivot_coefficients(res: DataFrame, terms: list[str]) -> DataFrame:
@@ -125,8 +123,3 @@ def pivot_coefficients(res: DataFrame, terms: list[str]) -> DataFrame:
     (for the per-row application in C9). Small: one row per category."""
     sub = res.filter(F.col("term").isin(terms))
     return sub.groupBy(CAT).pivot("term", terms).agg(F.first("coef"))
-
-
-def attach_coefficients(panel: DataFrame, coef_wide: DataFrame) -> DataFrame:
-    """Broadcast the per-category coefficients onto each row."""
-    return panel.join(broadcast_checked(coef_wide), CAT)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators import (campaigns, describe, models, optimize, panels, response,
+from shelfwise.operators import (campaigns, describe, lineage, models, optimize, panels, response,
                                  warehouse)
 from shelfwise.plans import marts
 from shelfwise.sources import readers, schemas
@@ -122,8 +122,7 @@ def _top_store_list(lines: DataFrame, n: int = 15) -> DataFrame:
 
 def q_boxplot_by_store(spark, sf_dir):
     lines = _lines(_ctx(spark, sf_dir))
-    sub = lines.join(F.broadcast(_top_store_list(lines).select("store_id")), "store_id",
-                     "left_semi")
+    sub = lines.join(_top_store_list(lines).select("store_id"), "store_id", "left_semi")
     return rounded(describe.boxplot_stats(sub, "store_id"))
 
 
@@ -183,10 +182,8 @@ def _net_sized(ctx: Context, categories=FOCUS) -> DataFrame:
     return panels.with_store_size(_net(ctx, categories), panels.store_size(ctx.txn))
 
 
-def _mart_models(ctx: Context):
-    g = _gross(ctx)
-    return (models.naive_ols(g, models.MART_FORMULA),
-            models.fe_ols(g, models.MART_FORMULA))
+def _mart_fixed(ctx: Context) -> DataFrame:
+    return models.fe_ols(_gross(ctx), models.MART_FORMULA)
 
 
 def q_ols_naive(spark, sf_dir):
@@ -198,20 +195,20 @@ def q_fe_elasticity(spark, sf_dir):
 
 
 def q_elasticity_comparison(spark, sf_dir):
-    naive, fixed = _mart_models(_ctx(spark, sf_dir))
-    return rounded(models.elasticity_comparison(naive, fixed, "log_net_price"))
+    ctx = _ctx(spark, sf_dir)
+    naive = models.naive_ols(_gross(ctx), models.MART_FORMULA)
+    return rounded(models.elasticity_comparison(naive, _mart_fixed(ctx), "log_net_price"))
 
 
 def q_promo_uplift(spark, sf_dir):
-    _, fixed = _mart_models(_ctx(spark, sf_dir))
-    return rounded(models.promo_uplift(fixed).drop("p_value"))
+    return rounded(models.promo_uplift(_mart_fixed(_ctx(spark, sf_dir))))
 
 
 def q_sku_elasticity(spark, sf_dir):
     """Per-SKU fits; in the binding the SKU unit is the brand within a
     category (a part key has too few cells)."""
     res = models.sku_elasticity(_net(_ctx(spark, sf_dir)), sku="brand", attrs=())
-    return rounded(res.withColumnRenamed("brand", "sku").drop("p_value"))
+    return rounded(res.withColumnRenamed("brand", "sku"))
 
 
 def q_fe_income(spark, sf_dir):
@@ -239,7 +236,8 @@ REVENUE = {c: 2 for c in ("actual_revenue", "scenario_revenue", "delta", "total_
 
 
 def _unified(ctx: Context):
-    panel = _gross_sized(ctx)
+    # written once: the fit and every use of its coefficients read this copy
+    panel = lineage.Scratch(ctx.spark, "panel").cut(_gross_sized(ctx))
     return panel, models.unified_model(panel)
 
 

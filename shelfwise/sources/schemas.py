@@ -55,8 +55,3 @@ DIM_HOUSEHOLD_COLS = ["household_id", "age", "income", "home_ownership", "marita
                       "household_size", "household_comp", "kids_count"]
 DIM_CAMPAIGN_COLS = ["campaign_id", "campaign_type", "start_date", "end_date"]
 BRIDGE_COLS = ["campaign_id", "household_id"]
-FACT_TXN_COLS = ["household_id", "store_id", "basket_id", "product_id", "week",
-                 "transaction_date", "quantity", "sales_value", "retail_disc", "coupon_disc",
-                 "coupon_match_disc", "unit_price", "total_discount"]
-FACT_PROMO_COLS = ["product_id", "store_id", "week", "display_location", "mailer_location",
-                   "is_displayed", "is_mailed"]

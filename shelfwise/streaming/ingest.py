@@ -11,6 +11,8 @@ ordinary distributed read/write.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -20,7 +22,8 @@ def ingest_csv(spark: SparkSession, src_dir: str, schema: T.StructType, out_dir:
                timeout_s: float | None = None) -> dict:
     """Convert the CSV backlog under src_dir to parquet under out_dir.
 
-    Returns the progress summary of the last micro-batch (rows read)."""
+    Returns the rows and micro-batches of this run. Raises TimeoutError, with
+    the query stopped, when the backlog is not done in ``timeout_s``."""
     stream = (spark.readStream.schema(schema)
               .option("header", True)
               .option("maxFilesPerTrigger", max_files_per_trigger)
@@ -30,7 +33,14 @@ def ingest_csv(spark: SparkSession, src_dir: str, schema: T.StructType, out_dir:
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True)
          .start())
-    q.awaitTermination(timeout_s)
-    rows = sum(p.get("numInputRows", 0) for p in q.recentProgress)
-    q.stop()
-    return {"rows": rows, "batches": len(q.recentProgress)}
+    # the query keeps its last hundred reports only, so they are gathered while it runs
+    seen: dict[int, int] = {}
+    until = None if timeout_s is None else time.monotonic() + timeout_s
+    done = False
+    while not done:
+        done = q.awaitTermination(0.2 if until is None else max(0.01, min(0.2, until - time.monotonic())))
+        seen |= {p["batchId"]: p.get("numInputRows", 0) for p in q.recentProgress}
+        if not done and until is not None and time.monotonic() >= until:
+            q.stop()
+            raise TimeoutError(f"ingest of {src_dir} not done after {timeout_s} s ({sum(seen.values())} rows so far)")
+    return {"rows": sum(seen.values()), "batches": len(seen)}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from dense_ols import fit as dense_fit
 from shelfwise.functions.stats import two_sided_p
 from shelfwise.operators import models
-from shelfwise.operators.fixed_effects import Model, fit
+from shelfwise.operators.fixed_effects import Model, NotConverged, fit
 
 
 def planted_panel(seed=7, n_p=30, n_s=20, n_w=26, keep=0.6, interactions=False):
@@ -54,7 +54,7 @@ def _by_term(res, cat):
 
 def test_fe_recovers_planted_and_naive_does_not(planted):
     pdf, df = planted
-    fe = _by_term(fit(df, Model(models.NET_FORMULA, sweeps=10)), "A")
+    fe = _by_term(fit(df, Model(models.NET_FORMULA)), "A")
     naive = _by_term(fit(df, Model(models.NET_FORMULA, absorb=())), "A")
     assert abs(fe["log_price"].coef + 1.5) < 0.05
     assert abs(fe["is_displayed"].coef - 0.2) < 0.05
@@ -62,10 +62,10 @@ def test_fe_recovers_planted_and_naive_does_not(planted):
     assert abs(naive["log_price"].coef + 1.5) > 0.2
 
 
-@pytest.mark.parametrize("fes,sweeps", [((), 1), (("product_id", "store_id", "week"), 30)])
-def test_matches_dense_cluster(planted, fes, sweeps):
+@pytest.mark.parametrize("fes", [(), ("product_id", "store_id", "week")])
+def test_matches_dense_cluster(planted, fes):
     pdf, df = planted
-    res = fit(df, Model(models.NET_FORMULA, absorb=fes, sweeps=sweeps))
+    res = fit(df, Model(models.NET_FORMULA, absorb=fes))
     for cat in ("A", "B"):
         sub = pdf[pdf.product_category == cat]
         b, se, k, r2 = dense_fit(sub, "log_qty", ["log_price", "is_displayed", "is_mailed"],
@@ -94,7 +94,7 @@ def test_hc1_two_way_matches_dense_with_components(spark):
     pdf = pd.DataFrame(rows)
     res = fit(spark.createDataFrame(pdf),
               Model(models.NET_FORMULA, absorb=("store_id", "week"),
-                    by=("product_category", "sku"), cluster=None, cov="hc1", sweeps=60,
+                    by=("product_category", "sku"), cluster=None, cov="hc1",
                     connected=False))
     b, se, _, _ = dense_fit(pdf, "log_qty", ["log_price", "is_displayed", "is_mailed"],
                             ("store_id", "week"), cov="hc1")
@@ -111,7 +111,7 @@ def test_absorbed_main_effect_is_dropped(spark):
     size = {s: math.log(10 + 5 * s) for s in range(20)}
     pdf["log_store_size_c"] = pdf.store_id.map(size)
     pdf["log_store_size_c"] -= pdf["log_store_size_c"].mean()
-    res = fit(spark.createDataFrame(pdf), Model(models.SIZE_FORMULA, sweeps=30))
+    res = fit(spark.createDataFrame(pdf), Model(models.SIZE_FORMULA))
     terms = {r.term for r in res.filter(F.col("product_category") == "A").collect()}
     assert "log_store_size_c" not in terms
     assert {"is_displayed:log_store_size_c", "is_mailed:log_store_size_c"} <= terms
@@ -119,9 +119,9 @@ def test_absorbed_main_effect_is_dropped(spark):
 
 def test_invariant_to_row_order_and_partitioning(planted):
     pdf, df = planted
-    a = fit(df, Model(models.NET_FORMULA, sweeps=8)).orderBy("product_category", "term")
+    a = fit(df, Model(models.NET_FORMULA)).orderBy("product_category", "term")
     shuffled = df.orderBy(F.rand(5)).repartition(13)
-    b = fit(shuffled, Model(models.NET_FORMULA, sweeps=8)).orderBy("product_category", "term")
+    b = fit(shuffled, Model(models.NET_FORMULA)).orderBy("product_category", "term")
     for x, y in zip(a.collect(), b.collect()):
         assert abs(x.coef - y.coef) < 1e-10 and abs(x.se - y.se) < 1e-10
 
@@ -130,14 +130,14 @@ def test_invariant_to_store_level_shift(planted):
     pdf, df = planted
     shifted = df.withColumn("log_qty", F.when(F.col("store_id") == 3, F.col("log_qty") + 5.0)
                             .otherwise(F.col("log_qty")))
-    a = _by_term(fit(df, Model(models.NET_FORMULA, sweeps=25)), "B")
-    b = _by_term(fit(shifted, Model(models.NET_FORMULA, sweeps=25)), "B")
+    a = _by_term(fit(df, Model(models.NET_FORMULA)), "B")
+    b = _by_term(fit(shifted, Model(models.NET_FORMULA)), "B")
     assert abs(a["log_price"].coef - b["log_price"].coef) < 1e-7
 
 
 def test_p_values_and_interaction_report(planted):
     pdf, df = planted
-    res = fit(df, Model(models.NET_FORMULA, sweeps=6))
+    res = fit(df, Model(models.NET_FORMULA))
     for r in res.collect():
         assert r.p_value == pytest.approx(math.erfc(abs(r.z) / math.sqrt(2)), rel=1e-12)
         assert r.significant == (r.p_value < 0.05)
@@ -148,19 +148,62 @@ def test_p_values_and_interaction_report(planted):
 
 def test_income_model_dummies(spark):
     pdf = planted_panel(seed=5, interactions=True)
-    res = models.income_model(spark.createDataFrame(pdf), sweeps=6)
+    res = models.income_model(spark.createDataFrame(pdf))
     terms = {r.term for r in res.collect()}
     assert "C(income_group)[T.Mid]" in terms and "is_mailed:C(income_group)[T.High]" in terms
     assert not any("[T.Low]" in t for t in terms)
 
 
-def test_tolerance_stop_agrees_with_fixed_sweeps(planted):
+def test_looser_tolerance_agrees(planted):
     pdf, df = planted
-    a = _by_term(fit(df, Model(models.NET_FORMULA, sweeps=30)), "A")
-    b = _by_term(fit(df, Model(models.NET_FORMULA, sweeps=30, tol=1e-9)), "A")
+    a = _by_term(fit(df, Model(models.NET_FORMULA)), "A")
+    b = _by_term(fit(df, Model(models.NET_FORMULA, tol=1e-9)), "A")
     assert abs(a["log_price"].coef - b["log_price"].coef) < 1e-7
 
 
+def test_too_few_steps_raise(planted):
+    _, df = planted
+    with pytest.raises(NotConverged, match="after 1 steps"):
+        fit(df, Model(models.NET_FORMULA, max_steps=1, check_every=1))
+
+
+def test_rows_with_null_keys_are_left_out(planted):
+    pdf, df = planted
+    holes = df.withColumn("store_id", F.when(F.col("week") % 7 == 0, None).otherwise(F.col("store_id")))
+    a = _by_term(fit(holes, Model(models.NET_FORMULA)), "A")
+    b = _by_term(fit(holes.where("store_id is not null"), Model(models.NET_FORMULA)), "A")
+    for t in a:
+        assert a[t].n_obs == b[t].n_obs and a[t].n_params == b[t].n_params
+        assert abs(a[t].coef - b[t].coef) < 1e-9 and abs(a[t].se - b[t].se) < 1e-9
+
+
+@pytest.mark.parametrize("cov,cluster", [("cluster", "product_id"), ("hc1", None)])
+def test_groups_too_small_for_errors_have_none(planted, cov, cluster):
+    """One cluster, or as many parameters as rows: the other groups' results
+    stay and this group's errors are NULL."""
+    pdf, df = planted
+    tiny = pd.DataFrame([dict(pdf.iloc[0], product_category="T", product_id=900, store_id=i % 2, week=1,
+                              log_price=float(i * i), is_displayed=i % 2, is_mailed=0, log_qty=float(i)) for i in range(3)])
+    both = df.unionByName(df.sparkSession.createDataFrame(tiny[list(df.columns)]).select(
+        *[F.col(f.name).cast(f.dataType) for f in df.schema.fields]))
+    res = fit(both, Model(models.NET_FORMULA, cluster=cluster, cov=cov)).collect()
+    small = [r for r in res if r.product_category == "T"]
+    assert small and all(r.se is None and r.z is None and r.p_value is None and r.significant is None and r.ci_low is None
+                         and r.coef is not None for r in small)
+    assert all(r.se > 0 for r in res if r.product_category != "T")
+
+
+def test_components_of_long_paths(spark):
+    from shelfwise.operators.graph import components
+    from shelfwise.operators.lineage import Scratch
+    scratch = Scratch(spark, "graph")
+    rows = [("p", i, i + 1) for i in range(300)] + [("p", 1000, 1001), ("q", 5, 6), ("q", 6, 6)]
+    got = components(spark.createDataFrame(rows, "g string, a long, b long"), scratch, ["g"]).collect()
+    assert {(r.g, r.root) for r in got} == {("p", 0), ("p", 1000), ("q", 5)}
+    assert len(got) == 301 + 2 + 2
+    scratch.close()
+
+
 def test_hot_product_holding_a_third_of_rows(spark):
     """One product carries a third of all rows (skew): the fit runs through
     partial aggregates and still matches the dense oracle."""
@@ -171,7 +214,7 @@ def test_hot_product_holding_a_third_of_rows(spark):
     extra["log_qty"] = extra["log_qty"] + rng.normal(0, .2, len(extra))
     skewed = pd.concat([pdf, extra], ignore_index=True)
     assert (skewed.product_id == 0).mean() > 1 / 3
-    res = fit(spark.createDataFrame(skewed), Model(models.NET_FORMULA, sweeps=200))
+    res = fit(spark.createDataFrame(skewed), Model(models.NET_FORMULA))
     for cat in ("A", "B"):
         sub = skewed[skewed.product_category == cat]
         b, se, _, _ = dense_fit(sub, "log_qty", ["log_price", "is_displayed", "is_mailed"],
@@ -181,18 +224,3 @@ def test_hot_product_holding_a_third_of_rows(spark):
                                                           "is_mailed"]], b, atol=1e-7)
         np.testing.assert_allclose([got[t].se for t in ["log_price", "is_displayed",
                                                         "is_mailed"]], se, atol=1e-7)
-
-
-@pytest.mark.parametrize("pairs", [True, False])
-def test_pair_tables_match_row_scans(planted, pairs):
-    """Backfitting from pair count tables gives the dense answer too."""
-    pdf, df = planted
-    res = fit(df, Model(models.NET_FORMULA, pair_tables=pairs))
-    for cat in ("A", "B"):
-        sub = pdf[pdf.product_category == cat]
-        b, se, _, _ = dense_fit(sub, "log_qty", ["log_price", "is_displayed", "is_mailed"],
-                                ("product_id", "store_id", "week"), "product_id")
-        got = _by_term(res, cat)
-        terms = ["log_price", "is_displayed", "is_mailed"]
-        np.testing.assert_allclose([got[t].coef for t in terms], b, atol=1e-8)
-        np.testing.assert_allclose([got[t].se for t in terms], se, atol=1e-8)

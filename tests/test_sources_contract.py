@@ -1,5 +1,6 @@
 """Sources, sinks, streaming ingest, graph helper and the driver contract."""
 
+import re
 import json
 import os
 import tempfile
@@ -76,7 +77,9 @@ def test_contract_queries_and_oracles(spark):
     assert set(sql) <= set(q) and len(q) >= 49
     df = E.entry(spark)
     rows = df.collect()
-    assert len(rows) >= 0 and df.columns == ["category", "model", "elasticity", "se"]
+    assert df.columns == ["category", "model", "elasticity", "se"]
+    assert {(r.category, r.model) for r in rows} == {(c, m) for c in ("Medium", "Promo") for m in ("Naive", "Fixed Effects")}
+    assert all(r.elasticity < 0 < r.se for r in rows)
 
 
 @pytest.mark.parametrize("name", ["row_counts", "category_summary", "panel_coverage"])
@@ -125,3 +128,61 @@ def test_mart_job_writes_and_reads_all_marts(spark):
     assert summary["n_transactions"] > 0 and "pct_opportunity_vs_promo_revenue" in summary
     curve = readers.read_mart_parquet(spark, out["discount_depth_curve"])
     assert curve.count() == 2 * 2 * 40
+
+
+def test_ingest_counts_all_rows_and_raises_on_timeout(spark, tmp_path):
+    from shelfwise.streaming.ingest import ingest_csv
+    spark.range(200).selectExpr("cast(id as string) as a").repartition(12).write.option("header", True).csv(str(tmp_path / "in"))
+    schema = "a string"
+    from pyspark.sql import types as T
+    kind = T.StructType([T.StructField("a", T.StringType())])
+    got = ingest_csv(spark, str(tmp_path / "in"), kind, str(tmp_path / "out"), str(tmp_path / "ck"), max_files_per_trigger=3)
+    assert got["rows"] == 200 and got["batches"] == 4
+    assert spark.read.schema(schema).parquet(str(tmp_path / "out")).count() == 200
+    with pytest.raises(TimeoutError):
+        ingest_csv(spark, str(tmp_path / "in"), kind, str(tmp_path / "out2"), str(tmp_path / "ck2"), 1, timeout_s=0.01)
+
+
+def test_records_mart_is_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "MAX_RECORDS", 3)
+    with pytest.raises(ValueError):
+        sinks.write_json_records(spark.range(4), str(tmp_path / "r.json"))
+
+
+def test_group_quantiles_equal_numpy(spark):
+    import numpy as np
+    from shelfwise.operators.describe import group_quantiles
+    rng = np.random.default_rng(4)
+    rows = [("a", float(v), 1) for v in np.round(rng.lognormal(0, 2, 800), 3)]
+    rows += [("b", float(v), int(w)) for v, w in zip(rng.integers(0, 9, 60), rng.integers(1, 6, 60))]
+    rows += [("c", 5.0, 2), ("d", None, 3), ("e", -1.0, 1), ("e", 1.0, 1)]
+    df = spark.createDataFrame(rows, "g string, v double, n_lines long")
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    names = [f"q{i}" for i in range(len(probs))]
+    got = {r.g: [r[n] for n in names] for r in group_quantiles(df, ["g"], "v", probs, names).collect()}
+    for g in "abce":
+        values = np.repeat([v for k, v, _ in rows if k == g], [w for k, _, w in rows if k == g])
+        np.testing.assert_allclose(got[g], np.quantile(values, probs), rtol=1e-12)
+    assert "d" not in got
+
+
+def test_lines_are_not_dealt_out_by_a_few_keys(spark):
+    """With static broadcasts off, statistics by category and flag shuffle
+    grouped rows only: no exchange of the lines on those keys."""
+    from shelfwise.operators import describe
+    lines = spark.range(20000).selectExpr("cast(id % 3 as string) as product_category", "cast(id % 2 as int) as is_promo",
+                                          "id * 0.37 as unit_price", "id % 50 as product_id", "1.0 as quantity", "2.0 as sales_value")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (describe.boxplot_stats(lines, "is_promo"), describe.category_screening(lines)):
+            plan = df._jdf.queryExecution().sparkPlan().toString()
+            assert "BroadcastHashJoin" in plan
+            executed = df._jdf.queryExecution().executedPlan().toString()
+            for part in executed.split("Exchange hashpartitioning(product_category")[1:]:
+                # what is exchanged: grouped rows or bins, never lines
+                nodes = [re.sub(r"^[\s:+\-*()0-9]*", "", n) for n in part.split("\n")[1:]]
+                made = next(n for n in nodes if not n.startswith(("Project", "Filter", "Sort ")))
+                assert re.match("(Hash|Sort)Aggregate|Generate|Window", made), made
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
