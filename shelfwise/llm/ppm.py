@@ -91,9 +91,8 @@ class Block:
         lengths = np.diff(offsets) + ORDER + 1
         self.limits = np.concatenate([[0], np.cumsum(lengths)])
         self.bytes = np.zeros(self.limits[-1], np.uint8)
-        if len(data):
-            shift = np.repeat(self.limits[:-1] + ORDER - offsets[:-1], np.diff(offsets))
-            self.bytes[np.arange(len(data)) + shift] = data
+        for at, low, high in zip(self.limits[:-1] + ORDER, offsets[:-1], offsets[1:], strict=True):
+            self.bytes[at:at + high - low] = data[low:high]
 
     def word_parts(self):
         """(hashes, documents) of some words at a time."""
@@ -104,7 +103,6 @@ class Block:
     def run_parts(self):
         """(runs of ORDER + 1 bytes, documents) of some places at a time: one
         run ends at each byte of a text and at its end."""
-        doc = np.repeat(np.arange(len(self.limits) - 1), np.diff(self.limits))
         n = len(self.bytes)
         for at in range(0, n, _PART):
             stop = min(n, at + _PART)
@@ -115,7 +113,9 @@ class Block:
                 begin = at - low - k
                 part = window[max(0, begin):begin + stop - at]
                 runs = (runs << np.uint64(8)) | np.concatenate([np.zeros(len(runs) - len(part), np.uint64), part])
-            owner = doc[at:stop]
+            a, b = np.searchsorted(self.limits, [at, stop - 1], "right") - 1
+            limits = np.clip(self.limits[a:b + 2], at, stop)
+            owner = np.repeat(np.arange(a, b + 1), np.diff(limits))
             ends = np.arange(at, stop) - self.limits[owner] >= ORDER
             yield runs[ends], owner[ends]
 
