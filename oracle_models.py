@@ -403,6 +403,75 @@ FROM un_k k LEFT JOIN cur c ON k.product_category = c.product_category
                            AND k.promo_type = c.promo_type"""
 
 
+def _optimal_mart(tail: str = "") -> str:
+    """The optimal-discount table at its published decimals."""
+    return _optimal_discount().replace("round(k.k, 6)", "round(k.k, 3)").replace(
+        "ELSE 0.0 END * 100, 6)", "ELSE 0.0 END * 100, 1)").replace("round(c.cur * 100, 6)", "round(c.cur * 100, 1)") + tail
+
+
+def _mart_views():
+    head, select = _optimal_mart().rsplit("\nSELECT ", 1)
+    return head + ", opt AS (SELECT " + select + """)
+SELECT category AS "Category", promo_type AS "Promo type", combined_slope_k AS "Combined slope",
+       model_optimal_discount_pct AS "Model optimal discount, percent",
+       current_avg_discount_pct AS "Current average discount, percent",
+       category || ' — ' || promo_type AS label
+FROM opt WHERE category = 'Promo'"""
+
+
+def _marts_read_back():
+    fits = "".join(model_sql(SqlModel("gross_panel", G, "log_qty", MART_TERMS, keys, "product_id", tag=tag),
+                             lambda c, n: "") for tag, keys in (("mn", []), ("mf", FE3)))
+    t = TITLE.format(c="product_category")
+    weeks = ("(SELECT product_category, week, avg(net_unit_price) AS avg_price, sum(quantity) AS total_qty, "
+             "count(quantity) AS n_txn, avg(is_promo) AS promo_rate FROM gross_panel GROUP BY product_category, week) GROUP BY product_category")
+    size_points = ("(SELECT lo + i * (hi - lo) / 39.0 AS x FROM range(40) r(i), (SELECT "
+                   "quantile_cont(log_store_size_c, 0.05) AS lo, quantile_cont(log_store_size_c, 0.95) AS hi FROM gross_sized))")
+    depth_points = "(SELECT i * 0.5 / 39.0 AS x FROM range(40) r(i))"
+    # mart, label, {column: value}, FROM ...
+    lists = [
+        ("weekly_trends", "product_category", {"avg_price": "sum(avg_price)", "total_qty": "sum(total_qty)",
+                                               "n_txn": "sum(n_txn)", "promo_rate": "sum(promo_rate)", "rows": "count(*)"}, weeks),
+        ("price_by_promo", "product_category || ' — ' || is_promo", {"unit_price": "sum(net_unit_price)", "rows": "count(*)"},
+         "gross_panel GROUP BY product_category, is_promo"),
+        ("store_size_curve", t, {"log_store_size_c": "sum(x)", "predicted_lift_pct": "sum((exp(b_d + b_ds * x) - 1) * 100)",
+                                 "rows": "count(*)"}, f"{size_points}, un_w GROUP BY product_category"),
+        *[("discount_depth_curve", f"{t} || ' — {kind}'",
+           {"discount_pct": "sum(x * 100)", "predicted_lift_pct": f"sum((exp({b} + {bd} * x) - 1) * 100)", "rows": "count(*)"},
+           f"{depth_points}, un_w GROUP BY product_category") for kind, b, bd in (("Display", "b_d", "b_dd"), ("Mailer", "b_m", "b_md"))],
+        *[("elasticity_comparison", f"{t} || ' — {kind}'", {"elasticity": "coef", "se": "se"},
+           f"{tag}_long WHERE term = 'log_net_price'") for kind, tag in (("Naive", "mn"), ("Fixed Effects", "mf"))],
+        ("promo_uplift", f"{t} || ' — ' || if(term = 'is_displayed', 'In-store display', 'Mailer/flyer feature')",
+         {"pct_lift": "round((exp(coef) - 1) * 100, 1)", "p_value": f"round({p_of('z')}, 4)"},
+         "mf_long WHERE term IN ('is_displayed', 'is_mailed')"),
+        ("optimal_discount_table", "category || ' — ' || promo_type",
+         {c: c for c in ("combined_slope_k", "model_optimal_discount_pct", "current_avg_discount_pct")}, "opt"),
+        ("optimization_scenarios", f"{t} || ' — ' || change",
+         {"actual_revenue": "round(actual_revenue)", "scenario_revenue": "round(scenario_revenue)",
+          "delta": "round(scenario_revenue - actual_revenue)",
+          "pct_change": "round((scenario_revenue - actual_revenue) / actual_revenue * 100, 1)"}, "scen"),
+        ("store_targeting_scenario", "''",
+         {"current_avg_size": "round(current_avg_size, 3)", "top_tercile_avg_size": "round(top_tercile_avg_size, 3)",
+          "actual_revenue": "round(actual_revenue)", "scenario_revenue": "round(scenario_revenue)", "delta": "round(delta)",
+          "pct_change": "round(pct_change, 1)"}, "target"),
+        ("summary", "'Medium — Promo'",
+         {"n_transactions": "cells", "n_products": "products", "total_combined_delta": "d", "total_promo_revenue": "a",
+          "pct_opportunity_vs_promo_revenue": "round(d / a * 100, 1)", "total_category_revenue": "revenue",
+          "pct_opportunity_vs_total_category_revenue": "round(d / revenue * 100, 1)"},
+         "(SELECT sum(round(scenario_revenue - actual_revenue)) AS d, sum(round(actual_revenue)) AS a FROM scen), "
+         "(SELECT sum(n) AS cells, sum(p) AS products, sum(r) AS revenue FROM (SELECT count(*) AS n, "
+         "count(DISTINCT product_id) AS p, sum(sales_value) AS r FROM gross_sized GROUP BY product_category))"),
+    ]
+    head, opt = _optimal_mart().rsplit("\nSELECT ", 1)
+    target = _store_targeting()[len(SIZED_LONG + _unified_wide()):]
+    tail_head, tail_select = target.rsplit("\nSELECT ", 1)
+    exact = tail_select.replace(", 6)", ", 12)").replace(", 2)", ", 12)")
+    long = " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, {label} AS label, '{column}' AS metric, round(CAST({value} AS DOUBLE), 4) AS value FROM {source}"
+        for mart, label, columns, source in lists for column, value in columns.items())
+    return head + ", opt AS (SELECT " + opt + ")" + tail_head + ", target AS (SELECT " + exact + ")" + fits + "\n" + long
+
+
 def _revenue_scenarios():
     return SIZED_LONG + _unified_wide() + """
 SELECT """ + TITLE.format(c="product_category") + """ AS category, promo_type, change,
@@ -496,6 +565,8 @@ def _income_interactions():
 
 
 MODEL_BODIES = {
+    "mart_views": _mart_views,
+    "marts_read_back": _marts_read_back,
     "ols_naive": _ols_naive,
     "fe_elasticity": _fe_elasticity,
     "elasticity_comparison": _elasticity_comparison,

@@ -14,6 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions import columns as C
 from shelfwise.operators import describe, models, optimize, panels, response
 from shelfwise.session import ensure_checkpoint_dir
 from shelfwise.sources import sinks
@@ -24,6 +25,22 @@ RECORD_MARTS = ["elasticity_comparison", "promo_uplift", "optimal_discount_table
 OBJECT_MARTS = ["store_targeting_scenario", "summary"]
 ALL_MARTS = PARQUET_MARTS + RECORD_MARTS + OBJECT_MARTS
 
+# The decimals each mart publishes (B17), half to even.
+DECIMALS = {
+    "promo_uplift": {"pct_lift": 1, "p_value": 4},
+    "optimal_discount_table": {"combined_slope_k": 3, "model_optimal_discount_pct": 1,
+                               "current_avg_discount_pct": 1},
+    "optimization_scenarios": {"actual_revenue": 0, "scenario_revenue": 0, "delta": 0, "pct_change": 1},
+    "store_targeting_scenario": {"current_avg_size": 3, "top_tercile_avg_size": 3, "actual_revenue": 0,
+                                 "scenario_revenue": 0, "delta": 0, "pct_change": 1},
+    "summary": {"pct_opportunity_vs_promo_revenue": 1, "pct_opportunity_vs_total_category_revenue": 1},
+}
+
+
+def published(df: DataFrame, mart: str) -> DataFrame:
+    """The mart's columns at its published decimals."""
+    return df.withColumns({c: F.bround(c, d) for c, d in DECIMALS.get(mart, {}).items()})
+
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
@@ -60,29 +77,32 @@ def build_marts(spark: SparkSession, txn: DataFrame, products: DataFrame, promos
             sinks.write_json_records(models.elasticity_comparison(naive, fixed, "log_net_price"),
                                      path("elasticity_comparison", "json"))
         if "promo_uplift" in which:
-            sinks.write_json_records(models.promo_uplift(fixed), path("promo_uplift", "json"))
+            sinks.write_json_records(published(models.promo_uplift(fixed).drop("z"), "promo_uplift"),
+                                     path("promo_uplift", "json"))
     needs_unified = which & {"store_size_curve", "discount_depth_curve", "optimal_discount_table",
                              "optimization_scenarios", "store_targeting_scenario", "summary"}
     if needs_unified:
         coefs = models.unified_model(panel)
         if "store_size_curve" in which:
-            sinks.write_parquet_mart(response.lift_by_store_size(panel, coefs, 40),
+            sinks.write_parquet_mart(response.lift_by_store_size(panel, coefs, 40).drop("point"),
                                      path("store_size_curve", "parquet"))
         if "discount_depth_curve" in which:
-            sinks.write_parquet_mart(response.lift_by_discount(coefs, spark, 40, 0.5),
+            sinks.write_parquet_mart(response.lift_by_discount(coefs, spark, 40, 0.5).drop("point"),
                                      path("discount_depth_curve", "parquet"))
         if "optimal_discount_table" in which:
-            sinks.write_json_records(optimize.optimal_discount(panel, coefs),
+            sinks.write_json_records(published(optimize.optimal_discount(panel, coefs), "optimal_discount_table"),
                                      path("optimal_discount_table", "json"))
-        scen = optimize.revenue_scenarios(panel, coefs,
-                                          optimize.programs_frame(spark, list(categories)))
+        # the published totals add up the published (rounded) scenario rows
+        scen = published(optimize.revenue_scenarios(panel, coefs, optimize.programs_frame(spark, list(categories))),
+                         "optimization_scenarios").drop("promo_type", "n_cells")
         if "optimization_scenarios" in which:
             sinks.write_json_records(scen, path("optimization_scenarios", "json"))
         if "store_targeting_scenario" in which:
-            sinks.write_json_object(optimize.store_targeting(panel, coefs, list(categories)[0]),
-                                    path("store_targeting_scenario", "json"))
+            sinks.write_json_object(published(optimize.store_targeting(panel, coefs, list(categories)[0]),
+                                              "store_targeting_scenario"), path("store_targeting_scenario", "json"))
         if "summary" in which:
-            sinks.write_json_object(optimize.overview_summary(panel, scen),
-                                    path("summary", "json"))
+            names = F.array(*[C.title_label(F.lit(c)) for c in categories])
+            sinks.write_json_object(published(optimize.overview_summary(panel, scen), "summary").withColumn(
+                "categories", names), path("summary", "json"))
     panel.unpersist()
     return out

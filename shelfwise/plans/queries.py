@@ -6,9 +6,13 @@ library operators and rounds doubles at the edge (6 dp) for comparison.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions import columns as C
+
 from shelfwise.operators import (campaigns, describe, lineage, models, optimize, panels, response,
                                  warehouse)
 from shelfwise.plans import marts
@@ -321,6 +325,58 @@ def q_mart_json_roundtrip(spark, sf_dir):
     return rounded(readers.read_mart_json(spark, out["optimal_discount_table"], schema))
 
 
+#: What the read-back query compares of each mart: the columns that tell its
+#: rows apart, the sums and counts of curves and extracts, or values as they are.
+READ_BACK = {
+    "weekly_trends": (("product_category",), ("avg_price", "total_qty", "n_txn", "promo_rate"), True),
+    "price_by_promo": (("product_category", "is_promo"), ("unit_price",), True),
+    "store_size_curve": (("category",), ("log_store_size_c", "predicted_lift_pct"), True),
+    "discount_depth_curve": (("category", "promo_type"), ("discount_pct", "predicted_lift_pct"), True),
+    "elasticity_comparison": (("category", "model"), ("elasticity", "se"), False),
+    "promo_uplift": (("category", "promo_type"), ("pct_lift", "p_value"), False),
+    "optimal_discount_table": (("category", "promo_type"),
+                               ("combined_slope_k", "model_optimal_discount_pct", "current_avg_discount_pct"), False),
+    "optimization_scenarios": (("category", "change"), ("actual_revenue", "scenario_revenue", "delta", "pct_change"), False),
+    "store_targeting_scenario": ((), ("current_avg_size", "top_tercile_avg_size", "actual_revenue", "scenario_revenue",
+                                      "delta", "pct_change"), False),
+    "summary": (("categories",), ("n_transactions", "n_products", "total_combined_delta", "total_promo_revenue",
+                                  "pct_opportunity_vs_promo_revenue", "total_category_revenue",
+                                  "pct_opportunity_vs_total_category_revenue"), False),
+}
+
+
+def q_marts_read_back(spark, sf_dir):
+    """Build and write all ten marts, read each back, and list
+    their values: mart, row label ("a — b"), column, value."""
+    ctx = _ctx(spark, sf_dir)
+    out = marts.build_marts(spark, ctx.txn, ctx.products, ctx.promos, FOCUS, marts.scratch_dir(spark, "marts"))
+    parts = []
+    for name, (keys, values, summed) in READ_BACK.items():
+        read = readers.read_mart_parquet if name in marts.PARQUET_MARTS else readers.read_mart_json
+        mart = read(spark, out[name])
+        if "categories" in keys:
+            mart = mart.withColumn("categories", F.array_join("categories", " — "))
+        if summed:
+            mart = mart.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in values], F.count(F.lit(1)).alias("rows"))
+            values = (*values, "rows")
+        label = F.concat_ws(" — ", *[F.col(k).cast("string") for k in keys])
+        parts.append(mart.select(F.lit(name).alias("mart"), label.alias("label"), F.explode(F.array(*[
+            F.struct(F.lit(v).alias("metric"), F.col(v).cast("double").alias("value")) for v in values])).alias("_m"))
+            .select("mart", "label", "_m.metric", "_m.value"))
+    return rounded(reduce(DataFrame.unionByName, parts), digits=4)
+
+
+def q_mart_views(spark, sf_dir):
+    """One category of the optimal-discount mart, with the
+    composite label, under its display names."""
+    ctx = _ctx(spark, sf_dir)
+    out = marts.build_marts(spark, ctx.txn, ctx.products, ctx.promos, FOCUS,
+                            marts.scratch_dir(spark, "marts"), which=["optimal_discount_table"])
+    mart = readers.read_mart_json(spark, out["optimal_discount_table"]).select(*readers.OPTIMAL_DISCOUNT_DISPLAY)
+    page = readers.select_category(mart, FOCUS[1])
+    return readers.display_optimal_discount(page.withColumn("label", C.composite_label("category", "promo_type")))
+
+
 def q_csv_to_parquet(spark, sf_dir):
     """A2 + A5 via Structured Streaming: raw promotion CSV files are
     ingested incrementally to parquet (typed with the raw schema, so ids
@@ -398,6 +454,8 @@ QUERIES = {
     "line_totals": q_line_totals,
     "mart_roundtrip": q_mart_roundtrip,
     "mart_json_roundtrip": q_mart_json_roundtrip,
+    "marts_read_back": q_marts_read_back,
+    "mart_views": q_mart_views,
     "csv_to_parquet": q_csv_to_parquet,
     "campaign_reach": q_campaign_reach,
     "coupon_redemption": q_coupon_redemption,
