@@ -36,7 +36,7 @@ VOCABULARY = "byte_bpe_50k.json"
 # Fixed value: the published pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words and arcs a worker remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -173,7 +173,7 @@ class Automaton:
                 if known is None:
                     known = self.encode_word(word.encode())
                     if len(word) <= 32:
-                        if len(self.words) >= REMEMBERED:
+                        if len(self.words) >= REMEMBERED // 2:
                             self.words.clear()
                         self.words[word] = known
                 ids += known

@@ -30,7 +30,7 @@ DIM = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 12
 #: Bounds of the training sample: rows of each label, and bytes of their texts.
-MAX_POSITIVE, MAX_NEGATIVE, MAX_BYTES = 4000, 8000, 48_000_000
+MAX_POSITIVE, MAX_NEGATIVE, MAX_BYTES = 3000, 6000, 32_000_000
 
 
 def word_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
