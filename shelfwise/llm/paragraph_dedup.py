@@ -9,11 +9,17 @@ are candidate sets, whose members are compared exactly, block against block;
 the components of verified links are the clusters. Of each cluster the first
 occurrence (by doc_id and place) stays and all others are removals.
 
+``every`` takes the whole lines too, and paragraphs of any length. Those of
+fewer than eight words are one class if their word sequences are equal; only
+longer ones are banded.
+
 Defined results: one row for each paragraph of a cluster of two or more
 occurrences. Null and empty texts, rows with a null doc_id and paragraphs of
-fewer than eight words have none; repeated rows are occurrences of their own
+fewer than eight words (unless ``every``) have none; repeated rows are occurrences of their own
 (of equal doc_id and place both count, and neither is a removal of the other).
-Places are code points, the end exclusive.
+Places are code points, the end exclusive. A line of one sentence is one
+paragraph; a line of several is one beside its sentences, so rows of ``every``
+may lie within each other.
 """
 
 from __future__ import annotations
@@ -32,21 +38,35 @@ LEAST_WORDS = 8
 MOST_HASHES = 24
 
 
-def _paragraphs(bands: int, rows: int, least: int, seed: int):
+def _all_limits(w: text.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, end, document) of all sentences, and of the lines that
+    are not one sentence."""
+    first, doc = text.sentences(w)
+    whole, owner = text.sentences(w, lines=True)
+    several = np.flatnonzero(np.diff(np.searchsorted(first, whole)) > 1)
+    return (np.r_[first[:-1], whole[:-1][several]], np.r_[first[1:], whole[1:][several]], np.r_[doc, owner[several]])
+
+
+def _paragraphs(bands: int, rows: int, least: int, seed: int, every: bool):
     def run(batches):
         for batch in text.portions(batches):
             w = text.words_of(batch.column("text"))
-            first, doc = text.sentences(w)
-            long = np.flatnonzero(np.diff(first) >= least)
-            begin, end, doc = first[:-1][long], first[1:][long], doc[long]
-            # words of the long sentences only, one after another
+            if every:
+                begin, end, doc = _all_limits(w)
+            else:
+                first, doc = text.sentences(w)
+                long = np.flatnonzero(np.diff(first) >= least)
+                begin, end, doc = first[:-1][long], first[1:][long], doc[long]
+            # words of these paragraphs only, one after another
             owner, place = text.spread(end - begin)
             words = w.hash[begin[owner] + place]
             limits = np.concatenate([[0], np.cumsum(end - begin)])
             values, cuts = text.shingles(words, limits)
             keys = np.stack([text.sequence_hashes(words, limits, 0x5EED + k) for k in (0, 1)], 1)
             found = (text.band_hashes(text.minima(values, cuts, bands * rows, seed), bands, rows)
-                     if len(long) else np.zeros((0, bands), np.int64))
+                     if len(begin) else np.zeros((0, bands), np.int64))
+            long = end - begin >= least
+            lists = np.concatenate([[0], np.cumsum(long * bands)]).astype(np.int32)
             at = text.code_points(w.data)
             base = at[w.offsets[:-1]][doc]
             ids = batch.column("doc_id").take(pa.array(doc, pa.int64()))
@@ -54,7 +74,7 @@ def _paragraphs(bands: int, rows: int, least: int, seed: int):
                 ids, pa.array(keys[:, 0].view(np.int64)), pa.array((at[w.start[begin]] - base).astype(np.int32)),
                 pa.array((at[w.end[end - 1]] - base).astype(np.int32)),
                 pa.array([k.tobytes() for k in keys], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(np.arange(len(long) + 1, dtype=np.int32) * bands), pa.array(found.ravel()))],
+                pa.ListArray.from_arrays(pa.array(lists), pa.array(found[long].ravel()))],
                 ["doc_id", "key", "start", "stop", "node", "bands"])
     return run
 
@@ -89,20 +109,21 @@ def _to_first(batches):
 
 
 def paragraph_clusters(docs: DataFrame, scratch: Scratch, least: int = LEAST_WORDS, recall: float = RECALL,
-                       seed: int = 17) -> DataFrame:
+                       seed: int = 17, every: bool = False) -> DataFrame:
     """(doc_id, start, stop, first_doc_id, first_start, copies, removed) for
-    every paragraph of a cluster; see the module."""
+    every paragraph of a cluster; see the module. ``every``: lines too, and
+    without a least length; ``least`` then parts exact from banded ones."""
     spark = docs.sparkSession
     bands, rows = text.banding(text.SIMILARITY, recall, MOST_HASHES)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         "doc_id is not null")
     sketch = scratch.cut(texts.mapInArrow(
-        _paragraphs(bands, rows, least, seed),
+        _paragraphs(bands, rows, least, seed, every),
         "doc_id long, key long, start int, stop int, node binary, bands array<long>"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # candidates go by half of the hash: should two classes share it, one more
     # pair is compared
-    links = (sketch.select("key", "bands").mapInArrow(_bucket_rows, "value long, key long")
+    links = (sketch.where(F.size("bands") > 0).select("key", "bands").mapInArrow(_bucket_rows, "value long, key long")
              .repartition(parts, "value").sortWithinPartitions("value", "key")
              .mapInArrow(_to_first, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("shared")))
     candidates = jobs.components(links.select("a", "b"), scratch).withColumnRenamed("node", "key")
@@ -138,3 +159,13 @@ def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         return jobs.finish(paragraph_clusters(spark.read.parquet(f"{sf_dir}/documents.parquet"), scratch), scratch)
     finally:
         scratch.close()
+
+
+def op2_every_paragraph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for all sentences and whole lines, of any length."""
+    jobs.prepare(spark)
+    scratch = Scratch(spark, "paragraphs")
+    try:
+        return jobs.finish(paragraph_clusters(spark.read.parquet(f"{sf_dir}/documents.parquet"), scratch, every=True), scratch)
+    finally:
+        scratch.close()

@@ -8,14 +8,14 @@ from shelfwise.llm.bpe import op10_bpe
 from shelfwise.llm.decontaminate import op6_decontaminate
 from shelfwise.llm.hilbert import op3_hilbert_shards
 from shelfwise.llm.ngram_join import op7_ngram_join
-from shelfwise.llm.paragraph_dedup import op2_paragraph_dedup
+from shelfwise.llm.paragraph_dedup import op2_every_paragraph, op2_paragraph_dedup
 from shelfwise.llm.pii import op4_pii
 from shelfwise.llm.ppm import op5_ppm
 from shelfwise.llm.suffix_dedup import op8_suffix_dedup
 from shelfwise.llm.toxicity import op1_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_paragraph_dedup, op3_hilbert_shards, op4_pii, op5_ppm, op6_decontaminate,
+    op1_toxicity, op2_paragraph_dedup, op2_every_paragraph, op3_hilbert_shards, op4_pii, op5_ppm, op6_decontaminate,
     op7_ngram_join, op8_suffix_dedup, op9_rotated_codes, op10_bpe)}
 
 ORACLE_SQL: dict[str, str] = {}

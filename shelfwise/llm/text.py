@@ -157,9 +157,10 @@ def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, place
 
 
-def sentences(w: Words) -> tuple[np.ndarray, np.ndarray]:
+def sentences(w: Words, lines: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(first word of each sentence and the end, document of each sentence).
-    A sentence ends at a line's end, or at . ! ? before white space."""
+    A sentence ends at a line's end, or at . ! ? before white space;
+    ``lines``: at a line's end only."""
     data = w.data
     def between(members):
         sums = np.concatenate([[0], np.cumsum(byte_table(members)[data], dtype=np.int64)])
@@ -167,7 +168,9 @@ def sentences(w: Words) -> tuple[np.ndarray, np.ndarray]:
     n = len(w.start)
     opens = np.zeros(n, bool)
     if n:
-        opens[1:] = between([10, 13]) | (between([33, 46, 63]) & between([9, 32]))
+        opens[1:] = between([10, 13])
+        if not lines:
+            opens[1:] |= between([33, 46, 63]) & between([9, 32])
         opens[w.first[:-1][np.diff(w.first) > 0]] = True
     first = np.flatnonzero(opens)
     return np.r_[first, n], np.searchsorted(w.first, first, "right") - 1
