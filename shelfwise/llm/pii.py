@@ -48,7 +48,12 @@ WIDE = {
     "card": r"(?<![0-9A-Za-z])[0-9](?:[\x20./_-]?[0-9]){12,18}+(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z])(?:00)?\(?[0-9]{2,4}\)?(?:[\x20./-][0-9]{2,4}){2,4}+(?![0-9A-Za-z])",
 }
-NEEDS = {"email": r"@|[\[(]at[\])]", "ip": r"[0-9][\].\x20]", "card": r"[0-9]{2}", "phone": r"[0-9]{2}"}
+# What every match of a pattern holds: texts without it are not searched.
+NEEDS = {
+    "base": {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"},
+    "wide": {"email": r"@|[\[(]at[\])]", "ip": r"[0-9](?:\[\.\]|\x20\.\x20|\.)[0-9]", "card": r"[0-9][\x20./_-]?[0-9]",
+             "phone": r"[0-9]{2}"},
+}
 
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 IP_RANGE = rf"^{_PART}(?:\.{_PART}){{3}}$"
@@ -164,7 +169,7 @@ def candidates(docs: DataFrame, text: str = "text", prefix: str = "pii_") -> Dat
     none = F.array().cast("array<string>")
     sets = [("base", BASE), ("wide", WIDE)]
     frame = docs.select("*", *[
-        F.when(body.rlike(NEEDS[k]), F.regexp_extract_all(body, F.lit(patterns[k]), F.lit(0))).otherwise(none)
+        F.when(body.rlike(NEEDS[name][k]), F.regexp_extract_all(body, F.lit(patterns[k]), F.lit(0))).otherwise(none)
         .alias(p("found", name, k)) for name, patterns in sets for k in KINDS])
     frame = frame.select("*", *[
         F.when(F.size(p("found", name, k)) > 0, F.split(body, patterns[k], -1)).otherwise(none)

@@ -1,11 +1,14 @@
 """Cases that an operator once left out."""
 
+import hashlib
 import re
 from collections import Counter, defaultdict
 
 import edge
-from test_brute_force import SF, similar, union_find
+from pyspark.sql import functions as F
+from test_brute_force import SF, base_spans, similar, union_find
 
+import corpus_pipeline
 from shelfwise.llm.queries import QUERIES
 
 
@@ -57,3 +60,17 @@ def test_line_of_short_sentences(spark, tmp_path):
     found = Counter(rows[r.doc_id - 1][1][r.start:r.stop] for r in QUERIES["op2_every_paragraph"](spark, path).collect())
     assert found == {k: 2 for k in ("alpha", "One two three four. Five six seven eight nine", "One two three four",
                                     "Five six seven eight nine", "Roses are red", "Violets are blue")}
+
+
+def test_numbers_spaced_digit_by_digit(spark, tmp_path):
+    texts = ["card 4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "call +4 9 1 5 1 2 3 4 5 6 7 now", "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1",
+             "+4.9.1.5.1.2.3.4.5.6.7", "on 1.2.3.4", "+4"]
+    path = edge.folder(spark, tmp_path, rows=[(i, t, "en", "s", 1) for i, t in enumerate(texts)], extra=False)
+    rows = {r.doc_id: r for r in QUERIES["op4_pii"](spark, path).collect()}
+    assert [(r.n_ip, r.n_card, r.n_phone) for _, r in sorted(rows.items())] == [
+        (0, 1, 0), (0, 0, 1), (0, 1, 0), (2, 0, 1), (1, 0, 0), (0, 0, 0)]
+    for i, t in enumerate(texts):
+        assert rows[i].base_sha256 == hashlib.sha256(",".join(base_spans(t)).encode()).hexdigest()
+    docs = spark.read.parquet(f"{path}/documents.parquet").where(F.col("doc_id") < 2)
+    clear = corpus_pipeline.redact_personal(spark, docs, path).collect()
+    assert sorted(r.text for r in clear) == ["call <phone> now", "card <card>"]
