@@ -230,22 +230,25 @@ def crc_fold(column: str, parts: int):
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold_parts: int = 5,
         max_positive: int = MAX_POSITIVE, max_negative: int = MAX_NEGATIVE, max_bytes: int = MAX_BYTES) -> Network:
     """Train and calibrate on labelled rows whose crc fold is not 0. The rows
-    are the first by hash of their id within the documented bounds; those of
-    fold 1 calibrate, the others train."""
+    are the first by hash of their id within the documented bounds (one that
+    does not fit is passed over); those of fold 1 calibrate, the others train."""
     rated = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
              .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
              .withColumn("fold", crc_fold("doc_id", fold_parts)).where("fold <> 0"))
-    sizes = docs.where("doc_id is not null").select("doc_id", F.octet_length("text").alias("bytes"))
+    # all rows of an id come with it
+    sized = (docs.where("doc_id is not null").select("doc_id", F.octet_length("text").alias("bytes")).join(rated, "doc_id")
+             .groupBy("doc_id", "label", "fold").agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")))
     picked = []
     for value, most in ((1, max_positive), (0, max_negative)):
-        # first `most` by hash, then whole texts up to the byte bound
-        ranked = (rated.where(F.col("label") == value).join(sizes, "doc_id")
-                  .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect())
+        mine = sized.where(F.col("label") == value)
+        # the first by hash that fit; if none does, the shortest alone
+        ranked = (mine.where(F.col("bytes") <= max_bytes // 2).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()
+                  or mine.orderBy("bytes", "doc_id").limit(1).collect())
         total = 0
-        for r in ranked:
-            total += r.bytes or 0
-            if total > max_bytes // 2:
-                break
+        for i, r in enumerate(ranked):
+            if i and total + r.bytes > max_bytes // 2:
+                continue
+            total += r.bytes
             picked.append((r.doc_id, r.label, r.fold))
     net = Network.fresh()
     net.constant = not {0, 1} <= {p[1] for p in picked}
@@ -253,7 +256,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold_parts: in
     if net.constant:
         return net
     spark = docs.sparkSession
-    chosen = spark.createDataFrame(picked, "doc_id long, label int, fold int").dropDuplicates(["doc_id"])
+    chosen = spark.createDataFrame(picked, "doc_id long, label int, fold int")
     rows = (docs.select("doc_id", "text", F.coalesce("lang", F.lit("")).alias("lang"))
             .join(F.broadcast(chosen), "doc_id").select("label", "fold", "lang", "text")
             .mapInArrow(_ids_batches, "label int, fold int, lang string, ids binary").collect())

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_brute_force import SF, base_spans, similar, union_find
 
 import corpus_pipeline
+from shelfwise.llm import toxicity
 from shelfwise.llm.queries import QUERIES
 
 
@@ -74,3 +75,17 @@ def test_numbers_spaced_digit_by_digit(spark, tmp_path):
     docs = spark.read.parquet(f"{path}/documents.parquet").where(F.col("doc_id") < 2)
     clear = corpus_pipeline.redact_personal(spark, docs, path).collect()
     assert sorted(r.text for r in clear) == ["call <phone> now", "card <card>"]
+
+
+def test_a_long_text_does_not_end_the_sample(spark):
+    """The first text of each label by hash is over the byte bound."""
+    order = [r.id for r in spark.range(120).orderBy(F.xxhash64("id"), "id").collect()]
+    rows = [(i, ("bad " if k % 2 else "good ") * (4000 if k < 20 else 8), "en", k % 2) for k, i in enumerate(order)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    for least in (0, 20):                              # also with nothing that fits
+        some = docs.where(F.octet_length("text") > 1000) if least else docs
+        net = toxicity.fit(some.drop("toxic"), some.select("doc_id", "toxic"), max_bytes=8000)
+        assert not net.constant
+    net = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"), max_bytes=8000)
+    scored = docs.select("toxic", toxicity.score(docs, net).alias("s")).groupBy("toxic").agg(F.avg("s").alias("s")).collect()
+    assert {r.toxic for r in scored if r.s > 0.5} == {1}
