@@ -4,7 +4,9 @@ A word is the concatenation of three hashed embeddings (whole word, first 5
 and first 7 bytes). Filters of widths 1, 2 and 3 run over the words of the
 whole text, each is max-pooled, and a logistic layer reads the pooled
 values. Training uses a bounded sample of labelled rows on the driver;
-scoring is one Arrow pass over the whole table without a shuffle.
+scoring is one Arrow pass over the whole table without a shuffle. Scores are
+calibrated on all labelled rows of fold 1, at their own class shares, from
+counts by language, label and bin of the logit.
 
 Defined results: null and empty texts have no windows, so their pooled
 values are 0 and they get the score of the output bias. Rows with null or
@@ -31,6 +33,8 @@ WIDTHS = (1, 2, 3)
 FILTERS = 12
 #: Bounds of the training sample: rows of each label, and bytes of their texts.
 MAX_POSITIVE, MAX_NEGATIVE, MAX_BYTES = 3000, 6000, 32_000_000
+#: Bins of a unit of the logit, and the logit beyond which all are one bin.
+BINS, MOST_LOGIT = 256, 60
 
 
 def word_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -104,8 +108,11 @@ class Network:
     def scores(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         if self.constant:
             return np.zeros(len(first) - 1)
+        return self.scaled(self.logits(ids, first))
+
+    def scaled(self, logits: np.ndarray) -> np.ndarray:
         a, b = self.scale
-        return 1 / (1 + np.exp(-np.clip(a * self.logits(ids, first) + b, -60, 60)))
+        return 1 / (1 + np.exp(-np.clip(a * logits + b, -60, 60)))
 
 
 def train(docs: list[np.ndarray], labels: np.ndarray, epochs: int = 6, batch: int = 32, rate: float = 0.08,
@@ -176,36 +183,44 @@ def train(docs: list[np.ndarray], labels: np.ndarray, epochs: int = 6, batch: in
     return net
 
 
-def calibrate(net: Network, scores: np.ndarray, labels: np.ndarray, langs: np.ndarray, least: int = 20) -> None:
+def calibrate(net: Network, bins: np.ndarray, n: np.ndarray, hits: np.ndarray, langs: np.ndarray, least: int = 20) -> None:
     """A threshold for each language, the one of best F1 on the calibration
-    rows (midway between the neighbouring scores); languages with fewer than
-    ``least`` rows of either label take the threshold of all rows ("")."""
-    def best(s: np.ndarray, y: np.ndarray) -> float:
-        order = np.argsort(-s, kind="stable")
-        s, y = s[order], y[order]
-        hits = np.cumsum(y)
-        f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-        f1[:-1][s[:-1] == s[1:]] = -1
+    rows (midway between the neighbouring bins): n rows, of them hits toxic, by
+    bin and language. Languages with fewer than ``least`` rows of either label
+    take the threshold of all rows ("")."""
+    def best(mine: np.ndarray) -> float:
+        down, back = np.unique(-bins[mine], return_inverse=True)
+        y = np.bincount(back, hits[mine])
+        f1 = 2 * np.cumsum(y) / (np.cumsum(np.bincount(back, n[mine])) + y.sum())
         k = int(np.argmax(f1))
-        below = s[k + 1] if k + 1 < len(s) else 0.0
-        return float((s[k] + below) / 2)
-    net.thresholds = {"": best(scores, labels) if 0 < labels.sum() < len(labels) else 0.5}
+        low = net.scaled(-down[k] / BINS)
+        below = net.scaled((1 - down[k + 1]) / BINS) if k + 1 < len(down) else 0.0
+        return float((low + below) / 2)
+    net.thresholds = {"": best(np.ones(len(bins), bool)) if 0 < hits.sum() < n.sum() else 0.5}
     for lang in np.unique(langs):
         mine = langs == lang
-        if min(labels[mine].sum(), (1 - labels[mine]).sum()) >= least:
-            net.thresholds[str(lang)] = best(scores[mine], labels[mine])
+        if min(hits[mine].sum(), (n - hits)[mine].sum()) >= least:
+            net.thresholds[str(lang)] = best(mine)
+
 
+def platt(net: Network, logits: np.ndarray, n: np.ndarray, hits: np.ndarray) -> None:
+    """Slope and shift of the logits by Newton steps on counts of calibration
+    rows, with a weak prior, so that 0.5 is the even point."""
+    def loss(a: float, b: float) -> float:
+        z = a * logits + b
+        return (n * np.logaddexp(0, z) - hits * z).sum() + (a - 1.0) ** 2 / 2 + 0.05 * b * b
 
-def platt(net: Network, logits: np.ndarray, labels: np.ndarray) -> None:
-    """Slope and shift of the logits by Newton steps on calibration rows,
-    with a weak prior, so that 0.5 is the even point."""
     a, b = 1.0, 0.0
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
-        w = np.maximum(p * (1 - p), 1e-9)
-        g = np.array([((p - labels) * logits).sum() + (a - 1.0), (p - labels).sum() + 0.1 * b])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(a * logits + b, -500, 500)))
+        w = n * np.maximum(p * (1 - p), 1e-9)
+        off = n * p - hits
+        g = np.array([(off * logits).sum() + (a - 1.0), off.sum() + 0.1 * b])
         h = np.array([[(w * logits ** 2).sum() + 1.0, (w * logits).sum()], [(w * logits).sum(), w.sum() + 0.1]])
         step = np.linalg.solve(h, g)
+        # halved until the loss falls: far from the end a full step can overshoot
+        while np.abs(step).max() >= 1e-8 and loss(a - step[0], b - step[1]) > loss(a, b):
+            step /= 2
         a, b = a - step[0], b - step[1]
         if np.abs(step).max() < 1e-8:
             break
@@ -229,9 +244,10 @@ def crc_fold(column: str, parts: int):
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold_parts: int = 5,
         max_positive: int = MAX_POSITIVE, max_negative: int = MAX_NEGATIVE, max_bytes: int = MAX_BYTES) -> Network:
-    """Train and calibrate on labelled rows whose crc fold is not 0. The rows
-    are the first by hash of their id within the documented bounds (one that
-    does not fit is passed over); those of fold 1 calibrate, the others train."""
+    """Train and calibrate on labelled rows whose crc fold is not 0. Training
+    rows are the first by hash of their id within the documented bounds (one that
+    does not fit is passed over) and not of fold 1, all of which calibrate. If a
+    label is missing on either side, all rows serve there."""
     rated = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
              .groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
              .withColumn("fold", crc_fold("doc_id", fold_parts)).where("fold <> 0"))
@@ -241,6 +257,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold_parts: in
     picked = []
     for value, most in ((1, max_positive), (0, max_negative)):
         mine = sized.where(F.col("label") == value)
+        apart = mine.where("fold <> 1")
+        mine = mine if apart.isEmpty() else apart
         # the first by hash that fit; if none does, the shortest alone
         ranked = (mine.where(F.col("bytes") <= max_bytes // 2).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()
                   or mine.orderBy("bytes", "doc_id").limit(1).collect())
@@ -261,27 +279,38 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", fold_parts: in
             .join(F.broadcast(chosen), "doc_id").select("label", "fold", "lang", "text")
             .mapInArrow(_ids_batches, "label int, fold int, lang string, ids binary").collect())
     rows.sort(key=lambda r: (r.label, r.fold, r.lang, r.ids))
-    ids = [np.frombuffer(r.ids, np.int32).reshape(-1, 1 + len(PREFIXES)) for r in rows]
-    y = np.array([r.label for r in rows], np.float32)
-    held = np.array([r.fold == 1 for r in rows])
-    if not {0, 1} <= set(y[~held]):
-        held[:] = False
-    net = train([ids[i] for i in np.flatnonzero(~held)], y[~held])
-    check = np.flatnonzero(held) if {0, 1} <= set(y[held]) else np.arange(len(y))
-    flat = np.concatenate([ids[i] for i in check])
-    first = np.concatenate([[0], np.cumsum([len(ids[i]) for i in check])])
-    platt(net, net.logits(flat, first), y[check].astype(np.float64))
-    calibrate(net, net.scores(flat, first), y[check].astype(np.float64), np.array([rows[i].lang for i in check]))
+    net = train([np.frombuffer(r.ids, np.int32).reshape(-1, 1 + len(PREFIXES)) for r in rows],
+                np.array([r.label for r in rows], np.float32))
+    counts = _counts(docs, rated.where("fold = 1"), net, fold_parts)
+    if not {0, 1} <= {r.label for r in counts}:
+        counts = _counts(docs, rated, net, fold_parts)
+    bins, n, y = (np.array([r[k] for r in counts], np.int64) for k in ("bin", "n", "label"))
+    platt(net, (bins + 0.5) / BINS, n, n * y)
+    calibrate(net, bins, n, n * y, np.array([r.lang for r in counts]))
     return net
 
 
-def scorer(spark: SparkSession, net: Network):
-    """Column function: the score of a whole text."""
+def _counts(docs: DataFrame, rated: DataFrame, net: Network, fold_parts: int) -> list:
+    """Rows of rated documents by (lang, bin of the logit, label). Texts are
+    read where they are; only ids and bins meet the labels."""
+    folds = [r.fold for r in rated.select("fold").distinct().collect()]
+    most = MOST_LOGIT * BINS
+    logit = scorer(docs.sparkSession, net, raw=True)(F.col("text").cast("string"))
+    binned = (docs.where(F.col("doc_id").isNotNull() & crc_fold("doc_id", fold_parts).isin(folds))
+              .select("doc_id", F.coalesce("lang", F.lit("")).alias("lang"),
+                      F.greatest(F.lit(-most), F.least(F.lit(most), F.floor(logit * BINS))).cast("int").alias("bin")))
+    return (binned.join(rated, "doc_id").groupBy("lang", "bin", "label").agg(F.count("*").alias("n"))
+            .orderBy("lang", "bin", "label").collect())
+
+
+def scorer(spark: SparkSession, net: Network, raw: bool = False):
+    """Column function: the score of a whole text (``raw``: its logit)."""
     shared = spark.sparkContext.broadcast(net)
 
     @F.arrow_udf("double")
     def scores(texts: pa.Array) -> pa.Array:
-        parts = [shared.value.scores(*word_ids(texts[a:b])) for a, b in text.cuts_of(texts)]
+        rate = shared.value.logits if raw else shared.value.scores
+        parts = [rate(*word_ids(texts[a:b])) for a, b in text.cuts_of(texts)]
         return pa.array(np.concatenate(parts) if parts else [], pa.float64())
 
     return scores

@@ -1,6 +1,7 @@
 """Cases that an operator once left out."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -89,3 +90,18 @@ def test_a_long_text_does_not_end_the_sample(spark):
     net = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"), max_bytes=8000)
     scored = docs.select("toxic", toxicity.score(docs, net).alias("s")).groupBy("toxic").agg(F.avg("s").alias("s")).collect()
     assert {r.toxic for r in scored if r.s > 0.5} == {1}
+
+
+def test_scores_keep_the_share_of_all_labels(spark):
+    """A sample of equal classes, out of a table where a tenth is toxic."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(3000):
+        bad = rng.random() < 0.2
+        toxic = int(rng.random() < (0.45 if bad else 0.02))
+        rows.append((i, " ".join(rng.choice("abcdefghij") * 3 for _ in range(8)) + (" vile" if bad else " kind"), "en", toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    net = toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic"), max_positive=100, max_negative=100)
+    r = docs.where(toxicity.crc_fold("doc_id", 5) == 1).agg(
+        F.avg(toxicity.score(docs, net)).alias("score"), F.avg("toxic").alias("toxic")).first()
+    assert abs(r.score - r.toxic) < 0.02
