@@ -14,8 +14,8 @@
    are its repeated passages.
 
 The sort keys end in (doc_id, place), so a passage that a third of all
-documents share is cut over many tasks; a task meets its neighbour task by the
-first row of that task. Nothing is quadratic in the copies of a passage.
+documents share is cut over many tasks; a task meets those before and after it
+by their nearest row of another document. Nothing is quadratic in the copies of a passage.
 
 Defined results: words are runs of letters and digits, case folded. Null,
 empty and shorter texts, and rows with a null doc_id, have no passages.
@@ -143,14 +143,32 @@ def neighbours(rows: DataFrame, side: str, scratch: Scratch) -> DataFrame:
     keys = ["h", side, "doc_id", "at"]
     ordered = scratch.cut(rows.select(*keys, "first").repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
                           .withColumn("place", F.monotonically_increasing_id()))
-    # first row of each sorted partition: what follows the last row of the one before
-    heads = {r.part: r.head for r in ordered.groupBy(F.shiftright("place", 33).alias("part")).agg(
-        F.min_by(F.struct("h", side, "doc_id"), "place").alias("head")).collect()}
-    tails = {r.part: r.tail for r in ordered.groupBy(F.shiftright("place", 33).alias("part")).agg(
-        F.max_by(F.struct("h", side, "doc_id"), "place").alias("tail")).collect()}
-    names = sorted(heads)
-    edges = [(p, *(tuple(tails[names[i - 1]]) if i else (None, None, None)),
-              *(tuple(heads[names[i + 1]]) if i + 1 < len(names) else (None, None, None))) for i, p in enumerate(names)]
+    # first and last row of each sorted partition, and the first and last of
+    # another document than theirs
+    mine, part = F.struct("h", side, "doc_id"), F.shiftright("place", 33).alias("part")
+    ends = sorted(ordered.groupBy(part).agg(F.min_by(mine, "place").alias("head"), F.max_by(mine, "place").alias("tail")).collect())
+    ids = F.broadcast(spark.createDataFrame([(r.part, r.head.doc_id, r.tail.doc_id) for r in ends], "part long, low long, high long"))
+    others = {r.part: r for r in ordered.select("*", part).join(ids, "part").groupBy("part").agg(
+        F.min_by(mine, F.when(F.col("doc_id") != F.col("low"), F.col("place"))).alias("head"),
+        F.max_by(mine, F.when(F.col("doc_id") != F.col("high"), F.col("place"))).alias("tail")).collect()}
+
+    def nearest(rows: list, end: str) -> list[tuple]:
+        """For each partition in turn, the last row (``end``) met before it of
+        another document than the one at its near end."""
+        out, last, other = [], None, None
+        far = {"tail": "head", "head": "tail"}[end]
+        for r in rows:
+            doc = r[far].doc_id
+            out.append(tuple(last if last and last.doc_id != doc else other or (None, None, None)))
+            here = others[r.part][end]
+            if here is not None:
+                other = here
+            elif last and last.doc_id != r[end].doc_id:
+                other = last
+            last = r[end]
+        return out
+
+    edges = [(r.part, *b, *a) for r, b, a in zip(ends, nearest(ends, "tail"), nearest(ends[::-1], "head")[::-1], strict=True)]
     schema = "part long, bh long, bkey binary, bdoc long, ah long, akey binary, adoc long"
     near = F.broadcast(spark.createDataFrame(edges, schema))
     order = Window.partitionBy("part").orderBy("place")

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from test_brute_force import SF, base_spans, similar, union_find
 
 import corpus_pipeline
-from shelfwise.llm import toxicity
+from shelfwise.llm import suffix_dedup, toxicity
 from shelfwise.llm.queries import QUERIES
+from shelfwise.operators.lineage import Scratch
 
 
 def paragraphs(t):
@@ -105,3 +106,19 @@ def test_scores_keep_the_share_of_all_labels(spark):
     r = docs.where(toxicity.crc_fold("doc_id", 5) == 1).agg(
         F.avg(toxicity.score(docs, net)).alias("score"), F.avg("toxic").alias("toxic")).first()
     assert abs(r.score - r.toxic) < 0.02
+
+
+def test_runs_of_one_document_over_many_partitions(spark):
+    """Its neighbours of other documents may be several partitions away."""
+    rows = [(1, b"aaaabbbb", 5, 0)] + [(1, b"aaaa" + bytes([98 + k % 3]) * 4, 7, k) for k in range(3000)]
+    rows += [(1, b"aaaadddd", 9, 0)] + [(2, b"aaaa", 7, 9000 + k) for k in range(50)]
+    df = spark.createDataFrame(rows, "h long, right binary, doc_id long, at int").selectExpr("*", "5L AS first")
+    scratch = Scratch(spark, "runs")
+    try:
+        got = {(r.doc_id, r.at): r.extent for r in suffix_dedup.neighbours(df, "right", scratch).collect()}
+    finally:
+        scratch.close()
+    common = lambda a, b: next((k for k in range(2) if a[4 * k:4 * k + 4] != b[4 * k:4 * k + 4]), 2)
+    kinds = {(h, x, d) for h, x, d, _ in rows}
+    best = {k: max((common(k[1], o[1]) for o in kinds if o[0] == k[0] and o[2] != k[2]), default=-1) for k in kinds}
+    assert got == {(d, at): best[h, x, d] for h, x, d, at in rows}
