@@ -50,14 +50,23 @@ class Scratch:
         out.count()
         return out
 
+    def _place(self, path: str):
+        sc = self.spark.sparkContext
+        place = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return place, place.getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def folder(self, name: str) -> str:
+        """A folder of this job for what Spark itself writes there (streams)."""
+        place, fs = self._place(f"{self.root}/{name}")
+        fs.mkdirs(place)
+        return f"{self.root}/{name}"
+
     def close(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = root.getFileSystem(conf)
-        if not fs.exists(root):
+        root, fs = self._place(self.root)
+        if not self._keep:
+            fs.delete(root, True)
             return
-        for st in fs.listStatus(root):
+        for st in fs.listStatus(root) if fs.exists(root) else []:
             p = st.getPath()
             if p.getName() not in self._keep:
                 fs.delete(p, True)
