@@ -49,7 +49,9 @@ def folder(spark, tmp_path, rows=ROWS, extra=True):
     spark.createDataFrame(items, "item_id long, text string").withColumn("own", F.lit(1)).write.parquet(f"{path}/benchmark.parquet")
     vectors = [(0, [1.0, 0.0]), (100, [0.0, 1.0]), (101, [0.0, 1.0]), (3, None), (4, [None, 1.0]), (5, [float("nan"), 1.0]),
                (6, [0.0, 0.0]), (None, [1.0, 1.0]), (7, [1.0, 2.0, 3.0]), (8, [float("inf"), 1.0]), (9, []), (10, [1.0, 0.1])]
-    spark.createDataFrame(vectors if rows else [], "vec_id long, embedding array<float>").withColumn("code", F.lit(1)).write.parquet(
+    labelled = [(i, v, None if i == 101 else (i or 0) % 2) for i, v in vectors] if rows else []
+    spark.createDataFrame(labelled, "vec_id long, embedding array<float>, label int").withColumn("code", F.lit(1)).withColumn(
+        "slice", F.lit("own")).write.parquet(
         f"{path}/embeddings.parquet")
     return path
 
