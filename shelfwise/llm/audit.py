@@ -43,7 +43,7 @@ from shelfwise.operators.lineage import Scratch
 FILTERS = "ABCDE"
 COPY = 16                   # the mask's bit of filter E
 LEAST_WORDS = 200
-TEXTS_A_KEY = 32
+TEXTS_A_KEY = 256
 #: Micro-batches of a backlog of files: each batch rewrites the state it meets.
 BATCHES = 4
 #: Texts whose smallest id a task remembers.
@@ -54,7 +54,7 @@ def masks(docs: DataFrame) -> DataFrame:
     """(doc_id, part, mask, hash) of documents; mask has bits 1 to 8 for the
     filters A to D."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    split = F.filter(F.split(text, r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    split = F.array_remove(F.split(text, r"[\x20\x09-\x0D]+", -1), "")
     first = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"),
                         text.alias("text"), split.alias("words"))
     n, distinct = F.size("words"), F.size(F.array_distinct("words"))
