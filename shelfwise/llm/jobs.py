@@ -11,8 +11,8 @@ from shelfwise.operators.graph import components  # noqa: F401
 from shelfwise.operators.lineage import Scratch
 from shelfwise.session import ensure_checkpoint_dir
 
-#: Rows of an Arrow batch: bounds a Python worker's memory on long texts.
-BATCH_ROWS = 1000
+#: Rows and bytes of an Arrow batch: bound a Python worker's memory on long texts.
+BATCH_ROWS, BATCH_BYTES = 1000, "4m"
 #: Rows of ids up to which a side may be broadcast (some 20 MB).
 BROADCAST_ROWS = 500_000
 
@@ -21,6 +21,7 @@ def prepare(spark: SparkSession) -> None:
     """Checkpoint folder named by the session, and small Arrow batches."""
     ensure_checkpoint_dir(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def finish(df: DataFrame, scratch: Scratch) -> DataFrame:

@@ -1,25 +1,31 @@
 """Substring deduplication by paragraph MinHash banding.
 
-A paragraph is the smallest run of text that authors copy whole: a sentence of
-its line, of eight words or more (a shorter one is no evidence of copying).
-Equal word sequences are one class by hash. Signatures are banded for a recall
-of 0.9995 at Jaccard 0.8; rows of a band hash are sorted where they meet, and
-each class is linked to the first of its bucket. The components of these links
-are candidate sets, whose members are compared exactly, block against block;
-the components of verified links are the clusters. Of each cluster the first
-occurrence (by doc_id and place) stays and all others are removals.
-
-``every`` takes the whole lines too, and paragraphs of any length. Those of
-fewer than eight words are one class if their word sequences are equal; only
-longer ones are banded.
+Paragraphs are the sentences of each line and the whole lines of several
+sentences, of any length. Equal word sequences are one class by a 128-bit hash.
+
+1. One pass writes the place and class of every paragraph.
+2. Paragraphs of eight words or more are banded for a recall of 0.9995 at
+   Jaccard 0.8. Band hashes are sorted where they meet and those of one class
+   alone dropped; buckets of the same members are one.
+3. Inside each bucket all classes are compared exactly by their 5-word
+   shingles (block against block in large ones), so what a loose band brings
+   together is checked there and never grows into one large candidate set.
+   Shorter paragraphs have too few shingles for a near copy: they are one
+   class if their word sequences are equal.
+4. The components of verified links are the clusters. Of each cluster the first
+   occurrence (by doc_id and place) stays and all others are removals.
+
+Paragraphs that stand together join to passages. One of a common word or two
+is no evidence of copying, so ``least_passage`` reports the paragraphs of
+passages of that many words at least; what is read and compared stays whole.
 
 Defined results: one row for each paragraph of a cluster of two or more
-occurrences. Null and empty texts, rows with a null doc_id and paragraphs of
-fewer than eight words (unless ``every``) have none; repeated rows are occurrences of their own
-(of equal doc_id and place both count, and neither is a removal of the other).
-Places are code points, the end exclusive. A line of one sentence is one
-paragraph; a line of several is one beside its sentences, so rows of ``every``
-may lie within each other.
+occurrences. Null and empty texts and rows with a null doc_id have none;
+repeated rows are occurrences of their own (of equal doc_id and place both
+count, and neither is a removal of the other). Places are code points, the end
+exclusive. A line of one sentence is one paragraph; a line of several is one
+beside its sentences, so rows may lie within each other. A passage is a longest
+run of words of one text all of which are in such paragraphs.
 """
 
 from __future__ import annotations
@@ -28,144 +34,231 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfwise.llm import jobs, near, text
+from shelfwise.llm.ngram_join import same_text
 from shelfwise.operators.lineage import Scratch
 
 RECALL = 0.9995
+#: Words from which a paragraph is banded.
 LEAST_WORDS = 8
-#: Few hashes, hence many candidates: checking them is cheaper than their buckets.
-MOST_HASHES = 24
+MOST_HASHES = 36
+#: Words of a passage that op2_paragraph_dedup reports, at least.
+LEAST_PASSAGE = 12
+#: Bits of the filters that spare rows a shuffle (they let some too many through).
+FILTER_BITS = 1 << 27
+
+
+PLACES = "doc_id long, same long, start int, stop int, word int, words int, node binary"
+
+
+class Paragraphs:
+    """All sentences of a batch, and the lines that are not one sentence."""
+
+    def __init__(self, texts: pa.Array):
+        w = self.words = text.words_of(texts)
+        first, doc = text.sentences(w)
+        whole, owner = text.sentences(w, lines=True)
+        several = np.flatnonzero(np.diff(np.searchsorted(first, whole)) > 1)
+        self.begin = np.r_[first[:-1], whole[:-1][several]]
+        self.end = np.r_[first[1:], whole[1:][several]]
+        self.doc = np.r_[doc, owner[several]]
 
+    def keep(self, which: np.ndarray) -> None:
+        self.begin, self.end, self.doc = self.begin[which], self.end[which], self.doc[which]
 
-def _all_limits(w: text.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first word, end, document) of all sentences, and of the lines that
-    are not one sentence."""
-    first, doc = text.sentences(w)
-    whole, owner = text.sentences(w, lines=True)
-    several = np.flatnonzero(np.diff(np.searchsorted(first, whole)) > 1)
-    return (np.r_[first[:-1], whole[:-1][several]], np.r_[first[1:], whole[1:][several]], np.r_[doc, owner[several]])
+    def sequences(self) -> tuple[np.ndarray, np.ndarray]:
+        """(words of the paragraphs, one after another; limits)."""
+        owner, place = text.spread(self.end - self.begin)
+        return self.words.hash[self.begin[owner] + place], np.concatenate([[0], np.cumsum(self.end - self.begin)])
 
+    def keys(self) -> np.ndarray:
+        return text.pair_keys(*self.sequences()) if len(self.begin) else np.zeros((0, 2), np.uint64)
 
-def _paragraphs(bands: int, rows: int, least: int, seed: int, every: bool):
+
+def _places(batches):
+    """(doc_id, same, start, stop, word, words, node) of every paragraph."""
+    for batch in text.portions(batches):
+        p = Paragraphs(batch.column("text"))
+        w = p.words
+        at = text.code_points(w.data)
+        base = at[w.offsets[:-1]][p.doc]
+        take = pa.array(p.doc, pa.int64())
+        yield pa.RecordBatch.from_arrays([
+            batch.column("doc_id").take(take), batch.column("same").take(take),
+            pa.array((at[w.start[p.begin]] - base).astype(np.int32)), pa.array((at[w.end[p.end - 1]] - base).astype(np.int32)),
+            pa.array((p.begin - w.first[p.doc]).astype(np.int32)), pa.array((p.end - p.begin).astype(np.int32)),
+            text.fixed_binary(p.keys())], ["doc_id", "same", "start", "stop", "word", "words", "node"])
+
+
+def _banded(bands: int, rows: int, seed: int):
+    """(value, key) of each band of the long paragraphs, once for a batch."""
     def run(batches):
         for batch in text.portions(batches):
-            w = text.words_of(batch.column("text"))
-            if every:
-                begin, end, doc = _all_limits(w)
-            else:
-                first, doc = text.sentences(w)
-                long = np.flatnonzero(np.diff(first) >= least)
-                begin, end, doc = first[:-1][long], first[1:][long], doc[long]
-            # words of these paragraphs only, one after another
-            owner, place = text.spread(end - begin)
-            words = w.hash[begin[owner] + place]
-            limits = np.concatenate([[0], np.cumsum(end - begin)])
-            values, cuts = text.shingles(words, limits)
-            keys = np.stack([text.sequence_hashes(words, limits, 0x5EED + k) for k in (0, 1)], 1)
-            found = (text.band_hashes(text.minima(values, cuts, bands * rows, seed), bands, rows)
-                     if len(begin) else np.zeros((0, bands), np.int64))
-            long = end - begin >= least
-            lists = np.concatenate([[0], np.cumsum(long * bands)]).astype(np.int32)
-            at = text.code_points(w.data)
-            base = at[w.offsets[:-1]][doc]
-            ids = batch.column("doc_id").take(pa.array(doc, pa.int64()))
-            yield pa.RecordBatch.from_arrays([
-                ids, pa.array(keys[:, 0].view(np.int64)), pa.array((at[w.start[begin]] - base).astype(np.int32)),
-                pa.array((at[w.end[end - 1]] - base).astype(np.int32)),
-                pa.array([k.tobytes() for k in keys], pa.binary()),
-                pa.ListArray.from_arrays(pa.array(lists), pa.array(found[long].ravel()))],
-                ["doc_id", "key", "start", "stop", "node", "bands"])
+            p = Paragraphs(batch.column("text"))
+            p.keep(np.flatnonzero(p.end - p.begin >= LEAST_WORDS))
+            if not len(p.begin):
+                continue
+            keys = p.keys()[:, 0].view(np.int64)
+            _, fresh = np.unique(keys, return_index=True)
+            p.keep(fresh)
+            values, limits = text.shingles(*p.sequences())
+            found = text.band_hashes(text.minima(values, limits, bands * rows, seed), bands, rows)
+            yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), pa.array(np.repeat(keys[fresh], bands))], ["value", "key"])
     return run
 
 
-def _bucket_rows(batches):
-    """(value, key) of each band, once for a batch."""
-    for batch in batches:
-        values = batch.column("bands").flatten().to_numpy(zero_copy_only=False)
-        keys = batch.column("key").to_numpy(zero_copy_only=False)
-        keys = np.repeat(keys, len(values) // max(1, len(keys)))
-        order = np.lexsort((keys, values))
-        values, keys = values[order], keys[order]
-        fresh = np.flatnonzero(np.r_[True, (values[1:] != values[:-1]) | (keys[1:] != keys[:-1])]) if len(values) else order
-        yield pa.RecordBatch.from_arrays([pa.array(values[fresh], pa.int64()), pa.array(keys[fresh], pa.int64())], ["value", "key"])
-
-
-def _to_first(batches):
-    """Rows sorted by (value, key): each key that differs from the first of
-    its value is linked to it. Only the first is held between batches."""
-    value = least = None
+def _shared(batches):
+    """Rows sorted by (value, key): each key of the values that have several,
+    once. Only the last row is held between batches."""
+    last, single = None, False               # the last row, and whether it waits for a second key
     for batch in batches:
         values = batch.column("value").to_numpy(zero_copy_only=False)
         keys = batch.column("key").to_numpy(zero_copy_only=False)
         if not len(values):
             continue
-        opens = np.r_[value is None or values[0] != value, values[1:] != values[:-1]]
-        at = np.maximum.accumulate(np.where(opens, np.arange(len(values)), -1))
-        first = np.where(at >= 0, keys[np.maximum(at, 0)], least if least is not None else 0)
-        value, least = values[-1], first[-1]
-        link = keys != first
-        yield pa.RecordBatch.from_arrays([pa.array(keys[link], pa.int64()), pa.array(first[link], pa.int64())], ["a", "b"])
-
-
-def paragraph_clusters(docs: DataFrame, scratch: Scratch, least: int = LEAST_WORDS, recall: float = RECALL,
-                       seed: int = 17, every: bool = False) -> DataFrame:
-    """(doc_id, start, stop, first_doc_id, first_start, copies, removed) for
-    every paragraph of a cluster; see the module. ``every``: lines too, and
-    without a least length; ``least`` then parts exact from banded ones."""
-    spark = docs.sparkSession
+        if last is not None:
+            values, keys = np.r_[last[0], values], np.r_[last[1], keys]
+        fresh = np.r_[True, (values[1:] != values[:-1]) | (keys[1:] != keys[:-1])]
+        values, keys = values[fresh], keys[fresh]
+        same = values[1:] == values[:-1]
+        several = np.r_[False, same] | np.r_[same, False]
+        # the first row has gone out already if it had company before
+        if last is not None and not single:
+            several[0] = False
+        last, single = (values[-1], keys[-1]), not (several[-1] or (len(values) == 1 and last is not None and not single))
+        yield pa.RecordBatch.from_arrays([pa.array(values[several]), pa.array(keys[several])], ["value", "key"])
+
+
+def key_filter(keys: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """A bitmap with the place of each key (a long) set, of the same size for
+    any number of keys: a row whose place is not set has none of them."""
+    place = F.pmod("key", F.lit(bits)) + 1
+    parts = keys.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("at")).groupBy(
+        "part").agg(F.bitmap_construct_agg("at").alias("bits"))
+    out = np.zeros(bits // 8, np.uint8)
+    for r in parts.toLocalIterator():
+        low = (r.part - 1) * 4096
+        out[low:low + 4096] = np.frombuffer(r.bits, np.uint8)
+    return out
+
+
+def held(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the 64-bit keys have their place set."""
+    at = np.mod(keys.view(np.int64), np.int64(8 * len(bitmap)))
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _node_keys(nodes: pa.Array) -> np.ndarray:
+    """The first of a class's two hashes, by which bands and filters go."""
+    return np.frombuffer(b"".join(n[:8] for n in nodes.to_pylist()), np.int64)
+
+
+def _keyed(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_node_keys(batch.column("node")))], ["key"])
+
+
+def _wanted_sets(shared):
+    """(node, key, set) of the long paragraphs whose key the filter holds."""
+    def run(batches):
+        for batch in text.portions(batches):
+            p = Paragraphs(batch.column("text"))
+            p.keep(np.flatnonzero(p.end - p.begin >= LEAST_WORDS))
+            keys = p.keys()
+            _, fresh = np.unique(keys[:, 0], return_index=True)
+            fresh = fresh[held(shared.value, keys[fresh, 0])]
+            p.keep(fresh)
+            if not len(fresh):
+                continue
+            values, limits = text.distinct_runs(*text.shingles(*p.sequences()))
+            yield pa.RecordBatch.from_arrays([text.fixed_binary(keys[fresh]), pa.array(keys[fresh, 0].view(np.int64)),
+                                              text.binary_runs(values, limits)], ["node", "key", "set"])
+    return run
+
+
+def _filtered(shared):
+    """Rows whose node the filter holds."""
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(held(shared.value, _node_keys(batch.column("node")))))
+    return run
+
+
+def verified_links(texts: DataFrame, scratch: Scratch, recall: float = RECALL, seed: int = 17) -> DataFrame:
+    """(node, root): verified links between classes of long paragraphs."""
+    spark = texts.sparkSession
     bands, rows = text.banding(text.SIMILARITY, recall, MOST_HASHES)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared = scratch.cut(texts.select("text").mapInArrow(_banded(bands, rows, seed), "value long, key long")
+                         .repartition(parts, "value").sortWithinPartitions("value", "key")
+                         .mapInArrow(_shared, "value long, key long"))
+    # of buckets with the same members one is enough
+    alike = shared.groupBy("value").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"),
+                                        F.min("key").alias("low"), F.max("key").alias("high"))
+    chosen = alike.groupBy("n", "x", "low", "high").agg(F.min("value").alias("value")).select("value")
+    shared = scratch.cut(shared.join(chosen, "value"))
+    wanted = spark.sparkContext.broadcast(key_filter(shared.select("key").distinct()))
+    sets = scratch.cut(texts.select("text").mapInArrow(_wanted_sets(wanted), "node binary, key long, set binary")
+                       .groupBy("node", "key").agg(F.first("set").alias("set")))
+    wanted.destroy()
+    members = scratch.cut(near.deal(
+        shared.join(sets.select("key", "node", F.octet_length("set").cast("long").alias("bytes")), "key")
+        .select("node", F.col("value").alias("root"), "bytes", F.lit(1).cast("long").alias("n"))))
+    dealt, some = near.block_pairs(members, parts)
+    if not some:
+        return spark.createDataFrame([], "node binary, root binary")
+    return scratch.cut(near.verify(dealt.join(sets.select("node", "set"), "node")).select("node", "root").distinct())
+
+
+def paragraph_clusters(docs: DataFrame, scratch: Scratch, recall: float = RECALL, seed: int = 17,
+                       least_passage: int = 1) -> DataFrame:
+    """(doc_id, start, stop, first_doc_id, first_start, copies, removed,
+    passage_words) for every paragraph of a cluster; see the module."""
+    spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         "doc_id is not null")
-    sketch = scratch.cut(texts.mapInArrow(
-        _paragraphs(bands, rows, least, seed, every),
-        "doc_id long, key long, start int, stop int, node binary, bands array<long>"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # candidates go by half of the hash: should two classes share it, one more
-    # pair is compared
-    links = (sketch.where(F.size("bands") > 0).select("key", "bands").mapInArrow(_bucket_rows, "value long, key long")
-             .repartition(parts, "value").sortWithinPartitions("value", "key")
-             .mapInArrow(_to_first, "a long, b long").groupBy("a", "b").agg(F.count("*").alias("shared")))
-    candidates = jobs.components(links.select("a", "b"), scratch).withColumnRenamed("node", "key")
-    nodes = scratch.cut(sketch.groupBy("node", "key").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "stop")).alias("at")).join(candidates, "key", "left")
-        .where("n > 1 or root is not null"))
-    members = scratch.cut(near.deal(nodes.where("root is not null").select(
-        "node", "root", "n", "at", (F.col("at.stop") - F.col("at.start")).cast("long").alias("bytes"))))
-    dealt, held = near.block_pairs(members, parts)
-    if held:
-        # one text for each class, cut out of its first document
-        cut = (texts.join(members.select("node", "at", F.col("at.doc_id").alias("doc_id")), "doc_id")
-               .select("node", F.substring(F.col("text"), F.col("at.start") + 1, F.col("at.stop") - F.col("at.start")).alias("text")))
-        verified = scratch.cut(near.verify(dealt.join(cut, "node"), "binary"))
-    else:
-        verified = spark.createDataFrame([], "node binary, links long, root binary")
-    roots = jobs.components(verified.select(F.col("node").alias("a"), F.col("root").alias("b")), scratch)
-    named = nodes.drop("root", "key").join(roots, "node", "left").where("n > 1 or root is not null").select(
-        "node", "n", "at", F.coalesce("root", "node").alias("cluster"))
+    links = verified_links(texts, scratch, recall, seed)
+    roots = jobs.components(links.select(F.col("node").alias("a"), F.col("root").alias("b")), scratch)
+    sketch = scratch.cut(texts.select("doc_id", "text", same_text().alias("same")).mapInArrow(_places, PLACES))
+    nodes = sketch.groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "stop")).alias("at"))
+    named = scratch.cut(nodes.join(roots, "node", "left").where("n > 1 or root is not null").select(
+        "node", "n", "at", F.coalesce("root", "node").alias("cluster")))
     clusters = named.groupBy("cluster").agg(F.sum("n").alias("copies"), F.min("at").alias("first"))
-    named = named.select("node", "cluster").join(clusters, "cluster")
-    return sketch.select("doc_id", "start", "stop", "node").join(named, "node").select(
+    named = scratch.cut(named.select("node", "cluster").join(clusters, "cluster").select("node", "copies", "first"))
+    wanted = spark.sparkContext.broadcast(key_filter(named.select("node").mapInArrow(_keyed, "key long")))
+    rows = sketch.mapInArrow(_filtered(wanted), PLACES).join(named, "node")
+    # runs of covered words of a text
+    order = Window.partitionBy("doc_id", "same").orderBy("word", "words")
+    reach = F.max(F.col("word") + F.col("words")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("opens", F.when(reach >= F.col("word"), 0).otherwise(1)).withColumn(
+        "run", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    run = Window.partitionBy("doc_id", "same", "run")
+    rows = rows.withColumn("passage_words", (F.max(F.col("word") + F.col("words")).over(run) - F.min("word").over(run)))
+    return rows.where(F.col("passage_words") >= least_passage).select(
         "doc_id", "start", "stop", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start"),
-        "copies", ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start"))).alias("removed"))
+        "copies", ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start"))).alias("removed"),
+        "passage_words")
 
 
-def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every paragraph that has a copy or near copy, with the first occurrence
-    of its cluster and whether it is a removal."""
+def _query(spark: SparkSession, sf_dir: str, least_passage: int) -> DataFrame:
     jobs.prepare(spark)
     scratch = Scratch(spark, "paragraphs")
     try:
-        return jobs.finish(paragraph_clusters(spark.read.parquet(f"{sf_dir}/documents.parquet"), scratch), scratch)
+        docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+        return jobs.finish(paragraph_clusters(docs, scratch, least_passage=least_passage), scratch)
     finally:
         scratch.close()
 
 
+def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph that has a copy or near copy and stands in a repeated
+    passage of 12 words or more, with the first occurrence of its cluster and
+    whether it is a removal. All sentences and lines are compared."""
+    return _query(spark, sf_dir, LEAST_PASSAGE)
+
+
 def op2_every_paragraph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same for all sentences and whole lines, of any length."""
-    jobs.prepare(spark)
-    scratch = Scratch(spark, "paragraphs")
-    try:
-        return jobs.finish(paragraph_clusters(spark.read.parquet(f"{sf_dir}/documents.parquet"), scratch, every=True), scratch)
-    finally:
-        scratch.close()
+    """The same without a least passage."""
+    return _query(spark, sf_dir, 1).drop("passage_words")

@@ -19,7 +19,7 @@ SHINGLE = 5            # words of a shingle
 SIMILARITY = 0.8       # near-duplicate threshold
 _BASE = 0x9E3779B97F4A7C15
 _STEP = np.uint64(0xD1B54A32D192ED03)
-_CHUNK = 1 << 20       # bytes hashed at a time
+_CHUNK = 1 << 18       # bytes hashed at a time
 
 
 def byte_table(members) -> np.ndarray:
@@ -56,18 +56,24 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_POWERS: dict[str, np.ndarray] = {}
+_POWERS: list[np.ndarray] = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "up" not in _POWERS or len(_POWERS["up"]) < n:
-        size = max(n, _CHUNK + 1)
-        inverse = pow(_BASE, -1, 1 << 64)
-        for name, base in (("up", _BASE), ("down", inverse)):
+    """Powers of the base and of its inverse, n or more of each. A worker
+    keeps those of one chunk; longer runs are made anew."""
+    def table(size: int) -> list[np.ndarray]:
+        out = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
-            _POWERS[name] = np.cumprod(steps, dtype=np.uint64)
-    return _POWERS["up"], _POWERS["down"]
+            out.append(np.cumprod(steps, dtype=np.uint64))
+        return out
+    if n > _CHUNK + 1:
+        return tuple(table(n))
+    if not _POWERS:
+        _POWERS.extend(table(_CHUNK + 1))
+    return _POWERS[0], _POWERS[1]
 
 
 def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +89,7 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def cuts_of(texts: pa.Array, most: int = 8 << 20) -> list[tuple[int, int]]:
+def cuts_of(texts: pa.Array, most: int = 1 << 20) -> list[tuple[int, int]]:
     """Runs of rows whose texts have at most so many bytes (or are one row)."""
     ends = pc.fill_null(pc.binary_length(texts.cast(pa.large_string())), 0).to_numpy(zero_copy_only=False).cumsum()
     out, at = [], 0
@@ -96,7 +102,7 @@ def cuts_of(texts: pa.Array, most: int = 8 << 20) -> list[tuple[int, int]]:
 
 
 def portions(batches, column: str = "text"):
-    """Batches cut so that the texts of one are a few MB (or one row)."""
+    """Batches cut so that the texts of one are a MB (or one row)."""
     for batch in batches:
         for at, stop in cuts_of(batch.column(column)):
             yield batch.slice(at, stop - at)
@@ -108,6 +114,10 @@ def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     out = np.empty(len(start), np.uint64)
     at = 0
     while at < len(start):
+        if end[at] - start[at] > _CHUNK:
+            out[at] = _long_range(data[start[at]:end[at]])
+            at += 1
+            continue
         low = start[at]
         stop = max(at + 1, int(np.searchsorted(end, low + _CHUNK, "right")))
         high = end[stop - 1]
@@ -120,6 +130,17 @@ def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix(out)
 
 
+def _long_range(data: np.ndarray) -> np.uint64:
+    """The same sum for a range of more than a chunk, a chunk at a time."""
+    up, _ = _powers(_CHUNK + 1)
+    total, shift = 0, 1
+    for at in range(0, len(data), _CHUNK):
+        part = data[at:at + _CHUNK].astype(np.uint64) + np.uint64(1)
+        total += shift * int((part * up[:len(part)]).sum(dtype=np.uint64))
+        shift = shift * pow(_BASE, _CHUNK, 1 << 64) % (1 << 64)
+    return np.uint64((total + len(data) * int(_STEP)) % (1 << 64))
+
+
 def words_of(texts: pa.Array, members: np.ndarray = WORD_BYTES, lower: bool = True) -> Words:
     """Words (longest runs of member bytes) of every text; ``lower`` folds
     case in all scripts first."""
@@ -215,6 +236,36 @@ def sequence_hashes(hashes: np.ndarray, first: np.ndarray, salt: int) -> np.ndar
     return mix(out + lengths.astype(np.uint64) * _STEP)
 
 
+def pair_keys(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Two 64-bit hashes of each item's word sequence, as (items, 2)."""
+    return np.stack([sequence_hashes(hashes, first, 0xA5A5 + k) for k in (0, 1)], 1)
+
+
+def fixed_binary(rows: np.ndarray) -> pa.Array:
+    """Each row of a (items, k) array as one binary value of its bytes."""
+    rows = np.ascontiguousarray(rows)
+    width = rows.shape[1] * rows.itemsize
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * width
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+
+
+def binary_runs(values: np.ndarray, limits: np.ndarray) -> pa.Array:
+    """values[limits[i]:limits[i + 1]] as binary values."""
+    offsets = (limits * values.itemsize).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(limits) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(
+        np.ascontiguousarray(values))]).cast(pa.binary())
+
+
+def distinct_runs(values: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each run sorted and without repeats: (values, limits)."""
+    owner = np.repeat(np.arange(len(limits) - 1), np.diff(limits))
+    order = np.lexsort((values, owner))
+    values, owner = values[order], owner[order]
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    return values[fresh], np.searchsorted(owner[fresh], np.arange(len(limits)))
+
+
 def banding(similarity: float, recall: float, most: int = 128) -> tuple[int, int]:
     """(bands, rows): the most rows a band can have so that a pair of just
     that similarity collides with at least that probability, within ``most``
@@ -276,3 +327,14 @@ def overlaps(sets: list[np.ndarray], columns: int = 8192) -> np.ndarray:
         out += block @ block.T
         at = stop
     return out.astype(np.int64)
+
+
+def runs_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, limits) of binary values that hold 64-bit numbers."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    if not len(column) or offsets[-1] == offsets[0]:
+        return np.zeros(0, np.uint64), np.zeros(len(column) + 1, np.int64)
+    values = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]].copy().view(np.uint64)
+    return values, (offsets - offsets[0]) // 8

@@ -54,32 +54,6 @@ def test_join_finds_every_pair(spark, docs):
     assert {r.doc_id: (r.class_id, r.n_links) for r in QUERIES["op7_ngram_join"](spark, SF).collect()} == want
 
 
-def sentences(t):
-    found = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", t)]
-    out, now = [], []
-    for i, (a, b) in enumerate(found):
-        gap = t[found[i - 1][1]:a] if now else ""
-        if re.search(r"[\n\r]", gap) or re.search(r"[.!?]", gap) and re.search(r"[\t ]", gap):
-            out, now = [*out, now], []
-        now.append((a, b))
-    return [s for s in [*out, now] if len(s) >= 8]
-
-
-def test_paragraphs(spark, docs):
-    spots, sets = [], []
-    for d, t in docs:
-        for s in sentences(t):
-            spots.append((d, s[0][0], s[-1][1]))
-            sets.append(frozenset(edge.shingles(t[s[0][0]:s[-1][1]])))
-    roots = union_find(len(sets), similar(sets))
-    groups = defaultdict(list)
-    for spot, r in zip(spots, roots, strict=True):
-        groups[r].append(spot)
-    want = {s: (min(g)[0], min(g)[1], len(g)) for g in groups.values() if len(g) > 1 for s in g}
-    rows = QUERIES["op2_paragraph_dedup"](spark, SF).collect()
-    assert {(r.doc_id, r.start, r.stop): (r.first_doc_id, r.first_start, r.copies) for r in rows} == want
-
-
 def covered(words, n):
     """(document, place) of all words in a run of n that another document has."""
     holders = defaultdict(set)

@@ -31,9 +31,9 @@ def paragraphs(t):
     return sorted(out)
 
 
-def test_every_paragraph(spark):
-    """Lines and short sentences, against plain Python."""
-    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+def clustered(docs):
+    """{(doc, start, stop): (first doc, first start, copies, words of its
+    passage)} of all paragraphs that have a copy; repeated rows not handled."""
     spots, sets, keys, longs = [], [], [], []
     for d, t in docs:
         for a, b, n in paragraphs(t):
@@ -48,10 +48,58 @@ def test_every_paragraph(spark):
     groups = defaultdict(list)
     for spot, root in zip(spots, union_find(len(spots), links), strict=True):
         groups[root].append(spot)
-    want = {s: (min(g)[0], min(g)[1], len(g)) for g in groups.values() if len(g) > 1 for s in g}
+    found = {s: (min(g)[0], min(g)[1], len(g)) for g in groups.values() if len(g) > 1 for s in g}
+    passage = {}
+    for d, t in docs:
+        places = [m.start() for m in re.finditer(r"[^\W_]+", t)]
+        ranges = {s: (places.index(s[1]), places.index(s[1]) + len(edge.words(t[s[1]:s[2]]))) for s in found if s[0] == d}
+        inside = {k for a, b in ranges.values() for k in range(a, b)}
+        for s, (a, b) in ranges.items():
+            while a - 1 in inside:
+                a -= 1
+            while b in inside:
+                b += 1
+            passage[s] = b - a
+    return {s: (*v, passage[s]) for s, v in found.items()}
+
+
+def test_every_paragraph(spark):
+    """Lines and short sentences, against plain Python."""
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    want = clustered(docs)
     rows = QUERIES["op2_every_paragraph"](spark, SF).collect()
-    assert {(r.doc_id, r.start, r.stop): (r.first_doc_id, r.first_start, r.copies) for r in rows} == want
+    assert {(r.doc_id, r.start, r.stop): (r.first_doc_id, r.first_start, r.copies) for r in rows} == {
+        s: v[:3] for s, v in want.items()}
     assert len(rows) == len(want)
+    rows = QUERIES["op2_paragraph_dedup"](spark, SF).collect()
+    assert {(r.doc_id, r.start, r.stop): (r.first_doc_id, r.first_start, r.copies, r.passage_words) for r in rows} == {
+        s: v for s, v in want.items() if v[3] >= 12}
+
+
+def test_short_sentences_join_to_a_passage(spark, tmp_path):
+    verse = "The sea is wide. The boat is low. The wind is up. We row."
+    rows = [(1, f"First own words stand here\n{verse}", "en", "s", 1), (2, f"{verse}\nOther words end it. We row.", "en", "s", 1),
+            (3, "We row. Something else here", "en", "s", 1)]
+    path = edge.folder(spark, tmp_path, rows=rows, extra=False)
+    found = QUERIES["op2_paragraph_dedup"](spark, path).collect()
+    assert {(r.doc_id, r.passage_words) for r in found} == {(1, 14), (2, 14)}
+    # the line, and its four sentences
+    assert Counter(r.doc_id for r in found) == {1: 5, 2: 5} and {r.removed for r in found if r.doc_id == 1} == {False}
+    assert {r.doc_id for r in QUERIES["op2_every_paragraph"](spark, path).collect()} == {1, 2, 3}
+
+
+def test_one_id_with_two_texts(spark, tmp_path):
+    """Classes are named by their text, not by the id of a row."""
+    a = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi"
+    b = " ".join(reversed(a.split())) + " one two three four five six seven"
+    rows = [(1, a, "en", "s", 1), (2, b, "en", "s", 1), (2, a + " omega", "en", "s", 1), (3, b + " eight", "en", "s", 1),
+            (4, "Some text of its own stands here.", "en", "s", 1), (4, "Some text of its own stands here.", "en", "s", 1)]
+    path = edge.folder(spark, tmp_path, rows=rows, extra=False)
+    found = sorted((r.doc_id, r.class_id, r.n_links) for r in QUERIES["op7_ngram_join"](spark, path).collect())
+    assert found == [(1, 1, 1), (2, 1, 1), (2, 2, 1), (3, 2, 1), (4, 4, 1), (4, 4, 1)]
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    kept = sorted((r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, path).collect())
+    assert kept == [(1, a), (2, b), (4, rows[4][1])]
 
 
 def test_line_of_short_sentences(spark, tmp_path):
