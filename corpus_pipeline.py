@@ -22,16 +22,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of documents linked by a 5-word Jaccard >= 0.8, the one
+    """Of each class of documents linked by a 5-word Jaccard >= 0.8, one row
     of the smallest doc_id stays. Texts without words are no copies."""
     jobs.prepare(spark)
     scratch = Scratch(spark, "near")
     try:
-        found = ngram_join.similar_classes(docs, scratch).where("doc_id <> class_id").select("doc_id", "class_id")
-        gone = jobs.finish(found, scratch)
+        found = ngram_join.similar_classes(docs, scratch).where("n_links > 0").select("doc_id", "same", "first")
+        linked = jobs.finish(found, scratch)
     finally:
         scratch.close()
-    return ngram_join.keep_first(docs, gone, gone.count())
+    return ngram_join.keep_first(docs, linked)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
