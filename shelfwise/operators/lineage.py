@@ -14,6 +14,7 @@ Files on shared storage survive executor loss. Never a local checkpoint
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,19 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfwise.session import ensure_checkpoint_dir
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Shuffle files of a write in this block go when it is done: a written
+    table is read, not its plan, so nothing asks for them again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Scratch:
     """Folder of intermediate tables for one job; ``close()`` deletes the
     tables it wrote except those marked ``keep``."""
@@ -37,7 +51,8 @@ class Scratch:
         self._n += 1
         name = f"t{self._n:04d}"
         path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        with shuffles_freed(self.spark):
+            df.write.mode("overwrite").parquet(path)
         if keep:
             self._keep.add(name)
         # Explicit schema: no footer read on the way back.
