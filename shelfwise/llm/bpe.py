@@ -4,39 +4,57 @@ Compiling. The automaton starts as one state with an arc for every byte. Each
 merge (u, v), in order of rank, is one gadget: where a u arc leads to a state
 that has a v arc, every state with a u arc gets an arc uv to that v arc's
 target, and the u arcs move to a copy of their target without the v arc. All
-arcs of one label lead to one state, so a gadget adds one state, and a copy
-needs only its origin and the label it lost; an arc uv made after a state
-exists there exactly where u's arc does. The paths from the start state are
-the correct tokenizations and no others.
-
-Encoding. Each pre-split word is spelt by exactly one path; it is found by
-taking arcs from the table, longest label first, and leaving states that can't
-spell the rest. The table holds the arcs looked up so far. Decoding emits the
-labels of the arcs.
-
-Words are split by the pre-tokenizer's published pattern. Texts that hold the
-added token's string give its id there, as the vocabulary file asks.
+arcs of one label lead to one state, so after all gadgets a label names the
+state its arcs lead to, and a state's arcs follow from three tables: the parts
+of each label, the time of its gadget, and the time at which label u's state
+lost its v arc. The paths from the start state are the correct tokenizations
+and no others.
+
+Encoding. Every prefix of a word has just one path that spells it. So a word
+is read once, byte by byte: at each byte the table of labels that end there
+and the arcs tell the one label that ends this prefix's path. Nothing is tried
+twice. All words of a batch that a worker has not met are read together, in
+flat tables (numpy), and a prefix that several of them share is read for all
+of them at once. Decoding emits the labels of the arcs.
+
+Words are split by the pre-tokenizer's published pattern; a worker keeps what
+it has encoded, each piece with its ids, these written out, and its bytes, so
+a text's digests are hashes of joined pieces. Texts that hold the added token's
+string give its id there, as the vocabulary file asks.
 Defined results: null and empty texts have no ids; ids of repeated rows are
-equal; text after text is never joined. All of a text is encoded.
+equal; text after text is never joined. All of a text is encoded; a long one
+is read in pieces cut where the pre-split parts it anyway.
 """
 
 from __future__ import annotations
 
+import codecs
+import gc
 import hashlib
+import itertools
 import json
+import re
+from array import array
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import jobs
+from shelfwise.llm import jobs, text as texts_
 
 VOCABULARY = "byte_bpe_50k.json"
 # Fixed value: the published pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words and arcs a worker remembers before it starts anew.
-REMEMBERED = 250_000
+#: Words and arcs a worker remembers (words in two halves, of which the older
+#: goes when the newer is full), and the characters of a text read at once.
+REMEMBERED = 200_000
+ARCS = 200_000
+AT_ONCE = 1 << 17
+#: Bytes of the longest word read together with others, and of a batch's texts.
+WIDE, BATCH = 32, 2 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -47,168 +65,287 @@ def byte_letters() -> dict[str, int]:
     return letters | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(plain))}
 
 
+class Table:
+    """Whole numbers by whole-number keys in two flat arrays (open addressing)."""
+
+    def __init__(self, items: dict[int, int]):
+        keys, values = np.array(list(items), np.int64), np.array(list(items.values()), np.int32)
+        self.mask = (1 << max(4, (4 * len(keys)).bit_length())) - 1
+        self.keys, self.values = np.full(self.mask + 1, -1, np.int64), np.zeros(self.mask + 1, np.int32)
+        at, left = self._home(keys), np.arange(len(keys))
+        while len(left):
+            # of those that want one free place the first gets it
+            place, first = np.unique(at[left], return_index=True)
+            first = first[self.keys[place] < 0]
+            put = left[first]
+            self.keys[at[put]], self.values[at[put]] = keys[put], values[put]
+            left = np.delete(left, first)
+            at[left] = (at[left] + 1) & self.mask
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.int64(0x1E3779B97F4A7C15)) >> np.int64(29)) & np.int64(self.mask)
+
+    def get(self, keys: np.ndarray, default: int) -> np.ndarray:
+        at = self._home(keys)
+        found = self.keys[at]
+        out = np.where(found == keys, self.values[at], np.int32(default))
+        more = np.flatnonzero((found != keys) & (found >= 0))
+        while len(more):
+            at[more] = (at[more] + 1) & self.mask
+            found = self.keys[at[more]]
+            hit = found == keys[more]
+            out[more[hit]] = self.values[at[more[hit]]]
+            more = more[~hit & (found >= 0)]
+        return out
+
+
 class Automaton:
-    """States, arcs and labels compiled from a list of merges."""
+    """Labels, gadgets and arcs compiled from a list of merges."""
 
     def __init__(self, vocab: dict[bytes, int], merges: list[tuple[bytes, bytes]], added: dict[str, int]):
         self.label = {i: t for t, i in vocab.items()} | {i: s.encode() for s, i in added.items()}
         self.added = added
-        self.ids = vocab
-        # state 0 is the start; of state s > 0: its origin and the label it lacks
-        self.origin, self.lost, self.born = [0], [-1], [0]
-        self.target: dict[int, int] = {}       # label -> the state all its arcs lead to
-        self.left: dict[int, int] = {}         # label uv -> u
-        self.made: dict[int, int] = {}         # label -> time of its gadget
-        self.arcs: dict[int, bool] = {}        # (state, label) -> has the arc
-        self.words: dict[str, tuple] = {}
-        self.newer: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
+        size = max(self.label) + 1
+        self.written, self.spelt = [str(i) for i in range(size)], [self.label.get(i, b"") for i in range(size)]
+        #: Parts of a label, the time of its gadget, and (u, v) -> when u's state lost v.
+        self.left, self.right = array("i", [-1]) * size, array("i", [-1]) * size
+        self.made = array("i", [-1]) * size
+        self.lost: dict[int, int] = {}
+        self.arcs: dict[int, bool] = {}
         for b in range(256):
             i = vocab.get(bytes([b]))
             if i is not None:
-                self.target[i] = 0
                 self.made[i] = 0
         for time, (u, v) in enumerate(merges, 1):
             self._gadget(vocab[u], vocab[v], vocab[u + v], time)
-        self.arcs.clear()
-        live = {t for t, i in vocab.items() if i in self.target}
-        self.live = {t: vocab[t] for t in live}
-        #: Spelling of labels: (node, byte) -> node, and the label that ends at a node.
-        self.step: dict[int, int] = {}
-        self.ends = [-1]
+        self.live = {t: i for t, i in vocab.items() if self.made[i] >= 0}
+        #: Length of the longest label by its last two bytes.
+        self.longest: dict[bytes, int] = {}
+        for t in self.live:
+            self.longest[t[-2:]] = max(len(t), self.longest.get(t[-2:], 1))
+        # labels read backwards: (node, byte) -> node, and the label that a node ends
+        step, ends = {}, [-1]
         for t, i in self.live.items():
             node = 0
-            for byte in t:
+            for byte in reversed(t):
                 key = node << 8 | byte
-                node = self.step.get(key)
-                if node is None:
-                    node = self.step[key] = len(self.ends)
-                    self.ends.append(-1)
-            self.ends[node] = i
+                if key not in step:
+                    step[key] = len(ends)
+                    ends.append(-1)
+                node = step[key]
+            ends[node] = i
+        self.back, self.ends = Table(step), np.array(ends, np.int32)
+        self.lost_at = Table(self.lost)
+        self.parts = np.array([self.left, self.right, self.made])
+        self.newer: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}
 
     def _gadget(self, u: int, v: int, uv: int, time: int) -> None:
-        if u not in self.target or v not in self.target or uv in self.target:
-            return
-        q = self.target[u]
-        if not self.has(q, v):
+        if self.made[u] < 0 or self.made[v] < 0 or self.made[uv] >= 0 or not self.follows(u, v):
             return                              # no path holds u then v
-        self.target[uv] = self.target[v]
-        self.left[uv] = u
-        self.made[uv] = time
-        self.origin.append(q)
-        self.lost.append(v)
-        self.born.append(time)
-        self.target[u] = len(self.origin) - 1
-
-    def has(self, state: int, label: int) -> bool:
-        """Whether the state has an arc of this label."""
-        key = state << 24 | label
-        known = self.arcs.get(key)
-        if known is not None:
-            return known
-        s, t = state, label
+        self.left[uv], self.right[uv], self.made[uv] = u, v, time
+        self.lost[u << 24 | v] = time
+
+    def follows(self, u: int, v: int) -> bool:
+        """Whether the state that u's arcs lead to has an arc v.
+
+        The later of the two labels goes back to its gadget: v was put where
+        its left part's arc was then; u's state was its right part's state
+        just before. On the way no gadget may have taken the arc."""
+        made, lost = self.made, self.lost
+        time = 1 << 30
         while True:
-            if t not in self.target:
-                found = False
-                break
-            if s == 0 and t not in self.left:
-                found = True
-                break
-            if t in self.left and self.made[t] >= self.born[s]:
-                t = self.left[t]                # added where its left part's arc was
-            elif t == self.lost[s]:
-                found = False
-                break
+            if lost.get(u << 24 | v, time + 1) <= time:
+                return False
+            a, b = made[u], made[v]
+            if b > a:
+                time = min(time, b)
+                v = self.left[v]
+            elif a > 0:
+                time = min(time, a - 1)
+                u = self.right[u]
             else:
-                s = self.origin[s]
-        self.arcs[key] = found
-        return found
+                return True
 
     def encode_word(self, word: bytes) -> tuple[int, ...]:
-        """Labels of the one path that spells a pre-split word. Longer labels
-        are tried first; a state from which the rest can't be spelt is left
-        and not entered at that byte again."""
-        step, ends, target, has = self.step.get, self.ends, self.target, self.has
-        whole = self.live.get(word)
-        if whole is not None and has(0, whole):
+        """Labels of the one path that spells a pre-split word."""
+        live, longest, arcs = self.live.get, self.longest.get, self.arcs
+        whole = live(word)
+        if whole is not None:
             return (whole,)
-        n, at, state = len(word), 0, 0
-        path: list[tuple[int, int, int]] = []     # (byte, state, label) of each arc taken
-        dead: set[tuple[int, int]] = set()
-        bound, arcs = n, self.arcs
-        while at < n:
-            # the labels that are spelt here, shortest first
-            node, k, found = 0, at, []
-            while k < n:
-                node = step(node << 8 | word[k])
-                if node is None:
-                    break
-                k += 1
-                t = ends[node]
-                if t >= 0 and k <= bound:
-                    found.append((k, t))
-            while found:
-                k, t = found.pop()
-                ok = arcs.get(state << 24 | t)
-                if (has(state, t) if ok is None else ok) and not (dead and (k, target[t]) in dead):
-                    path.append((at, state, t))
-                    at, state, bound = k, target[t], n
-                    break
+        n = len(word)
+        last = array("i", [-1]) * (n + 1)       # label that ends the path of each prefix
+        before = array("i", [0]) * (n + 1)
+        for i in range(1, n + 1):
+            low = i - longest(word[i - 2 if i > 1 else 0:i], 1)
+            for j in range(low if low > 0 else 0, i):
+                t = live(word[j:i])
+                if t is None:
+                    continue
+                if j:
+                    key = last[j] << 24 | t
+                    ok = arcs.get(key)
+                    if ok is None:
+                        if len(arcs) >= ARCS:
+                            arcs.clear()
+                        ok = arcs[key] = self.follows(last[j], t)
+                    if not ok:
+                        continue
+                last[i], before[i] = t, j
+                break
             else:
-                if not path:
-                    raise ValueError(f"no path spells {word[:80]!r}")
-                dead.add((at, state))
-                bound = at - 1
-                at, state, _ = path.pop()
-        return tuple([t for _, _, t in path])
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        """Ids of a piece that pre-splits alone; remembered in two halves, of
-        which the older goes when the newer is full."""
-        ids = self.older.get(piece)
-        if ids is None:
-            ids = ()
-            for word in SPLIT.findall(piece):
-                known = self.words.get(word)
-                if known is None:
-                    known = self.encode_word(word.encode())
-                    if len(word) <= 32:
-                        if len(self.words) >= REMEMBERED // 2:
-                            self.words.clear()
-                        self.words[word] = known
-                ids += known
-            if len(self.arcs) >= 4 * REMEMBERED:
-                self.arcs.clear()
-        if len(piece) <= 64:
+                raise ValueError(f"no path spells {word[:i][-80:]!r}")
+        path, i = [], n
+        while i:
+            path.append(last[i])
+            i = before[i]
+        return tuple(path[::-1])
+
+    def follow_all(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """``follows`` of many pairs."""
+        left, right, made = self.parts
+        u, v, at = u.astype(np.int64), v.astype(np.int64), np.arange(len(u))
+        out, time = np.ones(len(u), bool), np.full(len(u), 1 << 30, np.int32)
+        while len(at):
+            gone = self.lost_at.get(u << 24 | v, (1 << 30) + 1) <= time
+            out[at[gone]] = False
+            a, b = made[u], made[v]
+            go = ~gone & ((a > 0) | (b > 0))
+            u, v, at, a, b = u[go], v[go], at[go], a[go], b[go]
+            later = b > a
+            time = np.minimum(time[go], np.where(later, b, a - 1))
+            u, v = np.where(later, u, right[u]).astype(np.int64), np.where(later, left[v], v).astype(np.int64)
+        return out
+
+    def encode_words(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """``encode_word`` of different words of at most WIDE bytes each."""
+        if not words:
+            return []
+        given = np.array(words, f"S{WIDE}")
+        order = np.argsort(given, kind="stable")
+        letters = np.ascontiguousarray(given[order]).view(np.uint8).reshape(-1, WIDE)
+        n = np.array([len(w) for w in words])[order]
+        # bytes that a word shares with the one before it
+        shared = np.zeros(len(words), np.int64)
+        unlike = letters[1:] != letters[:-1]
+        shared[1:] = np.minimum(np.where(unlike.any(1), unlike.argmax(1), WIDE), np.minimum(n[1:], n[:-1]))
+        most = int(n.max())
+        last, before = np.full((len(words), most + 1), -1, np.int32), np.zeros((len(words), most + 1), np.int8)
+        place = np.arange(len(words))
+        for i in range(1, most + 1):
+            fresh = (shared < i) & (n >= i)
+            rows = np.flatnonzero(fresh)
+            node = np.zeros(len(rows), np.int64)
+            for size in range(1, i + 1):
+                node = self.back.get(node << 8 | letters[rows, i - size], -1).astype(np.int64)
+                on = node >= 0
+                rows, node = rows[on], node[on]
+                if not len(rows):
+                    break
+                ends = self.ends[node]
+                can = np.flatnonzero(ends >= 0)
+                if size < i and len(can):
+                    can = can[self.follow_all(last[rows[can], i - size], ends[can])]
+                last[rows[can], i], before[rows[can], i] = ends[can], i - size
+                if len(can):
+                    on = np.ones(len(rows), bool)
+                    on[can] = False
+                    rows, node = rows[on], node[on]
+            # the others take it from the word they share it with
+            source = np.maximum.accumulate(np.where(fresh, place, 0))
+            last[:, i], before[:, i] = last[source, i], before[source, i]
+        back, at, rows = [], n.copy(), place
+        while len(rows):
+            found = np.full(len(words), -1, np.int32)
+            found[rows] = last[rows, at[rows]]
+            if (found[rows] < 0).any():
+                raise ValueError("no path spells a word")
+            at[rows] = before[rows, at[rows]]
+            back.append(found)
+            rows = rows[at[rows] > 0]
+        out: list = [None] * len(words)
+        for i, ids in zip(order.tolist(), np.stack(back[::-1], 1).tolist(), strict=True):
+            out[i] = tuple([t for t in ids if t >= 0])
+        return out
+
+    def _keep(self, piece: str, ids: tuple[int, ...]) -> tuple:
+        """(ids, ids written out, bytes) of a piece, remembered."""
+        found = ids, ",".join([self.written[i] for i in ids]), b"".join([self.spelt[i] for i in ids])
+        if len(piece) <= 48:
             if len(self.newer) >= REMEMBERED:
                 self.older, self.newer = self.newer, {}
-            self.newer[piece] = ids
-        return ids
+            self.newer[piece] = found
+        return found
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole text."""
-        out: list[int] = []
-        for part in self._parts(text):
-            if part in self.added:
-                out.append(self.added[part])
-            elif RUNS.search(part):
-                for word in SPLIT.findall(part):
-                    out += self.newer.get(word) or self._piece(word)
+    def _entry(self, piece: str) -> tuple:
+        """The entry of a piece that pre-splits alone."""
+        found = self.older.get(piece)
+        if found is not None:
+            self.newer[piece] = found
+            return found
+        return self._keep(piece, tuple([i for w in SPLIT.findall(piece) for i in self.encode_word(w.encode())]))
+
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Encodes the pieces that are not remembered, all at once."""
+        new = {p: SPLIT.findall(p) for p in set(pieces).difference(self.newer, self.older) if len(p) <= 48}
+        ids: dict[str, tuple] = {}
+        rest: dict[str, bytes] = {}
+        for w in set(itertools.chain.from_iterable(new.values())):
+            spelt = w.encode()
+            if len(spelt) <= WIDE:
+                rest[w] = spelt
             else:
+                ids[w] = self.encode_word(spelt)
+        ids.update(zip(rest, self.encode_words(list(rest.values())), strict=True))
+        for p, words in new.items():
+            self._keep(p, ids[words[0]] if len(words) == 1 else tuple([i for w in words for i in ids[w]]))
+
+    def pieces(self, text: str) -> Iterator[list[str]]:
+        """A whole text's pieces in order, some at a time; an added token's
+        string is a piece of its own."""
+        for part in self._parts(text):
+            at = 0
+            while at < len(part):
+                cut = CUT.search(part, at + AT_ONCE) if len(part) - at > AT_ONCE else None
+                stop = cut.start() if cut else len(part)
+                some = part[at:stop]
                 # a single space belongs to the word after it, so the text
                 # pre-splits between spaces
-                head, *tail = part.split(" ")
-                if head:
-                    out += self._piece(head)
-                get, piece = self.newer.get, self._piece
-                for word in tail:
-                    word = " " + word
-                    ids = get(word)
-                    if ids is None:
-                        ids = piece(word)
-                        get = self.newer.get
-                    out += ids
-        return out
+                yield ([part] if part in self.added else SPLIT.findall(some) if RUNS.search(some) else SPACED.findall(some))
+                at = stop
+
+    def entries(self, pieces: Iterable[list[str]]) -> Iterator[list[tuple]]:
+        """Entries of these pieces, as many at a time."""
+        get = self.newer.get
+        for some in pieces:
+            if len(some) == 1 and some[0] in self.added:
+                i = self.added[some[0]]
+                yield [((i,), str(i), self.label[i])]
+            else:
+                found = [get(p) or self._entry(p) for p in some]
+                get = self.newer.get
+                yield found
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a whole text."""
+        return [i for found in self.entries(self.pieces(text)) for ids, _, _ in found for i in ids]
+
+    def digest(self, pieces: Iterable[list[str]], ids_out: array | None = None) -> tuple[int, str, str]:
+        """(number of ids, SHA-256 of the ids written out, of the decoded text)
+        of a text's pieces; the ids themselves are appended to ``ids_out``."""
+        n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
+        decoder = codecs.getincrementaldecoder("utf-8")("replace")
+        for found in self.entries(pieces):
+            if not found:
+                continue
+            ids, written, raw = zip(*found, strict=True)
+            ids_sha.update((("," if n else "") + ",".join(written)).encode())
+            text_sha.update(decoder.decode(b"".join(raw)).encode())
+            n += sum(map(len, ids))
+            if ids_out is not None:
+                ids_out.extend(itertools.chain.from_iterable(ids))
+        text_sha.update(decoder.decode(b"", True).encode())
+        return n, ids_sha.hexdigest(), text_sha.hexdigest()
 
     def _parts(self, text: str) -> list[str]:
         if not any(a in text for a in self.added):
@@ -225,6 +362,9 @@ class Automaton:
 SPLIT = regex.compile(PATTERN)
 #: A space before white space: there the pre-split depends on the whole run.
 RUNS = regex.compile(r" \s")
+SPACED = re.compile(r" ?[^ ]+| ")
+#: A space between two words, where any text may be cut.
+CUT = regex.compile(r"(?<=\S) (?=\S)")
 
 
 def automaton(source: str) -> Automaton:
@@ -254,22 +394,32 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-def digests(path: str | None = None):
-    """Column function: struct of n_tokens, ids_sha256, decoded_sha256."""
-    kind = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>"
+def tokens(path: str | None = None, with_ids: bool = False):
+    """Column function: struct of n_tokens, ids_sha256, decoded_sha256, and
+    the ids if wanted."""
+    kind = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string" + (",ids:array<int>>" if with_ids else ">")
 
     @F.arrow_udf(kind)
     def run(texts: pa.Array) -> pa.Array:
         a = compiled(path or vocabulary_path())
-        counts, ids_sha, text_sha = [], [], []
-        for scalar in texts:
-            ids = a.encode(scalar.as_py() or "")
-            counts.append(len(ids))
-            ids_sha.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-            text_sha.append(hashlib.sha256(a.decode(ids).encode()).hexdigest())
-        return pa.StructArray.from_arrays(
-            [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-            ["n_tokens", "ids_sha256", "decoded_sha256"])
+        rows, ids = [], array("i") if with_ids else None
+        gc.disable()                               # many small tuples, and no cycles among them
+        try:
+            for at, stop in texts_.cuts_of(texts, BATCH):
+                some = [t or "" for t in texts[at:stop].to_pylist()]
+                if len(some) > 1:
+                    parts = [list(a.pieces(t)) for t in some]
+                    a.learn(itertools.chain.from_iterable(itertools.chain.from_iterable(parts)))
+                else:                              # one text, maybe a very long one
+                    parts = [a.pieces(t) for t in some]
+                rows += [a.digest(part, ids) for part in parts]
+        finally:
+            gc.enable()
+        columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
+        if with_ids:
+            limits = np.concatenate([[0], np.cumsum([r[0] for r in rows])]).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(limits), pa.array(np.frombuffer(ids, np.int32) if ids else [], pa.int32())))
+        return pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)])
 
     return run
 
@@ -296,10 +446,22 @@ def decode_ids(rows: DataFrame, path: str | None = None) -> DataFrame:
 
 def digest_rows(docs: DataFrame) -> DataFrame:
     return (docs.select("doc_id", F.col("text").cast("string").alias("text"))
-            .select("doc_id", digests()(F.col("text")).alias("d"))
+            .select("doc_id", tokens()(F.col("text")).alias("d"))
             .select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256"))
 
 
+def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """All columns of docs and n_tokens, ids_sha256, decoded_sha256, ids (own
+    columns of these names give way)."""
+    new = ["n_tokens", "ids_sha256", "decoded_sha256", "ids"]
+    name = "tokens"
+    while name in docs.columns:
+        name = "_" + name
+    kept = [c for c in docs.columns if c not in new]
+    return docs.select(*kept, tokens(path, True)(F.col("text").cast("string")).alias(name)).select(
+        *kept, *[F.col(f"{name}.{c}").alias(c) for c in new])
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded: doc_id, n_tokens, ids_sha256,
     decoded_sha256."""

@@ -11,9 +11,12 @@ the exact share of the item's 5-word shingles that the whole document holds.
 The items are broadcast in blocks of bounded size, one pass over the
 documents each; a document is read in one task and nothing is shuffled.
 
-Defined results: words are runs of letters and digits, case folded. Items of
-fewer than five words, null and empty ones have no shingle and take no part;
-null and empty documents hold nothing. Repeated rows are searched like any
+Items of one to four words have no 5-word shingle: they are found where their
+words stand in a row, by the hash of that run (``least_words`` leaves such
+items out, where a word or two is no reason to act on).
+
+Defined results: words are runs of letters and digits, case folded. Null items
+and items without words take no part; null and empty documents hold nothing. Repeated rows are searched like any
 other. An item found is one whose shingles are in the document to 0.8 or more.
 """
 
@@ -38,12 +41,21 @@ BLOCK_SHINGLES = 2_000_000
 class ItemIndex:
     """Items of one block: exact shingle sets and minima by size partition."""
 
-    def __init__(self, ids: list[int], sets: list[np.ndarray], seed: int = 5):
+    def __init__(self, ids: list[int], sets: list[np.ndarray], words: list[int] | None = None, seed: int = 5):
         self.ids, self.sets = np.array(ids, np.int64), sets
         self.parts = []
         sizes = np.array([len(s) for s in sets])
+        words = np.array(words) if words is not None else np.full(len(sets), text.SHINGLE)
+        # short items by their number of words: hashes in order, and whose they are
+        self.runs = []
+        for n in np.unique(words[words < text.SHINGLE]):
+            mine = np.flatnonzero(words == n)
+            hashes = np.array([sets[i][0] for i in mine], np.uint64)
+            order = np.argsort(hashes, kind="stable")
+            self.runs.append((int(n), hashes[order], mine[order]))
         level = np.floor(np.log(np.maximum(sizes, 1)) / math.log(GROWTH) + 1e-9).astype(int)
-        for k in np.unique(level):
+        level[words < text.SHINGLE] = -1
+        for k in np.unique(level[level >= 0]):
             mine = np.flatnonzero(level == k)
             top, low = int(sizes[mine].max()), int(sizes[mine].min())
             step = max(1, top // 4)
@@ -68,7 +80,16 @@ class ItemIndex:
         lengths = np.diff(limits)
         full = np.flatnonzero(lengths)
         found: list[list[tuple[int, float]]] = [[] for _ in range(len(texts))]
-        if not len(full):
+        for n, wanted, items in self.runs:
+            grams, ends = text.grams(w.hash, w.first, n)
+            left = np.searchsorted(wanted, grams, "left")
+            hit = np.flatnonzero(wanted[np.minimum(left, len(wanted) - 1)] == grams)
+            right = np.searchsorted(wanted, grams[hit], "right")
+            docs = np.searchsorted(ends, hit, "right") - 1
+            pairs = {(int(d), int(i)) for d, a, b in zip(docs, left[hit], right, strict=True) for i in items[a:b]}
+            for d, i in sorted(pairs):
+                found[d].append((int(self.ids[i]), 1.0))
+        if not len(full) or not self.parts:
             return found
         begins = np.r_[limits[:-1][full], limits[-1]]
         cuts, owners, lasts = [], [], []
@@ -109,33 +130,35 @@ class ItemIndex:
         return found
 
 
-def item_blocks(benchmark: DataFrame, most: int = BLOCK_SHINGLES):
+def item_blocks(benchmark: DataFrame, most: int = BLOCK_SHINGLES, least_words: int = 1):
     """Indexes over blocks of items, streamed to the driver a partition at a
     time; a block ends when its shingles reach the bound."""
     def sets(batches):
         for batch in batches:
             w = text.words_of(batch.column("text"))
-            values, limits = text.shingles(w.hash, w.first, short=False)
-            rows = [np.unique(values[limits[i]:limits[i + 1]]).tobytes() for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column("item_id"), pa.array(rows, pa.binary())], ["item_id", "own"])
+            values, limits = text.distinct_runs(*text.shingles(w.hash, w.first))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("item_id"), pa.array(np.minimum(np.diff(w.first), text.SHINGLE).astype(np.int32)),
+                text.binary_runs(values, limits)], ["item_id", "words", "own"])
     items = (benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
              .where("item_id is not null and text is not null")
-             .mapInArrow(sets, "item_id long, own binary").where(F.octet_length("own") > 0)
+             .mapInArrow(sets, "item_id long, words int, own binary").where(F.col("words") >= max(1, least_words))
              .dropDuplicates().orderBy("item_id", "own"))
-    ids, own, held = [], [], 0
+    ids, own, words, held = [], [], [], 0
     for row in items.toLocalIterator():
         s = np.frombuffer(row.own, np.uint64)
         if ids and held + len(s) > most:
-            yield ItemIndex(ids, own)
-            ids, own, held = [], [], 0
+            yield ItemIndex(ids, own, words)
+            ids, own, words, held = [], [], [], 0
         ids.append(row.item_id)
         own.append(s)
+        words.append(row.words)
         held += len(s)
     if ids:
-        yield ItemIndex(ids, own)
+        yield ItemIndex(ids, own, words)
 
 
-def items_in(docs: DataFrame, benchmark: DataFrame):
+def items_in(docs: DataFrame, benchmark: DataFrame, least_words: int = 1):
     """Column of docs: an array of (item_id, containment) of the items each
     whole text holds, ordered by item_id."""
     spark = docs.sparkSession
@@ -147,12 +170,12 @@ def items_in(docs: DataFrame, benchmark: DataFrame):
 
         @F.arrow_udf(kind)
         def held(texts: pa.Array) -> pa.Array:
-            return pa.array([[{"item_id": i, "containment": c} for i, c in row] for a, b in text.cuts_of(texts)
+            return pa.array([[{"item_id": i, "containment": c} for i, c in sorted(row)] for a, b in text.cuts_of(texts)
                              for row in shared.value.search(texts[a:b])], arrow)
 
         return held(F.col("text").cast("string"))
 
-    parts = [column(index) for index in item_blocks(benchmark)]
+    parts = [column(index) for index in item_blocks(benchmark, least_words=least_words)]
     if not parts:
         return F.array().cast(kind)
     return F.array_sort(F.concat(*parts)) if len(parts) > 1 else parts[0]

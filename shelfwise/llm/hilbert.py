@@ -1,7 +1,8 @@
 """Sharding along a Hilbert curve over several metadata dimensions.
 
-Each dimension becomes a number (strings by their first seven bytes, so order
-is kept) and is quantised at the quantiles of all rows into 2^bits cells. The
+Each dimension is quantised at the quantiles of all rows into 2^bits cells.
+Strings are ranked whole: their values are counted, put in order over range
+partitions, and a value's cell follows from the share of rows below it. The
 cells' index on the Hilbert curve orders the rows; runs of that order, cut so
 that row counts differ by at most one, are the shards. Neighbours on the curve
 are near in every dimension, so a shard's ranges of each are narrow and files
@@ -25,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shelfwise.llm import jobs
 from shelfwise.operators.lineage import Scratch
@@ -59,28 +61,46 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """A column as a double in the same order (strings: first seven bytes)."""
-    kind = dict(df.dtypes)[name]
-    c = F.col(name)
-    if kind in ("string", "binary"):
-        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 7)), 14, "0"), 16, 10).cast("double")
-    return c.cast("double")
-
-
-def quantised(df: DataFrame, dims: dict[str, Column], bits: int) -> DataFrame:
-    """df plus cell_<k> for each dimension: how many of the 2^bits - 1
-    quantile boundaries of all rows lie at or below the value (null: 0)."""
+def string_cells(df: DataFrame, name: str, bits: int, scratch: Scratch) -> tuple[DataFrame, int]:
+    """((value, cell) of the strings of a column, how many): the cell is the
+    share of rows below the middle of the value's own, nulls below all."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.groupBy(F.col(name).alias("value")).agg(F.count("*").alias("n"))
+    ordered = scratch.cut(counts.repartitionByRange(parts, F.col("value").asc_nulls_first())
+                          .sortWithinPartitions(F.col("value").asc_nulls_first())
+                          .withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("at", 33)))
+    sums = {r.part: (r.n, r.values) for r in ordered.groupBy("part").agg(F.sum("n").alias("n"), F.count("*").alias("values")).collect()}
+    total = sum(n for n, _ in sums.values())
+    starts = list(zip(sorted(sums), accumulate([0, *[sums[p][0] for p in sorted(sums)]]), strict=False))
+    offsets = F.broadcast(spark.createDataFrame(starts, "part long, begins long"))
+    before = F.col("begins") + F.sum("n").over(Window.partitionBy("part").orderBy("at")) - F.col("n") / 2
+    cell = F.least(F.lit((1 << bits) - 1), F.floor(before / max(1, total) * (1 << bits)))
+    cells = ordered.join(offsets, "part").select("value", F.when(F.col("value").isNull(), 0).otherwise(cell).cast("int").alias("cell"))
+    return scratch.cut(cells), sum(values for _, values in sums.values())
+
+
+def quantised(df: DataFrame, dims: list[str], bits: int, scratch: Scratch) -> DataFrame:
+    """df plus cell_<k> for each dimension: for numbers how many of the
+    2^bits - 1 quantile boundaries of all rows lie at or below the value
+    (null: 0), for strings as in string_cells."""
     parts = 1 << bits
     shares = [k / parts for k in range(1, parts)]
-    cut = df.agg(*[F.percentile_approx(c, shares, 10_000).alias(f"q{k}") for k, c in enumerate(dims.values())]).first()
+    kinds = dict(df.dtypes)
+    numbers = {k: F.col(c).cast("double") for k, c in enumerate(dims) if kinds[c] not in ("string", "binary")}
+    cut = df.agg(F.count("*"), *[F.percentile_approx(c, shares, 10_000).alias(f"q{k}") for k, c in numbers.items()]).first()
     out = df
-    for k, c in enumerate(dims.values()):
-        # repeated boundaries count, so a frequent value takes its share of the cells
-        bounds = sorted(cut[k] or [])
-        edge = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-        # a null counts below every boundary
-        out = out.withColumn(f"cell_{k}", F.when(c.isNull(), 0).otherwise(_below(edge, c)))
+    for k, name in enumerate(dims):
+        if k in numbers:
+            # repeated boundaries count, so a frequent value takes its share of the cells
+            bounds = sorted(cut[f"q{k}"] or [])
+            edge = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
+            # a null counts below every boundary
+            out = out.withColumn(f"cell_{k}", F.when(numbers[k].isNull(), 0).otherwise(_below(edge, numbers[k])))
+        else:
+            cells, n = string_cells(df, name, bits, scratch)
+            cells = jobs.sized(cells.withColumnsRenamed({"value": f"value_{k}", "cell": f"cell_{k}"}), n)
+            out = out.join(cells, F.col(name).eqNullSafe(F.col(f"value_{k}"))).drop(f"value_{k}")
     return out
 
 
@@ -96,12 +116,12 @@ def curve(bits: int, dims: int):
     return index(*[F.col(f"cell_{k}") for k in range(dims)])
 
 
-def hilbert_shards(df: DataFrame, dims: dict[str, Column], ties: list[str], shards: int, scratch: Scratch,
+def hilbert_shards(df: DataFrame, dims: list[str], ties: list[str], shards: int, scratch: Scratch,
                    bits: int = BITS) -> DataFrame:
     """df plus hilbert, shard (0 to shards - 1) and slot (place in the shard,
     from 0). ``ties`` order the rows of one cell."""
     spark = df.sparkSession
-    base = quantised(df, dims, bits).withColumn("hilbert", curve(bits, len(dims))).drop(
+    base = quantised(df, dims, bits, scratch).withColumn("hilbert", curve(bits, len(dims))).drop(
         *[f"cell_{k}" for k in range(len(dims))])
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["hilbert", *ties]
@@ -142,9 +162,7 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         body = F.coalesce(F.col("text").cast("string"), F.lit(""))
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "source",
                            (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
-        dims = {"lang": as_number(rows, "lang"), "source": as_number(rows, "source"), "size": as_number(rows, "size"),
-                "doc_id": as_number(rows, "doc_id")}
-        found = hilbert_shards(rows, dims, ["doc_id", "text_crc32", "size"], SHARDS, scratch)
+        found = hilbert_shards(rows, ["lang", "source", "size", "doc_id"], ["doc_id", "text_crc32", "size"], SHARDS, scratch)
         return jobs.finish(found.select(
             "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
             F.lit(None).cast("int").alias("grown_shard"), "hilbert"), scratch)

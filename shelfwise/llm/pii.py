@@ -95,23 +95,66 @@ def _luhn_digit(d: Column, i: Column) -> Column:
     return F.when(i % 2 == 1, d).when(twice > 9, twice - 9).otherwise(twice)
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with the value worked out once, also where lambdas use it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _steps(values: Column) -> Column:
+    """Numbers of the blocks of about sqrt(n) places, and their length b."""
+    return F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(values)))).cast("int")
+
+
+def _numbers(values: Column, b: Column) -> Column:
+    return F.when(F.size(values) > 0, F.sequence(F.lit(0), F.floor((F.size(values) - 1) / b).cast("int"))).otherwise(
+        F.array().cast("array<int>"))
+
+
+def _running(values: Column, merge) -> Column:
+    """For each place the sum (by ``merge``, from 0) of all values before it:
+    of the blocks before its own, and of its block up to it."""
+    total = lambda some: F.aggregate(some, F.lit(0), merge)
+    part = lambda v, k, b: F.slice(v, k * b + 1, b)
+
+    def of(s):
+        at = lambda i: F.floor(i / s.b).cast("int")
+        sums = F.transform(_numbers(s.v, s.b), lambda k: total(part(s.v, k, s.b)))
+        heads = lambda t: F.transform(_numbers(s.v, s.b), lambda k: total(F.slice(t, F.lit(1), k)))
+        return _let(_let(sums, heads), lambda h: F.transform(s.v, lambda _, i: merge(
+            F.get(h, at(i)), total(F.slice(s.v, at(i) * s.b + 1, i - at(i) * s.b)))))
+    return _let(F.struct(values.alias("v"), _steps(values).alias("b")), of)
+
+
+def _blocks(spans: Column) -> Column:
+    """Spans in order of start, in blocks with their least start and last stop."""
+    def of(s):
+        return F.transform(_numbers(s.v, s.b), lambda k: _let(F.slice(s.v, k * s.b + 1, s.b), lambda items: F.struct(
+            F.array_min(F.transform(items, lambda o: o.start)).alias("low"),
+            F.array_max(F.transform(items, lambda o: o.stop)).alias("high"), items.alias("items"))))
+    return _let(F.struct(spans.alias("v"), _steps(spans).alias("b")), of)
+
+
+def _touched(blocks: Column, x: Column, by=None) -> Column:
+    """Whether a span of these blocks (for which ``by`` holds) overlaps x."""
+    def near(o):
+        touch = (o.start < x.stop) & (x.start < o.stop)
+        return touch if by is None else touch & by(o)
+    return F.exists(blocks, lambda b: (b.low < x.stop) & (x.start < b.high) & F.exists(b["items"], near))
+
+
 def _placed(found: Column, pieces: Column) -> Column:
     """Spans of matches that stand between these pieces of a text."""
-    n = F.size(found)
-    around = F.zip_with(
-        F.zip_with(found, F.slice(pieces, F.lit(1), n), lambda m, p: F.struct(m.alias("m"), p.alias("p"))),
-        F.slice(pieces, F.lit(2), n), lambda mp, q: F.struct(mp.m.alias("m"), mp.p.alias("p"), q.alias("q")))
-    empty = F.array().cast(_SPAN)
+    lengths = F.zip_with(found, F.slice(pieces, F.lit(1), F.size(found)), lambda m, p: F.length(m) + F.length(p))
 
-    def add(acc, x):
-        start = acc.at + F.length(x.p)
-        stop = start + F.length(x.m)
-        return F.struct(stop.alias("at"), F.concat(acc.out, F.array(F.struct(
-            start.alias("start"), stop.alias("stop"), x.m.alias("span"),
-            F.right(x.p, F.lit(24)).alias("before"), F.left(x.q, F.lit(1)).alias("after")))).cast(_SPAN).alias("out"))
+    def place(before):
+        def one(m, i):
+            p = F.get(pieces, i)
+            start = F.get(before, i) + F.length(p)
+            return F.struct(start.alias("start"), (start + F.length(m)).alias("stop"), m.alias("span"),
+                            F.right(p, F.lit(24)).alias("before"), F.left(F.get(pieces, i + 1), F.lit(1)).alias("after"))
+        return F.transform(found, one).cast(_SPAN)
 
-    return F.when(n > 0, F.aggregate(around, F.struct(F.lit(0).alias("at"), empty.alias("out")), add,
-                                     lambda acc: acc.out)).otherwise(empty)
+    return F.when(F.size(found) > 0, _let(_running(lengths, lambda a, c: a + c), place)).otherwise(F.array().cast(_SPAN))
 
 
 def _valid(kind: str, span: Column) -> Column:
@@ -125,7 +168,7 @@ def _valid(kind: str, span: Column) -> Column:
     }[kind]
 
 
-def _only_valid(kind: str, column: str) -> Column:
+def _only_valid(kind: str, column: Column) -> Column:
     return F.filter(column, lambda x: _valid(kind, x.span))
 
 
@@ -174,21 +217,26 @@ def candidates(docs: DataFrame, text: str = "text", prefix: str = "pii_") -> Dat
     frame = frame.select("*", *[
         F.when(F.size(p("found", name, k)) > 0, F.split(body, patterns[k], -1)).otherwise(none)
         .alias(p("pieces", name, k)) for name, patterns in sets for k in KINDS])
-    frame = frame.select(*own, *[
-        _placed(F.col(p("found", name, k)), F.col(p("pieces", name, k))).alias(p(name, k))
-        for name, _ in sets for k in KINDS])
-    frame = frame.select(*own, *[F.col(p("wide", k)) for k in KINDS], *[
-        _only_valid(k, p("base", k)).alias(p("base", k)) for k in KINDS])
-
-    def described(k):
+    # one expression for all kinds: a long one is slow to analyse
+    all_ = [(name, k) for name, _ in sets for k in KINDS]
+    frame = frame.select(*own, F.transform(F.array(*[
+        F.struct(F.col(p("found", *x)).alias("found"), F.col(p("pieces", *x)).alias("pieces")) for x in all_]),
+        lambda x: _placed(x.found, x.pieces)).alias(p("placed")))
+    at = {x: F.get(p("placed"), F.lit(i)) for i, x in enumerate(all_)}
+    frame = frame.select(*own, *[at["wide", k].alias(p("wide", k)) for k in KINDS], *[
+        _only_valid(k, at["base", k]).alias(p("base", k)) for k in KINDS])
+    frame = frame.select(*own, *[p("base", k) for k in KINDS], F.transform(F.array(*[
+        F.struct(F.col(p("base", k)).alias("base"), F.col(p("wide", k)).alias("wide")) for k in KINDS]),
+        lambda x: _let(_blocks(x.base), lambda base: F.filter(x.wide, lambda w: ~_touched(base, w)))).alias(p("far")))
+
+    def described(i, k):
         def one(x, base):
             return F.struct(F.lit(k).alias("kind"), x.start.alias("start"), x.stop.alias("stop"), base.alias("base"),
                             *[c.cast("int").alias(n) for n, c in (_votes(k, x, base) | _shape(x)).items()])
-        far = F.filter(p("wide", k), lambda x: ~F.exists(p("base", k), lambda b: (b.start < x.stop) & (x.start < b.stop)))
         return F.concat(F.transform(p("base", k), lambda x: one(x, F.lit(True))),
-                        F.transform(far, lambda x: one(x, F.lit(False))))
+                        F.transform(F.get(p("far"), F.lit(i)), lambda x: one(x, F.lit(False))))
 
-    return frame.select(*own, F.concat(*[described(k) for k in KINDS]).alias(p("spans")))
+    return frame.select(*own, F.concat(*[described(i, k) for i, k in enumerate(KINDS)]).alias(p("spans")))
 
 
 def reliabilities(counts: list[dict], rounds: int = 200) -> dict[tuple, float]:
@@ -280,10 +328,9 @@ def settle(found: DataFrame, weights: dict[str, float], column: str = "pii_spans
     frame = found.withColumn(out, accepted(weights, column))
     if not weights:
         return frame.drop(column)
-    touch = lambda x, o: (o.start < x.stop) & (x.start < o.stop)
-    better = lambda x, o: o.base | (o.logit > x.logit) | ((o.logit == x.logit) & (o.order < x.order))
-    return frame.withColumn(out, F.filter(out, lambda x: x.base | ~F.exists(
-        out, lambda o: touch(x, o) & better(x, o)))).drop(column)
+    better = lambda x: lambda o: o.base | (o.logit > x.logit) | ((o.logit == x.logit) & (o.order < x.order))
+    return frame.withColumn(out, _let(_blocks(F.col(out)), lambda all_: F.filter(
+        out, lambda x: x.base | ~_touched(all_, x, better(x))))).drop(column)
 
 
 def written(spans: Column) -> Column:
@@ -294,15 +341,33 @@ def written(spans: Column) -> Column:
 
 def redacted(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in angle brackets (of
-    spans that overlap, the first covers and the rest is cut with it)."""
-    def step(acc, x):
-        clear = F.greatest(acc.at, x.start)
-        return F.struct(
-            F.greatest(acc.at, x.stop).alias("at"),
-            F.concat(acc.out, F.substring(text, acc.at + 1, clear - acc.at),
-                     F.when(x.stop > acc.at, F.concat(F.lit("<"), x.kind, F.lit(">"))).otherwise(F.lit(""))).alias("out"))
-    return F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                       lambda acc: F.concat(acc.out, F.substring(text, acc.at + 1, F.length(text) - acc.at)))
+    spans that overlap, the first covers and the rest is cut with it). A text
+    of many spans is cut into about as many parts as the root of their number
+    and each part written by itself, so that no span is sought from the text's
+    beginning."""
+    before = _running(F.transform(spans, lambda x: x.stop), lambda a, c: F.greatest(a, c))
+    clear = _let(before, lambda b: F.filter(F.transform(spans, lambda x, i: F.struct(
+        F.greatest(x.start, F.get(b, i)).alias("start"), x.stop.alias("stop"), x.kind.alias("kind"))), lambda x: x.start < x.stop))
+
+    def of(s):
+        size = F.greatest(F.lit(1), F.ceil(F.length(s.text) / F.ceil(F.sqrt(F.greatest(F.lit(1), F.size(s.spans)))))).cast("int")
+
+        def part(k):
+            low, high = k * size, (k + 1) * size
+            mine = F.filter(s.spans, lambda x: (x.start < high) & (low < x.stop))
+
+            def written_part(p):
+                after = lambda i: F.greatest(low, F.coalesce(F.get(p.mine, i).stop, low))
+                pieces = F.transform(p.mine, lambda x, i: F.concat(
+                    F.substring(p.text, after(i - 1) - low + 1, F.greatest(F.lit(0), x.start - after(i - 1))),
+                    F.when(x.start >= low, F.concat(F.lit("<"), x.kind, F.lit(">"))).otherwise(F.lit(""))))
+                end = after(F.size(p.mine) - 1)
+                return F.concat(F.array_join(pieces, ""), F.substring(p.text, end - low + 1, F.greatest(F.lit(0), high - end)))
+            return _let(F.struct(mine.alias("mine"), F.substring(s.text, low + 1, size).alias("text")), written_part)
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.floor((F.length(s.text) - 1) / size).cast("int")), part), "")
+
+    whole = F.coalesce(text, F.lit(""))
+    return F.when(F.length(whole) == 0, whole).otherwise(_let(F.struct(whole.alias("text"), clear.alias("spans")), of))
 
 
 def base_count(kind: str) -> Column:

@@ -220,6 +220,18 @@ def shingles(hashes: np.ndarray, first: np.ndarray, n: int = SHINGLE,
     return mix(out), np.concatenate([[0], np.cumsum(counts)])
 
 
+def grams(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of n < SHINGLE words, equal to the one ``shingles``
+    gives an item of just these words; limits by item."""
+    counts = np.maximum(np.diff(first) - n + 1, 0)
+    owner, place = spread(counts)
+    begin = first[:-1][owner] + place
+    out = np.zeros(len(begin), np.uint64)
+    for k in range(SHINGLE):
+        out = out * np.uint64(_BASE) + (hashes[begin + k] if k < n and len(begin) else np.uint64(1))
+    return mix(out), np.concatenate([[0], np.cumsum(counts)])
+
+
 def sequence_hashes(hashes: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
     """64-bit hash of each item's whole word sequence."""
     keyed = mix(hashes ^ np.uint64(salt))

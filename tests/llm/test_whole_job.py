@@ -3,14 +3,16 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import edge
+import numpy as np
 from pyspark.sql import functions as F
 from test_brute_force import SF, base_spans, similar, union_find
 
 import corpus_pipeline
-from shelfwise.llm import suffix_dedup, toxicity
+from shelfwise.llm import bpe, decontaminate, hilbert, pii, suffix_dedup, toxicity
 from shelfwise.llm.queries import QUERIES
 from shelfwise.operators.lineage import Scratch
 
@@ -170,3 +172,124 @@ def test_runs_of_one_document_over_many_partitions(spark):
     kinds = {(h, x, d) for h, x, d, _ in rows}
     best = {k: max((common(k[1], o[1]) for o in kinds if o[0] == k[0] and o[2] != k[2]), default=-1) for k in kinds}
     assert got == {(d, at): best[h, x, d] for h, x, d, at in rows}
+
+
+def test_many_spans_in_one_text(spark, tmp_path):
+    """20,000 addresses of two kinds each: no work that grows with pairs of
+    spans, and every base span at its place."""
+    rng = random.Random(11)
+    parts = [f"{rng.choice(['é', 'x', 'ß', '漢'])} 10.{i % 256}.{i // 256 % 256}.7 mail u{i}@host{i}.org," for i in range(20_000)]
+    text = " ".join(parts)
+    path = edge.folder(spark, tmp_path, rows=[(1, text, "en", "s", 1), (2, "call +49 170 1234567 now", "en", "s", 1)], extra=False)
+    began = time.monotonic()
+    rows = {r.doc_id: r for r in QUERIES["op4_pii"](spark, path).collect()}
+    assert (rows[1].n_ip, rows[1].n_email) == (20_000, 20_000)
+    assert rows[1].base_sha256 == hashlib.sha256(",".join(base_spans(text)).encode()).hexdigest()
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    clear = {r.doc_id: r.text for r in corpus_pipeline.redact_personal(spark, docs, path).collect()}
+    assert clear[1] == re.sub(r"10\.\d+\.\d+\.7", "<ip>", re.sub(r"u\d+@host\d+\.org", "<email>", text))
+    assert clear[2] == "call <phone> now"
+    assert time.monotonic() - began < 60
+
+
+def test_redaction_of_overlapping_spans(spark):
+    """The first of overlapping spans covers, wherever a part of the text ends."""
+    rng = random.Random(2)
+    rows = []
+    for _ in range(60):
+        text = "".join(rng.choice("abé漢\U0001f600 ") for _ in range(rng.randrange(80)))
+        spans = sorted({(a, min(len(text), a + rng.randrange(1, 9))) for a in (rng.randrange(len(text)) for _ in range(rng.randrange(9)))}
+                       if text else [])
+        rows.append((text, [(a, b, "k") for a, b in spans if a < b]))
+    df = spark.createDataFrame(rows, "text string, spans array<struct<start:int,stop:int,kind:string>>")
+    for r in df.select("text", "spans", pii.redacted(F.col("text"), F.col("spans")).alias("out")).collect():
+        want, at = "", 0
+        for a, b, _ in r.spans:
+            want += r.text[at:a] if a > at else ""
+            want += "<k>" if b > at else ""
+            at = max(at, b)
+        assert r.out == want + r.text[at:]
+
+
+def test_automaton_equals_its_gadgets():
+    """Arcs against states and arcs built one gadget at a time; words read
+    together against words read alone."""
+    rng = random.Random(8)
+    for _ in range(20):
+        vocab, merges = {bytes([c]): i for i, c in enumerate(b"abc")}, []
+        while len(merges) < 25:
+            u, v = rng.choice(list(vocab)), rng.choice(list(vocab))
+            if u + v not in vocab and len(u + v) < 9:
+                merges.append((u, v))
+                vocab[u + v] = len(vocab)
+        a = bpe.Automaton(vocab, merges, {})
+        states = [{i: 0 for i in range(3)}]
+        for u, v in merges:
+            u, v, uv = vocab[u], vocab[v], vocab[u + v]
+            to = next((s[u] for s in states if u in s), None)
+            if to is None or v not in states[to]:
+                continue
+            after = states[to][v]
+            states.append({t: s for t, s in states[to].items() if t != v})
+            for s in states:
+                if u in s:
+                    s[u], s[uv] = len(states) - 1, after
+        live = set(states[0])
+        assert live == set(a.live.values())
+        pairs = [(u, v) for u in live for v in live]
+        want = [v in states[states[0][u]] for u, v in pairs]
+        assert [a.follows(u, v) for u, v in pairs] == want
+        u, v = (np.array(x) for x in zip(*pairs, strict=True))
+        assert a.follow_all(u, v).tolist() == want
+        words = sorted({bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 33))) for _ in range(200)})
+        rng.shuffle(words)
+        together = a.encode_words(words)
+        assert together == [a.encode_word(w) for w in words]
+        for w, ids in zip(words, together, strict=True):
+            state = 0
+            for t in ids:
+                state = states[state][t]
+            assert b"".join(a.label[t] for t in ids) == w
+
+
+def test_short_items_are_found(spark, tmp_path):
+    """Items of one to four words, as runs of words of the documents."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice("ab Cd ef g h".split()) for _ in range(rng.randrange(9))), "en", "s", 1) for i in range(60)]
+    path = edge.folder(spark, tmp_path, rows=rows, extra=False)
+    items = [(n, "-".join(rng.choice("AB cd ef g h".split()) for _ in range(n % 6))) for n in range(24)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    want = set()
+    for d, t, *_ in rows:
+        w = edge.words(t)
+        for i, item in items:
+            own = edge.words(item)
+            runs = {tuple(w[k:k + len(own)]) for k in range(len(w) - len(own) + 1)}
+            if own and (tuple(own) in runs if len(own) < 5 else 5 * len(edge.shingles(item) & {
+                    tuple(w[k:k + 5]) for k in range(len(w) - 4)}) >= 4 * len(edge.shingles(item))):
+                want.add((d, i))
+    found = docs.select("doc_id", F.explode(decontaminate.items_in(docs, bench)).alias("x")).select("doc_id", "x.*").collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want and len(found) == len(want) and len(want) > 100
+    long = docs.select("doc_id", F.explode(decontaminate.items_in(docs, bench, 5)).alias("x")).select("x.item_id").distinct()
+    assert all(i % 6 == 5 for (i,) in long.collect())
+
+
+def test_sources_that_share_a_long_prefix(spark):
+    """Strings are told apart by all of their bytes, and every row gets a place."""
+    rng = random.Random(7)
+    rows = [(i, rng.choice([None, *[f"https://crawl-2024/{k:03d}" for k in range(40)]]), rng.random()) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, source string, x double")
+    scratch = Scratch(spark, "cells")
+    try:
+        cells = {r.source: r.cell_0 for r in hilbert.quantised(df, ["source", "x"], 5, scratch).collect()}
+        found = hilbert.hilbert_shards(df, ["source", "x"], ["id"], 7, scratch).collect()
+    finally:
+        scratch.close()
+    names = [None, *sorted(k for k in cells if k)]
+    assert [cells[k] for k in names] == sorted(cells.values()) and cells[None] == 0 and len(set(cells.values())) >= 28
+    sizes = Counter(r.shard for r in found)
+    assert len(found) == 2000 and max(sizes.values()) - min(sizes.values()) <= 1
+    assert all(sorted(r.slot for r in found if r.shard == s) == list(range(n)) for s, n in sizes.items())
+    # runs of the curve: a shard's rows follow those of the one before
+    assert all(max(r.hilbert for r in found if r.shard == s) <= min(r.hilbert for r in found if r.shard == s + 1) for s in range(6))
