@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe, decontaminate, jobs, ngram_join, pii, toxicity
+from shelfwise.llm import bpe, decontaminate, jobs, ngram_join, pii, text, toxicity
 from shelfwise.operators.lineage import Scratch
 
 
@@ -35,10 +35,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item of five words or more go (a run
+    of fewer is no reason to drop a document)."""
     jobs.prepare(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return docs.where(F.size(decontaminate.items_in(docs, items)) == 0)
+    return docs.where(F.size(decontaminate.items_in(docs, items, text.SHINGLE)) == 0)
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,18 +57,18 @@ def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = pii.settle(pii.candidates(docs, prefix=prefix), weights, prefix + "spans", prefix + "all")
     spans = F.col(prefix + "all")
     some = F.size(spans) > 0
-    text = F.when(some, pii.redacted(F.col("text"), spans)).otherwise(F.col("text"))
-    changed = {"text": text}
+    clear = F.when(some, pii.redacted(F.col("text"), spans)).otherwise(F.col("text"))
+    changed = {"text": clear}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(some, F.length(text)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(some, F.length(clear)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return found.withColumns(changed).select(docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document by the BPE automaton, with the digests of ids
-    and decoded text."""
+    """Every document with its ids by the BPE automaton, their number, and the
+    digests of ids and decoded text."""
     jobs.prepare(spark)
-    return bpe.digest_rows(docs)
+    return bpe.tokenized(docs)
 
 
 STAGES = [
