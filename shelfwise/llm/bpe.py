@@ -17,10 +17,13 @@ twice. All words of a batch that a worker has not met are read together, in
 flat tables (numpy), and a prefix that several of them share is read for all
 of them at once. Decoding emits the labels of the arcs.
 
-Words are split by the pre-tokenizer's published pattern; a worker keeps what
-it has encoded, each piece with its ids, these written out, and its bytes, so
-a text's digests are hashes of joined pieces. Texts that hold the added token's
-string give its id there, as the vocabulary file asks.
+Texts are parted between words into pieces, and each piece is known by a
+64-bit hash of its bytes: a worker remembers the ids of the pieces it has met
+in flat arrays. New pieces are split by the pre-tokenizer's published pattern.
+A text that has a space before white space, where the pattern looks further,
+is parted by the pattern itself, and where the added token's string stands its
+id is given, as the vocabulary file asks.
+
 Defined results: null and empty texts have no ids; ids of repeated rows are
 equal; text after text is never joined. All of a text is encoded; a long one
 is read in pieces cut where the pre-split parts it anyway.
@@ -29,13 +32,11 @@ is read in pieces cut where the pre-split parts it anyway.
 from __future__ import annotations
 
 import codecs
-import gc
 import hashlib
 import itertools
 import json
-import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,13 +49,12 @@ from shelfwise.llm import jobs, text as texts_
 VOCABULARY = "byte_bpe_50k.json"
 # Fixed value: the published pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words and arcs a worker remembers (words in two halves, of which the older
-#: goes when the newer is full), and the characters of a text read at once.
-REMEMBERED = 200_000
-ARCS = 200_000
-AT_ONCE = 1 << 17
-#: Bytes of the longest word read together with others, and of a batch's texts.
-WIDE, BATCH = 32, 2 << 20
+#: Pieces and arcs a worker remembers before it starts anew.
+REMEMBERED, ARCS = 1_000_000, 200_000
+#: Bytes of text read at once, and of a part of a longer text.
+BATCH, AT_ONCE = 2 << 20, 1 << 20
+#: Bytes of the longest word read together with others.
+WIDE = 32
 
 
 def byte_letters() -> dict[str, int]:
@@ -68,15 +68,21 @@ def byte_letters() -> dict[str, int]:
 class Table:
     """Whole numbers by whole-number keys in two flat arrays (open addressing)."""
 
-    def __init__(self, items: dict[int, int]):
-        keys, values = np.array(list(items), np.int64), np.array(list(items.values()), np.int32)
-        self.mask = (1 << max(4, (4 * len(keys)).bit_length())) - 1
+    def __init__(self, items: dict[int, int] | int):
+        """Of these items, or empty with room for so many."""
+        size = items if isinstance(items, int) else len(items)
+        self.mask = (1 << max(4, (2 * size).bit_length())) - 1
         self.keys, self.values = np.full(self.mask + 1, -1, np.int64), np.zeros(self.mask + 1, np.int32)
+        if not isinstance(items, int):
+            self.put(np.array(list(items), np.int64), np.array(list(items.values()), np.int32))
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Adds keys that are new and differ from each other."""
         at, left = self._home(keys), np.arange(len(keys))
         while len(left):
             # of those that want one free place the first gets it
-            place, first = np.unique(at[left], return_index=True)
-            first = first[self.keys[place] < 0]
+            _, first = np.unique(at[left], return_index=True)
+            first = first[self.keys[at[left[first]]] < 0]
             put = left[first]
             self.keys[at[put]], self.values[at[put]] = keys[put], values[put]
             left = np.delete(left, first)
@@ -106,7 +112,6 @@ class Automaton:
         self.label = {i: t for t, i in vocab.items()} | {i: s.encode() for s, i in added.items()}
         self.added = added
         size = max(self.label) + 1
-        self.written, self.spelt = [str(i) for i in range(size)], [self.label.get(i, b"") for i in range(size)]
         #: Parts of a label, the time of its gadget, and (u, v) -> when u's state lost v.
         self.left, self.right = array("i", [-1]) * size, array("i", [-1]) * size
         self.made = array("i", [-1]) * size
@@ -137,8 +142,9 @@ class Automaton:
         self.back, self.ends = Table(step), np.array(ends, np.int32)
         self.lost_at = Table(self.lost)
         self.parts = np.array([self.left, self.right, self.made])
-        self.newer: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}
+        self.figures = Joiner([b"%d," % i for i in range(size)])
+        self.letters = Joiner([self.label.get(i, b"") for i in range(size)])
+        self.forget()
 
     def _gadget(self, u: int, v: int, uv: int, time: int) -> None:
         if self.made[u] < 0 or self.made[v] < 0 or self.made[uv] >= 0 or not self.follows(u, v):
@@ -217,21 +223,20 @@ class Automaton:
             u, v = np.where(later, u, right[u]).astype(np.int64), np.where(later, left[v], v).astype(np.int64)
         return out
 
-    def encode_words(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """``encode_word`` of different words of at most WIDE bytes each."""
-        if not words:
-            return []
-        given = np.array(words, f"S{WIDE}")
-        order = np.argsort(given, kind="stable")
-        letters = np.ascontiguousarray(given[order]).view(np.uint8).reshape(-1, WIDE)
-        n = np.array([len(w) for w in words])[order]
+    def encode_words(self, letters: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``encode_word`` of many words of n <= WIDE bytes, the rows of
+        ``letters`` (zeros behind): (ids, ids of each word)."""
+        if not len(n):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        order = np.argsort(np.ascontiguousarray(letters).view(f"S{WIDE}").ravel(), kind="stable")
+        letters, n = letters[order], n[order]
         # bytes that a word shares with the one before it
-        shared = np.zeros(len(words), np.int64)
+        shared = np.zeros(len(n), np.int64)
         unlike = letters[1:] != letters[:-1]
         shared[1:] = np.minimum(np.where(unlike.any(1), unlike.argmax(1), WIDE), np.minimum(n[1:], n[:-1]))
         most = int(n.max())
-        last, before = np.full((len(words), most + 1), -1, np.int32), np.zeros((len(words), most + 1), np.int8)
-        place = np.arange(len(words))
+        last, before = np.full((most + 1, len(n)), -1, np.int32), np.zeros((most + 1, len(n)), np.int8)
+        place = np.arange(len(n))
         for i in range(1, most + 1):
             fresh = (shared < i) & (n >= i)
             rows = np.flatnonzero(fresh)
@@ -245,126 +250,243 @@ class Automaton:
                 ends = self.ends[node]
                 can = np.flatnonzero(ends >= 0)
                 if size < i and len(can):
-                    can = can[self.follow_all(last[rows[can], i - size], ends[can])]
-                last[rows[can], i], before[rows[can], i] = ends[can], i - size
+                    can = can[self.follow_all(last[i - size, rows[can]], ends[can])]
+                last[i, rows[can]], before[i, rows[can]] = ends[can], i - size
                 if len(can):
                     on = np.ones(len(rows), bool)
                     on[can] = False
                     rows, node = rows[on], node[on]
             # the others take it from the word they share it with
             source = np.maximum.accumulate(np.where(fresh, place, 0))
-            last[:, i], before[:, i] = last[source, i], before[source, i]
-        back, at, rows = [], n.copy(), place
+            last[i], before[i] = last[i, source], before[i, source]
+        steps, at, rows = [], n.copy(), np.flatnonzero(n > 0)
         while len(rows):
-            found = np.full(len(words), -1, np.int32)
-            found[rows] = last[rows, at[rows]]
+            found = np.full(len(n), -1, np.int32)
+            found[rows] = last[at[rows], rows]
             if (found[rows] < 0).any():
                 raise ValueError("no path spells a word")
-            at[rows] = before[rows, at[rows]]
-            back.append(found)
+            at[rows] = before[at[rows], rows]
+            steps.append(found)
             rows = rows[at[rows] > 0]
-        out: list = [None] * len(words)
-        for i, ids in zip(order.tolist(), np.stack(back[::-1], 1).tolist(), strict=True):
-            out[i] = tuple([t for t in ids if t >= 0])
-        return out
-
-    def _keep(self, piece: str, ids: tuple[int, ...]) -> tuple:
-        """(ids, ids written out, bytes) of a piece, remembered."""
-        found = ids, ",".join([self.written[i] for i in ids]), b"".join([self.spelt[i] for i in ids])
-        if len(piece) <= 48:
-            if len(self.newer) >= REMEMBERED:
-                self.older, self.newer = self.newer, {}
-            self.newer[piece] = found
-        return found
-
-    def _entry(self, piece: str) -> tuple:
-        """The entry of a piece that pre-splits alone."""
-        found = self.older.get(piece)
-        if found is not None:
-            self.newer[piece] = found
-            return found
-        return self._keep(piece, tuple([i for w in SPLIT.findall(piece) for i in self.encode_word(w.encode())]))
-
-    def learn(self, pieces: Iterable[str]) -> None:
-        """Encodes the pieces that are not remembered, all at once."""
-        new = {p: SPLIT.findall(p) for p in set(pieces).difference(self.newer, self.older) if len(p) <= 48}
-        ids: dict[str, tuple] = {}
-        rest: dict[str, bytes] = {}
-        for w in set(itertools.chain.from_iterable(new.values())):
-            spelt = w.encode()
-            if len(spelt) <= WIDE:
-                rest[w] = spelt
-            else:
-                ids[w] = self.encode_word(spelt)
-        ids.update(zip(rest, self.encode_words(list(rest.values())), strict=True))
-        for p, words in new.items():
-            self._keep(p, ids[words[0]] if len(words) == 1 else tuple([i for w in words for i in ids[w]]))
-
-    def pieces(self, text: str) -> Iterator[list[str]]:
-        """A whole text's pieces in order, some at a time; an added token's
-        string is a piece of its own."""
-        for part in self._parts(text):
-            at = 0
-            while at < len(part):
-                cut = CUT.search(part, at + AT_ONCE) if len(part) - at > AT_ONCE else None
-                stop = cut.start() if cut else len(part)
-                some = part[at:stop]
-                # a single space belongs to the word after it, so the text
-                # pre-splits between spaces
-                yield ([part] if part in self.added else SPLIT.findall(some) if RUNS.search(some) else SPACED.findall(some))
-                at = stop
-
-    def entries(self, pieces: Iterable[list[str]]) -> Iterator[list[tuple]]:
-        """Entries of these pieces, as many at a time."""
-        get = self.newer.get
-        for some in pieces:
-            if len(some) == 1 and some[0] in self.added:
-                i = self.added[some[0]]
-                yield [((i,), str(i), self.label[i])]
-            else:
-                found = [get(p) or self._entry(p) for p in some]
-                get = self.newer.get
-                yield found
+        table = np.empty((len(n), len(steps)), np.int32)
+        table[order] = np.stack(steps[::-1], 1) if steps else table
+        return table[table >= 0], (table >= 0).sum(1)
+
+    def forget(self) -> None:
+        """Empties the memory of pieces: number of a piece by its hash, and for
+        number k its ids pool[begin[k]:begin[k + 1]]."""
+        self.known = Table(REMEMBERED)
+        self.begin, self.pool = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)]
+        spelt = [s.encode() for s in self.added]
+        ends = np.cumsum([len(s) for s in spelt], dtype=np.int64)
+        keys = texts_.range_hashes(np.frombuffer(b"".join(spelt), np.uint8), ends - [len(s) for s in spelt], ends)
+        self._remember(_positive(keys), np.array(list(self.added.values()), np.int32), np.ones(len(spelt), np.int64))
+
+    def _remember(self, keys: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        begin, _ = self.memory()
+        self.known.put(keys, np.arange(len(begin) - 1, len(begin) - 1 + len(keys), dtype=np.int32))
+        self.begin.append(begin[-1] + np.cumsum(counts))
+        self.pool.append(ids)
+
+    def memory(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.begin) > 1:
+            self.begin, self.pool = [np.concatenate(self.begin)], [np.concatenate(self.pool)]
+        return self.begin[0], self.pool[0]
+
+    def ids_of(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, limits by piece) of these byte ranges, which pre-split alone."""
+        keys = _positive(texts_.range_hashes(data, start, end))
+        number = self.known.get(keys, -1)
+        if (number < 0).any():
+            if len(self.memory()[0]) + len(keys) > REMEMBERED:
+                self.forget()
+                number = self.known.get(keys, -1)
+            new = np.flatnonzero(number < 0)
+            _, first = np.unique(keys[new], return_index=True)
+            new = new[first]
+            self._remember(keys[new], *self._encode_pieces(data, start[new], end[new]))
+            number = self.known.get(keys, -1)
+        begin, pool = self.memory()
+        low, counts = begin[number], begin[number + 1] - begin[number]
+        owner, place = texts_.spread(counts)
+        return pool[low[owner] + place], np.concatenate([[0], np.cumsum(counts)])
+
+    def _encode_pieces(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids of each piece) of these byte ranges."""
+        # ASCII letters, maybe after a space, are one word of the pattern
+        other = np.concatenate([[0], np.cumsum(~_LETTER[data], dtype=np.int64)])
+        begin = start + (data[start] == 32)
+        plain = (other[end] == other[begin]) & (end > begin) & (end - start <= WIDE)
+        whole = np.flatnonzero(plain)
+        at = start[whole][:, None] + np.arange(WIDE)
+        letters = np.where(at < end[whole][:, None], data[np.minimum(at, len(data) - 1)], 0).astype(np.uint8)
+        # the others are split by the pattern
+        number, words, counts = {}, [], np.ones(len(start), np.int64)
+        rest = np.flatnonzero(~plain)
+        for k, a, b in zip(rest.tolist(), start[rest].tolist(), end[rest].tolist(), strict=True):
+            some = data[a:b].tobytes().decode()
+            own = [some] if (some[1:] if some[0] == " " else some).isalpha() else SPLIT.findall(some)
+            counts[k] = len(own)
+            words += [number.setdefault(w, len(number)) for w in own]
+        spelt = [w.encode() for w in number]
+        short = [w for w in spelt if len(w) <= WIDE]
+        given = np.array(short, f"S{WIDE}").view(np.uint8).reshape(-1, WIDE) if short else np.zeros((0, WIDE), np.uint8)
+        lengths = np.concatenate([(end - start)[whole], np.array([len(w) for w in short], np.int64)])
+        ids, sizes = self.encode_words(np.concatenate([letters, given]), lengths)
+        # words by number: whole pieces, short words, long words
+        long = [self.encode_word(w) for w in spelt if len(w) > WIDE]
+        ids = np.concatenate([ids, np.fromiter(itertools.chain.from_iterable(long), np.int32)])
+        sizes = np.concatenate([sizes, np.array([len(x) for x in long], np.int64)])
+        place, is_long = np.zeros(len(spelt), np.int64), np.array([len(w) > WIDE for w in spelt], bool)
+        place[~is_long] = len(whole) + np.arange(len(short))
+        place[is_long] = len(whole) + len(short) + np.arange(len(long))
+        order = np.empty(int(counts.sum()), np.int64)
+        first = np.cumsum(counts) - counts
+        order[first[whole]] = np.arange(len(whole))
+        owner, step = texts_.spread(counts[rest])
+        order[first[rest][owner] + step] = place[words]
+        limits = np.concatenate([[0], np.cumsum(sizes)])
+        owner, step = texts_.spread(sizes[order])
+        of = np.add.reduceat(sizes[order], first) if len(first) else counts
+        return ids[limits[order][owner] + step], of
+
+    def read(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(text's place, ids, limits of the texts' ids) of some texts or parts
+        of texts at a time, in order; null and empty texts have none."""
+        data, offsets = texts_.buffer_of(texts)
+        places, lows, highs, held = [], [], [], 0
+        for k in range(len(texts)):
+            low, end = int(offsets[k]), int(offsets[k + 1])
+            while low < end:
+                high = _cut(data, low, end)
+                if places and held + high - low > BATCH:
+                    yield self._read(data, places, lows, highs)
+                    places, lows, highs, held = [], [], [], 0
+                places.append(k)
+                lows.append(low)
+                highs.append(high)
+                held += high - low
+                low = high
+        if places:
+            yield self._read(data, places, lows, highs)
+
+    def _read(self, data, places, lows, highs):
+        first = lows[0]
+        data = data[first:highs[-1]]
+        limits = np.array([*lows, highs[-1]], np.int64) - first
+        start = _piece_starts(data, limits)
+        odd = [a for a in self.added if data.tobytes().find(a.encode()) >= 0] if self.added else []
+        irregular = _irregular(data)
+        rows = set(np.searchsorted(limits, irregular, "right") - 1)
+        if odd:
+            rows |= {k for k in range(len(places)) if any(data[limits[k]:limits[k + 1]].tobytes().find(a.encode()) >= 0 for a in odd)}
+        if rows:
+            # the pattern parts these texts itself
+            own = [start[(start >= limits[k]) & (start < limits[k + 1])] for k in range(len(places))]
+            for k in rows:
+                pieces = self.split(data[limits[k]:limits[k + 1]].tobytes().decode())
+                own[k] = limits[k] + np.cumsum([0, *[len(p.encode()) for p in pieces[:-1]]])
+            start = np.concatenate(own)
+        ids, ends = self.ids_of(data, start, np.r_[start[1:], len(data)])
+        return np.array(places), ids, ends[np.searchsorted(start, limits)]
+
+    def split(self, text: str) -> list[str]:
+        """Words of a text by the pattern, and added tokens' strings."""
+        parts = [text] if not self.added else regex.split("(" + "|".join(map(regex.escape, self.added)) + ")", text)
+        return [w for p in parts for w in ([p] if p in self.added else SPLIT.findall(p))]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text."""
-        return [i for found in self.entries(self.pieces(text)) for ids, _, _ in found for i in ids]
-
-    def digest(self, pieces: Iterable[list[str]], ids_out: array | None = None) -> tuple[int, str, str]:
-        """(number of ids, SHA-256 of the ids written out, of the decoded text)
-        of a text's pieces; the ids themselves are appended to ``ids_out``."""
-        n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
-        decoder = codecs.getincrementaldecoder("utf-8")("replace")
-        for found in self.entries(pieces):
-            if not found:
-                continue
-            ids, written, raw = zip(*found, strict=True)
-            ids_sha.update((("," if n else "") + ",".join(written)).encode())
-            text_sha.update(decoder.decode(b"".join(raw)).encode())
-            n += sum(map(len, ids))
-            if ids_out is not None:
-                ids_out.extend(itertools.chain.from_iterable(ids))
-        text_sha.update(decoder.decode(b"", True).encode())
-        return n, ids_sha.hexdigest(), text_sha.hexdigest()
-
-    def _parts(self, text: str) -> list[str]:
-        if not any(a in text for a in self.added):
-            return [text] if text else []
-        pattern = "(" + "|".join(map(regex.escape, self.added)) + ")"
-        return [p for p in regex.split(pattern, text) if p]
+        return [i for _, ids, _ in self.read(pa.array([text])) for i in ids.tolist()]
 
     def decode(self, ids: list[int]) -> str:
         """Text of the labels of these arcs (bytes that are no UTF-8 replaced)."""
         label = self.label
         return b"".join([label[i] for i in ids]).decode("utf-8", "replace")
 
-
+    def digests(self, texts: pa.Array, keep_ids: bool = False) -> tuple[list[tuple[int, str, str]], list[np.ndarray]]:
+        """For each text (number of ids, SHA-256 of the ids written out, of
+        the decoded text); and the ids, all texts one after another."""
+        n = [0] * len(texts)
+        shas = [(hashlib.sha256(), hashlib.sha256()) for _ in range(len(texts))]
+        decoders, kept = {}, []
+        for places, ids, limits in self.read(texts):
+            written, at = self.figures.joined(ids)
+            spelt, end = self.letters.joined(ids)
+            for i, k in enumerate(places.tolist()):
+                low, high = int(limits[i]), int(limits[i + 1])
+                if low == high:
+                    continue
+                # a comma after each id, so that the first of a later part follows one
+                text = written[at[low]:at[high] - 1].tobytes()
+                shas[k][0].update(b"," + text if n[k] else text)
+                decoder = decoders.setdefault(k, codecs.getincrementaldecoder("utf-8")("replace"))
+                shas[k][1].update(decoder.decode(spelt[end[low]:end[high]].tobytes()).encode())
+                n[k] += high - low
+            if keep_ids:
+                kept.append(ids)
+        for k, decoder in decoders.items():
+            shas[k][1].update(decoder.decode(b"", True).encode())
+        return [(c, a.hexdigest(), b.hexdigest()) for c, (a, b) in zip(n, shas, strict=True)], kept
+
+
+class Joiner:
+    """Byte strings by number, to be joined in any order."""
+
+    def __init__(self, strings: list[bytes]):
+        self.length = np.array([len(s) for s in strings], np.int64)
+        self.begin = np.cumsum(self.length) - self.length
+        self.data = np.frombuffer(b"".join(strings), np.uint8)
+
+    def joined(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the strings of these numbers one after another, their limits)."""
+        length = self.length[numbers]
+        limits = np.concatenate([[0], np.cumsum(length)])
+        # each byte's place is its string's begin and the way from its own limit
+        shift = np.repeat(self.begin[numbers] - limits[:-1], length)
+        return self.data[shift + np.arange(limits[-1])], limits
+
+
+def _positive(keys: np.ndarray) -> np.ndarray:
+    return (keys >> np.uint64(1)).view(np.int64)
+
+
+def _cut(data: np.ndarray, low: int, end: int) -> int:
+    """Where the part of a text from ``low`` ends: a long one is cut at a
+    space between letters or digits, which parts any text."""
+    at = low + AT_ONCE
+    while at < end:
+        some = data[at - 1:min(end, at + 4096) + 1]
+        word = _PLAIN[some]
+        spaces = np.flatnonzero((some[1:-1] == 32) & word[:-2] & word[2:])
+        if len(spaces):
+            return at + int(spaces[0])
+        at += 4096
+    return end
+
+
+def _piece_starts(data: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Begins of texts, and spaces: a space belongs to the word after it."""
+    opens = data == 32
+    opens[limits[:-1]] = True
+    return np.flatnonzero(opens)
+
+
+def _irregular(data: np.ndarray) -> np.ndarray:
+    """Places of spaces before white space (also that of other scripts)."""
+    padded = np.concatenate([data, np.zeros(4, np.uint8)])
+    spaces = np.flatnonzero(data == 32)
+    a, b, c = (padded[spaces + k] for k in (1, 2, 3))
+    wide = (((a == 0xC2) & ((b == 0x85) | (b == 0xA0))) | ((a == 0xE1) & (b == 0x9A)) | ((a == 0xE2) & (b == 0x81) & (c == 0x9F))
+            | ((a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((a == 0xE3) & (b == 0x80)))
+    return spaces[_SPACE[a] | wide]
+
+
+#: ASCII white space as the pattern sees it, letters, and letters and digits.
+_SPACE = texts_.byte_table([*range(9, 14), *range(28, 33)])
+_LETTER = texts_.byte_table([*range(65, 91), *range(97, 123)])
+_PLAIN = texts_.byte_table([*range(48, 58), *range(65, 91), *range(97, 123)])
 SPLIT = regex.compile(PATTERN)
-#: A space before white space: there the pre-split depends on the whole run.
-RUNS = regex.compile(r" \s")
-SPACED = re.compile(r" ?[^ ]+| ")
-#: A space between two words, where any text may be cut.
-CUT = regex.compile(r"(?<=\S) (?=\S)")
 
 
 def automaton(source: str) -> Automaton:
@@ -401,24 +523,11 @@ def tokens(path: str | None = None, with_ids: bool = False):
 
     @F.arrow_udf(kind)
     def run(texts: pa.Array) -> pa.Array:
-        a = compiled(path or vocabulary_path())
-        rows, ids = [], array("i") if with_ids else None
-        gc.disable()                               # many small tuples, and no cycles among them
-        try:
-            for at, stop in texts_.cuts_of(texts, BATCH):
-                some = [t or "" for t in texts[at:stop].to_pylist()]
-                if len(some) > 1:
-                    parts = [list(a.pieces(t)) for t in some]
-                    a.learn(itertools.chain.from_iterable(itertools.chain.from_iterable(parts)))
-                else:                              # one text, maybe a very long one
-                    parts = [a.pieces(t) for t in some]
-                rows += [a.digest(part, ids) for part in parts]
-        finally:
-            gc.enable()
+        rows, ids = compiled(path or vocabulary_path()).digests(texts, with_ids)
         columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.string(), pa.string()))]
         if with_ids:
             limits = np.concatenate([[0], np.cumsum([r[0] for r in rows])]).astype(np.int32)
-            columns.append(pa.ListArray.from_arrays(pa.array(limits), pa.array(np.frombuffer(ids, np.int32) if ids else [], pa.int32())))
+            columns.append(pa.ListArray.from_arrays(pa.array(limits), pa.array(np.concatenate([np.zeros(0, np.int32), *ids]))))
         return pa.StructArray.from_arrays(columns, ["n_tokens", "ids_sha256", "decoded_sha256", "ids"][:len(columns)])
 
     return run
