@@ -1,17 +1,20 @@
 """Substring deduplication by paragraph MinHash banding.
 
-Paragraphs are the sentences of each line and the whole lines of several
-sentences, of any length. Equal word sequences are one class by a 128-bit hash.
+The words of every line are parted into paragraphs: a sentence of eight words
+or more, or a run of shorter ones up to about as many. So all words of a text
+are in one paragraph. (``every`` takes all sentences and all whole lines as
+they are instead, of any length.) Equal word sequences are one class by a
+128-bit hash.
 
-1. One pass writes the place and class of every paragraph.
-2. Paragraphs of eight words or more are banded for a recall of 0.9995 at
+1. Paragraphs of eight words or more are banded for a recall of 0.9995 at
    Jaccard 0.8. Band hashes are sorted where they meet and those of one class
    alone dropped; buckets of the same members are one.
-3. Inside each bucket all classes are compared exactly by their 5-word
-   shingles (block against block in large ones), so what a loose band brings
-   together is checked there and never grows into one large candidate set.
-   Shorter paragraphs have too few shingles for a near copy: they are one
-   class if their word sequences are equal.
+2. One pass writes the place and class of every paragraph, with the 5-word
+   shingles of those that share a bucket (a bitmap of fixed size tells which).
+3. Inside each bucket all classes are compared exactly (block against block in
+   large ones), so what a loose band brings together is checked there and never
+   grows into one large candidate set. Shorter paragraphs have too few shingles
+   for a near copy: they are one class if their word sequences are equal.
 4. The components of verified links are the clusters. Of each cluster the first
    occurrence (by doc_id and place) stays and all others are removals.
 
@@ -23,9 +26,10 @@ Defined results: one row for each paragraph of a cluster of two or more
 occurrences. Null and empty texts and rows with a null doc_id have none;
 repeated rows are occurrences of their own (of equal doc_id and place both
 count, and neither is a removal of the other). Places are code points, the end
-exclusive. A line of one sentence is one paragraph; a line of several is one
-beside its sentences, so rows may lie within each other. A passage is a longest
-run of words of one text all of which are in such paragraphs.
+exclusive. With ``every`` a line of one sentence is one paragraph; a line of
+several is one beside its sentences, so rows may lie within each other. A
+passage is a longest run of words of one text all of which are in such
+paragraphs.
 """
 
 from __future__ import annotations
@@ -50,20 +54,32 @@ LEAST_PASSAGE = 12
 FILTER_BITS = 1 << 27
 
 
-PLACES = "doc_id long, same long, start int, stop int, word int, words int, node binary"
+PLACES = "doc_id long, same long, start int, stop int, word int, words int, node binary, set binary"
 
 
 class Paragraphs:
-    """All sentences of a batch, and the lines that are not one sentence."""
+    """The paragraphs of a batch: first word, end and document of each."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, every: bool):
         w = self.words = text.words_of(texts)
         first, doc = text.sentences(w)
         whole, owner = text.sentences(w, lines=True)
-        several = np.flatnonzero(np.diff(np.searchsorted(first, whole)) > 1)
-        self.begin = np.r_[first[:-1], whole[:-1][several]]
-        self.end = np.r_[first[1:], whole[1:][several]]
-        self.doc = np.r_[doc, owner[several]]
+        if every:
+            several = np.flatnonzero(np.diff(np.searchsorted(first, whole)) > 1)
+            self.begin = np.r_[first[:-1], whole[:-1][several]]
+            self.end = np.r_[first[1:], whole[1:][several]]
+            self.doc = np.r_[doc, owner[several]]
+            return
+        # of short sentences in a row, those that begin within the same eight words join
+        n = np.diff(first)
+        short = n < LEAST_WORDS
+        opens = np.ones(len(n), bool)
+        opens[1:] = ~short[1:] | ~short[:-1] | np.isin(first[1:-1], whole)
+        before = np.cumsum(n) - n
+        block = (before - before[np.maximum.accumulate(np.where(opens, np.arange(len(n)), 0))]) // LEAST_WORDS
+        opens[1:] |= block[1:] != block[:-1]
+        at = np.flatnonzero(opens)
+        self.begin, self.end, self.doc = first[:-1][at], np.r_[first[:-1][at[1:]], first[-1:]][:len(at)], doc[at]
 
     def keep(self, which: np.ndarray) -> None:
         self.begin, self.end, self.doc = self.begin[which], self.end[which], self.doc[which]
@@ -77,26 +93,37 @@ class Paragraphs:
         return text.pair_keys(*self.sequences()) if len(self.begin) else np.zeros((0, 2), np.uint64)
 
 
-def _places(batches):
-    """(doc_id, same, start, stop, word, words, node) of every paragraph."""
-    for batch in text.portions(batches):
-        p = Paragraphs(batch.column("text"))
-        w = p.words
-        at = text.code_points(w.data)
-        base = at[w.offsets[:-1]][p.doc]
-        take = pa.array(p.doc, pa.int64())
-        yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id").take(take), batch.column("same").take(take),
-            pa.array((at[w.start[p.begin]] - base).astype(np.int32)), pa.array((at[w.end[p.end - 1]] - base).astype(np.int32)),
-            pa.array((p.begin - w.first[p.doc]).astype(np.int32)), pa.array((p.end - p.begin).astype(np.int32)),
-            text.fixed_binary(p.keys())], ["doc_id", "same", "start", "stop", "word", "words", "node"])
+def _places(shared, every: bool):
+    """(doc_id, same, start, stop, word, words, node) of every paragraph; and
+    its set if the filter holds its key (once in a batch)."""
+    def run(batches):
+        for batch in text.portions(batches):
+            p = Paragraphs(batch.column("text"), every)
+            w = p.words
+            at = text.code_points(w.data)
+            base = at[w.offsets[:-1]][p.doc]
+            take = pa.array(p.doc, pa.int64())
+            keys = p.keys()
+            places = [batch.column("doc_id").take(take), batch.column("same").take(take),
+                      pa.array((at[w.start[p.begin]] - base).astype(np.int32)), pa.array((at[w.end[p.end - 1]] - base).astype(np.int32)),
+                      pa.array((p.begin - w.first[p.doc]).astype(np.int32)), pa.array((p.end - p.begin).astype(np.int32)),
+                      text.fixed_binary(keys)]
+            _, fresh = np.unique(keys[:, 0], return_index=True)
+            fresh = np.sort(fresh[held(shared.value, keys[fresh, 0]) & (p.end - p.begin >= LEAST_WORDS)[fresh]])
+            which = np.full(len(keys), -1)
+            which[fresh] = np.arange(len(fresh))
+            p.keep(fresh)
+            sets = text.binary_runs(*text.distinct_runs(*text.shingles(*p.sequences())))
+            yield pa.RecordBatch.from_arrays([*places, sets.take(pa.array(which, pa.int64(), mask=which < 0))],
+                                             [c.split()[0] for c in PLACES.split(", ")])
+    return run
 
 
-def _banded(bands: int, rows: int, seed: int):
+def _banded(bands: int, rows: int, seed: int, every: bool):
     """(value, key) of each band of the long paragraphs, once for a batch."""
     def run(batches):
         for batch in text.portions(batches):
-            p = Paragraphs(batch.column("text"))
+            p = Paragraphs(batch.column("text"), every)
             p.keep(np.flatnonzero(p.end - p.begin >= LEAST_WORDS))
             if not len(p.begin):
                 continue
@@ -160,22 +187,10 @@ def _keyed(batches):
         yield pa.RecordBatch.from_arrays([pa.array(_node_keys(batch.column("node")))], ["key"])
 
 
-def _wanted_sets(shared):
-    """(node, key, set) of the long paragraphs whose key the filter holds."""
-    def run(batches):
-        for batch in text.portions(batches):
-            p = Paragraphs(batch.column("text"))
-            p.keep(np.flatnonzero(p.end - p.begin >= LEAST_WORDS))
-            keys = p.keys()
-            _, fresh = np.unique(keys[:, 0], return_index=True)
-            fresh = fresh[held(shared.value, keys[fresh, 0])]
-            p.keep(fresh)
-            if not len(fresh):
-                continue
-            values, limits = text.distinct_runs(*text.shingles(*p.sequences()))
-            yield pa.RecordBatch.from_arrays([text.fixed_binary(keys[fresh]), pa.array(keys[fresh, 0].view(np.int64)),
-                                              text.binary_runs(values, limits)], ["node", "key", "set"])
-    return run
+def _with_key(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(_node_keys(batch.column("node"))), batch.column("set")],
+                                         ["node", "key", "set"])
 
 
 def _filtered(shared):
@@ -186,49 +201,59 @@ def _filtered(shared):
     return run
 
 
-def verified_links(texts: DataFrame, scratch: Scratch, recall: float = RECALL, seed: int = 17) -> DataFrame:
-    """(node, root): verified links between classes of long paragraphs."""
-    spark = texts.sparkSession
+def shared_buckets(texts: DataFrame, scratch: Scratch, recall: float, seed: int, every: bool) -> DataFrame:
+    """(value, key): the classes of each bucket that has several."""
     bands, rows = text.banding(text.SIMILARITY, recall, MOST_HASHES)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = scratch.cut(texts.select("text").mapInArrow(_banded(bands, rows, seed), "value long, key long")
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = scratch.cut(texts.select("text").mapInArrow(_banded(bands, rows, seed, every), "value long, key long")
                          .repartition(parts, "value").sortWithinPartitions("value", "key")
                          .mapInArrow(_shared, "value long, key long"))
     # of buckets with the same members one is enough
     alike = shared.groupBy("value").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("key")).alias("x"),
                                         F.min("key").alias("low"), F.max("key").alias("high"))
     chosen = alike.groupBy("n", "x", "low", "high").agg(F.min("value").alias("value")).select("value")
-    shared = scratch.cut(shared.join(chosen, "value"))
-    wanted = spark.sparkContext.broadcast(key_filter(shared.select("key").distinct()))
-    sets = scratch.cut(texts.select("text").mapInArrow(_wanted_sets(wanted), "node binary, key long, set binary")
-                       .groupBy("node", "key").agg(F.first("set").alias("set")))
-    wanted.destroy()
+    return scratch.cut(shared.join(chosen, "value"))
+
+
+def verified_links(shared: DataFrame, sketch: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root): verified links between classes that share a bucket."""
+    spark = sketch.sparkSession
+    sets = scratch.cut(sketch.where("set is not null").groupBy("node").agg(F.first("set").alias("set"))
+                       .mapInArrow(_with_key, "node binary, key long, set binary"))
     members = scratch.cut(near.deal(
         shared.join(sets.select("key", "node", F.octet_length("set").cast("long").alias("bytes")), "key")
         .select("node", F.col("value").alias("root"), "bytes", F.lit(1).cast("long").alias("n"))))
-    dealt, some = near.block_pairs(members, parts)
+    dealt, some = near.block_pairs(members, int(spark.conf.get("spark.sql.shuffle.partitions")))
     if not some:
         return spark.createDataFrame([], "node binary, root binary")
     return scratch.cut(near.verify(dealt.join(sets.select("node", "set"), "node")).select("node", "root").distinct())
 
 
 def paragraph_clusters(docs: DataFrame, scratch: Scratch, recall: float = RECALL, seed: int = 17,
-                       least_passage: int = 1) -> DataFrame:
+                       least_passage: int = 1, every: bool = False) -> DataFrame:
     """(doc_id, start, stop, first_doc_id, first_start, copies, removed,
     passage_words) for every paragraph of a cluster; see the module."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         "doc_id is not null")
-    links = verified_links(texts, scratch, recall, seed)
+    shared = shared_buckets(texts, scratch, recall, seed, every)
+    wanted = spark.sparkContext.broadcast(key_filter(shared.select("key")))
+    sketch = scratch.cut(texts.select("doc_id", "text", same_text().alias("same")).mapInArrow(_places(wanted, every), PLACES))
+    wanted.unpersist()
+    links = verified_links(shared, sketch, scratch)
     roots = jobs.components(links.select(F.col("node").alias("a"), F.col("root").alias("b")), scratch)
-    sketch = scratch.cut(texts.select("doc_id", "text", same_text().alias("same")).mapInArrow(_places, PLACES))
-    nodes = sketch.groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start", "stop")).alias("at"))
+    # classes of several rows, or linked to another
+    nodes = sketch.groupBy("node").agg(F.count("*").alias("n"))
     named = scratch.cut(nodes.join(roots, "node", "left").where("n > 1 or root is not null").select(
-        "node", "n", "at", F.coalesce("root", "node").alias("cluster")))
-    clusters = named.groupBy("cluster").agg(F.sum("n").alias("copies"), F.min("at").alias("first"))
-    named = scratch.cut(named.select("node", "cluster").join(clusters, "cluster").select("node", "copies", "first"))
-    wanted = spark.sparkContext.broadcast(key_filter(named.select("node").mapInArrow(_keyed, "key long")))
-    rows = sketch.mapInArrow(_filtered(wanted), PLACES).join(named, "node")
+        "node", F.coalesce("root", "node").alias("cluster")))
+    found = spark.sparkContext.broadcast(key_filter(named.select("node").mapInArrow(_keyed, "key long")))
+    plain = PLACES.removesuffix(", set binary")
+    rows = scratch.cut(sketch.drop("set").mapInArrow(_filtered(found), plain).join(named, "node").drop("node"))
+    found.unpersist()
+    clusters = rows.groupBy("cluster").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_doc_id"))
+    starts = rows.join(clusters.select("cluster", F.col("first_doc_id").alias("doc_id")), ["cluster", "doc_id"]).groupBy(
+        "cluster").agg(F.min("start").alias("first_start"))
+    clusters = clusters.join(starts, "cluster")
     # runs of covered words of a text
     order = Window.partitionBy("doc_id", "same").orderBy("word", "words")
     reach = F.max(F.col("word") + F.col("words")).over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -236,18 +261,17 @@ def paragraph_clusters(docs: DataFrame, scratch: Scratch, recall: float = RECALL
         "run", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     run = Window.partitionBy("doc_id", "same", "run")
     rows = rows.withColumn("passage_words", (F.max(F.col("word") + F.col("words")).over(run) - F.min("word").over(run)))
-    return rows.where(F.col("passage_words") >= least_passage).select(
-        "doc_id", "start", "stop", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start"),
-        "copies", ((F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start"))).alias("removed"),
-        "passage_words")
+    return rows.where(F.col("passage_words") >= least_passage).join(clusters, "cluster").select(
+        "doc_id", "start", "stop", "first_doc_id", "first_start", "copies",
+        ((F.col("doc_id") != F.col("first_doc_id")) | (F.col("start") != F.col("first_start"))).alias("removed"), "passage_words")
 
 
-def _query(spark: SparkSession, sf_dir: str, least_passage: int) -> DataFrame:
+def _query(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     jobs.prepare(spark)
     scratch = Scratch(spark, "paragraphs")
     try:
         docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-        return jobs.finish(paragraph_clusters(docs, scratch, least_passage=least_passage), scratch)
+        return jobs.finish(paragraph_clusters(docs, scratch, **options), scratch)
     finally:
         scratch.close()
 
@@ -255,10 +279,11 @@ def _query(spark: SparkSession, sf_dir: str, least_passage: int) -> DataFrame:
 def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every paragraph that has a copy or near copy and stands in a repeated
     passage of 12 words or more, with the first occurrence of its cluster and
-    whether it is a removal. All sentences and lines are compared."""
-    return _query(spark, sf_dir, LEAST_PASSAGE)
+    whether it is a removal. All words of all texts are compared."""
+    return _query(spark, sf_dir, least_passage=LEAST_PASSAGE)
 
 
 def op2_every_paragraph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same without a least passage."""
-    return _query(spark, sf_dir, 1).drop("passage_words")
+    """The same for all sentences and whole lines by themselves, without a
+    least passage."""
+    return _query(spark, sf_dir, every=True).drop("passage_words")
