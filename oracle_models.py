@@ -322,6 +322,31 @@ FROM {c} WHERE term = 'log_price'""")
     return prefix + body
 
 
+FIXTURE_MIN_OBS = 45
+
+
+def _sku_elasticity_product():
+    prefix = f""",
+sp_rank AS (
+  SELECT product_category, product_id, min(brand) AS brand, min(package_size) AS package_size, count(*) AS n,
+         stddev_samp(log_price) AS sd_log_price,
+         CAST(row_number() OVER (PARTITION BY product_category ORDER BY sum(quantity) DESC, product_id ASC) AS INTEGER)
+           AS volume_rank
+  FROM net_panel GROUP BY product_category, product_id),
+sp_top AS (
+  SELECT *, n >= {FIXTURE_MIN_OBS} AND coalesce(sd_log_price, 0) >= 0.01 AS passed FROM sp_rank WHERE volume_rank <= 6),
+sp_panel AS (
+  SELECT n.* FROM net_panel n JOIN sp_top t ON n.product_id = t.product_id AND n.product_category = t.product_category AND t.passed)"""
+    body = model_sql(SqlModel("sp_panel", ["product_category", "product_id"], "log_qty", BASIC, ["week"], None,
+                              cov="hc1", tag="sp"), lambda c, n: f""",
+sp_found AS (SELECT * FROM {c} WHERE term = 'log_price')
+SELECT t.product_category, t.product_id, t.volume_rank, t.brand, t.package_size, t.n,
+       round(t.sd_log_price, 6) AS sd_log_price, t.passed, round(f.coef, 6) AS elasticity, round(f.se, 6) AS se,
+       round(f.z, 6) AS z, round({p_of("f.z")}, 6) AS p_value, abs(f.z) > {Z_CRIT} AS significant
+FROM sp_top t LEFT JOIN sp_found f ON t.product_category = f.product_category AND t.product_id = f.product_id""")
+    return prefix + body
+
+
 def _unified_wide():
     return model_sql(SqlModel("gross_sized", G, "log_qty", UNIFIED_TERMS, FE3, "product_id",
                               k_extra=1, tag="un"), lambda c, n: "") + """,
@@ -424,21 +449,20 @@ def _marts_read_back():
                              lambda c, n: "") for tag, keys in (("mn", []), ("mf", FE3)))
     t = TITLE.format(c="product_category")
     weeks = ("(SELECT product_category, week, avg(net_unit_price) AS avg_price, sum(quantity) AS total_qty, "
-             "count(quantity) AS n_txn, avg(is_promo) AS promo_rate FROM gross_panel GROUP BY product_category, week) GROUP BY product_category")
+             "count(quantity) AS n_txn, avg(is_promo) AS promo_rate FROM gross_panel GROUP BY product_category, week)")
     size_points = ("(SELECT lo + i * (hi - lo) / 39.0 AS x FROM range(40) r(i), (SELECT "
                    "quantile_cont(log_store_size_c, 0.05) AS lo, quantile_cont(log_store_size_c, 0.95) AS hi FROM gross_sized))")
     depth_points = "(SELECT i * 0.5 / 39.0 AS x FROM range(40) r(i))"
     # mart, label, {column: value}, FROM ...
     lists = [
-        ("weekly_trends", "product_category", {"avg_price": "sum(avg_price)", "total_qty": "sum(total_qty)",
-                                               "n_txn": "sum(n_txn)", "promo_rate": "sum(promo_rate)", "rows": "count(*)"}, weeks),
-        ("price_by_promo", "product_category || ' — ' || is_promo", {"unit_price": "sum(net_unit_price)", "rows": "count(*)"},
-         "gross_panel GROUP BY product_category, is_promo"),
-        ("store_size_curve", t, {"log_store_size_c": "sum(x)", "predicted_lift_pct": "sum((exp(b_d + b_ds * x) - 1) * 100)",
-                                 "rows": "count(*)"}, f"{size_points}, un_w GROUP BY product_category"),
+        ("weekly_trends", "product_category || ' — ' || week",
+         {c: c for c in ("avg_price", "total_qty", "n_txn", "promo_rate")}, weeks),
+        ("price_by_promo", "product_category || ' — ' || is_promo", {"unit_price": "net_unit_price"}, "gross_panel"),
+        ("store_size_curve", t, {"log_store_size_c": "x", "predicted_lift_pct": "(exp(b_d + b_ds * x) - 1) * 100"},
+         f"{size_points}, un_w"),
         *[("discount_depth_curve", f"{t} || ' — {kind}'",
-           {"discount_pct": "sum(x * 100)", "predicted_lift_pct": f"sum((exp({b} + {bd} * x) - 1) * 100)", "rows": "count(*)"},
-           f"{depth_points}, un_w GROUP BY product_category") for kind, b, bd in (("Display", "b_d", "b_dd"), ("Mailer", "b_m", "b_md"))],
+           {"discount_pct": "x * 100", "predicted_lift_pct": f"(exp({b} + {bd} * x) - 1) * 100"},
+           f"{depth_points}, un_w") for kind, b, bd in (("Display", "b_d", "b_dd"), ("Mailer", "b_m", "b_md"))],
         *[("elasticity_comparison", f"{t} || ' — {kind}'", {"elasticity": "coef", "se": "se"},
            f"{tag}_long WHERE term = 'log_net_price'") for kind, tag in (("Naive", "mn"), ("Fixed Effects", "mf"))],
         ("promo_uplift", f"{t} || ' — ' || if(term = 'is_displayed', 'In-store display', 'Mailer/flyer feature')",
@@ -459,7 +483,7 @@ def _marts_read_back():
           "pct_opportunity_vs_promo_revenue": "round(d / a * 100, 1)", "total_category_revenue": "revenue",
           "pct_opportunity_vs_total_category_revenue": "round(d / revenue * 100, 1)"},
          "(SELECT sum(round(scenario_revenue - actual_revenue)) AS d, sum(round(actual_revenue)) AS a FROM scen), "
-         "(SELECT sum(n) AS cells, sum(p) AS products, sum(r) AS revenue FROM (SELECT count(*) AS n, "
+         "(SELECT sum(n) AS cells, sum(p) AS products, trunc(sum(r)) AS revenue FROM (SELECT count(*) AS n, "
          "count(DISTINCT product_id) AS p, sum(sales_value) AS r FROM gross_sized GROUP BY product_category))"),
     ]
     head, opt = _optimal_mart().rsplit("\nSELECT ", 1)
@@ -467,7 +491,7 @@ def _marts_read_back():
     tail_head, tail_select = target.rsplit("\nSELECT ", 1)
     exact = tail_select.replace(", 6)", ", 12)").replace(", 2)", ", 12)")
     long = " UNION ALL ".join(
-        f"SELECT '{mart}' AS mart, {label} AS label, '{column}' AS metric, round(CAST({value} AS DOUBLE), 4) AS value FROM {source}"
+        f"SELECT '{mart}' AS mart, {label} AS label, '{column}' AS metric, round(CAST({value} AS DOUBLE), 4) + 0.0 AS value FROM {source}"
         for mart, label, columns, source in lists for column, value in columns.items())
     return head + ", opt AS (SELECT " + opt + ")" + tail_head + ", target AS (SELECT " + exact + ")" + fits + "\n" + long
 
@@ -504,16 +528,13 @@ pc AS (SELECT product_category, count(*) AS cells, count(DISTINCT product_id) AS
               sum(sales_value) AS revenue FROM gross_sized GROUP BY product_category),
 tot AS (SELECT CAST(sum(cells) AS BIGINT) AS n_transactions,
                CAST(sum(products) AS BIGINT) AS n_products,
-               sum(revenue) AS total_category_revenue FROM pc),
-sc AS (SELECT sum(scenario_revenue - actual_revenue) AS total_combined_delta,
-              sum(actual_revenue) AS total_promo_revenue FROM scen)
-SELECT n_transactions, n_products, round(total_combined_delta, 2) AS total_combined_delta,
-       round(total_promo_revenue, 2) AS total_promo_revenue,
-       round(total_combined_delta / total_promo_revenue * 100, 6)
-         AS pct_opportunity_vs_promo_revenue,
-       round(total_category_revenue, 2) AS total_category_revenue,
-       round(total_combined_delta / total_category_revenue * 100, 6)
-         AS pct_opportunity_vs_total_category_revenue
+               CAST(trunc(sum(revenue)) AS BIGINT) AS total_category_revenue FROM pc),
+sc AS (SELECT sum(round(scenario_revenue - actual_revenue)) AS delta, sum(round(actual_revenue)) AS actual FROM scen)
+SELECT n_transactions, n_products, CAST(delta AS BIGINT) AS total_combined_delta,
+       CAST(actual AS BIGINT) AS total_promo_revenue,
+       round(delta / actual * 100, 6) AS pct_opportunity_vs_promo_revenue,
+       total_category_revenue,
+       round(delta / total_category_revenue * 100, 6) AS pct_opportunity_vs_total_category_revenue
 FROM tot, sc"""
 
 
@@ -572,6 +593,7 @@ MODEL_BODIES = {
     "elasticity_comparison": _elasticity_comparison,
     "promo_uplift": _promo_uplift,
     "sku_elasticity": _sku_elasticity,
+    "sku_elasticity_product": _sku_elasticity_product,
     "fe_income": _fe_income,
     "fe_store_size": _fe_store_size,
     "fe_discount_depth": _fe_discount_depth,

@@ -1,12 +1,12 @@
 """Descriptive aggregates over panels.
 
 Every function is a grouped aggregate with map-side partial aggregation.
-Exact quantiles come in two passes: a mergeable sketch brackets the ranks
-that are wanted, then the rows below a bracket are counted and the values
-inside it, a few thousandths of the group, are counted and put in order.
-``approx=True`` stops at the sketch. Tables of one row per group go back to
-the lines by a size-checked broadcast, so lines are never dealt out by a few
-group keys.
+Exact quantiles are selected by rank: the lines are counted by group and value
+once, as a written table, and the intervals that hold the wanted ranks are
+cut down, all probabilities in one pass, until what is put in order at once is
+small. Functions with quantiles run when called and return a small table.
+Tables of one row per group go back to the lines by a size-checked broadcast,
+so lines are never dealt out by a few group keys.
 Top-N per group uses ``row_number() <= N``; Spark inserts a partial
 window-group limit before the shuffle, so each group ships at most N rows
 per map task.
@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.operators.joins import broadcast_checked
+from shelfwise.operators import lineage
+from shelfwise.operators.joins import broadcast_checked, row_bound
 
 CAT = "product_category"
 
@@ -37,54 +38,96 @@ def _wavg(df: DataFrame, c: str):
     return F.sum(F.col(c) * _w(df)) / F.sum(F.when(F.col(c).isNotNull(), _w(df)))
 
 
-#: A first cut puts a group's values into at most so many bins of equal width.
+#: Bins of a cut, and the different values of an interval that are put in order at once.
 BINS = 4096
-
-
-def group_quantiles(df: DataFrame, keys: list, c: str, probs: list, names: list,
-                    approx: bool = False) -> DataFrame:
-    """Quantiles of c by group (linear interpolation between ranks, frequency
-    weights honoured, NULLs left out), a column for each probability.
-
-    Exact, in passes that each end in a partial aggregate: the range and count
-    of a group; its counts by bin, a bounded table whose running sums tell the
-    bin of each wanted rank and how many values lie below; then the values of
-    those bins alone, counted and put in order."""
-    rows = df.filter(F.col(c).isNotNull()).select(
-        *keys, F.col(c).cast("double").alias("_v"), _w(df).alias("_wt"))
+SORTED = 65_536
+
+
+def value_counts(df: DataFrame, keys: list, c: str) -> DataFrame:
+    """(keys, _v, _wt): the values of c by group with their frequency (NULL
+    and NaN left out). Dealt out by the value too, so a group with most of the
+    lines is many rows of many tasks."""
+    rows = df.select(*keys, F.col(c).cast("double").alias("_v"), _w(df).alias("_wt"))
+    return rows.filter(F.col("_v").isNotNull() & ~F.isnan("_v")).groupBy(*keys, "_v").agg(F.sum("_wt").alias("_wt"))
+
+
+def _beside(values: DataFrame, spans: DataFrame, n: int, keys: list) -> DataFrame:
+    """Values inside these intervals of their group; n intervals."""
+    table = F.broadcast(spans) if n <= row_bound(spans) else spans
+    return values.join(table, keys).filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+
+
+def _ranks(probs: list):
+    """The ranks (from 0) on either side of each probability."""
+    return [f(F.lit(p) * (F.col("_n") - 1)).cast("long") for p in probs for f in (F.floor, F.ceil)]
+
+
+def rank_intervals(values: DataFrame, keys: list, probs: list, scratch: lineage.Scratch, rounds: int | None = None) -> DataFrame:
+    """(keys, _n, _rows, _in, _lo, _hi, _below): intervals of values that hold
+    every wanted rank, with their different values, their frequency and the
+    frequency below them. A round cuts each one of more than SORTED values
+    into BINS of equal width between its own least and largest value, keeps the
+    bins that hold a rank and draws them in to their values, so an outlier costs
+    one round. It ends when no interval is too large (or after ``rounds``)."""
+    spans = scratch.cut(values.groupBy(*keys).agg(
+        F.sum("_wt").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.sum("_wt").alias("_in"), F.min("_v").alias("_lo"),
+        F.max("_v").alias("_hi")).withColumn("_below", F.lit(0).cast("long")))
+    large = (F.col("_rows") > SORTED) & (F.col("_lo") < F.col("_hi"))
+    while rounds is None or rounds > 0:
+        n = spans.filter(large).count()
+        if not n:
+            break
+        share = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+        place = F.least(F.lit(BINS - 1), F.floor(share * BINS)).cast("int")
+        inside = _beside(values, spans.filter(large).drop("_rows", "_in"), n, keys)
+        bins = inside.groupBy(*keys, "_n", "_below", F.col("_lo").alias("_of"), place.alias("_bin")).agg(
+            F.count(F.lit(1)).alias("_rows"), F.sum("_wt").alias("_in"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        upto = F.sum("_in").over(Window.partitionBy(*keys, "_of").orderBy("_bin"))
+        bins = bins.withColumn("_below", F.col("_below") + upto - F.col("_in"))
+        wanted = F.exists(F.array(*_ranks(probs)), lambda r: (r >= F.col("_below")) & (r < F.col("_below") + F.col("_in")))
+        spans = scratch.cut(spans.filter(~large).unionByName(bins.filter(wanted).drop("_of", "_bin")))
+        rounds = None if rounds is None else rounds - 1
+    return spans
+
+
+def select_ranks(values: DataFrame, keys: list, probs: list, names: list, scratch: lineage.Scratch,
+                 approx: bool = False) -> DataFrame:
+    """(keys, names): quantiles of counted values (linear interpolation
+    between ranks). ``approx`` reads the place of a rank off the intervals left
+    after two cuts, without putting values in order."""
+    spans = rank_intervals(values, keys, probs, scratch, 2 if approx else None)
     if approx:
-        # the sketch reads rows, so weights count as repetitions of a value
-        each = rows.withColumn("_v", F.explode(F.array_repeat("_v", F.col("_wt").cast("int"))))
-        q = each.groupBy(*keys).agg(F.percentile_approx("_v", list(probs), 100000).alias("_q"))
-        return q.select(*keys, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    span = rows.groupBy(*keys).agg(F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.sum("_wt").alias("_n"))
-    place = F.when(F.col("_max") > F.col("_min"), F.least(F.lit(BINS - 1), F.floor(
-        (F.col("_v") - F.col("_min")) / (F.col("_max") - F.col("_min")) * BINS))).otherwise(F.lit(0)).cast("int")
-    placed = rows.join(broadcast_checked(span), keys).withColumn("_bin", place)
-    bins = placed.groupBy(*keys, "_n", "_bin").agg(F.sum("_wt").alias("_in"))
-    order = Window.partitionBy(*keys).orderBy("_bin")
-    bins = bins.withColumn("_upto", F.sum("_in").over(order)).withColumn("_below", F.col("_upto") - F.col("_in"))
-    # ranks (from 0) on either side of each probability
-    ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), f(F.lit(p) * (F.col("_n") - 1)).cast("long").alias("rank"))
-                      for i, p in enumerate(probs) for side, f in ((0, F.floor), (1, F.ceil))])
-    wanted = (bins.withColumn("_r", F.explode(ranks)).select("*", "_r.*")
-              .filter((F.col("rank") >= F.col("_below")) & (F.col("rank") < F.col("_upto"))))
-    inside = (placed.join(broadcast_checked(wanted.select(*keys, "_bin").distinct()), [*keys, "_bin"])
-              .groupBy(*keys, "_bin", "_v").agg(F.sum("_wt").alias("_wt")))
-    inside = inside.withColumn("_to", F.sum("_wt").over(Window.partitionBy(*keys, "_bin").orderBy("_v")))
-    found = (wanted.join(inside, [*keys, "_bin"])
-             .filter((F.col("rank") - F.col("_below") < F.col("_to"))
-                     & (F.col("rank") - F.col("_below") >= F.col("_to") - F.col("_wt"))))
-    picked = found.groupBy(*keys).agg(F.first("_n").alias("_n"), *[
-        F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col("_v"))).alias(f"_{i}_{side}")
-        for i in range(len(probs)) for side in (0, 1)])
+        rows = spans.withColumns({"_from": F.col("_below"), "_to": F.col("_below") + F.col("_in")})
+        value = lambda r: F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (r - F.col("_from")) / F.greatest(F.lit(1), F.col("_in") - 1)
+    else:
+        inside = _beside(values, spans.drop("_rows", "_in"), spans.count(), keys)
+        upto = F.sum("_wt").over(Window.partitionBy(*keys, "_lo").orderBy("_v"))
+        rows = inside.withColumn("_to", F.col("_below") + upto).withColumn("_from", F.col("_to") - F.col("_wt"))
+        value = lambda r: F.col("_v")
+    ranks = _ranks(probs)
+    picked = rows.groupBy(*keys, "_n").agg(*[
+        F.max(F.when((r >= F.col("_from")) & (r < F.col("_to")), value(r))).alias(f"_{i}") for i, r in enumerate(ranks)])
+
     def between(i, p):
         at = F.lit(p) * (F.col("_n") - 1)
-        low, high = F.col(f"_{i}_0"), F.col(f"_{i}_1")
+        low, high = F.col(f"_{2 * i}"), F.col(f"_{2 * i + 1}")
         return low + (at - F.floor(at)) * (high - low)
     return picked.select(*keys, *[between(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names))])
 
 
+def group_quantiles(df: DataFrame, keys: list, c: str, probs: list, names: list,
+                    approx: bool = False) -> DataFrame:
+    """Quantiles of c by group (linear interpolation between ranks, frequency
+    weights honoured, NULLs left out), a column for each probability. df is
+    read once."""
+    scratch = lineage.Scratch(df.sparkSession, "quantiles")
+    try:
+        values = scratch.cut(value_counts(df, keys, c))
+        return select_ranks(values, keys, probs, names, scratch, approx).checkpoint()
+    finally:
+        scratch.close()
+
+
 def weighted_std(df: DataFrame, keys: list, c: str, name: str) -> DataFrame:
     """Sample std of c per group, honouring frequency weights. Two passes
     (group mean, then centred squares) so equal values give exactly 0; the
@@ -138,33 +181,33 @@ def price_by_promo(lines: DataFrame, price: str = "unit_price", approx: bool = F
     """Mean, median and count of price by promotion status."""
     keys = [CAT, "is_promo"]
     out = lines.groupBy(*keys).agg(_wavg(lines, price).alias("mean_price"), _wcount(lines, price).alias("n"))
-    return (out.join(group_quantiles(lines, keys, price, [0.5], ["median_price"], approx), keys, "left")
-            .select(*keys, "mean_price", "median_price", "n"))
+    median = group_quantiles(lines, keys, price, [0.5], ["median_price"], approx)
+    return out.join(broadcast_checked(median), keys, "left").select(*keys, "mean_price", "median_price", "n")
 
 
 def boxplot_stats(lines: DataFrame, group: str, value: str = "unit_price",
                   approx: bool = False, whisker: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (most extreme values inside Q1-1.5 IQR and
-    Q3+1.5 IQR) and outlier count per category x group. Two aggregates: the
-    quartiles, then a join back (one row per group) and a conditional
-    min/max/count."""
+    Q3+1.5 IQR) and outlier count per category x group. Lines are read for the
+    counts and for their values by frequency; the rest comes from these."""
     keys = [CAT, group]
-    q = (lines.groupBy(*keys).agg(_wcount(lines, value).alias("n"))
-         .join(group_quantiles(lines, keys, value, [0.25, 0.5, 0.75], ["q1", "median", "q3"], approx), keys, "left")
-         .select(*keys, "n", "q1", "median", "q3")
-         .withColumn("iqr", F.col("q3") - F.col("q1"))
-         .withColumn("_lo", F.col("q1") - whisker * F.col("iqr"))
-         .withColumn("_hi", F.col("q3") + whisker * F.col("iqr")))
-    v = F.col(value)
-    inside = (v >= F.col("_lo")) & (v <= F.col("_hi"))
-    wt = _w(lines)
-    w = (lines.select(*keys, value, wt.alias("_wt"))
-         .join(broadcast_checked(q.select(*keys, "_lo", "_hi")), keys)
-         .groupBy(*keys).agg(F.min(F.when(inside, v)).alias("whisker_low"),
-                             F.max(F.when(inside, v)).alias("whisker_high"),
-                             F.sum(F.when(v.isNotNull() & ~inside, F.col("_wt")).otherwise(0))
-                             .cast("long").alias("n_outliers")))
-    return q.drop("_lo", "_hi").join(w, keys)
+    scratch = lineage.Scratch(lines.sparkSession, "boxplot")
+    try:
+        values = scratch.cut(value_counts(lines, keys, value))
+        q = scratch.cut(select_ranks(values, keys, [0.25, 0.5, 0.75], ["q1", "median", "q3"], scratch, approx)
+                        .withColumn("iqr", F.col("q3") - F.col("q1"))
+                        .withColumn("_lo", F.col("q1") - whisker * F.col("iqr"))
+                        .withColumn("_hi", F.col("q3") + whisker * F.col("iqr")))
+        inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
+        stats = (values.join(broadcast_checked(q), keys).groupBy(*keys, "q1", "median", "q3", "iqr")
+                 .agg(F.min(F.when(inside, F.col("_v"))).alias("whisker_low"),
+                      F.max(F.when(inside, F.col("_v"))).alias("whisker_high"),
+                      F.sum(F.when(~inside, F.col("_wt")).otherwise(0)).cast("long").alias("n_outliers"))).checkpoint()
+    finally:
+        scratch.close()
+    return (lines.groupBy(*keys).agg(_wcount(lines, value).alias("n")).join(broadcast_checked(stats), keys, "left")
+            .select(*keys, "n", "q1", "median", "q3", "iqr", "whisker_low", "whisker_high",
+                    F.coalesce("n_outliers", F.lit(0)).cast("long").alias("n_outliers")))
 
 
 def within_product_std(lines: DataFrame, price: str = "unit_price") -> DataFrame:
@@ -175,10 +218,14 @@ def within_product_std(lines: DataFrame, price: str = "unit_price") -> DataFrame
 
 
 def panel_coverage(panel: DataFrame) -> DataFrame:
-    """Distinct products, distinct stores and rows per category."""
-    return panel.groupBy(CAT).agg(F.countDistinct("product_id").alias("n_products"),
-                                  F.countDistinct("store_id").alias("n_stores"),
-                                  F.count("quantity").alias("n_obs"))
+    """Distinct products, distinct stores and rows per category. Cells
+    are counted by (product, store) once and both kinds of keys from there, so
+    no row is read twice for two distinct counts."""
+    pairs = panel.groupBy(CAT, "product_id", "store_id").agg(F.count("quantity").alias("_n"))
+    products = pairs.groupBy(CAT, "product_id").agg(F.sum("_n").alias("_n")).groupBy(CAT).agg(
+        F.count(F.lit(1)).alias("n_products"), F.sum("_n").alias("n_obs"))
+    stores = pairs.groupBy(CAT, "store_id").agg(F.count(F.lit(1)).alias("_n")).groupBy(CAT).agg(F.count(F.lit(1)).alias("n_stores"))
+    return products.join(stores, CAT).select(CAT, "n_products", "n_stores", "n_obs")
 
 
 def income_group_sizes(hh_panel: DataFrame) -> DataFrame:
@@ -215,7 +262,7 @@ def store_price_order(lines: DataFrame, stores: DataFrame, price: str = "unit_pr
     sub = lines.join(broadcast_checked(stores.select("store_id")), "store_id", "left_semi")
     keys = [CAT, "store_id"]
     med = (sub.groupBy(*keys).agg(_wcount(lines, price).alias("n"))
-           .join(group_quantiles(sub, keys, price, [0.5], ["median_price"], approx), keys, "left")
+           .join(broadcast_checked(group_quantiles(sub, keys, price, [0.5], ["median_price"], approx)), keys, "left")
            .select(*keys, "median_price", "n"))
     w = Window.partitionBy(CAT).orderBy(F.asc("median_price"), F.asc("store_id"))
     return med.withColumn("order", F.row_number().over(w))

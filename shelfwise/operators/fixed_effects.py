@@ -1,28 +1,32 @@
 """Fixed-effects OLS with cluster-robust / HC1 errors as Spark jobs.
 
-Covers G1 (pooled OLS, absorb nothing -> intercept only), G2-G7 (three-way
-absorbed effects), G3 (per-SKU fits: the SKU joins ``by``), G8 (C(x)
-effects are absorbed, never one-hot), G10-G13.
+Covers G1 (pooled OLS: group means alone), G2-G7 (three-way absorbed effects),
+G3 (per-SKU fits: the SKU joins ``by``), G8 (C(x) effects are absorbed, never
+one-hot), G10-G13. Several models of one panel can share one absorption.
 
 Plan:
 1. ``base``: y and the expanded regressors (interactions are products
-   taken before demeaning) with the group, effect and cluster keys, written
-   once and cached. Rows with a NULL in y, a regressor or any key are left
-   out, as a formula interface does.
+   taken before demeaning) with the group, effect and cluster keys, cached.
+   Rows with a NULL in y, a regressor or any key are left out, as a formula
+   interface does.
 2. Absorb the effects by conjugate gradients on the normal equations of the
    effect dummies, D'D e = D'v, for all value columns at once. D is never
-   built: one step joins the current direction's (small, aggregated) level
-   tables to ``base``, sums their values by row, and adds these sums up by
-   level of every key in one grouped aggregate. So a step is one scan and two
-   written level tables, whatever the number of keys; the scalars of a step
-   are sums over level tables by group. The fit stops when the remaining
-   level means are negligible and raises if that is not reached.
-3. Moments of the demeaned columns per group: one aggregate, K(K+3)/2 sums.
-4. Solve per group (numpy under mapInPandas on the moment table: one row per
-   group, so it scales with the number of groups, not rows).
+   built. D'D holds the row counts of levels and of pairs of levels: two
+   grouped counts of the panel. Where every group has at most MAX_PAIRS pairs
+   (counted, some 40 MB), a group's system is solved in one task on these
+   counts. Beyond that the panel itself is the matrix: a step joins the level
+   tables to ``base``, sums by row, and adds these sums up by level in one
+   grouped aggregate; the two inner products of a step are one aggregate, and
+   one level table is written. Either way it stops when the remaining level
+   means are negligible and raises if that is not reached. A single key needs
+   no steps: its effects are its means.
+3. Moments of the demeaned columns per group: one aggregate, K(K+3)/2 sums
+   (of the columns of all models together).
+4. Solve per group and model (numpy under mapInPandas on the moment table: one
+   row per group, so it scales with the number of groups, not rows).
 5. Scores: residuals from the broadcast coefficients, summed per
-   (group, cluster), then outer products summed per group; the sandwich is
-   again a per-group numpy step.
+   (group, cluster), then outer products summed per group, all models in one
+   pass; the sandwich is again a per-group numpy step.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +49,9 @@ from shelfwise.operators.joins import row_bound
 
 DEFAULT_ABSORB = ("product_id", "store_id", "week")
 
+#: Pairs of levels of a group up to which its effects are solved in one task.
+MAX_PAIRS = 1_000_000
+
 
 @dataclass
 class Model:
@@ -73,20 +82,35 @@ def _unique(cols):
     return list(dict.fromkeys(c for c in cols if c))
 
 
-def prepare(panel: DataFrame, model: Model):
-    spec = FM.parse(model.formula, model.categorical)
-    design = FM.design_columns(spec)
-    by, absorb = list(model.by), list(model.absorb)
+def prepare(panel: DataFrame, models: list[Model]):
+    """(names of all regressors, each model's places among them, keys, rows).
+    A row takes part if any model can use it; ``_all`` tells that all can."""
+    first = models[0]
+    if any((m.by, m.absorb, m.cluster, m.cov, m.connected) != (first.by, first.absorb, first.cluster, first.cov, first.connected)
+           for m in models):
+        raise ValueError("models of one absorption share groups, effects, clusters and errors")
+    by, absorb = list(first.by), list(first.absorb)
     keys = absorb if absorb else ["_const"]
-    vals = [F.col(spec.y).cast("double").alias("_v0")]
-    vals += [c.alias(f"_v{i + 1}") for i, (_, c) in enumerate(design)]
-    data = panel.select(*[F.col(c) for c in _unique(by + absorb + [model.cluster])], *vals)
+    columns, places, usable = {}, [], []
+    specs = [FM.parse(m.formula, m.categorical) for m in models]
+    if len({spec.y for spec in specs}) > 1:
+        raise ValueError("models of one absorption have one y")
+    y = F.col(specs[0].y).cast("double")
+    for spec in specs:
+        design = FM.design_columns(spec)
+        for name, c in design:
+            columns.setdefault(name, c)
+        places.append([list(columns).index(name) + 1 for name, _ in design])
+    vals = [y.alias("_v0"), *[c.alias(f"_v{i + 1}") for i, c in enumerate(columns.values())]]
+    data = panel.select(*[F.col(c) for c in _unique(by + absorb + [first.cluster])], *vals)
     if not absorb:
         data = data.withColumn("_const", F.lit(0))
-    ok = reduce(lambda a, b: a & b, [F.col(f"_v{i}").isNotNull() & ~F.isnan(f"_v{i}")
-                                     for i in range(len(design) + 1)]
-                + [F.col(c).isNotNull() for c in _unique(by + keys + [model.cluster])])
-    return spec, [n for n, _ in design], keys, data.filter(ok)
+    known = lambda c: F.col(c).isNotNull() & ~F.isnan(c)
+    for own in places:
+        usable.append(reduce(lambda a, b: a & b, [known(f"_v{i}") for i in [0, *own]]))
+    keyed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in _unique(by + keys + [first.cluster])])
+    data = data.filter(keyed & reduce(lambda a, b: a | b, usable)).withColumn("_all", reduce(lambda a, b: a & b, usable))
+    return list(columns), places, keys, data
 
 
 def _level_type(base: DataFrame, keys: list) -> str:
@@ -109,63 +133,154 @@ def _of_key(vec: DataFrame, by: list, keys: list, j: int, cols: dict, base: Data
 
 
 def absorb_effects(base: DataFrame, by: list, keys: list, n_vals: int, model: "Model",
-                   scratch: lineage.Scratch):
-    """Effects of every key for every value column, by preconditioned
-    conjugate gradients. Returns ({key: effect table}, {key: n rows}, steps)."""
+                   scratch: lineage.Scratch, max_pairs: int | None = None):
+    """Effects of every key for every value column. Returns ({key: effect
+    table}, {key: n rows}, steps)."""
     kind, vals = _level_type(base, keys), range(n_vals)
     start = scratch.cut(_by_level(base, by, keys, kind, [
         F.count(F.lit(1)).alias("_n"), *[F.sum(f"_v{i}").alias(f"_r{i}") for i in vals],
         *[F.sum(F.col(f"_v{i}") * F.col(f"_v{i}")).alias(f"_ss{i}") for i in vals]]))
     sizes = {keys[r["_k"]]: r["count"] for r in start.groupBy("_k").count().collect()}
+    if len(keys) == 1 or not sizes:
+        vec, steps = start.select(*by, "_k", "_l", *[(F.col(f"_r{i}") / F.col("_n")).alias(f"_x{i}") for i in vals]), 0
+    else:
+        pairs = scratch.cut(_pair_counts(base, by, keys, kind))
+        most = pairs.groupBy(*by).count().agg(F.max("count")).first()[0]
+        if most <= (MAX_PAIRS if max_pairs is None else max_pairs):
+            vec, worst, steps = _solved_by_group(start, pairs, by, kind, n_vals, model, scratch)
+        else:
+            vec, worst, steps = _stepped(base, start, by, keys, kind, n_vals, model, sizes, scratch)
+        if worst > model.tol:
+            raise NotConverged(f"effects of {keys}: remaining level means {worst:.3g} after {steps} steps")
+    effects = {k: _of_key(vec, by, keys, j, {f"_x{i}": f"_e{j}_{i}" for i in vals}, base) for j, k in enumerate(keys)}
+    return effects, {k: sizes.get(k, 0) for k in keys}, steps
+
+
+def _pair_counts(base: DataFrame, by: list, keys: list, kind: str) -> DataFrame:
+    """Rows of every pair of levels of different keys: the part of D'D that
+    is off its diagonal."""
+    pairs = F.explode(F.array(*[F.struct(
+        F.lit(i).alias("_k"), F.col(keys[i]).cast(kind).alias("_l"), F.lit(j).alias("_k2"), F.col(keys[j]).cast(kind).alias("_l2"))
+        for i in range(len(keys)) for j in range(i + 1, len(keys))]))
+    return base.select(*by, pairs.alias("_p")).select(*by, "_p.*").groupBy(*by, "_k", "_l", "_k2", "_l2").agg(
+        F.count(F.lit(1)).alias("_c"))
+
+
+def _conjugate_gradients(n, rhs, scale, first, second, count, tol: float, max_steps: int):
+    """(solution, what is left, steps) of the level equations of one group."""
+    x, r = np.zeros_like(rhs), rhs.copy()
+    z = r / n[:, None]
+    p, rz = z.copy(), (r * z).sum(0)
+    left = lambda: float(np.sqrt(np.divide(rz, scale, out=np.zeros_like(rz), where=scale > 0)).max(initial=0.0))
+    steps = 0
+    while left() > tol and steps < max_steps:
+        ap = n[:, None] * p
+        for i in range(p.shape[1]):
+            ap[:, i] += np.bincount(first, count * p[second, i], len(n)) + np.bincount(second, count * p[first, i], len(n))
+        q = (p * ap).sum(0)
+        # a column that has settled stays: what is left of it is rounding
+        go = (q > 0) & (rz > (0.1 * tol) ** 2 * scale)
+        step = np.divide(rz, q, out=np.zeros_like(rz), where=go)
+        x += step * p
+        r -= step * ap
+        z = r / n[:, None]
+        new = (r * z).sum(0)
+        p = z + np.divide(new, rz, out=np.zeros_like(rz), where=rz > 0) * p
+        rz = new
+        steps += 1
+    return x, left(), steps
+
+
+def _solved_by_group(start: DataFrame, pairs: DataFrame, by: list, kind: str, n_vals: int, model: "Model",
+                     scratch: lineage.Scratch):
+    """Level effects of each group from its counts alone; a group's levels
+    and pairs meet in one task, their number bounded by the caller."""
+    tol, max_steps = model.tol, model.max_steps
+
+    def solve(levels: pa.Table, counts: pa.Table) -> pa.Table:
+        of = lambda t, name: t.column(name).to_numpy()
+        names = pa.chunked_array([c for t, n in ((levels, "_l"), (counts, "_l"), (counts, "_l2")) for c in t.column(n).chunks],
+                                 levels.column("_l").type)
+        code = names.combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+        width = int(code.max()) + 1
+        rows, some = levels.num_rows, counts.num_rows
+        own = of(levels, "_k") * width + code[:rows]
+        order = np.argsort(own)
+        place = lambda k, c: order[np.searchsorted(own[order], k * width + c)]
+        first = place(of(counts, "_k"), code[rows:rows + some])
+        second = place(of(counts, "_k2"), code[rows + some:])
+        rhs = np.stack([of(levels, f"_r{i}") for i in range(n_vals)], 1).astype(float)
+        # sums of squares of a group: those of any one key's levels
+        scale = np.stack([of(levels, f"_ss{i}") for i in range(n_vals)], 1)[of(levels, "_k") == 0].sum(0)
+        x, left, steps = _conjugate_gradients(of(levels, "_n").astype(float), rhs, scale, first, second,
+                                              of(counts, "_c").astype(float), tol, max_steps)
+        out = levels.select([*by, "_k", "_l"])
+        for i in range(n_vals):
+            out = out.append_column(f"_x{i}", pa.array(x[:, i]))
+        return out.append_column("_left", pa.array(np.full(rows, left))).append_column("_steps", pa.array(np.full(rows, steps)))
+
+    group = by or ["_group"]
+    if not by:
+        start, pairs = start.withColumn("_group", F.lit(0)), pairs.withColumn("_group", F.lit(0))
+    head = T.StructType([f for f in start.schema.fields if f.name in by])
+    schema = T.StructType([*head.fields, T.StructField("_k", T.IntegerType()), start.schema["_l"],
+                           *[T.StructField(f"_x{i}", T.DoubleType()) for i in range(n_vals)],
+                           T.StructField("_left", T.DoubleType()), T.StructField("_steps", T.LongType())])
+    vec = scratch.cut(start.groupBy(*group).cogroup(pairs.groupBy(*group)).applyInArrow(solve, schema))
+    worst, steps = vec.agg(F.max("_left"), F.max("_steps")).first()
+    return vec, worst or 0.0, steps or 0
+
+
+def _stepped(base: DataFrame, start: DataFrame, by: list, keys: list, kind: str, n_vals: int, model: "Model", sizes: dict,
+             scratch: lineage.Scratch):
+    """The same by steps over the panel. The inner products that a step needs
+    are sums over its one written table (both at once, the search direction's
+    image being carried along), taken up when the next step reads it."""
+    vals = range(n_vals)
     n_groups = start.select(*by).distinct().count() if by else 1
-    # sums of squares of a group: those of any one key's levels
     scale = start.filter("_k = 0").groupBy(*by).agg(*[F.sum(f"_ss{i}").alias(f"_ss{i}") for i in vals])
 
     def beside(vec: DataFrame, table: DataFrame) -> DataFrame:
         return vec.join(_bc(table, n_groups), by) if by else vec.crossJoin(F.broadcast(table))
 
+    zero = F.lit(0.0)
     vec = beside(start.drop(*[f"_ss{i}" for i in vals]), scale).select(
-        "*", *[F.lit(0.0).alias(f"_x{i}") for i in vals],
-        *[(F.col(f"_r{i}") / F.col("_n")).alias(f"_p{i}") for i in vals])
-    rz = [F.sum(F.col(f"_r{i}") * F.col(f"_r{i}") / F.col("_n")).alias(f"_z{i}") for i in vals]
-    steps = 0
-    while sizes:
+        "*", *[zero.alias(f"_{c}{i}") for i in vals for c in ("x", "p", "s", "g", "a")])
+    steps, worst = 0, float("inf")
+    while True:
         rows = base
         for j, k in enumerate(keys):
-            rows = rows.join(_bc(_of_key(vec, by, keys, j, {f"_p{i}": f"_p{j}_{i}" for i in vals}, base),
+            mean = vec.select("*", *[(F.col(f"_r{i}") / F.col("_n")).alias(f"_u{i}") for i in vals])
+            rows = rows.join(_bc(_of_key(mean, by, keys, j, {f"_u{i}": f"_u{j}_{i}" for i in vals}, base),
                                  sizes.get(k)), by + [k])
-        total = [reduce(lambda a, b: a + b, [F.col(f"_p{j}_{i}") for j in range(len(keys))]) for i in vals]
+        total = [reduce(lambda a, b: a + b, [F.col(f"_u{j}_{i}") for j in range(len(keys))]) for i in vals]
         moved = _by_level(rows.select(*by, *keys, *[t.alias(f"_t{i}") for i, t in zip(vals, total)]),
-                          by, keys, kind, [F.sum(f"_t{i}").alias(f"_a{i}") for i in vals])
-        new = scratch.cut(vec.drop(*[f"_z{i}" for i in vals]).join(moved, by + ["_k", "_l"]))
-        steps += 1
-        first = new.groupBy(*by).agg(*rz, *[F.sum(F.col(f"_p{i}") * F.col(f"_a{i}")).alias(f"_q{i}") for i in vals])
-        # a column that has settled stays: what is left of it is rounding
-        step = [F.when((F.col(f"_q{i}") > 0) & (F.col(f"_z{i}") > (0.1 * model.tol) ** 2 * F.col(f"_ss{i}")),
-                       F.col(f"_z{i}") / F.col(f"_q{i}")).otherwise(0.0) for i in vals]
-        carried = [*by, "_k", "_l", "_n", *[f"_ss{i}" for i in vals]]
-        new = beside(new, first).select(
-            *carried, *[f"_p{i}" for i in vals], *[F.col(f"_z{i}").alias(f"_o{i}") for i in vals],
-            *[(F.col(f"_x{i}") + step[i] * F.col(f"_p{i}")).alias(f"_x{i}") for i in vals],
-            *[(F.col(f"_r{i}") - step[i] * F.col(f"_a{i}")).alias(f"_r{i}") for i in vals])
-        second = new.groupBy(*by).agg(*rz)
-        turn = [F.when(F.col(f"_o{i}") > 0, F.col(f"_z{i}") / F.col(f"_o{i}")).otherwise(0.0) for i in vals]
-        # the small table is written too: the next step reads it once for every key
-        vec = scratch.cut(beside(new, second).select(
-            *carried, *[f"_x{i}" for i in vals], *[f"_r{i}" for i in vals], *[f"_z{i}" for i in vals],
-            *[(F.col(f"_r{i}") / F.col("_n") + turn[i] * F.col(f"_p{i}")).alias(f"_p{i}") for i in vals]))
-        if len(keys) == 1:
-            break                          # one key: the first step is exact
-        if steps % model.check_every == 0:
-            worst = vec.agg(F.max(F.greatest(F.lit(0.0), *[
-                F.when(F.col(f"_ss{i}") > 0, F.sqrt(F.col(f"_z{i}") / F.col(f"_ss{i}"))).otherwise(0.0)
+                          by, keys, kind, [F.sum(f"_t{i}").alias(f"_w{i}") for i in vals])
+        new = scratch.cut(vec.join(moved, by + ["_k", "_l"]))
+        products = new.groupBy(*by).agg(
+            *[F.sum(F.col(f"_r{i}") * F.col(f"_r{i}") / F.col("_n")).alias(f"_h{i}") for i in vals],
+            *[F.sum(F.col(f"_w{i}") * F.col(f"_r{i}") / F.col("_n")).alias(f"_d{i}") for i in vals])
+        if steps % model.check_every == 0 or steps >= model.max_steps:
+            worst = beside(products, scale).agg(F.max(F.greatest(zero, *[
+                F.when(F.col(f"_ss{i}") > 0, F.sqrt(F.col(f"_h{i}") / F.col(f"_ss{i}"))).otherwise(0.0)
                 for i in vals]))).first()[0]
-            if worst <= model.tol:
-                break
-            if steps >= model.max_steps:
-                raise NotConverged(f"effects of {keys}: remaining level means {worst:.3g} after {steps} steps")
-    effects = {k: _of_key(vec, by, keys, j, {f"_x{i}": f"_e{j}_{i}" for i in vals}, base) for j, k in enumerate(keys)}
-    return effects, {k: sizes.get(k, 0) for k in keys}, steps
+            if worst <= model.tol or steps >= model.max_steps:
+                return new, worst, steps
+        steps += 1
+        carried, turned = [*by, "_k", "_l", "_n", *[f"_ss{i}" for i in vals]], []
+        for i in vals:
+            x, r, p, s, g, a, w, h, d = (F.col(f"_{c}{i}") for c in "xrpsgawhd")
+            go = h > (0.1 * model.tol) ** 2 * F.col(f"_ss{i}")
+            beta = F.when(go & (g > 0), h / g).otherwise(0.0)
+            bottom = d - F.when(a > 0, beta * h / a).otherwise(0.0)
+            step = F.when(go & (bottom > 0), h / bottom).otherwise(0.0)
+            turned += [x.alias(f"_x{i}"), r.alias(f"_r{i}"), (r / F.col("_n") + beta * p).alias(f"_p{i}"),
+                       (w + beta * s).alias(f"_s{i}"), h.alias(f"_g{i}"), step.alias(f"_a{i}")]
+        vec = beside(new, products).select(*carried, *turned)
+        vec = vec.select(*carried, *[c for i in vals for c in (
+            (F.col(f"_x{i}") + F.col(f"_a{i}") * F.col(f"_p{i}")).alias(f"_x{i}"),
+            (F.col(f"_r{i}") - F.col(f"_a{i}") * F.col(f"_s{i}")).alias(f"_r{i}"),
+            *[F.col(f"_{c}{i}") for c in "psga"])])
 
 
 def demeaned(base: DataFrame, effects: dict, sizes: dict, by: list, keys: list,
@@ -195,15 +310,19 @@ def _moments(d: DataFrame, by: list, n_vals: int) -> DataFrame:
     return d.groupBy(*by).agg(*aggs)
 
 
-def _solve_fn(k: int, by: list):
+def _solve_fn(places: list, by: list, n_vals: int):
+    """Coefficients of the regressors at these places of the moment table."""
+    k = len(places)
+    take = [0, *places]
+
     def run(batches):
         for pdf in batches:
             out = []
             for r in pdf.to_dict("records"):
-                m = sym_from_upper(r, k + 1, "m")
+                m = sym_from_upper(r, n_vals, "m")[np.ix_(take, take)]
                 a, b = m[1:, 1:], m[1:, 0]
                 n = r["n"]
-                raw_ss = np.array([r[f"ss_{i}"] - r[f"s_{i}"] ** 2 / n for i in range(1, k + 1)])
+                raw_ss = np.array([r[f"ss_{i}"] - r[f"s_{i}"] ** 2 / n for i in places])
                 kept = select_identified(a, raw_ss)
                 beta = np.full(k, np.nan)
                 ainv = np.zeros((k, k))
@@ -285,62 +404,73 @@ def fit(panel: DataFrame, model: Model) -> DataFrame:
     (one row per group x identified term). The fit runs when called; the
     small result is read from the checkpoint folder. A group without the
     clusters or degrees of freedom for errors has them NULL."""
-    spec, names, keys, data = prepare(panel, model)
+    return fit_all(panel, {"": model})[""]
+
+
+def fit_all(panel: DataFrame, models: dict[str, Model]) -> dict[str, DataFrame]:
+    """Fits of several models on one panel, by name. Models of the same y,
+    groups, effects, clusters and errors share one absorption if they use the
+    same rows; else each is fitted by itself."""
+    names, places, keys, data = prepare(panel, list(models.values()))
     scratch = lineage.Scratch(panel.sparkSession, "fe")
-    held = []
+    held = [data.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
-        base = scratch.cut_cached(data)
-        held.append(base)
-        return _fit(base, model, names, keys, scratch, held)
+        if len(models) > 1 and not data.filter("not _all").isEmpty():
+            return {name: fit(panel, m) for name, m in models.items()}
+        return dict(zip(models, _fit(data, list(models.values()), names, places, keys, scratch, held), strict=True))
     finally:
         for df in held:
             df.unpersist()
         scratch.close()
 
 
-def _fit(base: DataFrame, model: Model, names: list, keys: list, scratch: lineage.Scratch, held: list) -> DataFrame:
+def _fit(base: DataFrame, models: list, names: list, places: list, keys: list, scratch: lineage.Scratch, held: list) -> list:
+    model = models[0]
     by = list(model.by)
-    k = len(names)
-    nv = k + 1
+    nv = len(names) + 1
     key_schema = [f for f in base.schema.fields if f.name in by]
-    solve_schema = T.StructType(
-        key_schema + [T.StructField(f"b_{i}", T.DoubleType()) for i in range(k)]
-        + [T.StructField(f"ai_{i}_{j}", T.DoubleType()) for i in range(k) for j in range(k)]
-        + [T.StructField("n", T.LongType()), T.StructField("rank_x", T.LongType()),
-           T.StructField("sst", T.DoubleType())])
     effects, sizes, _ = absorb_effects(base, by, keys, nv, model, scratch)
-    d = demeaned(base, effects, sizes, by, keys, nv, [model.cluster]).persist()
+    d = demeaned(base, effects, sizes, by, keys, nv, [model.cluster]).persist(StorageLevel.MEMORY_AND_DISK)
     held.append(d)
-    coef = scratch.cut(_moments(d, by, nv).mapInPandas(_solve_fn(k, by), solve_schema))
-    n_groups = coef.count()
-
-    # Scores and meat.
-    bcols = coef.select(*by, *[F.coalesce(F.col(f"b_{i}"), F.lit(0.0)).alias(f"b_{i}")
-                               for i in range(k)])
-    r = d.join(_bc(bcols, n_groups), by)
-    u = F.col("_t0")
-    for i in range(k):
-        u = u - F.col(f"b_{i}") * F.col(f"_t{i + 1}")
-    r = r.withColumn("_u", u)
+    moments = scratch.cut(_moments(d, by, nv))
+    n_groups = moments.count()
+    coefs = []
+    for own in places:
+        k = len(own)
+        schema = T.StructType(
+            key_schema + [T.StructField(f"b_{i}", T.DoubleType()) for i in range(k)]
+            + [T.StructField(f"ai_{i}_{j}", T.DoubleType()) for i in range(k) for j in range(k)]
+            + [T.StructField("n", T.LongType()), T.StructField("rank_x", T.LongType()),
+               T.StructField("sst", T.DoubleType())])
+        coefs.append(scratch.cut(moments.mapInPandas(_solve_fn(own, by, nv), schema)))
+
+    # Scores and meat, of all models in one pass.
+    r = d
+    for m, (own, coef) in enumerate(zip(places, coefs)):
+        b = coef.select(*by, *[F.coalesce(F.col(f"b_{i}"), F.lit(0.0)).alias(f"b{m}_{i}") for i in range(len(own))])
+        r = r.join(_bc(b, n_groups), by) if by else r.crossJoin(F.broadcast(b))
+    left = [reduce(lambda a, c: a - c, [F.col(f"b{m}_{i}") * F.col(f"_t{at}") for i, at in enumerate(own)], F.col("_t0"))
+            for m, own in enumerate(places)]
+    r = r.select("*", *[u.alias(f"_u{m}") for m, u in enumerate(left)])
+    pairs = [(m, i, j) for m, own in enumerate(places) for i in range(len(own)) for j in range(i, len(own))]
+    squares = [F.sum(F.col(f"_u{m}") * F.col(f"_u{m}")).alias(f"ssr{m}") for m in range(len(places))]
     if model.cov == "cluster":
         sc = r.groupBy(*by, model.cluster).agg(
-            *[F.sum(F.col(f"_t{i + 1}") * F.col("_u")).alias(f"_s{i}") for i in range(k)],
-            F.sum(F.col("_u") * F.col("_u")).alias("_ssr"))
+            *[F.sum(F.col(f"_t{at}") * F.col(f"_u{m}")).alias(f"_s{m}_{i}") for m, own in enumerate(places) for i, at in enumerate(own)],
+            *squares)
         meat = sc.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n_clusters"), F.sum("_ssr").alias("ssr"),
-            *[F.sum(F.col(f"_s{i}") * F.col(f"_s{j}")).alias(f"mt_{i}_{j}")
-              for i in range(k) for j in range(i, k)])
+            F.count(F.lit(1)).alias("n_clusters"), *[F.sum(f"ssr{m}").alias(f"ssr{m}") for m in range(len(places))],
+            *[F.sum(F.col(f"_s{m}_{i}") * F.col(f"_s{m}_{j}")).alias(f"mt{m}_{i}_{j}") for m, i, j in pairs])
     else:
         meat = r.groupBy(*by).agg(
-            F.lit(None).cast("long").alias("n_clusters"),
-            F.sum(F.col("_u") * F.col("_u")).alias("ssr"),
-            *[F.sum(F.col(f"_t{i + 1}") * F.col(f"_t{j + 1}") * F.col("_u") * F.col("_u"))
-              .alias(f"mt_{i}_{j}") for i in range(k) for j in range(i, k)])
+            F.lit(None).cast("long").alias("n_clusters"), *squares,
+            *[F.sum(F.col(f"_t{places[m][i]}") * F.col(f"_t{places[m][j]}") * F.col(f"_u{m}") * F.col(f"_u{m}"))
+              .alias(f"mt{m}_{i}_{j}") for m, i, j in pairs])
 
     # Effect level counts per group (for the small-sample factors).
     for j, key in enumerate(keys if model.absorb else []):
         lv = effects[key].groupBy(*by).agg(F.count(F.lit(1)).alias(f"lv_{j}"))
-        meat = meat.join(lv, by)
+        meat = meat.join(lv, by) if by else meat.crossJoin(F.broadcast(lv))
     if model.absorb and len(keys) == 2 and model.cov == "hc1":
         if model.connected:
             meat = meat.withColumn("comps", F.lit(1).cast("long"))
@@ -349,8 +479,15 @@ def _fit(base: DataFrame, model: Model, names: list, keys: list, scratch: lineag
             comps = bipartite_components(base.select(*by, *keys), by, keys[0], keys[1],
                                          scratch)
             meat = meat.join(comps, by, "left").fillna({"comps": 1})
-    full = coef.join(meat, by)
+    meat = scratch.cut(meat)
     out_schema = T.StructType(key_schema + [T.StructField(n, t) for n, t in
                                             zip(RESULT_COLS, RESULT_TYPES)])
     n_fe = list(keys) if model.absorb else []
-    return full.mapInPandas(_sandwich_fn(model, names, by, n_fe), out_schema).checkpoint()
+    out = []
+    for m, (own, coef) in enumerate(zip(places, coefs)):
+        mine = meat.select(*by, "n_clusters", F.col(f"ssr{m}").alias("ssr"), *[c for c in meat.columns if c[:3] == "lv_" or c == "comps"],
+                           *[F.col(f"mt{m}_{i}_{j}").alias(f"mt_{i}_{j}") for x, i, j in pairs if x == m])
+        full = coef.join(mine, by) if by else coef.crossJoin(F.broadcast(mine))
+        terms = [names[at - 1] for at in own]
+        out.append(full.mapInPandas(_sandwich_fn(models[m], terms, by, n_fe), out_schema).checkpoint())
+    return out

@@ -57,7 +57,8 @@ def attach_promotions(cells: DataFrame, promotions: DataFrame, keys=PROMO_KEYS,
     """
     promo = promotions.select(*keys, "is_displayed", "is_mailed")
     if products is not None:
-        promo = promo.join(products.select("product_id"), "product_id", "left_semi")
+        # a broadcast keeps the promotions' own partitioning (a stored one too)
+        promo = promo.join(broadcast_checked(products.select("product_id")), "product_id", "left_semi")
     if dedupe:
         promo = promo.groupBy(*keys).agg(F.max("is_displayed").alias("is_displayed"),
                                          F.max("is_mailed").alias("is_mailed"))

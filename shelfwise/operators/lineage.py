@@ -19,7 +19,7 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.session import ensure_checkpoint_dir
+from shelfwise.session import ensure_checkpoint_dir, hadoop_path
 
 
 @contextmanager
@@ -65,19 +65,14 @@ class Scratch:
         out.count()
         return out
 
-    def _place(self, path: str):
-        sc = self.spark.sparkContext
-        place = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return place, place.getFileSystem(sc._jsc.hadoopConfiguration())
-
     def folder(self, name: str) -> str:
         """A folder of this job for what Spark itself writes there (streams)."""
-        place, fs = self._place(f"{self.root}/{name}")
+        place, fs = hadoop_path(self.spark, f"{self.root}/{name}")
         fs.mkdirs(place)
         return f"{self.root}/{name}"
 
     def close(self) -> None:
-        root, fs = self._place(self.root)
+        root, fs = hadoop_path(self.spark, self.root)
         if not self._keep:
             fs.delete(root, True)
             return

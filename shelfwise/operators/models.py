@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from shelfwise.functions import columns as C
 from shelfwise.functions.income import INCOME_GROUPS
 from shelfwise.operators import describe
-from shelfwise.operators.fixed_effects import DEFAULT_ABSORB, Model, fit
+from shelfwise.operators.joins import broadcast_checked
+from shelfwise.operators.fixed_effects import DEFAULT_ABSORB, Model, fit, fit_all
 
 CAT = "product_category"
 
@@ -60,31 +61,45 @@ def unified_model(sized_gross_panel: DataFrame) -> DataFrame:
     return fe_ols(sized_gross_panel, UNIFIED_FORMULA)
 
 
+def mart_models(sized_gross_panel: DataFrame) -> dict[str, DataFrame]:
+    """G2 (mart variant) and G7 from one absorption of their columns."""
+    return fit_all(sized_gross_panel, {"fixed": Model(MART_FORMULA), "unified": Model(UNIFIED_FORMULA)})
+
+
+def sku_eligibility(panel: DataFrame, sku: str = "product_id", n_top: int = 6, min_obs: int = 200, min_sd: float = 0.01,
+                    attrs=("brand", "package_size")) -> DataFrame:
+    """The top-N SKUs by volume per category, with rows, sample
+    std(log price), attributes, and whether they pass for a fit of their own
+    (n >= min_obs and std >= min_sd). One aggregate of the panel by SKU."""
+    keep = [a for a in attrs if a != sku and a in panel.columns]
+    # the attributes of one row, not each one's own minimum
+    stats = panel.groupBy(CAT, sku).agg(
+        F.count(F.lit(1)).alias("n"), F.stddev_samp("log_price").alias("sd_log_price"),
+        *([F.min(F.struct(*keep)).alias("_of")] if keep else []))
+    found = describe.top_products(panel, n_top, key=sku).join(stats, [CAT, sku])
+    passed = (F.col("n") >= min_obs) & (F.coalesce("sd_log_price", F.lit(0.0)) >= min_sd)
+    return found.select(CAT, sku, "volume_rank", *(["_of.*"] if keep else []), "n", "sd_log_price", passed.alias("passed"))
+
+
 def sku_elasticity(panel: DataFrame, sku: str = "product_id", n_top: int = 6,
                    min_obs: int = 200, min_sd: float = 0.01,
-                   attrs=("brand", "package_size")) -> DataFrame:
+                   attrs=("brand", "package_size"), skipped: bool = False, absorb=("store_id", "week")) -> DataFrame:
     """Per-SKU elasticity with store and week effects and HC1 errors,
     for the top-N SKUs by volume per category (E2) that pass the
-    eligibility rule (D15): n >= min_obs and sample std(log price) >=
-    min_sd. All SKUs are fitted in one job (the SKU joins the group key);
-    the rank for HC1 counts store-week components per SKU."""
-    top = describe.top_products(panel, n_top, key=sku)
-    stats = panel.groupBy(CAT, sku).agg(F.count(F.lit(1)).alias("n"),
-                                        F.stddev_samp("log_price").alias("sd_log_price"))
-    eligible = (top.join(stats, [CAT, sku])
-                .filter((F.col("n") >= min_obs) & (F.col("sd_log_price") >= min_sd)))
-    sub = panel.join(eligible.select(CAT, sku), [CAT, sku], "left_semi")
-    res = fit(sub, Model(NET_FORMULA, absorb=("store_id", "week"), by=(CAT, sku), cluster=None,
+    eligibility rule (D15). All SKUs are fitted in one job (the SKU joins the
+    group key); the rank for HC1 counts store-week components per SKU.
+    ``skipped`` reports the SKUs that don't pass too, without estimates."""
+    report = sku_eligibility(panel, sku, n_top, min_obs, min_sd, attrs).checkpoint()
+    sub = panel.join(broadcast_checked(report.filter("passed").select(CAT, sku)), [CAT, sku], "left_semi")
+    res = fit(sub, Model(NET_FORMULA, absorb=tuple(absorb), by=(CAT, sku), cluster=None,
                          cov="hc1", connected=False))
     out = (res.filter(F.col("term") == "log_price")
            .select(CAT, sku, "n_obs", F.col("coef").alias("elasticity"), "se", "z", "p_value",
                    "significant"))
-    keep = [a for a in attrs if a != sku and a in panel.columns]
-    if keep:
-        # the attributes of one row, not each one's own minimum
-        first = panel.groupBy(CAT, sku).agg(F.min(F.struct(*keep)).alias("_of"))
-        out = out.join(first.select(CAT, sku, "_of.*"), [CAT, sku], "left")
-    return out
+    if skipped:
+        return report.join(out.drop("n_obs"), [CAT, sku], "left")
+    extra = [a for a in attrs if a in report.columns and a != sku]
+    return out.join(report.select(CAT, sku, *extra), [CAT, sku]) if extra else out
 
 
 def elasticity_comparison(naive: DataFrame, fixed: DataFrame,

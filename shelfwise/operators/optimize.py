@@ -90,7 +90,7 @@ def store_targeting(panel: DataFrame, coefs: DataFrame, category: str,
         F.avg("log_store_size_c").alias("current_avg_size"),
         F.sum("sales_value").alias("actual_revenue"))
     stores = cat.select("store_id", "log_store_size_c").dropDuplicates(["store_id"])
-    cut = stores.agg(F.percentile("log_store_size_c", tercile).alias("_cut"))
+    cut = describe.quantiles(stores, "log_store_size_c", [tercile]).toDF("_cut")
     top = (stores.crossJoin(F.broadcast(cut)).filter(F.col("log_store_size_c") >= F.col("_cut"))
            .agg(F.avg("log_store_size_c").alias("top_tercile_avg_size")))
     b = (coefs.filter((F.col(CAT) == category)
@@ -106,19 +106,18 @@ def store_targeting(panel: DataFrame, coefs: DataFrame, category: str,
 
 
 def overview_summary(panel: DataFrame, scenarios: DataFrame) -> DataFrame:
-    """H8 + D22 + D23: totals for the overview page (one row)."""
-    per_cat = panel.groupBy(CAT).agg(F.count(F.lit(1)).alias("_cells"),
-                                     F.countDistinct("product_id").alias("_products"),
-                                     F.sum("sales_value").alias("_revenue"))
+    """H8 + D22 + D23: totals for the overview page (one row). Totals are
+    published as whole numbers, cut off, and the category revenue is so before
+    the opportunity is divided by it; scenario rows come as published."""
+    per_cat = panel.groupBy(CAT, "product_id").agg(F.count(F.lit(1)).alias("_cells"), F.sum("sales_value").alias("_revenue"))
     tot = per_cat.agg(F.sum("_cells").alias("n_transactions"),
-                      F.sum("_products").alias("n_products"),
-                      F.sum("_revenue").alias("total_category_revenue"))
-    sc = scenarios.agg(F.sum("delta").alias("total_combined_delta"),
-                       F.sum("actual_revenue").alias("total_promo_revenue"))
+                      F.count(F.lit(1)).alias("n_products"),
+                      F.sum("_revenue").cast("long").alias("total_category_revenue"))
+    sc = scenarios.agg(F.sum("delta").alias("_delta"), F.sum("actual_revenue").alias("_actual"))
     return tot.crossJoin(sc).select(
-        "n_transactions", "n_products", "total_combined_delta", "total_promo_revenue",
-        (F.col("total_combined_delta") / F.col("total_promo_revenue") * 100)
-        .alias("pct_opportunity_vs_promo_revenue"),
+        "n_transactions", "n_products", F.col("_delta").cast("long").alias("total_combined_delta"),
+        F.col("_actual").cast("long").alias("total_promo_revenue"),
+        (F.col("_delta") / F.col("_actual") * 100).alias("pct_opportunity_vs_promo_revenue"),
         "total_category_revenue",
-        (F.col("total_combined_delta") / F.col("total_category_revenue") * 100)
+        (F.col("_delta") / F.col("total_category_revenue") * 100)
         .alias("pct_opportunity_vs_total_category_revenue"))

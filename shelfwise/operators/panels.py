@@ -67,7 +67,7 @@ def _cells(txn: DataFrame, prods: DataFrame, keys, sums: dict) -> DataFrame:
 
 def net_panel(txn: DataFrame, dim_product: DataFrame, promotions: DataFrame,
               categories=None, attrs=("product_category", "brand", "package_size"),
-              drop_invalid: bool = True, observation: Observation | None = None) -> DataFrame:
+              drop_invalid: bool = True, observation: Observations | None = None) -> DataFrame:
     """D3: Σqty and quantity-weighted net price Σsales/Σqty per cell, with
     promotion flags; B9 drops zero/NULL price rows, B10 adds logs."""
     prods = category_products(dim_product, categories, attrs)
@@ -81,19 +81,34 @@ def net_panel(txn: DataFrame, dim_product: DataFrame, promotions: DataFrame,
             .withColumn("log_price", C.log_positive("unit_price")))
 
 
+class Observations:
+    """Row counts of a panel on its way, gathered while it is computed: no
+    extra pass. ``get`` waits for an action on the panel."""
+
+    def __init__(self, name: str):
+        self.of = {part: Observation(f"{name} {part}") for part in ("rows_in", "rows_kept")}
+
+    @property
+    def get(self) -> dict[str, int]:
+        return {part: o.get[part] for part, o in self.of.items()}
+
+
+def _counted(panel: DataFrame, observation: Observations | None, part: str) -> DataFrame:
+    if observation is None:
+        return panel
+    return panel.observe(observation.of[part], F.count(F.lit(1)).alias(part))
+
+
 def drop_invalid_prices(panel: DataFrame, price: str = "unit_price",
-                        observation: Observation | None = None) -> DataFrame:
+                        observation: Observations | None = None) -> DataFrame:
     """Keep price > 0 with quantity present; optionally report the number
-    of rows in and out through an Observation (no extra pass)."""
+    of rows in and out."""
     keep = (F.col(price) > 0) & F.col("quantity").isNotNull()
-    if observation is not None:
-        panel = panel.observe(observation, F.count(F.lit(1)).alias("rows_in"),
-                              F.sum(F.when(keep, 1).otherwise(0)).alias("rows_kept"))
-    return panel.filter(keep)
+    return _counted(_counted(panel, observation, "rows_in").filter(keep), observation, "rows_kept")
 
 
 def household_panel(txn: DataFrame, dim_product: DataFrame, promotions: DataFrame,
-                    dim_household: DataFrame, categories=None) -> DataFrame:
+                    dim_household: DataFrame, categories=None, observation: Observations | None = None) -> DataFrame:
     """D4 + C3 + B14: household x product x store x week cells with income
     group; households without demographics or an unknown band drop out."""
     prods = category_products(dim_product, categories, ("product_category",))
@@ -101,19 +116,20 @@ def household_panel(txn: DataFrame, dim_product: DataFrame, promotions: DataFram
     cells = _cells(txn, prods, keys, {"quantity": "quantity", "_sales": "sales_value"})
     cells = (cells.join(broadcast_checked(prods), "product_id")
              .withColumn("unit_price", C.safe_div("_sales", "quantity")).drop("_sales"))
-    panel = attach_promotions(cells, promotions, products=prods)
+    panel = _counted(attach_promotions(cells, promotions, products=prods), observation, "rows_in")
     hh = dim_household.select("household_id", "income").filter(F.col("income").isNotNull())
     panel = (panel.join(broadcast_checked(hh), "household_id")
              .filter(F.col("unit_price") > 0)
              .withColumn("income_group", income_group("income"))
              .filter(F.col("income_group").isNotNull())
              .withColumn("income_rank", income_group_rank("income_group")))
+    panel = _counted(panel, observation, "rows_kept")
     return (panel.withColumn("log_qty", C.log_positive("quantity"))
             .withColumn("log_price", C.log_positive("unit_price")))
 
 
 def gross_panel(txn: DataFrame, dim_product: DataFrame, promotions: DataFrame,
-                categories=None, attrs=("product_category",)) -> DataFrame:
+                categories=None, attrs=("product_category",), observation: Observations | None = None) -> DataFrame:
     """D5 + B11-B13: Σqty, Σsales, Σretail_disc per cell; regular price,
     discount depth, net price, logs. Σretail_disc ignores NULLs, so an
     all-NULL cell has NULL gross value and is dropped by price > 0."""
@@ -126,8 +142,8 @@ def gross_panel(txn: DataFrame, dim_product: DataFrame, promotions: DataFrame,
              .withColumn("gross_value", C.gross_value())
              .withColumn("unit_price", C.safe_div("gross_value", "quantity"))
              .withColumn("net_unit_price", C.safe_div("sales_value", "quantity"))
-             .withColumn("discount_pct", C.discount_depth())
-             .filter(F.col("unit_price") > 0))
+             .withColumn("discount_pct", C.discount_depth()))
+    panel = _counted(_counted(panel, observation, "rows_in").filter(F.col("unit_price") > 0), observation, "rows_kept")
     return (panel
             .withColumn("log_qty", C.log_positive("quantity"))
             .withColumn("log_price", C.log_positive("unit_price"))
@@ -154,6 +170,18 @@ def with_store_size(panel: DataFrame, sizes: DataFrame) -> DataFrame:
             .drop("_mean_log_size"))
 
 
+def row_account(panels_by_name: dict[str, tuple[DataFrame, Observations]]) -> DataFrame:
+    """Rows that entered each panel, stayed and were dropped. Computes
+    the panels whole; the counts come from the same run."""
+    rows = []
+    for name, (panel, seen) in panels_by_name.items():
+        panel.write.format("noop").mode("overwrite").save()
+        counts = seen.get
+        rows.append((name, counts["rows_in"], counts["rows_kept"], counts["rows_in"] - counts["rows_kept"]))
+        spark = panel.sparkSession
+    return spark.createDataFrame(rows, "panel string, rows_in long, rows_kept long, rows_dropped long")
+
+
 def untreated_cells(cells: DataFrame, promotions: DataFrame) -> DataFrame:
     """Cells with no promotion row (the untreated baseline)."""
     return cells.join(promotions.select(*PROMO_KEYS), PROMO_KEYS, "left_anti")

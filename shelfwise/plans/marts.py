@@ -2,8 +2,8 @@
 needs, and write the ten small result files a viewer reads.
 
 The base panel (gross price, store size, all focus categories) is
-persisted once and reused by every mart; the reference rebuilds it for
-each analysis.
+persisted once and reused by every mart, and the two models with effects share
+one absorption; the reference rebuilds the panel for each analysis.
 """
 
 from __future__ import annotations
@@ -57,6 +57,13 @@ def build_marts(spark: SparkSession, txn: DataFrame, products: DataFrame, promos
     """Write the selected marts (all by default) under out_dir."""
     which = set(which or ALL_MARTS)
     panel = base_panel(txn, products, promos, categories).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _write_marts(spark, panel, categories, out_dir, which)
+    finally:
+        panel.unpersist()
+
+
+def _write_marts(spark: SparkSession, panel: DataFrame, categories, out_dir: str, which: set) -> dict[str, str]:
     out: dict[str, str] = {}
 
     def path(name, ext):
@@ -70,19 +77,23 @@ def build_marts(spark: SparkSession, txn: DataFrame, products: DataFrame, promos
         extract = panel.select("product_category", "is_promo",
                                F.col("net_unit_price").alias("unit_price"))
         extract.write.mode("overwrite").parquet(path("price_by_promo", "parquet"))
-    if which & {"elasticity_comparison", "promo_uplift"}:
-        naive = models.naive_ols(panel, models.MART_FORMULA)
-        fixed = models.fe_ols(panel, models.MART_FORMULA)
-        if "elasticity_comparison" in which:
-            sinks.write_json_records(models.elasticity_comparison(naive, fixed, "log_net_price"),
-                                     path("elasticity_comparison", "json"))
-        if "promo_uplift" in which:
-            sinks.write_json_records(published(models.promo_uplift(fixed).drop("z"), "promo_uplift"),
-                                     path("promo_uplift", "json"))
+    needs_fixed = which & {"elasticity_comparison", "promo_uplift"}
     needs_unified = which & {"store_size_curve", "discount_depth_curve", "optimal_discount_table",
                              "optimization_scenarios", "store_targeting_scenario", "summary"}
+    if needs_fixed and needs_unified:
+        found = models.mart_models(panel)
+        fixed, coefs = found["fixed"], found["unified"]
+    else:
+        fixed = models.fe_ols(panel, models.MART_FORMULA) if needs_fixed else None
+        coefs = models.unified_model(panel) if needs_unified else None
+    if "elasticity_comparison" in which:
+        naive = models.naive_ols(panel, models.MART_FORMULA)
+        sinks.write_json_records(models.elasticity_comparison(naive, fixed, "log_net_price"),
+                                 path("elasticity_comparison", "json"))
+    if "promo_uplift" in which:
+        sinks.write_json_records(published(models.promo_uplift(fixed).drop("z"), "promo_uplift"),
+                                 path("promo_uplift", "json"))
     if needs_unified:
-        coefs = models.unified_model(panel)
         if "store_size_curve" in which:
             sinks.write_parquet_mart(response.lift_by_store_size(panel, coefs, 40).drop("point"),
                                      path("store_size_curve", "parquet"))
@@ -104,5 +115,4 @@ def build_marts(spark: SparkSession, txn: DataFrame, products: DataFrame, promos
             names = F.array(*[C.title_label(F.lit(c)) for c in categories])
             sinks.write_json_object(published(optimize.overview_summary(panel, scen), "summary").withColumn(
                 "categories", names), path("summary", "json"))
-    panel.unpersist()
     return out

@@ -82,3 +82,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(path, file system) for what Spark's readers and writers don't do."""
+    sc = spark.sparkContext
+    place = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(sc._jsc.hadoopConfiguration())

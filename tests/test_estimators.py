@@ -224,3 +224,54 @@ def test_hot_product_holding_a_third_of_rows(spark):
                                                           "is_mailed"]], b, atol=1e-7)
         np.testing.assert_allclose([got[t].se for t in ["log_price", "is_displayed",
                                                         "is_mailed"]], se, atol=1e-7)
+
+
+def test_steps_over_the_panel_agree_with_counts(planted, monkeypatch):
+    """Groups of too many pairs of levels are solved by steps over the panel."""
+    from shelfwise.operators import fixed_effects
+    _, df = planted
+    a = {(r.product_category, r.term): r for r in fit(df, Model(models.NET_FORMULA)).collect()}
+    monkeypatch.setattr(fixed_effects, "MAX_PAIRS", 0)
+    b = {(r.product_category, r.term): r for r in fit(df, Model(models.NET_FORMULA)).collect()}
+    assert set(a) == set(b)
+    for k in a:
+        assert abs(a[k].coef - b[k].coef) < 1e-9 and abs(a[k].se - b[k].se) < 1e-9
+    with pytest.raises(NotConverged, match="after 1 steps"):
+        fit(df, Model(models.NET_FORMULA, max_steps=1, check_every=1))
+
+
+def test_models_that_share_one_absorption(planted, monkeypatch):
+    from shelfwise.operators import fixed_effects
+    _, df = planted
+    wanted = {"net": Model(models.NET_FORMULA), "depth": Model(models.DEPTH_FORMULA)}
+    apart = {name: {(r.product_category, r.term): r for r in fit(df, m).collect()} for name, m in wanted.items()}
+    calls = []
+    real = fixed_effects.absorb_effects
+    monkeypatch.setattr(fixed_effects, "absorb_effects", lambda *a, **k: calls.append(1) or real(*a, **k))
+    together = fixed_effects.fit_all(df, wanted)
+    assert len(calls) == 1
+    for name, rows in apart.items():
+        got = {(r.product_category, r.term): r for r in together[name].collect()}
+        assert set(got) == set(rows)
+        for k, r in rows.items():
+            for c in ("coef", "se", "r2"):
+                assert abs(got[k][c] - r[c]) < 1e-9
+            assert (got[k].n_obs, got[k].n_params, got[k].n_clusters) == (r.n_obs, r.n_params, r.n_clusters)
+    # a model that can't use all rows of the others is fitted by itself
+    holes = df.withColumn("discount_pct", F.when(F.col("week") > 3, F.col("discount_pct")))
+    got = {(r.product_category, r.term): r.n_obs for r in fixed_effects.fit_all(holes, wanted)["net"].collect()}
+    assert got == {k: r.n_obs for k, r in apart["net"].items()}
+    with pytest.raises(ValueError):
+        fixed_effects.fit_all(df, {"a": Model(models.NET_FORMULA), "b": Model(models.NET_FORMULA, absorb=("week",))})
+
+
+def test_products_that_pass_and_products_that_do_not(spark):
+    pdf = planted_panel(seed=21, n_p=6, n_s=6, n_w=10, keep=0.9)
+    pdf["quantity"] = 10.0 - pdf.product_id
+    pdf["brand"], pdf["package_size"] = "B" + pdf.product_id.astype(str), "1"
+    pdf = pdf[(pdf.product_id != 2) | (pdf.week < 2)]
+    rows = {r.product_id: r for r in models.sku_elasticity(spark.createDataFrame(pdf), min_obs=30, skipped=True).collect()}
+    assert {k for k, r in rows.items() if not r.passed} == {2} and rows[2].elasticity is None and rows[2].brand == "B2"
+    from dense_ols import fit as dense
+    b, se, *_ = dense(pdf[pdf.product_id == 1], "log_qty", ["log_price", "is_displayed", "is_mailed"], ("store_id", "week"), cov="hc1")
+    assert abs(rows[1].elasticity - b[0]) < 1e-7 and abs(rows[1].se - se[0]) < 1e-7

@@ -77,8 +77,12 @@ def test_revenue_scenarios_and_summary(spark):
         assert sc[label].actual_revenue == pytest.approx(sub.sales_value.sum(), rel=1e-12)
     summ = optimize.overview_summary(panel, optimize.revenue_scenarios(panel, coefs, progs)).first()
     assert summ.n_transactions == 12 and summ.n_products == 12
-    assert summ.pct_opportunity_vs_promo_revenue == pytest.approx(
-        summ.total_combined_delta / summ.total_promo_revenue * 100)
+    delta, actual = (sum(r[c] for r in sc.values()) for c in ("delta", "actual_revenue"))
+    # whole numbers, cut off; the category revenue before it is divided by
+    assert (summ.total_combined_delta, summ.total_promo_revenue) == (int(delta), int(actual))
+    assert summ.total_category_revenue == int(pdf.sales_value.sum())
+    assert summ.pct_opportunity_vs_promo_revenue == pytest.approx(delta / actual * 100)
+    assert summ.pct_opportunity_vs_total_category_revenue == pytest.approx(delta / int(pdf.sales_value.sum()) * 100)
 
 
 def test_optimal_discount_table(spark):

@@ -125,6 +125,7 @@ def test_mart_job_writes_and_reads_all_marts(spark):
     for name in marts.RECORD_MARTS:
         assert readers.read_mart_json(spark, out[name]).count() > 0
     summary = readers.json_object(spark, out["summary"])
+    assert all(isinstance(summary[c], int) for c in ("n_transactions", "total_category_revenue", "total_combined_delta"))
     assert summary["n_transactions"] > 0 and "pct_opportunity_vs_promo_revenue" in summary
     curve = readers.read_mart_parquet(spark, out["discount_depth_curve"])
     assert curve.count() == 2 * 2 * 40
@@ -166,6 +167,72 @@ def test_group_quantiles_equal_numpy(spark):
     assert "d" not in got
 
 
+def test_an_outlier_does_not_make_a_large_sort(spark, monkeypatch):
+    """One value a million times larger, a group of most rows: what is put in
+    order at once stays below the bound and the result is exact."""
+    import numpy as np
+    from shelfwise.operators import describe
+    rng = np.random.default_rng(9)
+    hot = np.concatenate([rng.lognormal(0, 1, 30_000), [1e6, 1e12, -5e9], np.repeat(1.25, 9_000)])
+    rows = [("hot", float(v)) for v in hot] + [("small", float(v)) for v in rng.normal(size=50)] + [("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    monkeypatch.setattr(describe, "SORTED", 500)
+    monkeypatch.setattr(describe, "BINS", 64)
+    probs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+    scratch = lineage.Scratch(spark, "ranks")
+    try:
+        values = scratch.cut(describe.value_counts(df, ["g"], "v"))
+        spans = describe.rank_intervals(values, ["g"], probs, scratch).collect()
+        assert max(r._rows for r in spans) <= 500 and sum(r._rows for r in spans if r.g == "hot") <= 500 * len(probs)
+    finally:
+        scratch.close()
+    names = [f"q{i}" for i in range(len(probs))]
+    got = {r.g: [r[n] for n in names] for r in describe.group_quantiles(df, ["g"], "v", probs, names).collect()}
+    for g in ("hot", "small"):
+        np.testing.assert_allclose(got[g], np.quantile([v for k, v in rows if k == g], probs), rtol=1e-12)
+    assert set(got) == {"hot", "small"}
+
+
+def test_warehouse_is_resumed_and_repaired(spark, tmp_path):
+    from shelfwise.operators import warehouse
+    from shelfwise.plans.context import Context
+    from shelfwise.plans.queries import _raw
+    raw, out = _raw(Context(spark, SF)), str(tmp_path / "wh")
+    assert {done for *_, done in warehouse.rebuild_warehouse(raw, out)} == {"built"}
+    assert {done for *_, done in warehouse.rebuild_warehouse(raw, out)} == {"skipped"}
+    # a table that lost a file, one whose run ended before its entry, one of other columns
+    lost = sorted(f for f in os.listdir(f"{out}/fact_promotions") if f.startswith("part-"))[0]
+    os.remove(f"{out}/fact_promotions/{lost}")
+    spark.range(3).selectExpr("id as half").write.mode("overwrite").parquet(f"{out}/dim_campaign")
+    import shutil
+    shutil.rmtree(f"{out}/_manifest/dim_campaign")
+    raw["products"] = raw["products"].withColumn("brand", F.col("brand").cast("binary"))
+    done = {name: d for name, _, d in warehouse.rebuild_warehouse(raw, out)}
+    assert {n for n, d in done.items() if d == "repaired"} == {"fact_promotions", "dim_campaign", "dim_product"}
+    with warehouse.Stored(spark, out) as tables:
+        assert all(tables[n].count() == df.count() for n, df in warehouse.warehouse_tables(raw).items())
+
+
+def test_stored_buckets_spare_the_shuffles(spark, tmp_path):
+    """With static broadcasts off, a panel of the stored warehouse exchanges
+    neither transactions nor promotions."""
+    from shelfwise.operators import panels, warehouse
+    from shelfwise.plans.context import FOCUS, Context
+    from shelfwise.plans.queries import _raw
+    out = str(tmp_path / "wh")
+    warehouse.rebuild_warehouse(_raw(Context(spark, SF)), out)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with warehouse.Stored(spark, out) as t:
+            panel = panels.gross_panel(t["fact_transactions"], t["dim_product"], t["fact_promotions"], FOCUS)
+            plan = panel._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan and plan.count("Bucketed: true") == 2
+            assert panel.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_lines_are_not_dealt_out_by_a_few_keys(spark):
     """With static broadcasts off, statistics by category and flag shuffle
     grouped rows only: no exchange of the lines on those keys."""
@@ -175,6 +242,9 @@ def test_lines_are_not_dealt_out_by_a_few_keys(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        counted = describe.value_counts(lines, ["product_category", "is_promo"], "unit_price")
+        assert "hashpartitioning(product_category" in (plan := counted._jdf.queryExecution().executedPlan().toString())
+        assert all("_v#" in part.split(")")[0] for part in plan.split("Exchange hashpartitioning(")[1:])
         for df in (describe.boxplot_stats(lines, "is_promo"), describe.category_screening(lines)):
             plan = df._jdf.queryExecution().sparkPlan().toString()
             assert "BroadcastHashJoin" in plan

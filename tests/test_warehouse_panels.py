@@ -94,12 +94,11 @@ def test_panel_edges_gross_price_and_depth(spark):
 
 
 def test_net_panel_weighted_price_and_observation(spark):
-    from pyspark.sql import Observation
     rows = [line("p1", "s1", 1, 1.0, 2.0), line("p1", "s1", 1, 3.0, 3.0),
             line("p2", "s1", 1, 1.0, 0.0)]
     txn = warehouse.fact_transactions(txn_raw(spark, rows))
     promos = warehouse.fact_promotions(promo_raw(spark, [("p9", "s1", 1, "3", "0")]))
-    obs = Observation("drop")
+    obs = panels.Observations("net")
     net = panels.net_panel(txn, products(spark), promos, ["CAT"], observation=obs).collect()
     assert len(net) == 1 and net[0].unit_price == pytest.approx(5.0 / 4.0)
     assert obs.get == {"rows_in": 2, "rows_kept": 1}
