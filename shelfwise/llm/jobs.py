@@ -11,8 +11,8 @@ from shelfwise.operators.graph import components  # noqa: F401
 from shelfwise.operators.lineage import Scratch
 from shelfwise.session import ensure_checkpoint_dir
 
-#: Rows and bytes of an Arrow batch: bound a Python worker's memory on long texts.
-BATCH_ROWS, BATCH_BYTES = 1000, "4m"
+#: Rows and bytes of an Arrow batch: the bytes bound a Python worker's memory.
+BATCH_ROWS, BATCH_BYTES = 20_000, "4m"
 #: Rows of ids up to which a side may be broadcast (some 20 MB).
 BROADCAST_ROWS = 500_000
 

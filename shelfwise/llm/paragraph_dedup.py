@@ -250,10 +250,12 @@ def paragraph_clusters(docs: DataFrame, scratch: Scratch, recall: float = RECALL
     plain = PLACES.removesuffix(", set binary")
     rows = scratch.cut(sketch.drop("set").mapInArrow(_filtered(found), plain).join(named, "node").drop("node"))
     found.unpersist()
-    clusters = rows.groupBy("cluster").agg(F.count("*").alias("copies"), F.min("doc_id").alias("first_doc_id"))
-    starts = rows.join(clusters.select("cluster", F.col("first_doc_id").alias("doc_id")), ["cluster", "doc_id"]).groupBy(
-        "cluster").agg(F.min("start").alias("first_start"))
-    clusters = clusters.join(starts, "cluster")
+    # by document first, so that a cluster's rows never meet in one task; written,
+    # so that the join below can be split where a cluster has many rows
+    by_doc = rows.groupBy("cluster", "doc_id").agg(F.count("*").alias("n"), F.min("start").alias("start"))
+    clusters = scratch.cut(by_doc.groupBy("cluster").agg(
+        F.sum("n").alias("copies"), F.min(F.struct("doc_id", "start")).alias("first")).select(
+        "cluster", "copies", F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start")))
     # runs of covered words of a text
     order = Window.partitionBy("doc_id", "same").orderBy("word", "words")
     reach = F.max(F.col("word") + F.col("words")).over(order.rowsBetween(Window.unboundedPreceding, -1))
