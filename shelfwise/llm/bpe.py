@@ -50,11 +50,11 @@ VOCABULARY = "byte_bpe_50k.json"
 # Fixed value: the published pattern of the byte-level pre-tokenizer.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Pieces and arcs a worker remembers before it starts anew.
-REMEMBERED, ARCS = 1_000_000, 200_000
+REMEMBERED, ARCS = 400_000, 50_000
 #: Bytes of text read at once, and of a part of a longer text.
 BATCH, AT_ONCE = 2 << 20, 1 << 20
-#: Bytes of the longest word read together with others.
-WIDE = 32
+#: Bytes of the longest word read together with others, and ids written out at once.
+WIDE, WRITTEN = 32, 1 << 16
 
 
 def byte_letters() -> dict[str, int]:
@@ -411,17 +411,13 @@ class Automaton:
         shas = [(hashlib.sha256(), hashlib.sha256()) for _ in range(len(texts))]
         decoders, kept = {}, []
         for places, ids, limits in self.read(texts):
-            written, at = self.figures.joined(ids)
-            spelt, end = self.letters.joined(ids)
-            for i, k in enumerate(places.tolist()):
-                low, high = int(limits[i]), int(limits[i + 1])
-                if low == high:
-                    continue
+            for low, high, k in _runs(places, limits):
                 # a comma after each id, so that the first of a later part follows one
-                text = written[at[low]:at[high] - 1].tobytes()
+                text, _ = self.figures.joined(ids[low:high])
+                text = text[:-1].tobytes()
                 shas[k][0].update(b"," + text if n[k] else text)
                 decoder = decoders.setdefault(k, codecs.getincrementaldecoder("utf-8")("replace"))
-                shas[k][1].update(decoder.decode(spelt[end[low]:end[high]].tobytes()).encode())
+                shas[k][1].update(decoder.decode(self.letters.joined(ids[low:high])[0].tobytes()).encode())
                 n[k] += high - low
             if keep_ids:
                 kept.append(ids)
@@ -447,6 +443,13 @@ class Joiner:
         return self.data[shift + np.arange(limits[-1])], limits
 
 
+def _runs(places: np.ndarray, limits: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(first id, end, text) of each text's ids, at most WRITTEN at a time."""
+    for k, low, end in zip(places.tolist(), limits[:-1].tolist(), limits[1:].tolist(), strict=True):
+        for at in range(low, end, WRITTEN):
+            yield at, min(end, at + WRITTEN), k
+
+
 def _positive(keys: np.ndarray) -> np.ndarray:
     return (keys >> np.uint64(1)).view(np.int64)
 
