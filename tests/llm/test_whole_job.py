@@ -217,6 +217,68 @@ def test_runs_of_one_document_over_many_partitions(spark):
     assert got == {(d, at): best[h, x, d] for h, x, d, at in rows}
 
 
+def repeated(texts, n=50):
+    """{(doc_id, text): [(start, stop, holders of its runs)]} by plain Python."""
+    holders = defaultdict(set)
+    for d, t in texts:
+        w = edge.words(t)
+        for i in range(len(w) - n + 1):
+            holders[tuple(w[i:i + n])].add(d)
+    out = {}
+    for d, t in texts:
+        w, runs = edge.words(t), []
+        for i in range(len(w) - n + 1):
+            held = holders[tuple(w[i:i + n])]
+            if len(held) < 2:
+                continue
+            if runs and runs[-1][1] >= i:
+                runs[-1] = (runs[-1][0], i + n, runs[-1][2] | held)
+            else:
+                runs.append((i, i + n, set(held)))
+        out[d, t] = runs
+    return out
+
+
+def test_passages_equal_plain_python(spark):
+    """Pieces put together from several documents, short periods, runs of just
+    under and over 50 words, edits, and two texts under one id."""
+    rng = random.Random(17)
+    word = lambda: f"w{rng.randrange(5000)}"
+    run = lambda n: [word() for _ in range(n)]
+    one, two = run(45), run(45)
+    texts = [(1, run(30) + one + run(30)), (2, run(9) + two + run(40)), (3, run(20) + one + two + run(20))]
+    pool = [run(rng.choice([49, 50, 51, 60, 74, 90, 200])) for _ in range(12)]
+    pool += [(run(p) * 90)[:rng.choice([60, 77, 130])] for p in (1, 2, 3, 7, 13, 26)]
+    for d in range(4, 90):
+        parts = []
+        for _ in range(rng.randrange(1, 6)):
+            piece = list(rng.choice(pool))
+            if rng.random() < 0.5:                     # a piece of it, or one word changed
+                a, b = sorted(rng.sample(range(len(piece) + 1), 2))
+                piece = piece[a:b] if rng.random() < 0.5 else piece[:a] + [word()] + piece[a:]
+            parts += piece + run(rng.choice([0, 0, 1, 5, 30]))
+        texts.append((d if d % 10 else 7, parts))
+    texts = [(d, " ".join(t)) for d, t in texts] + [(500, " ".join(["la"] * 400)), (501, "so " + " ".join(["la"] * 300)), (None, "x"), (502, None)]
+    texts.append(texts[20])
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    scratch = Scratch(spark, "passages")
+    try:
+        got = suffix_dedup.repeated_passages(df, scratch).collect()
+    finally:
+        scratch.close()
+    want = repeated([(d, t) for d, t in dict.fromkeys(texts) if d is not None and t])
+    assert not want[texts[0]] and not want[texts[2]]   # 90 words, but no 50 of one document
+    assert sorted((r.doc_id, r.start_word, r.stop_word) for r in got) == sorted(
+        (d, a, b) for (d, _), runs in want.items() for a, b, _ in runs)
+    spans = defaultdict(set)
+    for (d, _), runs in want.items():
+        for a, b, held in runs:
+            spans[d, a, b] |= held
+    for r in got:
+        assert r.first_doc_id in spans[r.doc_id, r.start_word, r.stop_word] and r.first_doc_id <= r.doc_id
+        assert r.removed == (r.first_doc_id != r.doc_id) and r.n_words == r.stop_word - r.start_word
+
+
 def test_many_spans_in_one_text(spark, tmp_path):
     """20,000 addresses of two kinds each: no work that grows with pairs of
     spans, and every base span at its place."""
