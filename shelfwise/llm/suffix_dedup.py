@@ -14,8 +14,8 @@
    are too few, all suffixes of its hash are sorted once more by the words that
    precede, read backwards, and extended to the left.
 5. Runs of 50 words that extensions to both sides allow are compared by their
-   hash, since the neighbour on the left and that on the right may be different
-   documents. The confirmed ones, merged, are a document's repeated passages:
+   hash, each at the suffix of its least gram among the first 25, since the
+   neighbour on the left and that on the right may be different documents. The confirmed ones, merged, are a document's repeated passages:
    every word of them stands in a run of 50 words that another document has.
 
 The sort keys end in (doc_id, at), so a passage that a third of all documents
@@ -61,13 +61,15 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return out
 
 
-def retained(w: text.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, word index in the batch, hash of the next REACH words, more)
-    of the retained positions. Of positions within REACH words that agree in
+def retained(w: text.Words) -> tuple[np.ndarray, ...]:
+    """(document, word index in the batch, hash of the next REACH words, more,
+    fewest, most) of the retained positions. In the runs of LEAST_WORDS that
+    start fewest to most words before it, a position's gram is the first least
+    one of the first WINDOW: so each run has one such position. Of positions within REACH words that agree in
     all words compared (a text that repeats a few words for long) the first is
     enough: what it shares holds for the last too, more words on."""
     n = len(w.hash)
-    nothing = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    nothing = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3
     if n < LEAST_WORDS:
         return nothing
     up, down = text._powers(n + 1)
@@ -97,22 +99,32 @@ def retained(w: text.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     more = a[np.r_[opens[1:], len(a)] - 1] - a[opens]
     back = np.argsort(order[opens])
     keep = order[opens][back]
-    return doc[at[keep]], at[keep], h[keep], more[back]
+    doc, at, h = doc[at[keep]], at[keep], h[keep]
+    own, reach = grams[at], {}
+    for way in (-1, 1):
+        alive, count = np.ones(len(at), bool), np.zeros(len(at), np.int64)
+        for k in range(way, way * WINDOW, way):
+            there = np.clip(at + k, 0, len(grams) - 1)
+            inside = (at + k >= w.first[doc]) & (at + k + GRAM <= w.first[doc + 1])
+            alive &= inside & ((grams[there] > own) if way < 0 else (grams[there] >= own))
+            count += alive
+        reach[way] = count
+    return doc, at, h, more[back], WINDOW - 1 - reach[1], reach[-1]
 
 
 def _suffixes(batches):
     for batch in text.portions(batches):
         w = text.words_of(batch.column("text"))
-        doc, at, h, more = retained(w)
+        doc, at, h, *counts = retained(w)
         yield pa.RecordBatch.from_arrays([
             batch.column("doc_id").take(pa.array(doc)), batch.column("same").take(pa.array(doc)),
-            pa.array((at - w.first[doc]).astype(np.int32)), pa.array(more.astype(np.int32)), pa.array(h.view(np.int64))],
-            ["doc_id", "same", "at", "more", "h"])
+            pa.array((at - w.first[doc]).astype(np.int32)), pa.array(h.view(np.int64)),
+            *[pa.array(c.astype(np.int32)) for c in counts]], ["doc_id", "same", "at", "h", "more", "fewest", "most"])
 
 
 def _contexts(batches):
     """Words after the first REACH and words before, as 4 bytes each."""
-    names = ["doc_id", "same", "at", "more", "h", "right", "left"]
+    names = ["doc_id", "same", "at", "h", "more", "fewest", "most", "right", "left"]
     for batch in text.portions(batches):
         w = text.words_of(batch.column("text"))
         short = (w.hash >> np.uint64(32)).astype(">u4")
@@ -121,10 +133,11 @@ def _contexts(batches):
             a, b = w.first[d], w.first[d + 1]
             for r in found:
                 at = a + r["at"]
-                rows.append((doc_id, same, r["at"], r["more"], r["h"], short[at + REACH:min(b, at + REACH + FOLLOW)].tobytes(),
+                rows.append((doc_id, same, r["at"], r["h"], r["more"], r["fewest"], r["most"],
+                             short[at + REACH:min(b, at + REACH + FOLLOW)].tobytes(),
                              short[max(a, at - FOLLOW):at][::-1].tobytes()))
         columns = list(zip(*rows, strict=True)) or [[]] * len(names)
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), *[pa.int32()] * 3, pa.binary(), pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
 
@@ -228,15 +241,15 @@ def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
     repeated passages; words count from 0, the end exclusive."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(
         "doc_id is not null").withColumn("same", F.xxhash64("text"))
-    found = scratch.cut(texts.mapInArrow(_suffixes, "doc_id long, same long, at int, more int, h long"))
+    found = scratch.cut(texts.mapInArrow(_suffixes, "doc_id long, same long, at int, h long, more int, fewest int, most int"))
     # written first: the join then deals out plain rows, and a hash that many
     # documents have can be split
     shared = scratch.cut(found.groupBy("h").agg(
         F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first <> last"))
     kept = found.join(shared.select("h"), "h")
-    by_doc = kept.groupBy("doc_id", "same").agg(F.collect_set(F.struct("at", "more", "h")).alias("found"))
+    by_doc = kept.groupBy("doc_id", "same").agg(F.collect_set(F.struct("at", "h", "more", "fewest", "most")).alias("found"))
     rows = scratch.cut(texts.join(by_doc, ["doc_id", "same"]).mapInArrow(
-        _contexts, "doc_id long, same long, at int, more int, h long, right binary, left binary"))
+        _contexts, "doc_id long, same long, at int, h long, more int, fewest int, most int, right binary, left binary"))
 
     def key(words):
         """A run of LEAST_WORDS by its suffix and the words before it."""
@@ -244,12 +257,13 @@ def repeated_passages(docs: DataFrame, scratch: Scratch) -> DataFrame:
                           F.substring("right", F.lit(1), 4 * (FOLLOW - words))).alias("key")
 
     place = ["doc_id", "same", "more"]
-    right = scratch.cut(neighbours(rows.drop("left"), "right", scratch).withColumn("left", F.lit(b"")).select(
+    right = scratch.cut(neighbours(rows.drop("left", "fewest", "most"), "right", scratch).withColumn("left", F.lit(b"")).select(
         *place, "at", "h", "extent", key(F.lit(0))))
     unsure = scratch.cut(open_hashes(right))
     left = neighbours(rows.join(jobs.sized(unsure, unsure.count()), "h", "left_semi"), "left", scratch)
+    least, most = F.greatest("fewest", F.lit(1)), F.least("extent", "most")
     runs = scratch.cut(
-        left.where("extent > 0").withColumn("words", F.explode(F.sequence(F.lit(1), F.least("extent", F.lit(FOLLOW)))))
+        left.where(least <= most).withColumn("words", F.explode(F.sequence(least, most)))
         .where(F.octet_length("right") >= 4 * (FOLLOW - F.col("words")))
         .select(*place, (F.col("at") - F.col("words")).alias("start"), key(F.col("words")))
         .unionByName(right.where(F.col("extent") >= FOLLOW).select(*place, F.col("at").alias("start"), "key")))
