@@ -89,8 +89,9 @@ def best_of(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def meet(rows: DataFrame, asked: DataFrame, dim: int, parts: int, schema: str,
-         work: Callable[[Rows, pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:
-    """work(rows of a slice, some queries of that slice) for each slice.
+         work: Callable[[Rows, pa.RecordBatch], Iterator[pa.RecordBatch]], hold: type = Rows) -> DataFrame:
+    """work(rows of a slice, some queries of that slice) for each slice; the
+    rows as ``hold`` keeps them.
 
     rows (slice, vec_id, v, ...) and asked (slice, vec_id, v, ...): columns of
     one that the other lacks are null there."""
@@ -112,7 +113,7 @@ def meet(rows: DataFrame, asked: DataFrame, dim: int, parts: int, schema: str,
                     gathered.append(part)
                 elif gathered or held is not None:
                     if held is None:
-                        held, gathered = Rows(pa.Table.from_batches(gathered), dim), []
+                        held, gathered = hold(pa.Table.from_batches(gathered), dim), []
                     for k in range(0, part.num_rows, QUERIES):
                         yield from work(held, part.slice(k, QUERIES))
     return both.mapInArrow(run, schema)
