@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import jobs, text
+from shelfwise.llm.ngram_join import SHINGLES_SQL, WORDS_SQL
 
 CONTAINMENT = 0.8
 RECALL = 0.9999
@@ -188,3 +189,16 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found = items_in(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.select("doc_id", F.explode(found).alias("item")).select("doc_id", "item.item_id", "item.containment")
+
+
+SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+g AS (SELECT DISTINCT r, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM (
+  SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT unnest(range(1, 6)) AS k)
+  WHERE k = 5 OR k IN (SELECT len({WORDS_SQL}) FROM benchmark))),
+i AS MATERIALIZED (SELECT row_number() OVER () AS j, item_id, least(len(w), 5) AS k, {SHINGLES_SQL} AS s FROM (
+  SELECT DISTINCT item_id, {WORDS_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL) WHERE len(w) > 0),
+t AS (SELECT j, item_id, k, len(s) AS n, unnest(s) AS s FROM i)
+SELECT d.doc_id, t.item_id, count(*) / CAST(t.n AS DOUBLE) AS containment
+FROM t JOIN g ON g.k = t.k AND g.s = t.s JOIN d ON d.r = g.r
+GROUP BY d.r, d.doc_id, t.j, t.item_id, t.n HAVING count(*) >= 0.8 * t.n"""

@@ -140,3 +140,21 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         return jobs.finish(found.select("doc_id", "class_id", "n_links"), scratch)
     finally:
         scratch.close()
+
+
+#: Words and their 5-word shingles, or all words of a text with fewer.
+WORDS_SQL = r"""regexp_extract_all(lower(coalesce(text, '')), '[^\x00-/:-@\[-`{-\x7f]+')"""
+SHINGLES_SQL = """CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END"""
+
+SQL = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+s AS (SELECT r, unnest(s) AS s, len(s) AS n FROM (
+  SELECT r, {SHINGLES_SQL} AS s FROM d WHERE doc_id IS NOT NULL AND len(w) > 0)),
+p AS (SELECT a.r AS a, b.r AS b FROM s a JOIN s b ON a.s = b.s AND a.r < b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 9 * count(*) >= 4 * (a.n + b.n)),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+c(r, o) AS (SELECT r, r FROM d UNION SELECT c.r, e.b FROM c JOIN e ON c.o = e.a)
+SELECT d.doc_id, CASE WHEN d.doc_id IS NOT NULL THEN min(o.doc_id) END AS class_id,
+  (SELECT count(*) FROM e WHERE e.a = d.r) AS n_links
+FROM d JOIN c ON c.r = d.r JOIN d o ON o.r = c.o GROUP BY d.r, d.doc_id"""

@@ -3,7 +3,7 @@ express them."""
 
 from __future__ import annotations
 
-from shelfwise.llm import ann, audit, negatives, topk
+from shelfwise.llm import ann, audit, decontaminate, negatives, ngram_join, topk
 from shelfwise.llm.ann import op9_rotated_codes
 from shelfwise.llm.audit import op12_filter_audit
 from shelfwise.llm.bpe import op10_bpe
@@ -24,6 +24,8 @@ QUERIES = {f.__name__: f for f in (
     op11_hard_negatives, op12_filter_audit, op13_pivot_index)}
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_decontaminate": decontaminate.SQL,
+    "op7_ngram_join": ngram_join.SQL,
     "op9_rotated_codes": ann.SQL,
     "op11_hard_negatives": negatives.SQL,
     "op12_filter_audit": audit.SQL,
