@@ -54,11 +54,13 @@ def coupon_redemption(coupons: DataFrame, redemptions: DataFrame) -> DataFrame:
     products those redeemed coupons apply to."""
     red = redemptions.select("household_id", "coupon_upc", "campaign_id", "redemption_date")
     cp = coupons.select("coupon_upc", "campaign_id", "product_id")
-    per_campaign = red.groupBy("campaign_id").agg(
-        F.count(F.lit(1)).alias("n_redemptions"),
-        F.countDistinct("household_id").alias("n_households"),
-        F.countDistinct("coupon_upc").alias("n_coupons"))
-    products = (red.select("coupon_upc", "campaign_id").distinct()
-                .join(cp, ["coupon_upc", "campaign_id"])
+    # distinct counts by levels: one key at a time, so no row is expanded
+    per_campaign = (red.groupBy("campaign_id", "household_id").agg(F.count(F.lit(1)).alias("n"))
+                    .groupBy("campaign_id").agg(F.sum("n").alias("n_redemptions"),
+                                                F.count("household_id").alias("n_households")))
+    used = red.select("campaign_id", "coupon_upc").distinct()
+    n_coupons = used.groupBy(F.col("campaign_id").alias("_campaign")).agg(F.count("coupon_upc").alias("n_coupons"))
+    products = (used.join(cp, ["coupon_upc", "campaign_id"])
                 .groupBy("campaign_id").agg(F.countDistinct("product_id").alias("n_products")))
-    return per_campaign.join(products, "campaign_id", "left").fillna({"n_products": 0})
+    return (per_campaign.join(n_coupons, F.col("campaign_id").eqNullSafe(F.col("_campaign"))).drop("_campaign")
+            .join(products, "campaign_id", "left").fillna({"n_products": 0}))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions.income import INCOME_BANDS, income_group
-from shelfwise.operators import describe, panels, warehouse
+from shelfwise.operators import campaigns, describe, panels, warehouse
 from shelfwise.operators.joins import attach_promotions
 from shelfwise.sources import schemas
 
@@ -197,3 +197,15 @@ def test_approx_quantiles_close_to_exact(spark):
     for k in (0, 1):
         assert abs(exact[k].median_price - approx[k].median_price) < 0.5
         assert exact[k].n == approx[k].n == 1000
+
+
+def test_coupon_redemption_expands_no_rows(spark):
+    reds = spark.createDataFrame(
+        [(1, "a", 10, "d1"), (1, "a", 10, "d2"), (2, "a", 10, "d1"), (None, "b", 10, "d1"), (3, None, 11, "d1"), (4, "a", None, "d1")],
+        "household_id long, coupon_upc string, campaign_id long, redemption_date string")
+    coupons = spark.createDataFrame([("a", 10, 7), ("a", 10, 8), ("b", 10, 7), ("c", 11, 9)],
+                                    "coupon_upc string, campaign_id long, product_id long")
+    out = campaigns.coupon_redemption(coupons, reds)
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.campaign_id: (r.n_redemptions, r.n_households, r.n_coupons, r.n_products) for r in out.collect()}
+    assert got == {10: (4, 2, 2, 2), 11: (1, 1, 0, 0), None: (1, 1, 1, 0)}
