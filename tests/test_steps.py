@@ -63,3 +63,25 @@ def test_a_step_does_not_deal_out_the_rows(panel):
         assert "Window" in plan and "Exchange" not in plan and "Sort " not in plan
     finally:
         rows.unpersist()
+
+
+def test_level_tables_are_not_sent_to_the_driver(panel, monkeypatch):
+    """Level tables that aren't small are shuffled to the pieces of the rows,
+    which stay where they are; same estimates."""
+    wanted = _coefs(panel)
+    met, real = [], fixed_effects._meet
+
+    def meet(rows, table, on, n_rows, pieces):
+        out = real(rows, table, on, n_rows, pieces)
+        met.append(out._jdf.queryExecution().executedPlan().toString().split("InMemoryRelation")[0])
+        return out
+    monkeypatch.setattr(fixed_effects, "_meet", meet)
+    monkeypatch.setattr(fixed_effects, "MAX_PAIRS", 0)
+    monkeypatch.setattr(fixed_effects, "SMALL_LEVELS_BYTES", 0)
+    got = _coefs(panel)
+    assert met and all("ShuffledHashJoin" in p for p in met)
+    shuffles = [p.count("Exchange hashpartitioning(_piece") for p in met]
+    assert max(shuffles) <= 2 and "BroadcastExchange HashedRelation" not in met[0]     # one for each level table, none of the rows
+    assert set(got) == set(wanted)
+    for k in wanted:
+        assert got[k] == pytest.approx(wanted[k], abs=1e-9)
