@@ -31,3 +31,12 @@ def test_store_sizes_meet_the_panel_where_it_is(spark):
         assert "Exchange hashpartitioning(store_id" not in plan and "count(1)" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_elasticity_comparison_computes_the_panel_once(spark, monkeypatch):
+    """Both of its fits read one written panel."""
+    seen, real = [], queries.models.fit
+    monkeypatch.setattr(queries.models, "fit", lambda panel, model: seen.append(
+        panel._jdf.queryExecution().executedPlan().toString()) or real(panel, model))
+    assert queries.q_elasticity_comparison(spark, SF).count() == 4
+    assert len(seen) == 2 and not any("Exchange" in plan or "Join" in plan for plan in seen)
