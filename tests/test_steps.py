@@ -1,10 +1,14 @@
 """Steps over a panel of many levels: what they write, send and return."""
 
+from functools import partial
+
 import pytest
 
 from shelfwise.operators import fixed_effects, lineage, models
 from shelfwise.operators.fixed_effects import Model, fit
+from shelfwise.plans import queries
 
+from conftest import SF
 from test_estimators import planted_panel
 
 
@@ -85,3 +89,27 @@ def test_level_tables_are_not_sent_to_the_driver(panel, monkeypatch):
     assert set(got) == set(wanted)
     for k in wanted:
         assert got[k] == pytest.approx(wanted[k], abs=1e-9)
+
+
+def test_what_is_left_is_read_without_a_join(panel, monkeypatch):
+    """The sums of squares lie in the steps' table: a step broadcasts one
+    table of a row per group, its inner products."""
+    joined, real, steps, cut = [], fixed_effects._bc, [], lineage.Scratch.cut
+    monkeypatch.setattr(fixed_effects, "_bc", lambda df, n: joined.append(n) or real(df, n))
+    monkeypatch.setattr(lineage.Scratch, "cut", lambda self, df, keep=False: steps.append("_w0" in df.columns) or cut(self, df, keep))
+    monkeypatch.setattr(fixed_effects, "MAX_PAIRS", 0)
+    groups = len({k[0] for k in _coefs(panel)})
+    assert sum(steps) and joined.count(groups) == sum(steps) + 2      # and the start's and the coefficients'
+
+
+@pytest.mark.parametrize("name", ["lift_by_store_size"])
+def test_a_query_sends_no_level_table_to_the_driver(spark, monkeypatch, name):
+    """Whatever its levels, the fit behind it broadcasts tables of a row per
+    category only (a few steps tell: the fit ends early here)."""
+    sent, real = [], fixed_effects._bc
+    monkeypatch.setattr(fixed_effects, "_bc", lambda df, n: sent.append(n) or real(df, n))
+    monkeypatch.setattr(fixed_effects, "MAX_PAIRS", 0)
+    monkeypatch.setattr(fixed_effects, "SMALL_LEVELS_BYTES", 0, raising=False)
+    monkeypatch.setattr(models, "Model", partial(Model, tol=0.03))
+    assert queries.QUERIES[name](spark, SF).count()
+    assert sent and set(sent) == {len(queries.FOCUS)}
