@@ -98,6 +98,18 @@ def test_mart_views(spark):
     assert shown.columns[0] == "Category" and "Model optimal discount, percent" in shown.columns
 
 
+def test_a_mart_computes_what_it_publishes(spark, monkeypatch):
+    """The optimal-discount mart alone needs no revenue scenarios."""
+    from shelfwise.plans import marts
+    table = spark.createDataFrame([("Eggs", "Display", 0.1, 0.0, 20.5)], list(readers.OPTIMAL_DISCOUNT_DISPLAY))
+    monkeypatch.setattr(marts.models, "unified_model", lambda panel: None)
+    monkeypatch.setattr(marts.optimize, "optimal_discount", lambda panel, coefs: table)
+    monkeypatch.setattr(marts.optimize, "revenue_scenarios", lambda *a: pytest.fail("scenarios computed"))
+    out = marts._write_marts(spark, table, ("A", "B"), tempfile.mkdtemp(prefix="sw-test-"), {"optimal_discount_table"})
+    assert list(out) == ["optimal_discount_table"]
+    assert readers.json_object(spark, out["optimal_discount_table"])["promo_type"] == "Display"
+
+
 def test_build_warehouse_writes_all_tables(spark):
     from shelfwise.operators import warehouse
     from shelfwise.sources import binding
