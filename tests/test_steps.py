@@ -102,7 +102,7 @@ def test_what_is_left_is_read_without_a_join(panel, monkeypatch):
     assert sum(steps) and joined.count(groups) == sum(steps) + 2      # and the start's and the coefficients'
 
 
-@pytest.mark.parametrize("name", ["lift_by_store_size", "store_targeting", "overview_summary", "mart_json_roundtrip"])
+@pytest.mark.parametrize("name", ["lift_by_store_size", "store_targeting", "overview_summary", "mart_json_roundtrip", "mart_views"])
 def test_a_query_sends_no_level_table_to_the_driver(spark, monkeypatch, name):
     """Whatever its levels, the fit behind it broadcasts tables of a row per
     category only (a few steps tell: the fit ends early here)."""
