@@ -1,8 +1,10 @@
 """Steps over a panel of many levels: what they write, send and return."""
 
+import re
 from functools import partial
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.operators import fixed_effects, lineage, models
 from shelfwise.operators.fixed_effects import Model, fit
@@ -113,3 +115,54 @@ def test_a_query_sends_no_level_table_to_the_driver(spark, monkeypatch, name):
     monkeypatch.setattr(models, "Model", partial(Model, tol=0.03))
     assert queries.QUERIES[name](spark, SF).count()
     assert sent and set(sent) == {len(queries.FOCUS)}
+
+
+def _keys_broadcast(plan: str) -> list[list[str]]:
+    """The types of the keys of each broadcast table of a plan."""
+    return [re.findall(r"input\[\d+, (\w+)", keys) for keys in re.findall(r"HashedRelationBroadcastMode\(List\((.*?)\),", plan)]
+
+
+def test_a_step_broadcasts_under_one_long_key(panel, monkeypatch):
+    """A broadcast table under text or several columns takes a page (up to 64
+    MB) of the driver's memory for two rows: no step has one, for its groups or levels."""
+    wanted = _coefs(panel)
+    met, real = [], fixed_effects._meet
+
+    def meet(*args):
+        out = real(*args)
+        met.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(fixed_effects, "_meet", meet)
+    monkeypatch.setattr(fixed_effects, "MAX_PAIRS", 0)
+    got = _coefs(panel)
+    keys = [k for plan in met for k in _keys_broadcast(plan)]
+    assert keys and all(k == ["bigint"] for k in keys)
+    assert got.keys() == wanted.keys() and all(got[k] == pytest.approx(wanted[k], abs=1e-9) for k in wanted)
+
+
+def test_groups_are_told_apart_whatever_their_hashes(spark, panel, monkeypatch):
+    """A seed under which groups share a number is passed over; a group of
+    several columns has them back."""
+    two = panel.withColumn("half", F.col("week") % 2)
+    real = F.xxhash64
+    monkeypatch.setattr(fixed_effects.F, "xxhash64", lambda *c: F.when(c[0] == 0, F.lit(7)).otherwise(real(*c)).cast("long"))
+    model = Model(models.NET_FORMULA, by=("product_category", "half"))
+    rows = fit(two, model).collect()
+    monkeypatch.setattr(fixed_effects.F, "xxhash64", real)
+    assert rows[0].__fields__[:3] == ["product_category", "half", "term"]
+    for half in (0, 1):
+        alone = fit(two.filter(F.col("half") == half), Model(models.NET_FORMULA)).collect()
+        assert {(r.product_category, r.term): pytest.approx((r.coef, r.se, r.n_obs), abs=1e-9) for r in alone} == {
+            (r.product_category, r.term): (r.coef, r.se, r.n_obs) for r in rows if r.half == half}
+
+
+@pytest.mark.parametrize("name", ["store_targeting"])
+def test_a_query_broadcasts_its_groups_by_number(spark, monkeypatch, name):
+    """What the fit behind it broadcasts is told by the groups' number, not
+    by the categories' names (a few steps tell)."""
+    sent, real = [], fixed_effects._bc
+    monkeypatch.setattr(fixed_effects, "_bc", lambda df, n: sent.append(df.columns) or real(df, n))
+    monkeypatch.setattr(fixed_effects, "MAX_PAIRS", 0)
+    monkeypatch.setattr(models, "Model", partial(Model, tol=0.03))
+    assert queries.QUERIES[name](spark, SF).count()
+    assert sent and all("_g" in columns and "product_category" not in columns for columns in sent)
