@@ -156,7 +156,7 @@ def test_groups_are_told_apart_whatever_their_hashes(spark, panel, monkeypatch):
             (r.product_category, r.term): (r.coef, r.se, r.n_obs) for r in rows if r.half == half}
 
 
-@pytest.mark.parametrize("name", ["store_targeting", "overview_summary"])
+@pytest.mark.parametrize("name", ["store_targeting", "overview_summary", "mart_views"])
 def test_a_query_broadcasts_its_groups_by_number(spark, monkeypatch, name):
     """What the fit behind it broadcasts is told by the groups' number, not
     by the categories' names (a few steps tell)."""
